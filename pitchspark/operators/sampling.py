@@ -1,0 +1,34 @@
+"""Scenario sampling over probability tables.
+
+Draws use :func:`pitchspark.functions.draws.uniform`, a hash of
+``seed|run|key``: a recomputed task draws the same numbers, unlike
+``rand()``. Runs are generated with ``explode(sequence(..))`` inside each
+partition, so replicating rows needs no join and no shuffle.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from pitchspark.functions.draws import categorical, uniform
+
+
+def replicate(df: DataFrame, n_runs: int, run_col: str = "run") -> DataFrame:
+    """Each row once per run 0..n-1."""
+    return df.withColumn(run_col, F.explode(F.sequence(F.lit(0), F.lit(n_runs - 1))))
+
+
+def draw_outcomes(df: DataFrame, key: str, p0: str, p1: str, seed: int = 42, run_col: str = "run",
+                  out: str = "outcome") -> DataFrame:
+    """Categorical draw in {0,1,2} per (run, key) with the row's probabilities."""
+    u = uniform(seed, F.col(run_col), F.col(key))
+    return df.withColumn(out, categorical(u, p0, p1))
+
+
+def outcome_shares(df: DataFrame, key: str, p0: str, p1: str, n_runs: int, seed: int = 42) -> DataFrame:
+    """Percent of runs ending 0 / 1 / 2 for each row of a probability table."""
+    d = draw_outcomes(replicate(df.select(key, p0, p1), n_runs), key, p0, p1, seed)
+    return (d.groupBy(key)
+             .agg(*[(F.count_if(F.col("outcome") == i) / F.lit(n_runs) * 100.0).alias(f"pct_{i}")
+                    for i in range(3)]))

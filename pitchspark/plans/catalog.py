@@ -12,7 +12,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pitchspark.operators import evaluate as ev
 from pitchspark.operators import features as feat
+from pitchspark.operators import pairs as pr
+from pitchspark.operators import ratings as rt
+from pitchspark.operators import sampling as sm
+from pitchspark.operators import standings as st
 from pitchspark.sources.fixtures import fixture
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +34,167 @@ def squad_value(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("country", _r("top_value_sum"), _r("log_squad_value"))
 
 
+def chemistry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    roster = feat.clean_roster(fixture(spark, sf_dir, "fx_roster"))
+    out = feat.group_cohesion(roster, "country", "club", "market_value_m")
+    return out.select("country", _r("chemistry_score"))
+
+
+def form_rating(spark: SparkSession, sf_dir: str) -> DataFrame:
+    roster = fixture(spark, sf_dir, "fx_roster")
+    uni = feat.league_universe(fixture(spark, sf_dir, "fx_league_ratings"), feat.league_weights_df(spark))
+    out = feat.form_rating(roster, uni, "country", "name", n=15)
+    return out.select("country", _r("current_form_rating"), _r("top5_league_density"))
+
+
+def average_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ent = fixture(spark, sf_dir, "fx_entity")
+    out = feat.average_rank_desc(ent.select("entity_id", "f_cnt"), "f_cnt", "avg_rank", buckets=16)
+    return out.select("entity_id", "f_cnt", _r("avg_rank"))
+
+
+ENTITY_FEATURES = ["f_cnt", "f_value", "f_max"]
+
+
+def pair_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ent = fixture(spark, sf_dir, "fx_entity")
+    out = pr.pair_matrix(ent, "entity_id", "entity_id", ENTITY_FEATURES, label="country")
+    return out.select("team_a", "team_b", *[_r(f"delta_{f}") for f in ENTITY_FEATURES])
+
+
+def training_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    matches = fixture(spark, sf_dir, "fx_matches")
+    team = fixture(spark, sf_dir, "fx_team")
+    out = pr.training_matrix(matches, team, "team", ENTITY_FEATURES)
+    return out.select("match_id", "team_a", "team_b", "home_score", "away_score", "target",
+                      *[_r(f"delta_{f}") for f in ENTITY_FEATURES], "is_neutral", "days_ago", _r("match_weight"))
+
+
+def _elo(spark: SparkSession, sf_dir: str, method: str = "auto"):
+    prepared = rt.prepare_matches(fixture(spark, sf_dir, "fx_matches"))
+    folded = rt.elo_ratings(prepared, pool="pool", method=method)
+    return rt.elo_history(prepared, folded)
+
+
+def elo_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    h = _elo(spark, sf_dir)
+    return h.select("match_id", "pool", "team_a", "team_b", _r("elo_a"), _r("elo_b"), _r("delta_elo"))
+
+
+ELO_CUTOFF = "1998-01-01"
+
+
+def elo_leaderboard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    board = rt.active_leaderboard(rt.final_ratings(_elo(spark, sf_dir)), ELO_CUTOFF)
+    return board.select("team", _r("elo_rating"))
+
+
+def elo_top15(spark: SparkSession, sf_dir: str) -> DataFrame:
+    board = rt.active_leaderboard(rt.final_ratings(_elo(spark, sf_dir)), ELO_CUTOFF)
+    return rt.leaderboard_head(board, 15).select("team", _r("elo_rating"))
+
+
+def _match_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = fixture(spark, sf_dir, "fx_matches")
+    from pitchspark.functions.elo import outcome_label
+    return m.withColumn("outcome", outcome_label("home_score", "away_score"))
+
+
+def standings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = st.points_table(_match_outcomes(spark, sf_dir), ["pool"])
+    ranked = st.rank_in_group(table, ["pool"], [F.col("points").desc(), F.col("team").asc()])
+    return ranked.select("pool", "team", "played", "wins", "draws", "losses", "points", "position")
+
+
+def wild_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = st.points_table(_match_outcomes(spark, sf_dir), ["pool"])
+    ranked = st.rank_in_group(table, ["pool"], [F.col("points").desc(), F.col("team").asc()])
+    out = st.wild_cards(ranked, [], [F.col("points").desc(), F.col("team").asc()], place=3, k=8)
+    return out.select("pool", "team", "points", "wildcard_rank")
+
+
+N_RUNS = 1000
+
+
+def outcome_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    probs = fixture(spark, sf_dir, "fx_probs")
+    out = sm.outcome_shares(probs, "pair_id", "p0", "p1", N_RUNS, seed=42)
+    return out.select("pair_id", _r("pct_0"), _r("pct_1"), _r("pct_2"))
+
+
+def stage_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    log = fixture(spark, sf_dir, "fx_stage_log")
+    out = st.stage_rates(log, "run_id", "entity", "stage")
+    return out.select("entity", "stage", "runs", _r("pct"))
+
+
+def accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = ev.accuracy(fixture(spark, sf_dir, "fx_predictions"))
+    return out.select(_r("accuracy"), "rows")
+
+
+def class_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = ev.class_report(fixture(spark, sf_dir, "fx_predictions"))
+    return out.select("class", _r("precision"), _r("recall"), _r("f1"), "support")
+
+
+def confusion_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ev.confusion_matrix(fixture(spark, sf_dir, "fx_predictions"))
+
+
+def stratified_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = ev.stratified_split(fixture(spark, sf_dir, "fx_predictions"), "label", "row_id")
+    return out.select("row_id", "label", "is_test", "fold")
+
+
+def run_leaderboard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = ev.run_leaderboard(fixture(spark, sf_dir, "fx_runs"))
+    return out.select("run_name", _r("score"), "accuracy_pct", "status", "position")
+
+
+def pair_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ent = fixture(spark, sf_dir, "fx_entity")
+    pairs = pr.pair_matrix(ent, "entity_id", "entity_id", ENTITY_FEATURES, label="country")
+    # Requests: each entity against the next one, asked in reverse order
+    # for odd ids, in upper case to exercise the case-insensitive match.
+    nxt = ent.select(F.col("entity_id").alias("e1"), "country")
+    req = (nxt.alias("x").join(nxt.alias("y"), F.col("y.e1") == F.col("x.e1") + 1)
+              .select(F.when(F.col("x.e1") % 2 == 1, F.upper(F.col("y.country"))).otherwise(F.col("x.country")).alias("req_a"),
+                      F.when(F.col("x.e1") % 2 == 1, F.col("x.country")).otherwise(F.col("y.country")).alias("req_b")))
+    out = pr.pair_lookup(pairs, req, ENTITY_FEATURES)
+    return out.select("req_a", "req_b", "reversed", *[_r(f"delta_{f}") for f in ENTITY_FEATURES])
+
+
+OUTCOME_NAMES = ["Away Win", "Draw", "Home Win"]
+
+
+def probs_label(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = fixture(spark, sf_dir, "fx_probs")
+    arr = F.array("p0", "p1", "p2")
+    return p.select("pair_id", pr.argmax_label(arr).alias("label_idx"),
+                    pr.argmax_label(arr, OUTCOME_NAMES).alias("label_name"),
+                    F.round(pr.two_way(F.col("p0"), F.col("p2")), DECIMALS).alias("p_two_way"))
+
+
 QUERIES: dict[str, QueryFn] = {
     "squad_value": squad_value,
+    "chemistry": chemistry,
+    "form_rating": form_rating,
+    "average_rank": average_rank,
+    "pair_matrix": pair_matrix,
+    "training_matrix": training_matrix,
+    "elo_history": elo_history,
+    "elo_leaderboard": elo_leaderboard,
+    "elo_top15": elo_top15,
+    "standings": standings,
+    "wild_cards": wild_cards,
+    "outcome_shares": outcome_shares,
+    "stage_rates": stage_rates,
+    "accuracy": accuracy,
+    "class_report": class_report,
+    "confusion_matrix": confusion_matrix,
+    "stratified_split": stratified_split,
+    "run_leaderboard": run_leaderboard,
+    "pair_lookup": pair_lookup,
+    "probs_label": probs_label,
 }

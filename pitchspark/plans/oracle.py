@@ -35,3 +35,270 @@ from top where rn <= 15 group by country
 ORACLE_SQL: dict[str, str] = {
     "squad_value": SQUAD_VALUE,
 }
+
+CHEMISTRY = with_clause("fx_roster") + f""", {_money_cte()},
+per_group as (
+  select country, club, count(*) as n,
+         cast(sum(cast(market_value_m as decimal(24,6))) / count(*) as double) as mean_value
+  from parsed where club is not null and club not in ('Unknown', 'Without Club', 'Retired')
+  group by country, club having count(*) >= 2),
+scored as (
+  select country, sum(n * (n - 1) / 2.0 * case when mean_value > 0 then ln(1 + mean_value) else 1.0 end) as s
+  from per_group group by country)
+select c.country, round(coalesce(s.s, 0.0), 6) as chemistry_score
+from (select distinct country from fx_roster) c left join scored s on s.country = c.country
+"""
+
+LEAGUE_VALUES = """(values ('england_premier_league', 1.00, true), ('spain_la_liga', 0.97, true),
+  ('italy_serie_a', 0.96, true), ('germany_bundesliga', 0.95, true), ('france_ligue_1', 0.93, true),
+  ('portugal_primeira_liga', 0.89, false), ('netherlands_eredivisie', 0.87, false), ('brazil_serie_a', 0.86, false),
+  ('england_efl_championship', 0.84, false), ('argentina_liga_profesional', 0.83, false),
+  ('turkiye_super_lig', 0.82, false), ('saudi_arabia_pro_league', 0.82, false), ('usa_mls', 0.81, false),
+  ('spain_la_liga_2', 0.80, false), ('germany_2.bundesliga', 0.79, false), ('italy_serie_b', 0.78, false),
+  ('france_ligue_2', 0.77, false)) as w(league_key, league_weight, top5)"""
+
+
+def _key(x: str) -> str:
+    return f"lower({STRIP_SQL.format(x=x)})"
+
+
+FORM_RATING = with_clause("fx_roster", "fx_league_ratings") + f""",
+uni as (
+  select {_key('player')} as match_name, k.league_key, w.top5, rating * cast(w.league_weight as double) as weighted_rating
+  from (select *, replace(replace(replace(replace(source_file, '.csv', ''), '_25_26', ''), '_2026', ''), '_2025', '') as league_key
+        from fx_league_ratings where not contains(source_file, 'tm_')) k
+  join {LEAGUE_VALUES} on w.league_key = k.league_key
+  where rating is not null),
+ros as (select country, {_key('name')} as match_name from fx_roster),
+sizes as (select country, count(*) as roster_rows from ros group by country),
+merged as (select r.country, r.match_name, u.top5, coalesce(u.weighted_rating, 3.25) as final_rating
+           from ros r left join uni u on u.match_name = r.match_name),
+form as (select country, avg(final_rating) as f from (
+           select country, final_rating, row_number() over (partition by country order by final_rating desc) as rn
+           from merged) t where rn <= 15 group by country),
+t5 as (select country, count(distinct match_name) as t5 from merged where top5 group by country)
+select s.country, round(f.f, 6) as current_form_rating,
+  round(case when roster_rows > 0 then coalesce(t5.t5, 0) / roster_rows else 0.0 end, 6) as top5_league_density
+from sizes s left join form f on f.country = s.country left join t5 on t5.country = s.country
+"""
+
+AVERAGE_RANK = with_clause("fx_entity") + """
+select entity_id, f_cnt,
+  round(rank() over (order by f_cnt desc) + (count(*) over (partition by f_cnt) - 1) / 2.0, 6) as avg_rank
+from fx_entity
+"""
+
+PAIR_MATRIX = with_clause("fx_entity") + """
+select a.country as team_a, b.country as team_b,
+  round(cast(a.f_cnt - b.f_cnt as double), 6) as delta_f_cnt,
+  round(a.f_value - b.f_value, 6) as delta_f_value,
+  round(a.f_max - b.f_max, 6) as delta_f_max
+from fx_entity a join fx_entity b on a.entity_id < b.entity_id
+"""
+
+TRAINING_MATRIX = with_clause("fx_matches", "fx_team") + """,
+mx as (select max(date) as latest from fx_matches)
+select m.match_id, m.team_a, m.team_b, m.home_score, m.away_score,
+  case when m.home_score > m.away_score then 2 when m.home_score = m.away_score then 1 else 0 end as target,
+  round(cast(a.f_cnt - b.f_cnt as double), 6) as delta_f_cnt,
+  round(a.f_value - b.f_value, 6) as delta_f_value,
+  round(a.f_max - b.f_max, 6) as delta_f_max,
+  cast(m.neutral as integer) as is_neutral,
+  cast(floor((epoch(mx.latest) - epoch(m.date)) / 86400) as bigint) as days_ago,
+  round(exp(-floor((epoch(mx.latest) - epoch(m.date)) / 86400) / 1000.0), 6) as match_weight
+from fx_matches m join fx_team a on a.team = m.team_a join fx_team b on b.team = m.team_b cross join mx
+"""
+
+# Elo as a recursive CTE: one match per step per pool, ratings carried in a
+# MAP; the same stateless terms as the Spark side.
+_ELO_CORE = with_clause("fx_matches").replace("with ", "with recursive ", 1) + """,
+prep as (
+  select match_id, pool, date, team_a, team_b,
+    case when home_score > away_score then 1.0 when home_score = away_score then 0.5 else 0.0 end as s,
+    case when coalesce(neutral, false) or (contains(lower(tournament), 'world cup') and not contains(lower(tournament), 'qualifying'))
+         then 0.0 else 100.0 end as h,
+    case when contains(lower(tournament), 'world cup') and not contains(lower(tournament), 'qualifying') then 60.0
+         when contains(lower(tournament), 'euro') or contains(lower(tournament), 'copa') or contains(lower(tournament), 'cup of nations') then 40.0
+         when contains(lower(tournament), 'qualifying') or contains(lower(tournament), 'nations league') then 30.0
+         else 20.0 end as k,
+    case when abs(home_score - away_score) <= 1 then 1.0 when abs(home_score - away_score) = 2 then 1.5
+         else (11.0 + abs(home_score - away_score)) / 8.0 end as g_raw,
+    row_number() over (partition by pool order by date, match_id) as step
+  from fx_matches where date is not null and home_score is not null and away_score is not null),
+fold(pool, step, ratings, match_id, team_a, team_b, ra, rb, x) as (
+  select pool, 0, map([]::bigint[], []::double[]), null::bigint, null::bigint, null::bigint, null::double, null::double, null::double
+  from (select distinct pool from prep)
+  union all
+  select pool, step, map_concat(ratings, map([team_a, team_b], [ra + x, rb - x])), match_id, team_a, team_b, ra, rb, x
+  from (
+    select pool, step, ratings, match_id, team_a, team_b, ra, rb,
+      k * (case when (s = 1.0 and e > 0.8) or (s = 0.0 and 1.0 - e > 0.8) then least(g_raw, 1.5) else g_raw end) * (s - e) as x
+    from (
+      select f.pool, p.step, f.ratings, p.match_id, p.team_a, p.team_b, p.s, p.k, p.g_raw, ra, rb,
+        1.0 / (1.0 + pow(10.0, (rb - (ra + p.h)) / 400.0)) as e
+      from (select *, coalesce(ratings[team_a_], 1500.0) as ra, coalesce(ratings[team_b_], 1500.0) as rb
+            from (select f.pool, f.step, f.ratings, p.team_a as team_a_, p.team_b as team_b_ from fold f
+                  join prep p on p.pool = f.pool and p.step = f.step + 1) q) f
+      join prep p on p.pool = f.pool and p.step = f.step + 1) t) u
+),
+hist as (select f.match_id, f.pool, f.team_a, f.team_b, f.ra as elo_a, f.rb as elo_b, f.ra + f.x as post_a, f.rb - f.x as post_b,
+           p.date, p.step from fold f join prep p on p.match_id = f.match_id where f.step > 0)
+"""
+
+ELO_HISTORY = _ELO_CORE + """
+select match_id, pool, team_a, team_b, round(elo_a, 6) as elo_a, round(elo_b, 6) as elo_b,
+  round(elo_a - elo_b, 6) as delta_elo from hist
+"""
+
+_ELO_FINAL = """,
+sides as (select team_a as team, date, step, 0 as side, post_a as r from hist
+          union all select team_b, date, step, 1, post_b from hist),
+final as (select team, arg_max(r, step * 2 + side) as elo_rating, max(date) as last_date from sides group by team)
+"""
+
+ELO_LEADERBOARD = _ELO_CORE + _ELO_FINAL + """
+select team, round(elo_rating, 6) as elo_rating from final where last_date >= timestamp '1998-01-01'
+"""
+
+ELO_TOP15 = _ELO_CORE + _ELO_FINAL + """
+select team, round(elo_rating, 6) as elo_rating from final where last_date >= timestamp '1998-01-01'
+order by elo_rating desc, team limit 15
+"""
+
+_POINTS = with_clause("fx_matches") + """,
+res as (select pool, team_a, team_b,
+          case when home_score > away_score then 2 when home_score = away_score then 1 else 0 end as o from fx_matches),
+sides as (
+  select pool, team_a as team, case o when 2 then 3 when 1 then 1 else 0 end as pts,
+    cast(o = 2 as integer) as w, cast(o = 1 as integer) as d, cast(o = 0 as integer) as l from res
+  union all
+  select pool, team_b, case o when 0 then 3 when 1 then 1 else 0 end,
+    cast(o = 0 as integer), cast(o = 1 as integer), cast(o = 2 as integer) from res),
+tbl as (select pool, team, count(*) as played, sum(w) as wins, sum(d) as draws, sum(l) as losses, sum(pts) as points
+        from sides group by pool, team),
+ranked as (select *, row_number() over (partition by pool order by points desc, team) as position from tbl)
+"""
+
+STANDINGS = _POINTS + """
+select pool, team, played, wins, draws, losses, points, position from ranked
+"""
+
+WILD_CARDS = _POINTS + """
+select pool, team, points, wildcard_rank from (
+  select pool, team, points, row_number() over (order by points desc, team) as wildcard_rank
+  from ranked where position = 3) t where wildcard_rank <= 8
+"""
+
+U_SQL = "(('0x' || substr(md5({s}), 1, 8))::bigint / 4294967296.0)"
+
+OUTCOME_SHARES = with_clause("fx_probs") + f""",
+draws as (
+  select pair_id, p0, p1, {U_SQL.format(s="concat_ws('|', '42', cast(run as varchar), cast(pair_id as varchar))")} as u
+  from fx_probs, range(0, 1000) r(run)),
+o as (select pair_id, case when u < p0 then 0 when u < p0 + p1 then 1 else 2 end as outcome from draws)
+select pair_id,
+  round(count_if(outcome = 0) / 1000.0 * 100.0, 6) as pct_0,
+  round(count_if(outcome = 1) / 1000.0 * 100.0, 6) as pct_1,
+  round(count_if(outcome = 2) / 1000.0 * 100.0, 6) as pct_2
+from o group by pair_id
+"""
+
+STAGE_RATES = with_clause("fx_stage_log") + """
+select entity, stage, count(distinct run_id) as runs,
+  round(count(distinct run_id) / (select count(distinct run_id) from fx_stage_log) * 100.0, 6) as pct
+from fx_stage_log group by entity, stage
+"""
+
+ACCURACY = with_clause("fx_predictions") + """
+select round(avg(cast(label = prediction as double)), 6) as accuracy, count(*) as rows from fx_predictions
+"""
+
+CLASS_REPORT = with_clause("fx_predictions") + """,
+cls as (select * from (values (0), (1), (2)) v(c)),
+per as (
+  select c, sum(case when label = c and prediction = c then 1 else 0 end) as tp,
+    sum(case when prediction = c then 1 else 0 end) as pred_n,
+    sum(case when label = c then 1 else 0 end) as support
+  from cls, fx_predictions group by c),
+m as (
+  select c, support,
+    case when pred_n > 0 then tp / pred_n else 0.0 end as precision,
+    case when support > 0 then tp / support else 0.0 end as recall from per),
+f as (select *, case when precision + recall > 0 then 2 * precision * recall / (precision + recall) else 0.0 end as f1 from m)
+select cast(c as varchar) as class, round(precision, 6) as precision, round(recall, 6) as recall, round(f1, 6) as f1,
+  cast(support as bigint) as support from f
+union all
+select 'macro avg', round(avg(precision), 6), round(avg(recall), 6), round(avg(f1), 6), cast(sum(support) as bigint) from f
+union all
+select 'weighted avg', round(sum(precision * support) / sum(support), 6), round(sum(recall * support) / sum(support), 6),
+  round(sum(f1 * support) / sum(support), 6), cast(sum(support) as bigint) from f
+"""
+
+CONFUSION_MATRIX = with_clause("fx_predictions") + """
+select l.label, count_if(p.prediction = 0) as pred_0, count_if(p.prediction = 1) as pred_1,
+  count_if(p.prediction = 2) as pred_2
+from (values (0), (1), (2)) l(label) left join fx_predictions p on p.label = l.label
+group by l.label
+"""
+
+STRATIFIED_SPLIT = with_clause("fx_predictions") + f""",
+o as (select row_id, label,
+        row_number() over (partition by label order by {U_SQL.format(s="concat_ws('|', '42', cast(row_id as varchar))")}, row_id) as pos,
+        count(*) over (partition by label) as nc from fx_predictions)
+select row_id, label, pos <= cast(round(nc * 0.2) as bigint) as is_test,
+  case when pos <= cast(round(nc * 0.2) as bigint) then null
+       else cast((pos - cast(round(nc * 0.2) as bigint) - 1) % 5 as integer) end as fold
+from o
+"""
+
+RUN_LEADERBOARD = with_clause("fx_runs") + """
+select run_name, round(case when accuracy is null then -1.0 else accuracy end, 6) as score,
+  case when accuracy is null then 'N/A' else format('{:,.2f}', accuracy * 100) end as accuracy_pct,
+  case when accuracy is null then substr(coalesce(error, ''), 1, 60) else 'ok' end as status,
+  row_number() over (order by case when accuracy is null then -1.0 else accuracy end desc, run_name) as position
+from fx_runs
+"""
+
+PAIR_LOOKUP = with_clause("fx_entity") + """,
+pairs as (select a.country as team_a, b.country as team_b, a.f_cnt - b.f_cnt as d1, a.f_value - b.f_value as d2,
+            a.f_max - b.f_max as d3 from fx_entity a join fx_entity b on a.entity_id < b.entity_id),
+req as (select case when x.entity_id % 2 = 1 then upper(y.country) else x.country end as req_a,
+               case when x.entity_id % 2 = 1 then x.country else y.country end as req_b
+        from fx_entity x join fx_entity y on y.entity_id = x.entity_id + 1)
+select r.req_a, r.req_b, lower(r.req_a) <> lower(p.team_a) as reversed,
+  round(cast(case when lower(r.req_a) <> lower(p.team_a) then -p.d1 else p.d1 end as double), 6) + 0.0 as delta_f_cnt,
+  round(case when lower(r.req_a) <> lower(p.team_a) then -p.d2 else p.d2 end, 6) + 0.0 as delta_f_value,
+  round(case when lower(r.req_a) <> lower(p.team_a) then -p.d3 else p.d3 end, 6) + 0.0 as delta_f_max
+from req r join pairs p
+  on least(lower(r.req_a), lower(r.req_b)) = least(lower(p.team_a), lower(p.team_b))
+ and greatest(lower(r.req_a), lower(r.req_b)) = greatest(lower(p.team_a), lower(p.team_b))
+"""
+
+PROBS_LABEL = with_clause("fx_probs") + """
+select pair_id, cast(case when p0 >= p1 and p0 >= p2 then 0 when p1 >= p2 then 1 else 2 end as integer) as label_idx,
+  case when p0 >= p1 and p0 >= p2 then 'Away Win' when p1 >= p2 then 'Draw' else 'Home Win' end as label_name,
+  round(p2 / (p2 + p0), 6) as p_two_way
+from fx_probs
+"""
+
+ORACLE_SQL.update({
+    "chemistry": CHEMISTRY,
+    "form_rating": FORM_RATING,
+    "average_rank": AVERAGE_RANK,
+    "pair_matrix": PAIR_MATRIX,
+    "training_matrix": TRAINING_MATRIX,
+    "elo_history": ELO_HISTORY,
+    "elo_leaderboard": ELO_LEADERBOARD,
+    "elo_top15": ELO_TOP15,
+    "standings": STANDINGS,
+    "wild_cards": WILD_CARDS,
+    "outcome_shares": OUTCOME_SHARES,
+    "stage_rates": STAGE_RATES,
+    "accuracy": ACCURACY,
+    "class_report": CLASS_REPORT,
+    "confusion_matrix": CONFUSION_MATRIX,
+    "stratified_split": STRATIFIED_SPLIT,
+    "run_leaderboard": RUN_LEADERBOARD,
+    "pair_lookup": PAIR_LOOKUP,
+    "probs_label": PROBS_LABEL,
+})
