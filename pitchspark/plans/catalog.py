@@ -17,6 +17,7 @@ from pitchspark.operators import features as feat
 from pitchspark.operators import pairs as pr
 from pitchspark.operators import ratings as rt
 from pitchspark.operators import sampling as sm
+from pitchspark.operators import similarity as sim
 from pitchspark.operators import standings as st
 from pitchspark.sources.fixtures import fixture
 
@@ -176,7 +177,40 @@ def probs_label(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.round(pr.two_way(F.col("p0"), F.col("p2")), DECIMALS).alias("p_two_way"))
 
 
+def _appearances(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Minutes per normalised name (S3 output shape, P6, A1)."""
+    from pitchspark.functions.money import numeric_or_zero
+    from pitchspark.functions.text import join_key
+    app = fixture(spark, sf_dir, "fx_appearances")
+    return feat.sum_by_key(app, join_key("player"), numeric_or_zero("minutes"), "match_name", "minutes")
+
+
+def fuzzy_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pitchspark.functions.text import join_key
+    q = fixture(spark, sf_dir, "fx_fuzzy_queries").withColumn("match_name", join_key("name"))
+    best = sim.fuzzy_best_match(q, _appearances(spark, sf_dir), "match_name", "match_name", "minutes", 85)
+    return (q.join(best, "match_name", "left")
+             .select("query_id", "best_key", "score", F.round("value", DECIMALS).alias("minutes")))
+
+
+def experience(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean of the 15 largest matched minutes per entity.
+
+    The entity of a query name is the brand of its part.
+    """
+    from pitchspark.functions.text import join_key
+    q = (fixture(spark, sf_dir, "fx_fuzzy_queries").withColumn("match_name", join_key("name"))
+         .join(spark.read.parquet(f"{sf_dir}/part.parquet").select(F.col("p_partkey").alias("query_id"),
+                                                                   F.col("p_brand").alias("country")), "query_id"))
+    best = sim.fuzzy_best_match(q, _appearances(spark, sf_dir), "match_name", "match_name", "minutes", 85)
+    mins = q.join(best, "match_name", "left").select("country", F.col("value").alias("minutes"))
+    out = feat.top_n_mean(mins, "country", "minutes", 15, "experience_minutes")
+    return out.select("country", _r("experience_minutes"))
+
+
 QUERIES: dict[str, QueryFn] = {
+    "fuzzy_lookup": fuzzy_lookup,
+    "experience": experience,
     "squad_value": squad_value,
     "chemistry": chemistry,
     "form_rating": form_rating,

@@ -302,3 +302,53 @@ ORACLE_SQL.update({
     "pair_lookup": PAIR_LOOKUP,
     "probs_label": PROBS_LABEL,
 })
+
+TOKEN_SORT_SQL = ("array_to_string(list_sort(list_filter(string_split_regex(trim(lower(regexp_replace("
+                  "regexp_replace({x}, '[\\x{{80}}-\\x{{FF}}]', '', 'g'), '[^\\p{{L}}\\p{{N}}]', ' ', 'g'))), '\\s+'), "
+                  "lambda t: t <> '')), ' ')")
+_MASK = ("cast(list_sum(list_transform(range(length(p)), lambda j: case when substr(p, j + 1, 1) = c "
+         "then (1::bigint << j) else 0::bigint end)) as bigint)")
+LCS_SQL = ("(length(p) - bit_count(list_reduce(string_split(t, ''), lambda v, c: ((v + (v & " + _MASK + ")) | (v & ~"
+           + _MASK + ")) & ((1::bigint << length(p)) - 1), (1::bigint << length(p)) - 1)))")
+
+# Brute force over distinct normalised names with the length filter only:
+# fine at the oracle's scale, and independent of the Spark blocking.
+_FUZZY = with_clause("fx_fuzzy_queries", "fx_appearances") + f""",
+app as (select {_key('player')} as match_name,
+          sum(coalesce(try_cast(cast(minutes as varchar) as double), 0.0)) as minutes
+        from fx_appearances group by 1),
+q as (select *, {_key('name')} as match_name from fx_fuzzy_queries),
+ln as (select distinct match_name as lkey, {TOKEN_SORT_SQL.format(x='match_name')} as lp from q),
+rn as (select match_name as rkey, minutes as rvalue, {TOKEN_SORT_SQL.format(x='match_name')} as rp from app),
+lpd as (select distinct lp from ln where length(lp) > 0),
+rpd as (select distinct rp from rn where length(rp) > 0),
+pairs as (select lp, rp, case when length(lp) <= length(rp) then lp else rp end as p,
+            case when length(lp) <= length(rp) then rp else lp end as t, length(lp) + length(rp) as tot
+          from lpd, rpd
+          where least(length(lp), length(rp)) >= (169 * (length(lp) + length(rp))) // 400 + 1),
+sc as (select lp, rp, tot, {LCS_SQL} as lcs from pairs),
+sc2 as (select lp, rp, (200 * lcs) // tot as q, (200 * lcs) % tot as r, tot from sc),
+scored as (select lp, rp, cast(q + case when 2 * r > tot or (2 * r = tot and q % 2 = 1) then 1 else 0 end as integer) as score
+           from sc2),
+best as (select lp, rkey as best_key, score, rvalue as value from (
+           select s.lp, r.rkey, s.score, r.rvalue,
+             row_number() over (partition by s.lp order by s.score desc, r.rkey) as rn_
+           from scored s join rn r on r.rp = s.rp where s.score >= 85) x where rn_ = 1),
+res as (select ln.lkey as match_name, b.best_key, coalesce(b.score, 0) as score, coalesce(b.value, 0.0) as value
+        from ln left join best b on b.lp = ln.lp)
+"""
+
+FUZZY_LOOKUP = _FUZZY + """
+select q.query_id, r.best_key, r.score, round(r.value, 6) as minutes
+from q left join res r on r.match_name = q.match_name
+"""
+
+EXPERIENCE = _FUZZY.replace("q as (select *,", "q as (select fq.*, part.p_brand as country,").replace(
+    "from fx_fuzzy_queries),", "from fx_fuzzy_queries fq join part on part.p_partkey = fq.query_id),") + """,
+mins as (select q.country, r.value as minutes from q left join res r on r.match_name = q.match_name)
+select country, round(avg(minutes), 6) as experience_minutes from (
+  select country, minutes, row_number() over (partition by country order by minutes desc) as rn from mins) t
+where rn <= 15 group by country
+"""
+
+ORACLE_SQL.update({"fuzzy_lookup": FUZZY_LOOKUP, "experience": EXPERIENCE})
