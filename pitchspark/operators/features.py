@@ -199,3 +199,43 @@ def average_rank_desc(df: DataFrame, value: str, out: str = "avg_rank",
                     .withColumn("_above", F.coalesce(F.sum("_n").over(inner), F.lit(0)) + F.col("_off"))
                     .select("_v", (F.col("_above") + (F.col("_n") + 1) / 2.0).alias(out)))
     return df.join(ranked, df[value] == ranked["_v"], "left").drop("_v")
+
+
+# Fixed fill values of the master table (P20).
+DEFAULT_RANK = 100.0
+DEFAULT_POINTS = 1000.0
+
+
+def squad_base(roster: DataFrame, entity: str = "country", value: str = "market_value_m",
+               n_median: int = 11) -> DataFrame:
+    """Total value and median of the ``n_median`` largest values per entity."""
+    total = roster.groupBy(entity).agg(F.sum(exact_money(value)).cast("double").alias("total_market_value"))
+    med = top_n_median(roster, entity, value, n_median, "median_top11_value")
+    return total.join(med, entity, "left")
+
+
+def build_master(base: DataFrame, features: list[DataFrame], rankings: DataFrame | None = None,
+                 entity: str = "country") -> DataFrame:
+    """Chain of left joins on the title-cased entity, fills and value rank.
+
+    Feature tables are small per-entity tables; each join is left, so an
+    entity without a feature keeps a null (filled only where the reference
+    fills). A missing ranking table gives the fill values.
+    """
+    from pitchspark.functions.text import title_case
+    key = "_key"
+    master = base.withColumn(key, title_case(entity))
+    for f in features:
+        cols = [c for c in f.columns if c != entity]
+        master = master.join(f.select(title_case(entity).alias(key), *cols), key, "left")
+    if rankings is not None:
+        master = master.join(rankings.select(title_case(entity).alias(key), "fifa_rank", "fifa_points"), key, "left")
+    else:
+        master = (master.withColumn("fifa_rank", F.lit(None).cast("double"))
+                        .withColumn("fifa_points", F.lit(None).cast("double")))
+    master = (master.withColumn("fifa_rank", F.coalesce(F.col("fifa_rank").cast("double"), F.lit(DEFAULT_RANK)))
+                    .withColumn("fifa_points", F.coalesce(F.col("fifa_points").cast("double"), F.lit(DEFAULT_POINTS))))
+    if "top5_league_density" in master.columns:
+        master = master.withColumn("top5_league_density", F.coalesce("top5_league_density", F.lit(0.0)))
+    master = master.withColumn(entity, F.col(key)).drop(key)
+    return average_rank_desc(master, "total_market_value", "tm_value_rank")

@@ -51,3 +51,35 @@ def stage_rates(log: DataFrame, run: str = "run_id", entity: str = "entity", sta
     total = n_runs if n_runs is not None else log.select(F.count_distinct(run)).scalar()
     return (log.groupBy(entity, stage).agg(F.count_distinct(run).alias("runs"))
                .withColumn("pct", F.col("runs") / total * 100.0))
+
+
+def group_scenarios(pair_probs: DataFrame, teams: DataFrame, n_runs: int, seed: int = 42,
+                    best_thirds: int = 8) -> DataFrame:
+    """Scenario analysis over group pairs.
+
+    ``pair_probs``: ``grp, team_a, team_b, p0, p1, p2`` oriented to
+    (team_a, team_b): p2 = team_a wins. ``teams``: ``grp, team, rating,
+    slot``. Every pair is drawn once per run from a hash of
+    ``seed|run|grp|team_a|team_b``; points give positions (points, then
+    rating, then slot); the best third-placed teams across groups also
+    advance. Returns per team the share of runs (x100) finishing first,
+    second, third and advancing.
+    """
+    from pitchspark.functions.draws import categorical, uniform
+    from pitchspark.operators.sampling import replicate
+    runs = replicate(pair_probs.select("grp", "team_a", "team_b", "p0", "p1"), n_runs)
+    u = uniform(seed, F.col("run"), F.col("grp"), F.col("team_a"), F.col("team_b"))
+    drawn = runs.withColumn("outcome", categorical(u, "p0", "p1"))
+    table = points_table(drawn, ["run", "grp"], "outcome")
+    t = F.broadcast(teams.select("grp", "team", "rating", "slot"))
+    ranked = rank_in_group(table.join(t, ["grp", "team"]), ["run", "grp"],
+                           [F.col("points").desc(), F.col("rating").desc(), F.col("slot").asc()])
+    wc = (wild_cards(ranked, ["run"], [F.col("points").desc(), F.col("rating").desc(), F.col("slot").asc()],
+                     place=3, k=best_thirds)
+          .select("run", "grp", "team", F.lit(True).alias("wild")))
+    marked = ranked.join(wc, ["run", "grp", "team"], "left")
+    adv = (F.col("position") <= 2) | F.col("wild").isNotNull()
+    return (marked.groupBy("grp", "team")
+                  .agg(*[(F.count_if(F.col("position") == i) / F.lit(n_runs) * 100.0).alias(f"pct_{name}")
+                         for i, name in ((1, "first"), (2, "second"), (3, "third"))],
+                       (F.count_if(adv) / F.lit(n_runs) * 100.0).alias("pct_advance")))

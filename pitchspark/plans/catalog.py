@@ -208,7 +208,80 @@ def experience(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("country", _r("experience_minutes"))
 
 
+def _roster_minutes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pitchspark.functions.text import join_key
+    roster = fixture(spark, sf_dir, "fx_roster").withColumn("match_name", join_key("name"))
+    best = sim.fuzzy_best_match(roster, _appearances(spark, sf_dir), "match_name", "match_name", "minutes", 85)
+    mins = roster.join(best, "match_name", "left").select("country", F.col("value").alias("minutes"))
+    return feat.top_n_mean(mins, "country", "minutes", 15, "ucl_minutes")
+
+
+MASTER_COLUMNS = ["country", "total_market_value", "median_top11_value", "chemistry_score",
+                  "current_form_rating", "top5_league_density", "ucl_minutes", "log_squad_value",
+                  "fifa_rank", "fifa_points", "tm_value_rank"]
+
+
+def master(spark: SparkSession, sf_dir: str) -> DataFrame:
+    roster = feat.clean_roster(fixture(spark, sf_dir, "fx_roster"))
+    uni = feat.league_universe(fixture(spark, sf_dir, "fx_league_ratings"), feat.league_weights_df(spark))
+    feats = [feat.group_cohesion(roster),
+             feat.form_rating(roster, uni),
+             _roster_minutes(spark, sf_dir),
+             feat.squad_value(roster).select("country", "log_squad_value")]
+    m = feat.build_master(feat.squad_base(roster), feats, rankings=None)
+    return m.select("country", *[_r(c) for c in MASTER_COLUMNS[1:]])
+
+
+def training_with_elo(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Training matrix with the pre-match ratings attached."""
+    matches = fixture(spark, sf_dir, "fx_matches")
+    tm = pr.training_matrix(matches, fixture(spark, sf_dir, "fx_team"), "team", ENTITY_FEATURES)
+    hist = _elo(spark, sf_dir).select("match_id", "elo_a", "elo_b", "delta_elo")
+    out = tm.join(hist, "match_id")
+    return out.select("match_id", "target", *[_r(f"delta_{f}") for f in ENTITY_FEATURES], "is_neutral",
+                      _r("match_weight"), _r("elo_a"), _r("elo_b"), _r("delta_elo"))
+
+
+SCENARIO_RUNS = 1000
+SCENARIO_BEST_THIRDS = 2
+
+
+def group_pair_probs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs inside each group, host orientation and re-oriented probabilities.
+
+    The probability table is keyed by a pair number; pair (a, b) of slots
+    reads row ``a + 5 * b`` of the stand-in table (a fixed stand-in key).
+    """
+    groups = fixture(spark, sf_dir, "fx_groups")
+    pairs = pr.pair_matrix(groups, "team", "slot", ["slot"], block="grp", label="team")
+    slots = groups.select("team", "slot")
+    pairs = (pairs.join(slots.select(F.col("team").alias("team_a"), F.col("slot").alias("slot_a")), "team_a")
+                  .join(slots.select(F.col("team").alias("team_b"), F.col("slot").alias("slot_b")), "team_b"))
+    oriented = pr.orient_by_host(pairs, groups.where("is_host").select("team"))
+    probs = fixture(spark, sf_dir, "fx_probs")
+    j = oriented.join(probs, F.col("pair_id") == F.col("slot_a") + 5 * F.col("slot_b"))
+    p = pr.reorient_probs(F.array("p0", "p1", "p2"), F.col("reversed"))
+    return j.select("grp", "team_a", "team_b", "reversed", "is_neutral",
+                    p[0].alias("p0"), p[1].alias("p1"), p[2].alias("p2"))
+
+
+def group_probabilities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = group_pair_probs(spark, sf_dir)
+    return out.select("grp", "team_a", "team_b", "reversed", "is_neutral", _r("p0"), _r("p1"), _r("p2"))
+
+
+def group_scenarios(spark: SparkSession, sf_dir: str) -> DataFrame:
+    teams = fixture(spark, sf_dir, "fx_groups")
+    out = st.group_scenarios(group_pair_probs(spark, sf_dir), teams, SCENARIO_RUNS, seed=42,
+                             best_thirds=SCENARIO_BEST_THIRDS)
+    return out.select("grp", "team", _r("pct_first"), _r("pct_second"), _r("pct_third"), _r("pct_advance"))
+
+
 QUERIES: dict[str, QueryFn] = {
+    "master": master,
+    "training_with_elo": training_with_elo,
+    "group_probabilities": group_probabilities,
+    "group_scenarios": group_scenarios,
     "fuzzy_lookup": fuzzy_lookup,
     "experience": experience,
     "squad_value": squad_value,

@@ -6,6 +6,7 @@ rest uses only functions both engines share or their DuckDB spelling.
 
 from __future__ import annotations
 
+from pitchspark.sources.fixtures import FIXTURE_SQL as FIXTURE_TEXT
 from pitchspark.sources.fixtures import with_clause
 
 # P1 in DuckDB spelling, applied to a column named market_value.
@@ -313,11 +314,17 @@ LCS_SQL = ("(length(p) - bit_count(list_reduce(string_split(t, ''), lambda v, c:
 
 # Brute force over distinct normalised names with the length filter only:
 # fine at the oracle's scale, and independent of the Spark blocking.
-_FUZZY = with_clause("fx_fuzzy_queries", "fx_appearances") + f""",
+def fuzzy_ctes(q_sql: str) -> str:
+    """CTEs ``app, q, ln, rn, ..., res``; ``q_sql`` selects rows with ``match_name``.
+
+    Brute force over distinct normalised names with the length filter only:
+    fine at the oracle's scale, and independent of the Spark blocking.
+    """
+    return f"""
 app as (select {_key('player')} as match_name,
           sum(coalesce(try_cast(cast(minutes as varchar) as double), 0.0)) as minutes
         from fx_appearances group by 1),
-q as (select *, {_key('name')} as match_name from fx_fuzzy_queries),
+q as ({q_sql}),
 ln as (select distinct match_name as lkey, {TOKEN_SORT_SQL.format(x='match_name')} as lp from q),
 rn as (select match_name as rkey, minutes as rvalue, {TOKEN_SORT_SQL.format(x='match_name')} as rp from app),
 lpd as (select distinct lp from ln where length(lp) > 0),
@@ -338,13 +345,18 @@ res as (select ln.lkey as match_name, b.best_key, coalesce(b.score, 0) as score,
         from ln left join best b on b.lp = ln.lp)
 """
 
+
+_FUZZY = with_clause("fx_fuzzy_queries", "fx_appearances") + ", " + fuzzy_ctes(
+    f"select *, {_key('name')} as match_name from fx_fuzzy_queries")
+
 FUZZY_LOOKUP = _FUZZY + """
 select q.query_id, r.best_key, r.score, round(r.value, 6) as minutes
 from q left join res r on r.match_name = q.match_name
 """
 
-EXPERIENCE = _FUZZY.replace("q as (select *,", "q as (select fq.*, part.p_brand as country,").replace(
-    "from fx_fuzzy_queries),", "from fx_fuzzy_queries fq join part on part.p_partkey = fq.query_id),") + """,
+EXPERIENCE = with_clause("fx_fuzzy_queries", "fx_appearances") + ", " + fuzzy_ctes(
+    f"select fq.*, part.p_brand as country, {_key('fq.name')} as match_name "
+    "from fx_fuzzy_queries fq join part on part.p_partkey = fq.query_id") + """,
 mins as (select q.country, r.value as minutes from q left join res r on r.match_name = q.match_name)
 select country, round(avg(minutes), 6) as experience_minutes from (
   select country, minutes, row_number() over (partition by country order by minutes desc) as rn from mins) t
@@ -352,3 +364,120 @@ where rn <= 15 group by country
 """
 
 ORACLE_SQL.update({"fuzzy_lookup": FUZZY_LOOKUP, "experience": EXPERIENCE})
+
+TITLE_SQL = ("array_to_string(list_transform(regexp_extract_all({x}, '(\\p{{L}}+|\\P{{L}}+)', 1), "
+             "lambda t: upper(t[1]) || lower(t[2:])), '')")
+
+MASTER = with_clause("fx_roster", "fx_league_ratings", "fx_appearances") + f""", {_money_cte()},
+""" + fuzzy_ctes(f"select *, {_key('name')} as match_name from fx_roster") + f""",
+base as (select country, cast(sum(cast(market_value_m as decimal(24,6))) as double) as total_market_value
+         from parsed group by country),
+med as (select country, median(market_value_m) as median_top11_value from (
+          select country, market_value_m, row_number() over (partition by country order by market_value_m desc) as rn
+          from parsed) t where rn <= 11 group by country),
+sq as (select country, ln(1 + cast(sum(cast(market_value_m as decimal(24,6))) as double)) as log_squad_value from (
+          select country, market_value_m, row_number() over (partition by country order by market_value_m desc) as rn
+          from parsed) t where rn <= 15 group by country),
+per_group as (
+  select country, club, count(*) as n,
+         cast(sum(cast(market_value_m as decimal(24,6))) / count(*) as double) as mean_value
+  from parsed where club is not null and club not in ('Unknown', 'Without Club', 'Retired')
+  group by country, club having count(*) >= 2),
+chem as (
+  select c.country, coalesce(s.s, 0.0) as chemistry_score
+  from (select distinct country from fx_roster) c left join (
+    select country, sum(n * (n - 1) / 2.0 * case when mean_value > 0 then ln(1 + mean_value) else 1.0 end) as s
+    from per_group group by country) s on s.country = c.country),
+uni as (
+  select {_key('player')} as match_name, k.league_key, w.top5, rating * cast(w.league_weight as double) as weighted_rating
+  from (select *, replace(replace(replace(replace(source_file, '.csv', ''), '_25_26', ''), '_2026', ''), '_2025', '') as league_key
+        from fx_league_ratings where not contains(source_file, 'tm_')) k
+  join {LEAGUE_VALUES} on w.league_key = k.league_key
+  where rating is not null),
+ros as (select country, {_key('name')} as match_name from fx_roster),
+sizes as (select country, count(*) as roster_rows from ros group by country),
+merged as (select r.country, r.match_name, u.top5, coalesce(u.weighted_rating, 3.25) as final_rating
+           from ros r left join uni u on u.match_name = r.match_name),
+form as (select country, avg(final_rating) as current_form_rating from (
+           select country, final_rating, row_number() over (partition by country order by final_rating desc) as rn
+           from merged) t where rn <= 15 group by country),
+t5 as (select country, count(distinct match_name) as t5 from merged where top5 group by country),
+dens as (select s.country, case when roster_rows > 0 then coalesce(t5.t5, 0) / roster_rows else 0.0 end as top5_league_density
+         from sizes s left join t5 on t5.country = s.country),
+ucl as (select country, avg(minutes) as ucl_minutes from (
+          select q.country, r.value as minutes, row_number() over (partition by q.country order by r.value desc) as rn
+          from q left join res r on r.match_name = q.match_name) t where rn <= 15 group by country),
+m as (
+  select {TITLE_SQL.format(x='base.country')} as country, base.total_market_value, med.median_top11_value,
+    chem.chemistry_score, form.current_form_rating, coalesce(dens.top5_league_density, 0.0) as top5_league_density,
+    ucl.ucl_minutes, sq.log_squad_value, 100.0::double as fifa_rank, 1000.0::double as fifa_points
+  from base left join med using (country) left join chem using (country) left join form using (country)
+    left join dens using (country) left join ucl using (country) left join sq using (country))
+select country, round(total_market_value, 6) as total_market_value, round(median_top11_value, 6) as median_top11_value,
+  round(chemistry_score, 6) as chemistry_score, round(current_form_rating, 6) as current_form_rating,
+  round(top5_league_density, 6) as top5_league_density, round(ucl_minutes, 6) as ucl_minutes,
+  round(log_squad_value, 6) as log_squad_value, round(fifa_rank, 6) as fifa_rank, round(fifa_points, 6) as fifa_points,
+  round(rank() over (order by total_market_value desc) + (count(*) over (partition by total_market_value) - 1) / 2.0, 6)
+    as tm_value_rank
+from m
+"""
+
+TRAINING_WITH_ELO = _ELO_CORE + """,
+fx_team as (""" + FIXTURE_TEXT["fx_team"] + """),
+mx as (select max(date) as latest from fx_matches)
+select m.match_id,
+  case when m.home_score > m.away_score then 2 when m.home_score = m.away_score then 1 else 0 end as target,
+  round(cast(a.f_cnt - b.f_cnt as double), 6) as delta_f_cnt,
+  round(a.f_value - b.f_value, 6) as delta_f_value,
+  round(a.f_max - b.f_max, 6) as delta_f_max,
+  cast(m.neutral as integer) as is_neutral,
+  round(exp(-floor((epoch(mx.latest) - epoch(m.date)) / 86400) / 1000.0), 6) as match_weight,
+  round(h.elo_a, 6) as elo_a, round(h.elo_b, 6) as elo_b, round(h.elo_a - h.elo_b, 6) as delta_elo
+from fx_matches m join fx_team a on a.team = m.team_a join fx_team b on b.team = m.team_b cross join mx
+join hist h on h.match_id = m.match_id
+"""
+
+_GROUP_PROBS = with_clause("fx_groups", "fx_probs") + """,
+pairs as (select a.grp, a.team as team_a, b.team as team_b, a.slot as slot_a, b.slot as slot_b,
+            a.is_host as ha, b.is_host as hb
+          from fx_groups a join fx_groups b on a.grp = b.grp and a.slot < b.slot),
+o as (select *, (hb and not ha) as reversed, case when ha <> hb then 0 else 1 end as is_neutral from pairs),
+pp as (select o.grp, o.team_a, o.team_b, o.reversed, o.is_neutral,
+         case when o.reversed then p.p2 else p.p0 end as p0, p.p1,
+         case when o.reversed then p.p0 else p.p2 end as p2
+       from o join fx_probs p on p.pair_id = o.slot_a + 5 * o.slot_b)
+"""
+
+GROUP_PROBABILITIES = _GROUP_PROBS + """
+select grp, team_a, team_b, reversed, is_neutral, round(p0, 6) as p0, round(p1, 6) as p1, round(p2, 6) as p2 from pp
+"""
+
+GROUP_SCENARIOS = _GROUP_PROBS + f""",
+draws as (select run, grp, team_a, team_b,
+            case when u < p0 then 0 when u < p0 + p1 then 1 else 2 end as o
+          from (select pp.*, r.run,
+                  {U_SQL.format(s="concat_ws('|', '42', cast(r.run as varchar), pp.grp, pp.team_a, pp.team_b)")} as u
+                from pp, range(0, 1000) r(run)) x),
+sides as (select run, grp, team_a as team, case o when 2 then 3 when 1 then 1 else 0 end as pts from draws
+          union all select run, grp, team_b, case o when 0 then 3 when 1 then 1 else 0 end from draws),
+tbl as (select s.run, s.grp, s.team, sum(pts) as points, any_value(g.rating) as rating, any_value(g.slot) as slot
+        from sides s join fx_groups g on g.grp = s.grp and g.team = s.team group by s.run, s.grp, s.team),
+ranked as (select *, row_number() over (partition by run, grp order by points desc, rating desc, slot) as position from tbl),
+wild as (select run, grp, team from (
+           select run, grp, team, row_number() over (partition by run order by points desc, rating desc, slot) as w
+           from ranked where position = 3) t where w <= 2),
+marked as (select r.*, w.team is not null as wildcard from ranked r left join wild w using (run, grp, team))
+select grp, team,
+  round(count_if(position = 1) / 1000.0 * 100.0, 6) as pct_first,
+  round(count_if(position = 2) / 1000.0 * 100.0, 6) as pct_second,
+  round(count_if(position = 3) / 1000.0 * 100.0, 6) as pct_third,
+  round(count_if(position <= 2 or wildcard) / 1000.0 * 100.0, 6) as pct_advance
+from marked group by grp, team
+"""
+
+ORACLE_SQL.update({
+    "master": MASTER,
+    "training_with_elo": TRAINING_WITH_ELO,
+    "group_probabilities": GROUP_PROBABILITIES,
+    "group_scenarios": GROUP_SCENARIOS,
+})

@@ -28,7 +28,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         builder = builder.config(k, v)
     builder = (builder
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-               .config("spark.driver.memory", "8g"))
+               .config("spark.driver.memory", "8g")
+               .config("spark.ui.showConsoleProgress", "false"))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
