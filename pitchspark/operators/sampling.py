@@ -15,7 +15,15 @@ from pitchspark.functions.draws import categorical, uniform
 
 
 def replicate(df: DataFrame, n_runs: int, run_col: str = "run") -> DataFrame:
-    """Each row once per run 0..n-1."""
+    """Each row once per run 0..n-1.
+
+    A small probability table often sits in one file, hence one partition;
+    its rows are spread over the cluster parallelism first. Only the input
+    rows are shuffled, which is n_runs times less than the rows generated
+    after it. Draws depend only on (seed, run, key), so placement does not
+    change results.
+    """
+    df = df.repartition(df.sparkSession.sparkContext.defaultParallelism)
     return df.withColumn(run_col, F.explode(F.sequence(F.lit(0), F.lit(n_runs - 1))))
 
 
