@@ -277,7 +277,25 @@ def group_scenarios(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("grp", "team", _r("pct_first"), _r("pct_second"), _r("pct_third"), _r("pct_advance"))
 
 
+MODEL_FEATURES = [f"delta_{f}" for f in ENTITY_FEATURES] + ["delta_elo", "is_neutral"]
+
+
+def train_evaluate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weighted boosted trees on the training matrix, scored on the 20% split.
+
+    Rows-only check: model fitting has no SQL equivalent.
+    """
+    from pitchspark.operators import learn as ml
+    matches = fixture(spark, sf_dir, "fx_matches")
+    tm = pr.training_matrix(matches, fixture(spark, sf_dir, "fx_team"), "team", ENTITY_FEATURES)
+    data = tm.join(_elo(spark, sf_dir).select("match_id", "delta_elo"), "match_id")
+    _, preds = ml.train_and_split(data, MODEL_FEATURES, key="match_id", label="target", model="gbt")
+    return ev.class_report(preds, "target", "prediction").select(
+        "class", _r("precision"), _r("recall"), _r("f1"), "support")
+
+
 QUERIES: dict[str, QueryFn] = {
+    "train_evaluate": train_evaluate,
     "master": master,
     "training_with_elo": training_with_elo,
     "group_probabilities": group_probabilities,

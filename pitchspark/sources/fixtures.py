@@ -97,10 +97,21 @@ from customer
 }
 
 
+_REGISTERED: dict[int, str] = {}
+
+
 def register_base_tables(spark: SparkSession, sf_dir: str) -> None:
-    """Expose the driver's Parquet tables under their own names."""
+    """Expose the driver's Parquet tables under their own names.
+
+    Done once per session and directory: re-registering lists the files
+    and reads their footers again.
+    """
+    key = id(spark)
+    if _REGISTERED.get(key) == sf_dir and all(spark.catalog.tableExists(t) for t in BASE_TABLES):
+        return
     for name in BASE_TABLES:
         spark.read.parquet(f"{sf_dir}/{name}.parquet").createOrReplaceTempView(name)
+    _REGISTERED[key] = sf_dir
 
 
 def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
