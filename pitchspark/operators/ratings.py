@@ -10,8 +10,9 @@ before the fold. The fold itself has two physical forms:
 * ``wavefront``: number each entity's matches once; a round takes every
   match that is the next one for both of its entities (such matches touch
   disjoint entities) and applies them with joins. Rounds continue until no
-  match is pending; the state is checkpointed to the reliable checkpoint
-  directory each round, so a lost executor only recomputes one round. It
+  match is pending; state and pending matches are written to the shared
+  checkpoint folder each round, so a lost executor only recomputes one
+  round. It
   equals the serial fold and handles pools of any size, at the price of
   one round per step of the longest dependency chain.
 
@@ -96,29 +97,41 @@ def _pool_fold(prepared: DataFrame, pool: str | None) -> DataFrame:
     return grouped.applyInPandas(_fold_pool, FOLD_SCHEMA)
 
 
-def _checkpoint(df: DataFrame) -> DataFrame:
-    # Reliable checkpoint into spark.checkpoint.dir (shared on a cluster).
-    return df.checkpoint(eager=True)
+def _materialize(df: DataFrame, path: str) -> DataFrame:
+    """Write to the shared checkpoint folder and read back.
+
+    Cuts the lineage like ``checkpoint()`` but, unlike it, the re-read
+    table carries its real size: a checkpoint keeps the statistics of the
+    plan it replaced, and a round-by-round join would multiply them.
+    """
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def _wavefront_fold(prepared: DataFrame) -> DataFrame:
+    import uuid
+
+    from pitchspark.session import ensure_checkpoint_dir
+
     spark = prepared.sparkSession
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/elo-wavefront-{uuid.uuid4().hex}"
     m = prepared.select(F.col("match_id").cast("long").alias("match_id"), "_t", "team_a", "team_b",
                         "s", "h", "k", "g_raw")
     sides = (m.select("match_id", "_t", F.col("team_a").alias("team"), F.lit(0).alias("side"))
              .unionByName(m.select("match_id", "_t", F.col("team_b").alias("team"), F.lit(1).alias("side"))))
     seq = sides.withColumn("seq", F.row_number().over(
         Window.partitionBy("team").orderBy("_t", "match_id", "side")))
-    pending = (m.join(seq.where("side = 0").select("match_id", F.col("seq").alias("seq_a")), "match_id")
-                .join(seq.where("side = 1").select("match_id", F.col("seq").alias("seq_b")), "match_id"))
-    pending = _checkpoint(pending)
-    state = _checkpoint(seq.select("team").distinct()
-                        .select("team", F.lit(1).alias("next_seq"), F.lit(E.INITIAL_RATING).alias("rating")))
+    pending = _materialize(
+        m.join(seq.where("side = 0").select("match_id", F.col("seq").alias("seq_a")), "match_id")
+         .join(seq.where("side = 1").select("match_id", F.col("seq").alias("seq_b")), "match_id"),
+        f"{base}/pending-0")
+    state = _materialize(seq.select("team").distinct()
+                         .select("team", F.lit(1).alias("next_seq"), F.lit(E.INITIAL_RATING).alias("rating")),
+                         f"{base}/state-0")
     e = 1.0 / (1.0 + F.pow(F.lit(10.0), (F.col("rb") - (F.col("ra") + F.col("h"))) / F.lit(E.ELO_SCALE)))
     capped = ((F.col("s") == 1.0) & (F.col("e") > E.FAVOURITE_EXPECTATION)) | \
              ((F.col("s") == 0.0) & ((1.0 - F.col("e")) > E.FAVOURITE_EXPECTATION))
     g = F.when(capped, F.least(F.col("g_raw"), F.lit(E.GD_CAP))).otherwise(F.col("g_raw"))
-    done = []
     rounds = 0
     while True:
         rounds += 1
@@ -126,34 +139,26 @@ def _wavefront_fold(prepared: DataFrame) -> DataFrame:
             raise RuntimeError("wavefront did not converge")
         sa = state.select(F.col("team").alias("team_a"), F.col("next_seq").alias("seq_a"), F.col("rating").alias("ra"))
         sb = state.select(F.col("team").alias("team_b"), F.col("next_seq").alias("seq_b"), F.col("rating").alias("rb"))
-        ready = (pending.join(sa, ["team_a", "seq_a"]).join(sb, ["team_b", "seq_b"])
-                 .withColumn("e", e).withColumn("x", F.col("k") * g * (F.col("s") - F.col("e")))
-                 .select("match_id", "team_a", "team_b",
-                         F.col("ra").alias("elo_a"), F.col("rb").alias("elo_b"),
-                         (F.col("ra") + F.col("x")).alias("post_a"), (F.col("rb") - F.col("x")).alias("post_b")))
-        ready = _checkpoint(ready)
+        ready = _materialize(
+            pending.join(sa, ["team_a", "seq_a"]).join(sb, ["team_b", "seq_b"])
+                   .withColumn("e", e).withColumn("x", F.col("k") * g * (F.col("s") - F.col("e")))
+                   .select("match_id", "team_a", "team_b",
+                           F.col("ra").alias("elo_a"), F.col("rb").alias("elo_b"),
+                           (F.col("ra") + F.col("x")).alias("post_a"), (F.col("rb") - F.col("x")).alias("post_b")),
+            f"{base}/done/round={rounds}")
         if ready.isEmpty():
             break
-        done.append(ready.select("match_id", "elo_a", "elo_b", "post_a", "post_b"))
         upd = (ready.select(F.col("team_a").alias("team"), F.col("post_a").alias("new_rating"))
                .unionByName(ready.select(F.col("team_b").alias("team"), F.col("post_b").alias("new_rating"))))
-        state = _checkpoint(
+        state = _materialize(
             state.join(upd, "team", "left")
                  .select("team",
                          (F.col("next_seq") + F.when(F.col("new_rating").isNotNull(), 1).otherwise(0)).alias("next_seq"),
-                         F.coalesce("new_rating", "rating").alias("rating")))
-        pending = _checkpoint(pending.join(ready.select("match_id"), "match_id", "left_anti"))
-        if len(done) % 16 == 0:
-            merged = done[0]
-            for d in done[1:]:
-                merged = merged.unionByName(d)
-            done = [_checkpoint(merged)]
-    if not done:
-        return spark.createDataFrame([], FOLD_SCHEMA)
-    out = done[0]
-    for d in done[1:]:
-        out = out.unionByName(d)
-    return out
+                         F.coalesce("new_rating", "rating").alias("rating")),
+            f"{base}/state-{rounds}")
+        pending = _materialize(pending.join(ready.select("match_id"), "match_id", "left_anti"),
+                               f"{base}/pending-{rounds}")
+    return spark.read.parquet(f"{base}/done").select("match_id", "elo_a", "elo_b", "post_a", "post_b")
 
 
 def elo_ratings(prepared: DataFrame, pool: str | None = None, method: str = "auto",

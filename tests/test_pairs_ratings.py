@@ -102,7 +102,7 @@ def test_pool_fold_equals_serial_and_zero_sum(spark):
 
 
 def test_wavefront_equals_pool(spark):
-    rows, df = _matches(spark, n_matches=60, n_teams=10, pools=1, seed=5)
+    rows, df = _matches(spark, n_matches=24, n_teams=12, pools=1, seed=5)
     prepared = rt.prepare_matches(df)
     pool = {r.match_id: (r.elo_a, r.elo_b) for r in rt.elo_ratings(prepared, pool="pool", method="pool").collect()}
     wave = {r.match_id: (r.elo_a, r.elo_b) for r in rt.elo_ratings(prepared, method="wavefront").collect()}
