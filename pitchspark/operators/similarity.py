@@ -26,6 +26,8 @@ Plan (lossless for the threshold, no cross join):
 Pairs whose total length leaves ``tau <= 0`` are covered by the exact
 equality join; the constructor checks that for such lengths only equal
 strings can reach the threshold, and refuses thresholds where that fails.
+The prefix length uses a closed-form lower bound of ``tau`` per name
+length, so no statistics are collected to the driver.
 """
 
 from __future__ import annotations
@@ -56,22 +58,18 @@ def _check_threshold(threshold: int) -> None:
                                  "can match without a shared bigram; blocking would lose them")
 
 
-def _tau_min_table(spark, threshold: int, lengths: list[int]) -> DataFrame:
-    """Per name length: smallest tau over feasible partner lengths.
+def tau_lower_bound(threshold: int, length):
+    """Smallest shared-bigram count any qualifying partner can need (a lower bound).
 
-    Built from the distinct name lengths (a short list), broadcast.
+    A qualifying pair has LCS > s * L with s = (2t - 1) / 400 and the
+    shorter side at least s / (1 - s) times the other, hence
+    L >= l / (1 - s) and tau(L) > (3s - 1) * L - 1 >= (3s - 1) / (1 - s) * l - 1.
+    In integers: floor((6t - 403) * l / (401 - 2t)) - 1 (one lower than
+    needed, which also covers even thresholds). Valid for every partner
+    length, so the prefix length needs no per-dataset table.
     """
-    rows = []
-    for lx in lengths:
-        best = None
-        for ly in range(1, max(lengths) + 1):
-            total = lx + ly
-            if S.min_lcs_py(threshold, total) > min(lx, ly):
-                continue
-            t = _tau(threshold, total)
-            best = t if best is None else min(best, t)
-        rows.append((lx, best if best is not None else 1 << 30))
-    return spark.createDataFrame(rows, "len int, tau_min int")
+    num, den = 6 * threshold - 403, 401 - 2 * threshold
+    return F.floor(F.lit(num) * length / F.lit(den)).cast("int") - 1
 
 
 def _tagged_bigrams(col: str):
@@ -91,7 +89,6 @@ def fuzzy_best_match(left: DataFrame, right: DataFrame, left_key: str, right_key
     key (value 0 and null best_key when nothing reaches the threshold).
     """
     _check_threshold(threshold)
-    spark = left.sparkSession
     lnames = (left.select(F.col(left_key).alias("lkey")).distinct()
                   .withColumn("lp", S.token_sort("lkey")))
     rnames = right.select(F.col(right_key).alias("rkey"), F.col(right_value).alias("rvalue")) \
@@ -103,41 +100,35 @@ def fuzzy_best_match(left: DataFrame, right: DataFrame, left_key: str, right_key
     exact = lp.join(rp, lp["lp"] == rp["rp"]).select("lp", "rp")
 
     # 2-4. tagged bigrams, global frequency, prefixes
-    lengths = [r[0] for r in lp.select(F.length("lp").alias("n"))
-               .unionByName(rp.select(F.length("rp").alias("n"))).distinct().collect()]
-    if not lengths:
-        cand = exact
-    else:
-        taus = F.broadcast(_tau_min_table(spark, threshold, sorted(lengths)))
-        lg = lp.withColumn("grams", _tagged_bigrams("lp"))
-        rg = rp.withColumn("grams", _tagged_bigrams("rp"))
-        # explode_outer: an inner explode makes the optimizer infer
-        # ``size(grams) > 0`` and push it below the distinct, which would
-        # re-evaluate the name normalisation inside the bigram lambdas.
-        toks = (lg.select(F.explode_outer("grams").alias("g"))
-                .unionByName(rg.select(F.explode_outer("grams").alias("g")))
-                .where(F.col("g").isNotNull()))
-        freq = toks.groupBy("g").agg(F.count(F.lit(1)).alias("f"))
-
-        def prefixes(df: DataFrame, name: str) -> DataFrame:
-            sized = df.join(taus, F.length(name) == taus["len"]).drop("len")
-            ex = (sized.select(name, "tau_min", F.size("grams").alias("ng"), F.explode_outer("grams").alias("g"))
-                  .where(F.col("g").isNotNull()))
-            ranked = ex.join(freq, "g").withColumn(
-                "_r", F.row_number().over(Window.partitionBy(name).orderBy("f", "g")))
-            keep = F.col("ng") - F.greatest(F.col("tau_min"), F.lit(1)) + 1
-            return ranked.where(F.col("_r") <= keep).select(name, "g")
-
-        pl, prr = prefixes(lg, "lp"), prefixes(rg, "rp")
-        pairs = pl.join(prr, "g").select("lp", "rp").distinct()
-        total = F.length("lp") + F.length("rp")
-        checked = (pairs.join(lg.select("lp", F.col("grams").alias("ga")), "lp")
-                        .join(rg.select("rp", F.col("grams").alias("gb")), "rp")
-                        .where(F.least(F.length("lp"), F.length("rp")) >= S.min_lcs_for(threshold, total))
-                        .where(F.size(F.array_intersect("ga", "gb"))
-                               >= F.lit(3) * S.min_lcs_for(threshold, total) - total - 1)
-                        .select("lp", "rp"))
-        cand = checked.unionByName(exact).distinct()
+    lg = lp.withColumn("grams", _tagged_bigrams("lp"))
+    rg = rp.withColumn("grams", _tagged_bigrams("rp"))
+    # explode_outer: an inner explode makes the optimizer infer
+    # ``size(grams) > 0`` and push it below the distinct, which would
+    # re-evaluate the name normalisation inside the bigram lambdas.
+    toks = (lg.select(F.explode_outer("grams").alias("g"))
+            .unionByName(rg.select(F.explode_outer("grams").alias("g")))
+            .where(F.col("g").isNotNull()))
+    freq = toks.groupBy("g").agg(F.count(F.lit(1)).alias("f"))
+
+    def prefixes(df: DataFrame, name: str) -> DataFrame:
+        sized = df.withColumn("tau_min", tau_lower_bound(threshold, F.length(name)))
+        ex = (sized.select(name, "tau_min", F.size("grams").alias("ng"), F.explode_outer("grams").alias("g"))
+              .where(F.col("g").isNotNull()))
+        ranked = ex.join(freq, "g").withColumn(
+            "_r", F.row_number().over(Window.partitionBy(name).orderBy("f", "g")))
+        keep = F.col("ng") - F.greatest(F.col("tau_min"), F.lit(1)) + 1
+        return ranked.where(F.col("_r") <= keep).select(name, "g")
+
+    pl, prr = prefixes(lg, "lp"), prefixes(rg, "rp")
+    pairs = pl.join(prr, "g").select("lp", "rp").distinct()
+    total = F.length("lp") + F.length("rp")
+    checked = (pairs.join(lg.select("lp", F.col("grams").alias("ga")), "lp")
+                    .join(rg.select("rp", F.col("grams").alias("gb")), "rp")
+                    .where(F.least(F.length("lp"), F.length("rp")) >= S.min_lcs_for(threshold, total))
+                    .where(F.size(F.array_intersect("ga", "gb"))
+                           >= F.lit(3) * S.min_lcs_for(threshold, total) - total - 1)
+                    .select("lp", "rp"))
+    cand = checked.unionByName(exact).distinct()
 
     # 5. exact LCS: bit-parallel over the shorter side when it fits a word.
     short_l = F.length("lp") <= F.length("rp")
