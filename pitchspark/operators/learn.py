@@ -22,6 +22,7 @@ from pyspark.ml.feature import Imputer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -65,11 +66,20 @@ def _stages(features: list[str], model: str, params: dict, label: str, weight: s
 
 def fit(train: DataFrame, features: list[str], label: str = "target", weight: str | None = "train_weight",
         model: str = "gbt", params: dict | None = None) -> PipelineModel:
-    """Fit the weighted classifier (M1)."""
+    """Fit the weighted classifier (M1).
+
+    The training rows are persisted (memory, spilling to disk) for the
+    duration of the fit: the imputer and every boosting round read them,
+    and without it each read would recompute the whole upstream plan.
+    """
     data = train.withColumn("_label", F.col(label).cast("double"))
     for f in features:
         data = data.withColumn(f, F.col(f).cast("double"))
-    return Pipeline(stages=_stages(features, model, params or {}, label, weight)).fit(data)
+    data = data.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return Pipeline(stages=_stages(features, model, params or {}, label, weight)).fit(data)
+    finally:
+        data.unpersist()
 
 
 def tune(train: DataFrame, features: list[str], grid: dict[str, list], label: str = "target",
