@@ -175,9 +175,10 @@ sides as (
   union all
   select pool, team_b, case o when 0 then 3 when 1 then 1 else 0 end,
     cast(o = 0 as integer), cast(o = 1 as integer), cast(o = 2 as integer) from res),
-tbl as (select pool, team, count(*) as played, sum(w) as wins, sum(d) as draws, sum(l) as losses, sum(pts) as points
+tbl as (select pool, team, count(*) as played, cast(sum(w) as bigint) as wins, cast(sum(d) as bigint) as draws,
+          cast(sum(l) as bigint) as losses, cast(sum(pts) as bigint) as points
         from sides group by pool, team),
-ranked as (select *, row_number() over (partition by pool order by points desc, team) as position from tbl)
+ranked as (select *, cast(row_number() over (partition by pool order by points desc, team) as integer) as position from tbl)
 """
 
 STANDINGS = _POINTS + """
@@ -186,7 +187,7 @@ select pool, team, played, wins, draws, losses, points, position from ranked
 
 WILD_CARDS = _POINTS + """
 select pool, team, points, wildcard_rank from (
-  select pool, team, points, row_number() over (order by points desc, team) as wildcard_rank
+  select pool, team, points, cast(row_number() over (order by points desc, team) as integer) as wildcard_rank
   from ranked where position = 3) t where wildcard_rank <= 8
 """
 
@@ -236,8 +237,8 @@ select 'weighted avg', round(sum(precision * support) / sum(support), 6), round(
 """
 
 CONFUSION_MATRIX = with_clause("fx_predictions") + """
-select l.label, count_if(p.prediction = 0) as pred_0, count_if(p.prediction = 1) as pred_1,
-  count_if(p.prediction = 2) as pred_2
+select l.label, cast(count_if(p.prediction = 0) as bigint) as pred_0, cast(count_if(p.prediction = 1) as bigint) as pred_1,
+  cast(count_if(p.prediction = 2) as bigint) as pred_2
 from (values (0), (1), (2)) l(label) left join fx_predictions p on p.label = l.label
 group by l.label
 """
@@ -256,7 +257,7 @@ RUN_LEADERBOARD = with_clause("fx_runs") + """
 select run_name, round(case when accuracy is null then -1.0 else accuracy end, 6) as score,
   case when accuracy is null then 'N/A' else format('{:,.2f}', accuracy * 100) end as accuracy_pct,
   case when accuracy is null then substr(coalesce(error, ''), 1, 60) else 'ok' end as status,
-  row_number() over (order by case when accuracy is null then -1.0 else accuracy end desc, run_name) as position
+  cast(row_number() over (order by case when accuracy is null then -1.0 else accuracy end desc, run_name) as integer) as position
 from fx_runs
 """
 

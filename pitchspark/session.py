@@ -54,3 +54,38 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     spark.conf.set("spark.checkpoint.dir", local)
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir()
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``pitchspark`` importable in Python workers (grouped-map folds).
+
+    Equivalent to ``--py-files``: the package is zipped once per
+    application and added with ``SparkContext.addPyFile``, which serves it
+    to every executor. The zip goes to the checkpoint folder when that is a
+    local path, else to a driver scratch folder (Spark copies it out).
+    """
+    import zipfile
+
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    ckpt = ensure_checkpoint_dir(spark)
+    base = ckpt[len("file:"):] if ckpt.startswith("file:") else ckpt
+    if "://" in base or not os.path.isdir(base):
+        base = tempfile.mkdtemp(prefix="pitchspark-pkg-")
+    target = os.path.join(base, f"pitchspark-{app}.zip")
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as zf:
+        for root, _dirs, files in os.walk(pkg_dir):
+            if "__pycache__" in root:
+                continue
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    zf.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
+    sc.addPyFile(target)
+    _SHIPPED.add(app)
