@@ -108,3 +108,16 @@ def run_leaderboard(registry: DataFrame, name: str = "run_name", acc: str = "acc
     w = Window.orderBy(F.col("score").desc(), F.col(name).asc())
     return registry.select(name, score.alias("score"), shown.alias("accuracy_pct"), status.alias("status")) \
                    .withColumn("position", F.row_number().over(w))
+
+
+def observed_rows(df: DataFrame, name: str):
+    """Row count of a stage as a metric of the job that runs it.
+
+    Returns ``(df_with_metric, observation)``; ``observation.get`` holds
+    ``{"rows": n}`` after the first action on the returned DataFrame, so no
+    extra pass over the data is needed.
+    """
+    from pyspark.sql import Observation
+
+    obs = Observation(name)
+    return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs

@@ -163,3 +163,24 @@ def load_run(spark: SparkSession, registry: str, run_name: str) -> tuple[Pipelin
         raise KeyError(run_name)
     params = meta["params"]
     return PipelineModel.load(params["model_path"]), json.loads(params["features"])
+
+
+def inspect_run(spark: SparkSession, registry: str, run_name: str, df: DataFrame,
+                key: str = "match_id", label: str = "target") -> dict[str, DataFrame]:
+    """Reload a run, re-split the same way, re-score and report (M6).
+
+    Returns the stored registry row, accuracy, class report, confusion
+    matrix and feature importances as DataFrames (nothing is collected).
+    """
+    from pitchspark.operators import evaluate as ev
+
+    model, features = load_run(spark, registry, run_name)
+    test = stratified_split(df, label, key).where(F.col("is_test"))
+    preds = score(model, test, features)
+    return {
+        "run": spark.read.parquet(registry).where(F.col("run_name") == run_name),
+        "accuracy": ev.accuracy(preds, label, "prediction"),
+        "report": ev.class_report(preds, label, "prediction"),
+        "confusion": ev.confusion_matrix(preds, label, "prediction"),
+        "importance": feature_importance(model, features),
+    }

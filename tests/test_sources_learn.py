@@ -74,3 +74,25 @@ def test_model_probabilities_and_registry(spark):
     assert feats == ["x1", "x2"]
     again = ml.score(loaded, df.limit(20), feats).collect()
     assert len(again) == 20
+    rep = ml.inspect_run(spark, d + "/registry", "m1", df)
+    assert rep["accuracy"].first().accuracy == acc
+    assert rep["report"].count() == 5 and rep["importance"].first().feature == "x1"
+
+
+def test_write_table_and_observed_rows(spark):
+    from pitchspark.operators.evaluate import observed_rows
+    d = _scratch(spark)
+    df = spark.range(10).select(F.col("id"), (F.col("id") % 2).alias("k"))
+    files.write_table(df, d + "/csv", fmt="csv")
+    back = files.read_table(spark, d + "/csv", "id long, k long", fmt="csv")
+    assert sorted(r.id for r in back.collect()) == list(range(10))
+    counted, obs = observed_rows(back.where("k = 1"), "odd")
+    assert counted.count() == 5 and obs.get["rows"] == 5
+
+
+def test_first_per_key_and_unmatched(spark):
+    from pitchspark.operators import pairs as pr
+    dim = spark.createDataFrame([("a", 2, 1.0), ("a", 1, 2.0), ("b", 1, 3.0)], "k string, o int, v double")
+    assert sorted((r.k, r.v) for r in pr.first_per_key(dim, "k", "o").collect()) == [("a", 2.0), ("b", 3.0)]
+    ents = spark.createDataFrame([("a",), ("c",)], "team string")
+    assert [r.team for r in pr.unmatched_entities(ents, "team", dim, "k").collect()] == ["c"]
