@@ -15,26 +15,39 @@ ERROR_CHARS = 60
 
 
 def stratified_split(df: DataFrame, label: str, key: str, test_share: float = TEST_SHARE,
-                     seed: int = SPLIT_SEED, folds: int = N_FOLDS) -> DataFrame:
+                     seed: int = SPLIT_SEED, folds: int = N_FOLDS, buckets: int = 1024) -> DataFrame:
     """Add ``is_test`` and ``fold``.
 
-    Inside each class, rows are ordered by a hash of ``seed|key`` and the
-    first ``round(share * n_class)`` are the test rows; training rows get
-    ``fold = position mod folds``. The permutation of scikit-learn cannot
-    be reproduced, so this is the engine's own, documented definition. The
-    window is partitioned by class; rows of one class are ordered by a
-    sort that spills, never collected.
+    Inside each class, rows are ordered by ``u = hash(seed|key)`` (then the
+    key) and the first ``round(share * n_class)`` are the test rows;
+    training rows get ``fold = position mod folds``. scikit-learn's
+    permutation cannot be reproduced, so this is the engine's own,
+    documented definition.
+
+    A class can hold a third of all rows, so the position is not a window
+    over the class. Rows are cut into ``buckets`` ranges of ``u`` (balanced
+    because ``u`` is uniform); rows per (class, bucket) are counted, the
+    offsets of the buckets (classes x buckets rows) are broadcast, and the
+    position is offset + ``row_number`` inside (class, bucket). Buckets are
+    monotone in ``u``, so this equals the per-class ordering.
     """
-    order = uniform(seed, F.col(key))
-    w = Window.partitionBy(label).orderBy(order, F.col(key))
-    n_class = df.groupBy(label).agg(F.count(F.lit(1)).alias("_nc"))
-    out = (df.join(F.broadcast(n_class), label)
-             .withColumn("_pos", F.row_number().over(w))
-             .withColumn("_ntest", F.round(F.col("_nc") * test_share).cast("long")))
+    u = uniform(seed, F.col(key))
+    keyed = df.withColumn("_u", u).withColumn("_b", F.floor(F.col("_u") * buckets).cast("int"))
+    counts = keyed.groupBy(label, "_b").agg(F.count(F.lit(1)).alias("_bn"))
+    # Small table: at most classes x buckets rows.
+    offsets = (counts
+               .withColumn("_off", F.coalesce(F.sum("_bn").over(
+                   Window.partitionBy(label).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+               .withColumn("_nc", F.sum("_bn").over(Window.partitionBy(label)))
+               .drop("_bn"))
+    w = Window.partitionBy(label, "_b").orderBy("_u", key)
+    out = (keyed.join(F.broadcast(offsets), [label, "_b"])
+                .withColumn("_pos", F.col("_off") + F.row_number().over(w))
+                .withColumn("_ntest", F.round(F.col("_nc") * test_share).cast("long")))
     return (out.withColumn("is_test", F.col("_pos") <= F.col("_ntest"))
                .withColumn("fold", F.when(F.col("_pos") <= F.col("_ntest"), F.lit(None).cast("int"))
                            .otherwise(F.pmod(F.col("_pos") - F.col("_ntest") - 1, F.lit(folds)).cast("int")))
-               .drop("_pos", "_ntest", "_nc"))
+               .drop("_u", "_b", "_pos", "_ntest", "_nc", "_off"))
 
 
 def accuracy(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:

@@ -239,3 +239,31 @@ def build_master(base: DataFrame, features: list[DataFrame], rankings: DataFrame
         master = master.withColumn("top5_league_density", F.coalesce("top5_league_density", F.lit(0.0)))
     master = master.withColumn(entity, F.col(key)).drop(key)
     return average_rank_desc(master, "total_market_value", "tm_value_rank")
+
+
+def position_within(df: DataFrame, part: list[str], order: str, ties: list[str], out: str,
+                    buckets: int = 256) -> DataFrame:
+    """``row_number() over (partition by part order by order, ties)`` without a hot task.
+
+    A window partitioned only by ``part`` puts a hot key (say a third of
+    all rows) into one task. Here the order column is cut into ranges at
+    approximate quantiles (a bounded list of ``buckets`` numbers), rows per
+    (part, range) are counted, the offsets of the ranges (a small table)
+    are joined back, and rows are numbered inside (part, range). Ranges are
+    monotone in the order column, so the result is the same numbering.
+    """
+    probs = [i / buckets for i in range(1, buckets)]
+    bounds = sorted(set(df.approxQuantile(order, probs, 0.001))) if buckets > 1 else []
+    if bounds:
+        arr = F.array(*[F.lit(float(b)) for b in bounds])
+        rng = F.size(F.filter(arr, lambda b: b <= F.col(order).cast("double")))
+    else:
+        rng = F.lit(0)
+    keyed = df.withColumn("_rng", rng)
+    counts = keyed.groupBy(*part, "_rng").agg(F.count(F.lit(1)).alias("_rn_n"))
+    offsets = counts.withColumn("_rn_off", F.coalesce(F.sum("_rn_n").over(
+        Window.partitionBy(*part).orderBy("_rng").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_rn_n")
+    w = Window.partitionBy(*part, "_rng").orderBy(order, *ties)
+    return (keyed.join(offsets, [*part, "_rng"])
+                 .withColumn(out, F.col("_rn_off") + F.row_number().over(w))
+                 .drop("_rng", "_rn_off"))

@@ -119,8 +119,9 @@ def _wavefront_fold(prepared: DataFrame) -> DataFrame:
                         "s", "h", "k", "g_raw")
     sides = (m.select("match_id", "_t", F.col("team_a").alias("team"), F.lit(0).alias("side"))
              .unionByName(m.select("match_id", "_t", F.col("team_b").alias("team"), F.lit(1).alias("side"))))
-    seq = sides.withColumn("seq", F.row_number().over(
-        Window.partitionBy("team").orderBy("_t", "match_id", "side")))
+    # Per-entity match numbers; a hot entity is numbered in time ranges.
+    from pitchspark.operators.features import position_within
+    seq = position_within(sides, ["team"], "_t", ["match_id", "side"], "seq")
     pending = _materialize(
         m.join(seq.where("side = 0").select("match_id", F.col("seq").alias("seq_a")), "match_id")
          .join(seq.where("side = 1").select("match_id", F.col("seq").alias("seq_b")), "match_id"),

@@ -50,3 +50,13 @@ def test_top_n_plan_has_group_limit(spark):
     df = spark.range(1000).select((F.col("id") % 3).alias("g"), F.col("id").cast("double").alias("v"))
     plan = feat.top_n(df, ["g"], "v", 5)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
+
+
+def test_position_within_equals_row_number_with_hot_key(spark):
+    from pyspark.sql import Window
+    df = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise((F.col("id") % 40).cast("string")).alias("k"),
+        ((F.col("id") * 7919) % 1000).alias("t"), F.col("id"))
+    got = feat.position_within(df, ["k"], "t", ["id"], "pos", buckets=16)
+    want = df.withColumn("pos", F.row_number().over(Window.partitionBy("k").orderBy("t", "id")))
+    assert sorted(map(tuple, got.select("id", "pos").collect())) == sorted(map(tuple, want.select("id", "pos").collect()))
