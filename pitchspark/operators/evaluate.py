@@ -79,15 +79,14 @@ def class_report(df: DataFrame, label: str = "label", prediction: str = "predict
                           .otherwise(0.0)))
     rows = per.select(F.col("cls").cast("string").alias("class"), "precision", "recall", "f1",
                       F.col("support").cast("long").alias("support"))
-    total = per.select(F.sum("support")).scalar()
     macro = per.agg(F.lit("macro avg").alias("class"), F.avg("precision").alias("precision"),
                     F.avg("recall").alias("recall"), F.avg("f1").alias("f1"),
                     F.sum("support").cast("long").alias("support"))
     weighted = per.agg(
         F.lit("weighted avg").alias("class"),
-        F.sum(F.col("precision") * F.col("support") / total).alias("precision"),
-        F.sum(F.col("recall") * F.col("support") / total).alias("recall"),
-        F.sum(F.col("f1") * F.col("support") / total).alias("f1"),
+        (F.sum(F.col("precision") * F.col("support")) / F.sum("support")).alias("precision"),
+        (F.sum(F.col("recall") * F.col("support")) / F.sum("support")).alias("recall"),
+        (F.sum(F.col("f1") * F.col("support")) / F.sum("support")).alias("f1"),
         F.sum("support").cast("long").alias("support"))
     return rows.unionByName(macro).unionByName(weighted)
 
