@@ -243,23 +243,22 @@ def training_with_elo(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SCENARIO_RUNS = 1000
-SCENARIO_BEST_THIRDS = 2
+SCENARIO_BEST_THIRDS = 8
 
 
 def group_pair_probs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs inside each group, host orientation and re-oriented probabilities.
 
-    The probability table is keyed by a pair number; pair (a, b) of slots
-    reads row ``a + 5 * b`` of the stand-in table (a fixed stand-in key).
+    Groups are four consecutive customers (fx_team_groups). The stand-in
+    probability row of a pair is the row keyed by its second team.
     """
-    groups = fixture(spark, sf_dir, "fx_groups")
+    groups = fixture(spark, sf_dir, "fx_team_groups")
     pairs = pr.pair_matrix(groups, "team", "slot", ["slot"], block="grp", label="team")
-    slots = groups.select("team", "slot")
-    pairs = (pairs.join(slots.select(F.col("team").alias("team_a"), F.col("slot").alias("slot_a")), "team_a")
-                  .join(slots.select(F.col("team").alias("team_b"), F.col("slot").alias("slot_b")), "team_b"))
+    keys = groups.select(F.col("team").alias("team_b"), F.col("team_key").alias("key_b"))
+    pairs = pairs.join(keys, "team_b")
     oriented = pr.orient_by_host(pairs, groups.where("is_host").select("team"))
     probs = fixture(spark, sf_dir, "fx_probs")
-    j = oriented.join(probs, F.col("pair_id") == F.col("slot_a") + 5 * F.col("slot_b"))
+    j = oriented.join(probs, F.col("pair_id") == F.col("key_b"))
     p = pr.reorient_probs(F.array("p0", "p1", "p2"), F.col("reversed"))
     return j.select("grp", "team_a", "team_b", "reversed", "is_neutral",
                     p[0].alias("p0"), p[1].alias("p1"), p[2].alias("p2"))
@@ -271,7 +270,7 @@ def group_probabilities(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def group_scenarios(spark: SparkSession, sf_dir: str) -> DataFrame:
-    teams = fixture(spark, sf_dir, "fx_groups")
+    teams = fixture(spark, sf_dir, "fx_team_groups")
     out = st.group_scenarios(group_pair_probs(spark, sf_dir), teams, SCENARIO_RUNS, seed=42,
                              best_thirds=SCENARIO_BEST_THIRDS)
     return out.select("grp", "team", _r("pct_first"), _r("pct_second"), _r("pct_third"), _r("pct_advance"))

@@ -438,15 +438,15 @@ from fx_matches m join fx_team a on a.team = m.team_a join fx_team b on b.team =
 join hist h on h.match_id = m.match_id
 """
 
-_GROUP_PROBS = with_clause("fx_groups", "fx_probs") + """,
-pairs as (select a.grp, a.team as team_a, b.team as team_b, a.slot as slot_a, b.slot as slot_b,
+_GROUP_PROBS = with_clause("fx_team_groups", "fx_probs") + """,
+pairs as (select a.grp, a.team as team_a, b.team as team_b, b.team_key as key_b,
             a.is_host as ha, b.is_host as hb
-          from fx_groups a join fx_groups b on a.grp = b.grp and a.slot < b.slot),
+          from fx_team_groups a join fx_team_groups b on a.grp = b.grp and a.slot < b.slot),
 o as (select *, (hb and not ha) as reversed, case when ha <> hb then 0 else 1 end as is_neutral from pairs),
 pp as (select o.grp, o.team_a, o.team_b, o.reversed, o.is_neutral,
          case when o.reversed then p.p2 else p.p0 end as p0, p.p1,
          case when o.reversed then p.p0 else p.p2 end as p2
-       from o join fx_probs p on p.pair_id = o.slot_a + 5 * o.slot_b)
+       from o join fx_probs p on p.pair_id = o.key_b)
 """
 
 GROUP_PROBABILITIES = _GROUP_PROBS + """
@@ -457,16 +457,16 @@ GROUP_SCENARIOS = _GROUP_PROBS + f""",
 draws as (select run, grp, team_a, team_b,
             case when u < p0 then 0 when u < p0 + p1 then 1 else 2 end as o
           from (select pp.*, r.run,
-                  {U_SQL.format(s="concat_ws('|', '42', cast(r.run as varchar), pp.grp, pp.team_a, pp.team_b)")} as u
+                  {U_SQL.format(s="concat_ws('|', '42', cast(r.run as varchar), cast(pp.grp as varchar), pp.team_a, pp.team_b)")} as u
                 from pp, range(0, 1000) r(run)) x),
 sides as (select run, grp, team_a as team, case o when 2 then 3 when 1 then 1 else 0 end as pts from draws
           union all select run, grp, team_b, case o when 0 then 3 when 1 then 1 else 0 end from draws),
 tbl as (select s.run, s.grp, s.team, sum(pts) as points, any_value(g.rating) as rating, any_value(g.slot) as slot
-        from sides s join fx_groups g on g.grp = s.grp and g.team = s.team group by s.run, s.grp, s.team),
+        from sides s join fx_team_groups g on g.grp = s.grp and g.team = s.team group by s.run, s.grp, s.team),
 ranked as (select *, row_number() over (partition by run, grp order by points desc, rating desc, slot) as position from tbl),
 wild as (select run, grp, team from (
            select run, grp, team, row_number() over (partition by run order by points desc, rating desc, slot) as w
-           from ranked where position = 3) t where w <= 2),
+           from ranked where position = 3) t where w <= 8),
 marked as (select r.*, w.team is not null as wildcard from ranked r left join wild w using (run, grp, team))
 select grp, team,
   round(count_if(position = 1) / 1000.0 * 100.0, 6) as pct_first,

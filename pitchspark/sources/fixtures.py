@@ -75,6 +75,13 @@ from supplier join lineitem on l_suppkey = s_suppkey group by s_suppkey, s_name
 select r.r_name as grp, n.n_nationkey as slot, n.n_name as team, cast(1500 + (n.n_nationkey * 37) % 200 as double) as rating,
  n.n_nationkey % 9 = 0 as is_host
 from nation n join region r on r.r_regionkey = n.n_regionkey
+""",
+    # Groups of four teams cut from the whole customer table, so the number
+    # of groups (and of pairs) grows with the data.
+    "fx_team_groups": """
+select cast(floor(c_custkey / 4) as bigint) as grp, concat('T', cast(c_custkey as varchar(20))) as team,
+ c_custkey as team_key, cast(c_custkey % 4 as integer) as slot, c_acctbal as rating, c_custkey % 9 = 0 as is_host
+from customer
 """,
     "fx_probs": """
 select pair_id, w0 / (w0 + w1 + w2) as p0, w1 / (w0 + w1 + w2) as p1, w2 / (w0 + w1 + w2) as p2
