@@ -68,10 +68,12 @@ def group_scenarios(pair_probs: DataFrame, teams: DataFrame, n_runs: int, seed:
     from pitchspark.functions.draws import categorical, uniform
     from pitchspark.operators.sampling import replicate
     runs = replicate(pair_probs.select("grp", "team_a", "team_b", "p0", "p1"), n_runs)
-    u = uniform(seed, F.col("run"), F.col("grp"), F.col("team_a"), F.col("team_b"))
+    u = uniform(seed, F.col("run"), F.col("grp").cast("string"), F.col("team_a"), F.col("team_b"))
     drawn = runs.withColumn("outcome", categorical(u, "p0", "p1"))
     table = points_table(drawn, ["run", "grp"], "outcome")
-    t = F.broadcast(teams.select("grp", "team", "rating", "slot"))
+    # The team table grows with the data: no broadcast hint; AQE broadcasts
+    # it only when its measured size is under the threshold.
+    t = teams.select("grp", "team", "rating", "slot")
     ranked = rank_in_group(table.join(t, ["grp", "team"]), ["run", "grp"],
                            [F.col("points").desc(), F.col("rating").desc(), F.col("slot").asc()])
     wc = (wild_cards(ranked, ["run"], [F.col("points").desc(), F.col("rating").desc(), F.col("slot").asc()],
