@@ -11,8 +11,6 @@ from pitchspark.functions.elo import outcome_label
 # n(n-1)/2 rows by definition; beyond this size a block key (for example
 # the tournament group) is required.
 MAX_UNBLOCKED_ENTITIES = 200_000
-# Largest dimension (rows) broadcast by the pair matrix.
-MAX_BROADCAST_ROWS = 2_000_000
 
 
 def feature_deltas(features: list[str], left: str = "a", right: str = "b",
@@ -100,9 +98,10 @@ def orient_by_host(pairs: DataFrame, hosts: DataFrame, host_key: str = "team") -
     Only when exactly one side is a host does that side become home with
     ``is_neutral = 0``; otherwise the pair stays as given and neutral.
     ``reversed`` marks pairs whose home side is ``team_b``. Hosts are
-    compared case-insensitively through a small broadcast semi-flag.
+    compared case-insensitively; the host list has no size bound of its
+    own, so the join strategy is left to AQE (a broadcast when it is small).
     """
-    h = F.broadcast(hosts.select(F.lower(F.col(host_key)).alias("_h")).distinct())
+    h = hosts.select(F.lower(F.col(host_key)).alias("_h")).distinct()
     p = (pairs.join(h.withColumnRenamed("_h", "_ha"), F.lower("team_a") == F.col("_ha"), "left")
               .join(h.withColumnRenamed("_h", "_hb"), F.lower("team_b") == F.col("_hb"), "left"))
     a_host, b_host = F.col("_ha").isNotNull(), F.col("_hb").isNotNull()
