@@ -293,7 +293,17 @@ def train_evaluate(spark: SparkSession, sf_dir: str) -> DataFrame:
         "class", _r("precision"), _r("recall"), _r("f1"), "support")
 
 
+def unmatched_teams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Teams of the match history without a feature row (J8): the rows the
+    inner joins of the training matrix drop, reported instead of lost."""
+    m = fixture(spark, sf_dir, "fx_matches")
+    teams = (m.select(F.col("team_a").alias("team"))
+             .unionByName(m.select(F.col("team_b").alias("team"))).distinct())
+    return pr.unmatched_entities(teams, "team", fixture(spark, sf_dir, "fx_team"), "team")
+
+
 QUERIES: dict[str, QueryFn] = {
+    "unmatched_teams": unmatched_teams,
     "train_evaluate": train_evaluate,
     "master": master,
     "training_with_elo": training_with_elo,

@@ -482,3 +482,10 @@ ORACLE_SQL.update({
     "group_probabilities": GROUP_PROBABILITIES,
     "group_scenarios": GROUP_SCENARIOS,
 })
+
+UNMATCHED_TEAMS = with_clause("fx_matches", "fx_team") + """
+select distinct t.team from (select team_a as team from fx_matches union all select team_b from fx_matches) t
+where not exists (select 1 from fx_team f where f.team = t.team)
+"""
+
+ORACLE_SQL["unmatched_teams"] = UNMATCHED_TEAMS

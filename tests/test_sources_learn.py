@@ -96,3 +96,14 @@ def test_first_per_key_and_unmatched(spark):
     assert sorted((r.k, r.v) for r in pr.first_per_key(dim, "k", "o").collect()) == [("a", 2.0), ("b", 3.0)]
     ents = spark.createDataFrame([("a",), ("c",)], "team string")
     assert [r.team for r in pr.unmatched_entities(ents, "team", dim, "k").collect()] == ["c"]
+
+
+def test_grid_search_on_stratified_folds(spark):
+    from pitchspark.operators.evaluate import stratified_split
+    df = spark.range(300).select(
+        F.col("id").alias("match_id"), (F.col("id") % 3).cast("int").alias("target"),
+        ((F.col("id") % 3) * 2.0 + (F.col("id") % 7) / 10.0).alias("x1"), F.lit(1.0).alias("match_weight"))
+    split = ml.training_weights(stratified_split(df, "target", "match_id"))
+    best = ml.tune(split.where(~F.col("is_test")), ["x1"], {"maxIter": [2, 3]}, folds=5, parallelism=2)
+    preds = ml.score(best, split.where(F.col("is_test")), ["x1"])
+    assert preds.count() == 60
