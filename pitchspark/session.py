@@ -51,7 +51,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         sc.setCheckpointDir(conf_dir)
         return sc.getCheckpointDir()
     local = tempfile.mkdtemp(prefix="pitchspark-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.conf.set("spark.checkpoint.dir", local)
+    try:
+        spark.conf.set("spark.checkpoint.dir", local)
+    except Exception:  # core settings may be read-only at runtime; the context setting is what counts
+        pass
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir()
 

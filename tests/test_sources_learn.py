@@ -10,7 +10,8 @@ from pitchspark.sources import files
 
 
 def _scratch(spark):
-    base = spark.conf.get("spark.checkpoint.dir")
+    from pitchspark.session import ensure_checkpoint_dir
+    base = ensure_checkpoint_dir(spark)
     return tempfile.mkdtemp(prefix="io-", dir=base.replace("file:", ""))
 
 

@@ -6,6 +6,7 @@ import tempfile
 from pyspark.sql import functions as F
 
 from pitchspark.operators import ratings as rt
+from pitchspark.session import ensure_checkpoint_dir
 from pitchspark.sources.fixtures import fixture
 from pitchspark.streaming.elo_stream import stream_elo
 
@@ -13,7 +14,7 @@ from conftest import SMALL
 
 
 def test_stream_elo_matches_batch(spark):
-    base = tempfile.mkdtemp(prefix="stream-", dir=spark.conf.get("spark.checkpoint.dir").replace("file:", ""))
+    base = tempfile.mkdtemp(prefix="stream-", dir=ensure_checkpoint_dir(spark).replace("file:", ""))
     m = fixture(spark, SMALL, "fx_matches").where(F.col("pool") < 3)
     cut = m.agg(F.percentile_approx("date", 0.5)).first()[0]
     src = os.path.join(base, "src")
