@@ -37,7 +37,7 @@ def shared_path(spark: SparkSession, name: str) -> str:
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts the lineage, survives executor loss."""
     path = shared_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -139,10 +139,10 @@ class Words:
                 out.append(np.unique(sums[a : b - k + 1]))
             elif b > a:
                 h = self.hashes() if h is None else h
-                short = np.uint64(b - a)
-                for x in h[a:b]:
-                    short = mix(np.array([short * np.uint64(3) + x], np.uint64))[0]
-                out.append(np.array([short], np.uint64))
+                short = np.array([b - a], np.uint64)
+                for i in range(a, b):
+                    short = mix(short * np.uint64(3) + h[i : i + 1])
+                out.append(short)
             else:
                 out.append(np.zeros(0, np.uint64))
         return out

@@ -22,6 +22,14 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 from f
 """
 
+_OP5 = r"""
+with p as (select page_id, octet_length(encode(coalesce(html, '')))::bigint n, sha256(coalesce(html, '')) d from pages),
+f as (select *, case when n >= 100 then min(page_id) over (partition by d) else page_id end first from p)
+select page_id, n payload_bytes, d payload_digest, case when page_id = first then 'response' else 'revisit' end record_type,
+  case when page_id <> first then first end refers_to
+from f
+"""
+
 #: The mix of table {docs} (doc_id, text, source): one row per document with what ``op10`` returns and how often it is taken.
 MIX = r"""
 mix_d as (select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::bigint size,
@@ -43,4 +51,4 @@ mix_o as (select d.doc_id, d.size, d.source, d.hash, t.source_size, t.target, (t
 
 _OP10 = "with " + MIX.format(docs="documents") + " select doc_id, size, source_size, target, size * times taken from mix_o"
 
-ORACLE_SQL = {"op4_quality_rules": _OP4, "op10_mix_sources": _OP10}
+ORACLE_SQL = {"op4_quality_rules": _OP4, "op5_warc": _OP5, "op10_mix_sources": _OP10}
