@@ -15,7 +15,7 @@ from pitchspark.session import ensure_checkpoint_dir, ship_package
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 #: Bytes of text handled at once inside a task; a longer single text forms a chunk of its own.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from .common import Words, chunks, held_out, texts_of
 
 MAX_POSITIVE, MAX_UNLABELLED = 4_000, 12_000
-HASH_BITS = 22
+HASH_BITS = 20
 HEAD_BYTES = 4
 #: Everything in ASCII but letters and digits ends a word; bytes of other scripts belong to it.
 _SEPARATORS = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
