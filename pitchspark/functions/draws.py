@@ -28,8 +28,3 @@ def categorical(u: Column, p0: str | Column, p1: str | Column) -> Column:
     """Outcome in {0,1,2} with probabilities (p0, p1, 1-p0-p1)."""
     p0c, p1c = _col(p0), _col(p1)
     return F.when(u < p0c, F.lit(0)).when(u < p0c + p1c, F.lit(1)).otherwise(F.lit(2))
-
-
-def bernoulli(u: Column, p: str | Column) -> Column:
-    """True with probability p (R2)."""
-    return u < _col(p)

@@ -72,6 +72,6 @@ def goal_index_raw(home: str | Column, away: str | Column) -> Column:
 
 
 def outcome_label(home: str | Column, away: str | Column) -> Column:
-    """Class label: 2 home win, 1 draw, 0 away win."""
+    """Class label: 2 home win, 1 draw, 0 away win; null while a score is missing."""
     h, a = _col(home), _col(away)
-    return F.when(h > a, F.lit(2)).when(h == a, F.lit(1)).otherwise(F.lit(0))
+    return F.when(h > a, F.lit(2)).when(h == a, F.lit(1)).when(h < a, F.lit(0))

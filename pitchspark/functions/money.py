@@ -17,8 +17,8 @@ def _col(c: str | Column) -> Column:
 
 
 def strip_ws(c: str | Column) -> Column:
-    """Python ``str.strip()``: remove leading/trailing whitespace (not only spaces)."""
-    return F.regexp_replace(_col(c), r"^\s+|\s+$", "")
+    """Python ``str.strip()``: remove leading/trailing white space, Unicode blanks and U+001C-U+001F included."""
+    return F.regexp_replace(_col(c), r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", "")
 
 
 def money_millions(col: str | Column) -> Column:

@@ -43,8 +43,3 @@ def league_key(col: str | Column) -> Column:
     for token in LEAGUE_STEM_NOISE:
         c = F.replace(c, F.lit(token), F.lit(""))
     return c
-
-
-def ci_equal(a: str | Column, b: str | Column) -> Column:
-    """Case-insensitive equality."""
-    return F.lower(_col(a)) == F.lower(_col(b))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pitchspark.functions.draws import uniform
+from pitchspark.operators.numbering import running_total
 
 # Fixed values of the evaluation.
 TEST_SHARE = 0.2
@@ -15,7 +16,7 @@ ERROR_CHARS = 60
 
 
 def stratified_split(df: DataFrame, label: str, key: str, test_share: float = TEST_SHARE,
-                     seed: int = SPLIT_SEED, folds: int = N_FOLDS, buckets: int = 1024) -> DataFrame:
+                     seed: int = SPLIT_SEED, folds: int = N_FOLDS) -> DataFrame:
     """Add ``is_test`` and ``fold``.
 
     Inside each class, rows are ordered by ``u = hash(seed|key)`` (then the
@@ -25,53 +26,58 @@ def stratified_split(df: DataFrame, label: str, key: str, test_share: float = TE
     documented definition.
 
     A class can hold a third of all rows, so the position is not a window
-    over the class. Rows are cut into ``buckets`` ranges of ``u`` (balanced
-    because ``u`` is uniform); rows per (class, bucket) are counted, the
-    offsets of the buckets (classes x buckets rows) are broadcast, and the
-    position is offset + ``row_number`` inside (class, bucket). Buckets are
-    monotone in ``u``, so this equals the per-class ordering.
+    over the class: rows get their place in the order (class, u, key) of the
+    whole table (``numbering.running_total``, which writes ``df`` once) less
+    the rows of the classes before.
     """
-    u = uniform(seed, F.col(key))
-    keyed = df.withColumn("_u", u).withColumn("_b", F.floor(F.col("_u") * buckets).cast("int"))
-    counts = keyed.groupBy(label, "_b").agg(F.count(F.lit(1)).alias("_bn"))
-    # Small table: at most classes x buckets rows.
-    offsets = (counts
-               .withColumn("_off", F.coalesce(F.sum("_bn").over(
-                   Window.partitionBy(label).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-               .withColumn("_nc", F.sum("_bn").over(Window.partitionBy(label)))
-               .drop("_bn"))
-    w = Window.partitionBy(label, "_b").orderBy("_u", key)
-    out = (keyed.join(F.broadcast(offsets), [label, "_b"])
-                .withColumn("_pos", F.col("_off") + F.row_number().over(w))
-                .withColumn("_ntest", F.round(F.col("_nc") * test_share).cast("long")))
+    placed = running_total(df.withColumn("_u", uniform(seed, F.col(key))), [F.col(label), F.col("_u"), F.col(key)], "_place")
+    # One row per class; nulls are a class of their own and sort first, as in the order above.
+    classes = df.groupBy(F.col(label).alias("_class")).agg(F.count(F.lit(1)).alias("_nc"))
+    before = Window.orderBy("_class").rowsBetween(Window.unboundedPreceding, -1)
+    classes = classes.withColumn("_off", F.coalesce(F.sum("_nc").over(before), F.lit(0)))
+    out = (placed.join(classes, F.col(label).eqNullSafe(F.col("_class")))
+                 .withColumn("_pos", F.col("_place") - F.col("_off"))
+                 .withColumn("_ntest", F.round(F.col("_nc") * test_share).cast("long")))
     return (out.withColumn("is_test", F.col("_pos") <= F.col("_ntest"))
                .withColumn("fold", F.when(F.col("_pos") <= F.col("_ntest"), F.lit(None).cast("int"))
                            .otherwise(F.pmod(F.col("_pos") - F.col("_ntest") - 1, F.lit(folds)).cast("int")))
-               .drop("_u", "_b", "_pos", "_ntest", "_nc", "_off"))
+               .drop("_u", "_class", "_place", "_pos", "_ntest", "_nc", "_off"))
 
 
 def accuracy(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
-    """Share of rows with label == prediction, unweighted."""
-    return df.agg(F.avg((F.col(label) == F.col(prediction)).cast("double")).alias("accuracy"),
-                  F.count(F.lit(1)).alias("rows"))
+    """Share of rows with label == prediction, unweighted, among those with a label.
 
+    A missing prediction is wrong; ``rows`` counts the rows with a label.
+    """
+    known = df.where(F.col(label).isNotNull())
+    right = F.coalesce(F.col(label) == F.col(prediction), F.lit(False))
+    return known.agg(F.avg(right.cast("double")).alias("accuracy"), F.count(F.lit(1)).alias("rows"))
+
+
+def _pair_counts(df: DataFrame, label: str, prediction: str) -> DataFrame:
+    """Rows per (label, prediction); every later step works on these few rows."""
+    return df.groupBy(F.col(label).cast("int").alias("_y"), F.col(prediction).cast("int").alias("_p")).count()
+
+
+def _classes(pairs: DataFrame) -> DataFrame:
+    """The classes that occur as a label or a prediction."""
+    return pairs.select(F.explode(F.array("_y", "_p")).alias("cls")).where("cls is not null").distinct()
 
-def class_report(df: DataFrame, label: str = "label", prediction: str = "prediction",
-                 classes: list[int] = (0, 1, 2)) -> DataFrame:
+
+def class_report(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
     """Per-class precision, recall, F1 and support, plus macro and weighted rows.
 
-    Division by zero gives 0. All work is one grouped count of
-    (label, prediction) pairs, at most len(classes)^2 rows.
+    The classes are those in the data, as labels or predictions; division by
+    zero gives 0. All work is one grouped count of (label, prediction) pairs.
     """
-    spark = df.sparkSession
-    cls = spark.createDataFrame([(int(c),) for c in classes], "cls int")
-    pairs = df.groupBy(F.col(label).cast("int").alias("_y"), F.col(prediction).cast("int").alias("_p")).count()
-    per = (cls.join(pairs, (pairs["_y"] == cls["cls"]) | (pairs["_p"] == cls["cls"]), "left")
-              .groupBy("cls")
-              .agg(F.sum(F.when((F.col("_y") == F.col("cls")) & (F.col("_p") == F.col("cls")), F.col("count"))
-                         .otherwise(0)).alias("tp"),
-                   F.sum(F.when(F.col("_p") == F.col("cls"), F.col("count")).otherwise(0)).alias("pred_n"),
-                   F.sum(F.when(F.col("_y") == F.col("cls"), F.col("count")).otherwise(0)).alias("support")))
+    pairs = _pair_counts(df, label, prediction)
+    y, p, n = F.col("_y"), F.col("_p"), F.col("count")
+    # Each pair counts for its label's class and, if another one, for its prediction's.
+    sides = pairs.select(F.explode(F.array(
+        F.struct(y.alias("cls"), F.when(y == p, n).otherwise(0).alias("tp"), F.lit(0).cast("long").alias("pred_n"), n.alias("support")),
+        F.struct(p.alias("cls"), F.lit(0).cast("long").alias("tp"), n.alias("pred_n"), F.lit(0).cast("long").alias("support")))).alias("s"))
+    per = (sides.select("s.*").where("cls is not null").groupBy("cls")
+           .agg(F.sum("tp").alias("tp"), F.sum("pred_n").alias("pred_n"), F.sum("support").alias("support")))
     per = (per.withColumn("precision", F.when(F.col("pred_n") > 0, F.col("tp") / F.col("pred_n")).otherwise(0.0))
               .withColumn("recall", F.when(F.col("support") > 0, F.col("tp") / F.col("support")).otherwise(0.0))
               .withColumn("f1", F.when((F.col("precision") + F.col("recall")) > 0,
@@ -84,25 +90,26 @@ def class_report(df: DataFrame, label: str = "label", prediction: str = "predict
                     F.sum("support").cast("long").alias("support"))
     weighted = per.agg(
         F.lit("weighted avg").alias("class"),
-        (F.sum(F.col("precision") * F.col("support")) / F.sum("support")).alias("precision"),
-        (F.sum(F.col("recall") * F.col("support")) / F.sum("support")).alias("recall"),
-        (F.sum(F.col("f1") * F.col("support")) / F.sum("support")).alias("f1"),
+        *[F.try_divide(F.sum(F.col(c) * F.col("support")), F.sum("support")).alias(c) for c in ("precision", "recall", "f1")],
         F.sum("support").cast("long").alias("support"))
     return rows.unionByName(macro).unionByName(weighted)
 
 
 def confusion_matrix(df: DataFrame, label: str = "label", prediction: str = "prediction",
                      classes: list[int] = (0, 1, 2)) -> DataFrame:
-    """Counts per (label, prediction), zeros kept."""
-    piv = (df.groupBy(F.col(label).cast("int").alias("label"))
-             .pivot(prediction, list(classes)).count())
-    for c in classes:
-        piv = piv.withColumnRenamed(str(c), f"pred_{c}")
+    """Counts per (label, prediction), zeros kept.
+
+    One row for each of ``classes`` and every other label found; predictions
+    outside ``classes`` are counted in ``pred_other``, so no row is lost.
+    """
+    pairs = _pair_counts(df, label, prediction)
     spark = df.sparkSession
-    all_labels = spark.createDataFrame([(int(c),) for c in classes], "label int")
-    out = all_labels.join(piv, "label", "left")
-    return out.select("label", *[F.coalesce(F.col(f"pred_{c}"), F.lit(0)).cast("long").alias(f"pred_{c}")
-                                 for c in classes])
+    labels = spark.createDataFrame([(int(c),) for c in classes], "label int").union(pairs.select("_y")).distinct()
+    n = F.coalesce(F.col("count"), F.lit(0))
+    out = labels.join(pairs, F.col("label").eqNullSafe(F.col("_y")), "left").groupBy("label").agg(
+        *[F.sum(F.when(F.col("_p") == c, n).otherwise(0)).cast("long").alias(f"pred_{c}") for c in classes],
+        F.sum(F.when(F.col("_p").isin(list(classes)), 0).otherwise(n)).cast("long").alias("pred_other"))
+    return out
 
 
 def run_leaderboard(registry: DataFrame, name: str = "run_name", acc: str = "accuracy",
@@ -116,10 +123,9 @@ def run_leaderboard(registry: DataFrame, name: str = "run_name", acc: str = "acc
     score = F.when(failed, F.lit(-1.0)).otherwise(F.col(acc))
     shown = F.when(failed, F.lit("N/A")).otherwise(F.format_number(F.col(acc) * 100, 2))
     status = F.when(failed, F.substring(F.coalesce(F.col(error), F.lit("")), 1, ERROR_CHARS)).otherwise(F.lit("ok"))
-    # The registry holds one row per model run: a single ordered task is fine.
-    w = Window.orderBy(F.col("score").desc(), F.col(name).asc())
-    return registry.select(name, score.alias("score"), shown.alias("accuracy_pct"), status.alias("status")) \
-                   .withColumn("position", F.row_number().over(w))
+    rows = registry.select(name, score.alias("score"), shown.alias("accuracy_pct"), status.alias("status"))
+    return (running_total(rows, [F.col("score").desc(), F.col(name).asc()], "position")
+            .withColumn("position", F.col("position").cast("int")))
 
 
 def observed_rows(df: DataFrame, name: str):

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from pitchspark.functions.money import exact_money, money_millions
 from pitchspark.functions.text import join_key, league_key
+from pitchspark.operators.numbering import running_total
 
 # Fixed values of the form-rating feature.
 BASELINE_FORM_RATING = 6.5 * 0.5
@@ -104,12 +105,12 @@ def league_universe(ratings: DataFrame, weights: DataFrame, file_col: str = "sou
     """League ratings restricted to listed leagues, weighted.
 
     Sources whose path contains ``tm_`` are skipped, and so are sources whose
-    key is not in the weight table (inner join to a 17-row broadcast).
+    key is not in the weight table (inner join; a small table is broadcast by its size).
     """
     keyed = (ratings
              .where(~F.col(file_col).contains(EXCLUDED_SOURCE_MARKER))
              .withColumn("league_key", league_key(file_col)))
-    return (keyed.join(F.broadcast(weights), "league_key", "inner")
+    return (keyed.join(weights, "league_key", "inner")
                  .where(F.col(rating_col).isNotNull())
                  .select(join_key(name_col).alias("match_name"), "league_key", "top5",
                          (F.col(rating_col) * F.col("league_weight")).alias("weighted_rating")))
@@ -169,35 +170,17 @@ def last_activity(matches: DataFrame, side_a: str = "team_a", side_b: str = "tea
     return sides.groupBy(entity).agg(F.max(date_col).alias("last_date"))
 
 
-def average_rank_desc(df: DataFrame, value: str, out: str = "avg_rank",
-                      buckets: int = 64) -> DataFrame:
+def average_rank_desc(df: DataFrame, value: str, out: str = "avg_rank") -> DataFrame:
     """pandas ``rank(ascending=False)``: ties share the mean position.
 
-    A global rank would pull every row into one task. Instead: count rows
-    per distinct value (partial aggregation), cut the distinct values into
-    range buckets at approximate quantiles (a bounded list of ``buckets``
-    numbers), total each bucket (at most ``buckets + 1`` rows, broadcast),
-    and rank inside each bucket with a window partitioned by bucket.
+    A global rank would pull every row into one task. Instead rows are counted
+    per distinct value (partial aggregation) and the counts summed up from the
+    largest value down (``numbering.running_total``):
     rank = rows with a larger value + (ties + 1) / 2. Null stays null.
     """
-    counts = (df.where(F.col(value).isNotNull())
-                .groupBy(F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_n")))
-    probs = [i / buckets for i in range(1, buckets)]
-    bounds = sorted(set(counts.approxQuantile("_v", probs, 0.001))) if buckets > 1 else []
-    if bounds:
-        arr = F.array(*[F.lit(float(b)) for b in bounds])
-        bucket = F.size(F.filter(arr, lambda b: b > F.col("_v").cast("double")))
-    else:
-        bucket = F.lit(0)
-    counts = counts.withColumn("_b", bucket)
-    totals = counts.groupBy("_b").agg(F.sum("_n").alias("_bn"))
-    offsets = totals.withColumn(
-        "_off", F.coalesce(F.sum("_bn").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)),
-                           F.lit(0))).drop("_bn")
-    inner = Window.partitionBy("_b").orderBy(F.col("_v").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    ranked = (counts.join(F.broadcast(offsets), "_b")
-                    .withColumn("_above", F.coalesce(F.sum("_n").over(inner), F.lit(0)) + F.col("_off"))
-                    .select("_v", (F.col("_above") + (F.col("_n") + 1) / 2.0).alias(out)))
+    counts = df.where(F.col(value).isNotNull()).groupBy(F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+    summed = running_total(counts, [F.col("_v").desc()], "_upto", F.col("_n"))
+    ranked = summed.select("_v", (F.col("_upto") - F.col("_n") + (F.col("_n") + 1) / 2.0).alias(out))
     return df.join(ranked, df[value] == ranked["_v"], "left").drop("_v")
 
 
@@ -215,55 +198,40 @@ def squad_base(roster: DataFrame, entity: str = "country", value: str = "market_
 
 
 def build_master(base: DataFrame, features: list[DataFrame], rankings: DataFrame | None = None,
-                 entity: str = "country") -> DataFrame:
-    """Chain of left joins on the title-cased entity, fills and value rank.
+                 elo: DataFrame | None = None, entity: str = "country", dedupe: bool = False) -> DataFrame:
+    """Chain of left joins on the title-cased, stripped entity, fills and value rank.
 
     Feature tables are small per-entity tables; each join is left, so an
     entity without a feature keeps a null (filled only where the reference
-    fills). A missing ranking table gives the fill values.
+    fills). A missing ranking table gives the fill values. ``elo`` has the
+    entity and ``elo_rating``. The value rank is taken on ``base``, before the
+    joins, so the features are computed once. With ``dedupe`` a feature table
+    gives one row per entity (its smallest), else repeated rows fan out.
     """
+    from pitchspark.functions.money import strip_ws
     from pitchspark.functions.text import title_case
     key = "_key"
-    master = base.withColumn(key, title_case(entity))
+
+    def keyed(df: DataFrame, cols: list[str]) -> DataFrame:
+        out = df.select(title_case(strip_ws(entity)).alias(key), *cols)
+        if dedupe:
+            row = F.struct(*cols)
+            out = out.groupBy(key).agg(F.min(row).alias("_row")).select(key, *[F.col(f"_row.{c}").alias(c) for c in cols])
+        return out
+
+    master = average_rank_desc(base, "total_market_value", "tm_value_rank")
+    master = master.withColumn(key, title_case(strip_ws(entity)))
     for f in features:
-        cols = [c for c in f.columns if c != entity]
-        master = master.join(f.select(title_case(entity).alias(key), *cols), key, "left")
+        master = master.join(keyed(f, [c for c in f.columns if c != entity]), key, "left")
     if rankings is not None:
-        master = master.join(rankings.select(title_case(entity).alias(key), "fifa_rank", "fifa_points"), key, "left")
+        master = master.join(keyed(rankings, ["fifa_rank", "fifa_points"]), key, "left")
     else:
         master = (master.withColumn("fifa_rank", F.lit(None).cast("double"))
                         .withColumn("fifa_points", F.lit(None).cast("double")))
+    if elo is not None:
+        master = master.join(keyed(elo, ["elo_rating"]), key, "left")
     master = (master.withColumn("fifa_rank", F.coalesce(F.col("fifa_rank").cast("double"), F.lit(DEFAULT_RANK)))
                     .withColumn("fifa_points", F.coalesce(F.col("fifa_points").cast("double"), F.lit(DEFAULT_POINTS))))
     if "top5_league_density" in master.columns:
         master = master.withColumn("top5_league_density", F.coalesce("top5_league_density", F.lit(0.0)))
-    master = master.withColumn(entity, F.col(key)).drop(key)
-    return average_rank_desc(master, "total_market_value", "tm_value_rank")
-
-
-def position_within(df: DataFrame, part: list[str], order: str, ties: list[str], out: str,
-                    buckets: int = 256) -> DataFrame:
-    """``row_number() over (partition by part order by order, ties)`` without a hot task.
-
-    A window partitioned only by ``part`` puts a hot key (say a third of
-    all rows) into one task. Here the order column is cut into ranges at
-    approximate quantiles (a bounded list of ``buckets`` numbers), rows per
-    (part, range) are counted, the offsets of the ranges (a small table)
-    are joined back, and rows are numbered inside (part, range). Ranges are
-    monotone in the order column, so the result is the same numbering.
-    """
-    probs = [i / buckets for i in range(1, buckets)]
-    bounds = sorted(set(df.approxQuantile(order, probs, 0.001))) if buckets > 1 else []
-    if bounds:
-        arr = F.array(*[F.lit(float(b)) for b in bounds])
-        rng = F.size(F.filter(arr, lambda b: b <= F.col(order).cast("double")))
-    else:
-        rng = F.lit(0)
-    keyed = df.withColumn("_rng", rng)
-    counts = keyed.groupBy(*part, "_rng").agg(F.count(F.lit(1)).alias("_rn_n"))
-    offsets = counts.withColumn("_rn_off", F.coalesce(F.sum("_rn_n").over(
-        Window.partitionBy(*part).orderBy("_rng").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_rn_n")
-    w = Window.partitionBy(*part, "_rng").orderBy(order, *ties)
-    return (keyed.join(offsets, [*part, "_rng"])
-                 .withColumn(out, F.col("_rn_off") + F.row_number().over(w))
-                 .drop("_rng", "_rn_off"))
+    return master.withColumn(entity, F.col(key)).drop(key)

@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pitchspark.operators.evaluate import stratified_split
+from pitchspark.session import materialize
 
 # Fixed values of the default model.
 DRAW_LABEL = 1
@@ -43,6 +44,20 @@ def training_weights(df: DataFrame, label: str = "target", weight: str = "match_
     return df.withColumn(out, F.when(~F.col("is_test"), w).otherwise(F.col(weight)))
 
 
+ROWS_A_PARTITION = 100_000
+
+
+def weighted_split(df: DataFrame, key: str = "match_id", label: str = "target") -> DataFrame:
+    """Split (W5) and weights (P17), written once: training, scoring and reports all read this table."""
+    return materialize(training_weights(stratified_split(df, label, key), label), "split")
+
+
+def _model_input(df: DataFrame, features: list[str], label: str) -> DataFrame:
+    """Label and features as doubles, in as many partitions as the rows need: each boosting round reads them all."""
+    data = df.withColumn("_label", F.col(label).cast("double")).withColumns({f: F.col(f).cast("double") for f in features})
+    return data.coalesce(max(1, -(-data.count() // ROWS_A_PARTITION)))
+
+
 def _stages(features: list[str], model: str, params: dict, label: str, weight: str | None):
     imputed = [f"{f}__imp" for f in features]
     imp = Imputer(inputCols=features, outputCols=imputed, strategy="median")
@@ -72,10 +87,7 @@ def fit(train: DataFrame, features: list[str], label: str = "target", weight: st
     duration of the fit: the imputer and every boosting round read them,
     and without it each read would recompute the whole upstream plan.
     """
-    data = train.withColumn("_label", F.col(label).cast("double"))
-    for f in features:
-        data = data.withColumn(f, F.col(f).cast("double"))
-    data = data.persist(StorageLevel.MEMORY_AND_DISK)
+    data = _model_input(train, features, label).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return Pipeline(stages=_stages(features, model, params or {}, label, weight)).fit(data)
     finally:
@@ -83,20 +95,25 @@ def fit(train: DataFrame, features: list[str], label: str = "target", weight: st
 
 
 def tune(train: DataFrame, features: list[str], grid: dict[str, list], label: str = "target",
-         weight: str | None = "train_weight", folds: int = 5, parallelism: int = 4) -> PipelineModel:
-    """Grid search with stratified folds from ``fold`` (M2, W6), scored by accuracy; refits the best."""
-    data = train.withColumn("_label", F.col(label).cast("double"))
-    for f in features:
-        data = data.withColumn(f, F.col(f).cast("double"))
-    stages = _stages(features, "gbt", {}, label, weight)
-    gbt = stages[-1].getClassifier()
+         weight: str | None = "train_weight", folds: int = 5, parallelism: int = 4, model: str = "gbt") -> PipelineModel:
+    """Grid search with stratified folds from ``fold`` (M2, W6), scored by accuracy; refits the best.
+
+    The rows are persisted, so the plan above them runs once, not once per
+    grid point and fold.
+    """
+    data = _model_input(train, features, label).withColumn("fold", F.col("fold").cast("int")).persist(StorageLevel.MEMORY_AND_DISK)
+    stages = _stages(features, model, {}, label, weight)
+    inner = stages[-1].getClassifier() if model == "gbt" else stages[-1]
     pg = ParamGridBuilder()
     for k, vals in grid.items():
-        pg = pg.addGrid(gbt.getParam(k), vals)
+        pg = pg.addGrid(inner.getParam(k), vals)
     cv = CrossValidator(estimator=Pipeline(stages=stages), estimatorParamMaps=pg.build(),
                         evaluator=MulticlassClassificationEvaluator(labelCol="_label", metricName="accuracy"),
                         numFolds=folds, foldCol="fold", parallelism=parallelism, seed=42)
-    return cv.fit(data.withColumn("fold", F.col("fold").cast("int"))).bestModel
+    try:
+        return cv.fit(data).bestModel
+    finally:
+        data.unpersist()
 
 
 def score(model: PipelineModel, df: DataFrame, features: list[str]) -> DataFrame:
@@ -135,10 +152,9 @@ def feature_importance(model: PipelineModel, features: list[str]) -> DataFrame:
 def train_and_split(df: DataFrame, features: list[str], key: str = "match_id", label: str = "target",
                     model: str = "gbt", params: dict | None = None):
     """Split (W5), weight (P17), fit (M1); returns (model, test predictions)."""
-    split = training_weights(stratified_split(df, label, key))
+    split = weighted_split(df, key, label)
     m = fit(split.where(~F.col("is_test")), features, label, "train_weight", model, params)
-    preds = score(m, split.where(F.col("is_test")), features)
-    return m, preds
+    return m, score(m, split.where(F.col("is_test")), features)
 
 
 def save_run(model: PipelineModel, path: str, registry: str, run_name: str, accuracy: float | None,

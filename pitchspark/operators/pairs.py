@@ -2,27 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pitchspark.functions.elo import outcome_label
 
-# Largest entity table the unblocked pair matrix accepts. The output has
-# n(n-1)/2 rows by definition; beyond this size a block key (for example
-# the tournament group) is required.
-MAX_UNBLOCKED_ENTITIES = 200_000
-
-
 def feature_deltas(features: list[str], left: str = "a", right: str = "b",
                    prefix: str = "delta_") -> list[Column]:
     """One ``left.f - right.f`` column per feature (P18); null if either is null."""
     return [(F.col(f"{left}.{f}") - F.col(f"{right}.{f}")).alias(f"{prefix}{f}") for f in features]
 
 
-def first_per_key(dim: DataFrame, key: str, order: str) -> DataFrame:
-    """Keep the first row per key by ``order`` (J5, ``.iloc[0]``)."""
-    w = Window.partitionBy(key).orderBy(F.col(order))
-    return dim.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+def first_per_key(dim: DataFrame, key: str | Column, order: str) -> DataFrame:
+    """Keep the first row per key by ``order`` (J5, ``.iloc[0]``); one partial aggregate, no sort."""
+    k = F.col(key) if isinstance(key, str) else key
+    row = F.struct(order, *[c for c in dim.columns if c != order])
+    return dim.groupBy(k.alias("_k")).agg(F.min_by(row, F.col(order)).alias("_row")).select(*[f"_row.{c}" for c in dim.columns])
 
 
 def pair_matrix(dim: DataFrame, key: str, order: str, features: list[str],
@@ -30,29 +25,21 @@ def pair_matrix(dim: DataFrame, key: str, order: str, features: list[str],
     """All unordered pairs a < b (by ``order``) with feature deltas.
 
     With ``block`` the pairs stay inside a block (equi join plus range
-    condition). Without it the entity table is broadcast after its row
-    count is checked, and the theta join runs as a broadcast nested loop:
-    each task pairs its slice of left rows with the broadcast copy, so the
-    work is spread and proportional to the output.
+    condition): the form for tables that grow. Without it the result has
+    n(n-1)/2 rows by definition; it is meant for a tournament's few dozen
+    entities, and how the theta join runs is left to the planner.
     """
     cols = [key, order] + ([block] if block else []) + ([label] if label and label != key else []) + features
     cols = list(dict.fromkeys(cols))
     d = dim.select(*cols)
     a, b = d.alias("a"), d.alias("b")
     lab = label or key
+    cond = F.col(f"a.{order}") < F.col(f"b.{order}")
     if block:
-        cond = (F.col(f"a.{block}") == F.col(f"b.{block}")) & (F.col(f"a.{order}") < F.col(f"b.{order}"))
-        joined = a.join(b, cond, "inner")
-        head = [F.col(f"a.{block}").alias(block)]
-    else:
-        n = dim.count()
-        if n > MAX_UNBLOCKED_ENTITIES:
-            raise ValueError(f"{n} entities give {n * (n - 1) // 2} pairs; pass block=")
-        joined = a.join(F.broadcast(b), F.col(f"a.{order}") < F.col(f"b.{order}"), "inner")
-        head = []
-    return joined.select(*head,
-                         F.col(f"a.{lab}").alias("team_a"), F.col(f"b.{lab}").alias("team_b"),
-                         *feature_deltas(features))
+        cond = (F.col(f"a.{block}") == F.col(f"b.{block}")) & cond
+    head = [F.col(f"a.{block}").alias(block)] if block else []
+    return a.join(b, cond, "inner").select(*head, F.col(f"a.{lab}").alias("team_a"), F.col(f"b.{lab}").alias("team_b"),
+                                           *feature_deltas(features))
 
 
 def attach_sides(matches: DataFrame, dim: DataFrame, key: str, features: list[str],
@@ -77,11 +64,13 @@ def training_matrix(matches: DataFrame, dim: DataFrame, key: str, features: list
                     date_col: str = "date", decay_days: float = 1000.0) -> DataFrame:
     """Matches with side features, deltas, label, neutral flag and decay weight.
 
-    (J3, P16, P18, P19, P23, A9.) The latest date is a scalar subquery, not
-    a window over all rows.
+    (J3, P16, P18, P19, P23, A9.) Matches without a score or date are no
+    training rows. The decay counts back from the latest date of the rows that
+    survive the joins, a scalar subquery, not a window over all rows.
     """
-    sided = attach_sides(matches, dim, key, features)
-    latest = matches.select(F.max(date_col)).scalar()
+    played = matches.where(F.col(home).isNotNull() & F.col(away).isNotNull() & F.col(date_col).isNotNull())
+    sided = attach_sides(played, dim, key, features)
+    latest = sided.select(F.max(date_col)).scalar()
     days = F.floor((latest.cast("timestamp").cast("long") - F.col(date_col).cast("timestamp").cast("long")) / 86400)
     deltas = [(F.col(f"{f}_A") - F.col(f"{f}_B")).alias(f"delta_{f}") for f in features]
     return sided.select(
@@ -118,25 +107,23 @@ def reorient_probs(p: Column, reversed_flag: Column) -> Column:
     return F.when(reversed_flag, F.reverse(p)).otherwise(p)
 
 
-def pair_lookup(pairs: DataFrame, requests: DataFrame, features: list[str],
+def pair_lookup(dim: DataFrame, order: str, label: str, requests: DataFrame, features: list[str],
                 req_a: str = "req_a", req_b: str = "req_b") -> DataFrame:
-    """Order-insensitive lookup of (a, b) in a pair table.
+    """Order-insensitive lookup of (a, b) among the pairs of a dimension.
 
-    Both sides are keyed on ``least/greatest`` of the lower-cased names, so
-    one equi join finds (a, b) or (b, a); a pair found reversed has its
-    deltas negated. Requests without a pair are dropped (see J8).
+    Two equi joins on the lower-cased names and a subtraction: linear in the
+    requests, the pair table is never built. ``reversed`` marks requests whose
+    first entity comes second in the pair; their deltas are those of the pair
+    negated. Of names that differ in case only the first by ``order`` counts.
+    Requests without a pair are dropped (see J8).
     """
-    pk = pairs.select(F.least(F.lower("team_a"), F.lower("team_b")).alias("_k1"),
-                      F.greatest(F.lower("team_a"), F.lower("team_b")).alias("_k2"),
-                      F.lower("team_a").alias("_pa"), *[F.col(f"delta_{f}") for f in features])
-    rq = requests.select(req_a, req_b,
-                         F.least(F.lower(req_a), F.lower(req_b)).alias("_k1"),
-                         F.greatest(F.lower(req_a), F.lower(req_b)).alias("_k2"))
-    j = rq.join(pk, ["_k1", "_k2"], "inner")
-    rev = F.lower(F.col(req_a)) != F.col("_pa")
-    return j.select(req_a, req_b, rev.alias("reversed"),
-                    *[F.when(rev, -F.col(f"delta_{f}")).otherwise(F.col(f"delta_{f}")).alias(f"delta_{f}")
-                      for f in features])
+    one = first_per_key(dim.select(order, label, *features), F.lower(F.col(label)), order)
+    a = one.select(F.lower(label).alias("_ka"), F.col(order).alias("_oa"), *[F.col(f).alias(f"_a_{f}") for f in features])
+    b = one.select(F.lower(label).alias("_kb"), F.col(order).alias("_ob"), *[F.col(f).alias(f"_b_{f}") for f in features])
+    j = (requests.select(req_a, req_b, F.lower(req_a).alias("_ka"), F.lower(req_b).alias("_kb"))
+         .join(a, "_ka").join(b, "_kb").where("_oa <> _ob"))
+    return j.select(req_a, req_b, (F.col("_oa") > F.col("_ob")).alias("reversed"),
+                    *[(F.col(f"_a_{f}") - F.col(f"_b_{f}")).alias(f"delta_{f}") for f in features])
 
 
 def argmax_label(p: Column, names: list[str] | None = None) -> Column:

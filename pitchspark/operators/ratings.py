@@ -2,37 +2,39 @@
 
 Everything that does not depend on running state (result score, home
 advantage, competition weight, raw goal index) is computed as columns
-before the fold. The fold itself has two physical forms:
-
-* ``pool``: entities never meet across pools, so ``applyInPandas`` folds
-  each pool in parallel. Only numeric columns travel to Python. A pool must
-  fit one task; its size is checked first.
-* ``wavefront``: number each entity's matches once; a round takes every
-  match that is the next one for both of its entities (such matches touch
-  disjoint entities) and applies them with joins. Rounds continue until no
-  match is pending; state and pending matches are written to the shared
-  checkpoint folder each round, so a lost executor only recomputes one
-  round. It
-  equals the serial fold and handles pools of any size, at the price of
-  one round per step of the longest dependency chain.
-
-``elo_ratings`` chooses ``pool`` when every pool is within
-``max_pool_rows`` and ``wavefront`` otherwise.
+before the fold. The fold itself has two forms with equal results:
+
+* ``pool``: the caller names a column of groups whose entities never meet;
+  ``applyInPandas`` folds the groups in parallel. Only for groups that are
+  known to fit one task.
+* ``sliced`` (without a pool): the history is cut into slices of its
+  order, written once and partitioned by slice. Inside a slice the connected
+  components of the entities that meet are folded in parallel, each starting
+  from the state table; the slice's last ratings make the new state. Rounds
+  follow the calendar, a task holds one component of one slice, all state is
+  a table in the shared folder, and every match is in exactly one slice, so
+  none is lost and nothing switches by size.
 """
 
 from __future__ import annotations
 
+import math
+
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pitchspark.functions import elo as E
 from pitchspark.functions.money import strip_ws
 from pitchspark.functions.text import title_case
+from pitchspark.operators.graph import components
+from pitchspark.session import materialize
 
-MAX_POOL_ROWS = 5_000_000
-WAVEFRONT_MAX_ROUNDS = 1_000_000
+# Matches of one slice; a component of a slice must fit one task.
+SLICE_ROWS = 2_000_000
+# What the reference's text conversion makes of a missing team.
+NO_TEAM = "nan"
 
 
 def prepare_matches(df: DataFrame, team_a: str = "team_a", team_b: str = "team_b",
@@ -41,15 +43,15 @@ def prepare_matches(df: DataFrame, team_a: str = "team_a", team_b: str = "team_b
                     clean_names: bool = True) -> DataFrame:
     """Clean inputs and add the stateless terms of each match.
 
-    String team names are stripped and title-cased (P3); rows with a null
-    date or score are dropped (F1). Adds ``_t`` (order time), ``s``, ``h``,
+    String team names are stripped and title-cased (P3), a missing one is the
+    team ``Nan``; rows with a null date or score are dropped (F1). Adds ``_t`` (order time), ``s``, ``h``,
     ``k`` and ``g_raw``.
     """
     out = df
     if clean_names:
         for c in (team_a, team_b):
             if isinstance(df.schema[c].dataType, T.StringType):
-                out = out.withColumn(c, title_case(strip_ws(F.col(c))))
+                out = out.withColumn(c, title_case(strip_ws(F.coalesce(F.col(c), F.lit(NO_TEAM)))))
     out = out.dropna(subset=[date_col, home, away])
     neutral_col = F.col(neutral) if neutral and neutral in df.columns else F.lit(False)
     return (out.withColumn("_t", F.unix_micros(F.col(date_col).cast("timestamp")))
@@ -67,120 +69,91 @@ def _elo_step(ra: float, rb: float, s: float, h: float, k: float, g: float) -> f
     return k * g * (s - e)
 
 
-def _fold_pool(pdf: pd.DataFrame) -> pd.DataFrame:
+def _fold(pdf: pd.DataFrame) -> pd.DataFrame:
+    """The matches of one group in order; ``ra0``/``rb0`` are the ratings before the group's first match."""
     pdf = pdf.sort_values(["_t", "match_id"], kind="mergesort")
     ratings: dict = {}
-    ta, tb = pdf["team_a"].tolist(), pdf["team_b"].tolist()
-    s, h, k, g = (pdf[c].astype("float64").tolist() for c in ("s", "h", "k", "g_raw"))
+    ta, tb = pdf["_a"].tolist(), pdf["_b"].tolist()
+    s, h, k, g, ra0, rb0 = (pdf[c].astype("float64").tolist() for c in ("s", "h", "k", "g_raw", "ra0", "rb0"))
     n = len(ta)
     pre_a, pre_b, post_a, post_b = [0.0] * n, [0.0] * n, [0.0] * n, [0.0] * n
-    init = E.INITIAL_RATING
     for i in range(n):
-        ra = ratings.get(ta[i], init)
-        rb = ratings.get(tb[i], init)
+        ra = ratings.get(ta[i], ra0[i])
+        rb = ratings.get(tb[i], rb0[i])
         x = _elo_step(ra, rb, s[i], h[i], k[i], g[i])
         ratings[ta[i]] = ra + x
         ratings[tb[i]] = rb - x
         pre_a[i], pre_b[i], post_a[i], post_b[i] = ra, rb, ra + x, rb - x
-    return pd.DataFrame({"match_id": pdf["match_id"].to_numpy(), "elo_a": pre_a, "elo_b": pre_b,
-                         "post_a": post_a, "post_b": post_b})
+    return pd.DataFrame({"match_id": pdf["match_id"].to_numpy(), "_t": pdf["_t"].to_numpy(), "_a": ta, "_b": tb,
+                         "elo_a": pre_a, "elo_b": pre_b, "post_a": post_a, "post_b": post_b})
 
 
-FOLD_SCHEMA = "match_id long, elo_a double, elo_b double, post_a double, post_b double"
+FOLD_SCHEMA = "match_id long, _t long, _a string, _b string, elo_a double, elo_b double, post_a double, post_b double"
+_RESULT = ["match_id", "elo_a", "elo_b", "post_a", "post_b"]
 
 
-def _pool_fold(prepared: DataFrame, pool: str | None) -> DataFrame:
-    cols = ["match_id", "_t", "team_a", "team_b", "s", "h", "k", "g_raw"]
-    src = prepared.select(*(cols + ([pool] if pool else [])))
-    src = src.withColumn("match_id", F.col("match_id").cast("long"))
-    grouped = src.groupBy(pool) if pool else src.groupBy(F.lit(0).alias("_pool"))
-    return grouped.applyInPandas(_fold_pool, FOLD_SCHEMA)
+def _team_key(c: str) -> Column:
+    """A team as the fold's key; a missing one is a team like any other."""
+    return F.coalesce(F.col(c).cast("string"), F.lit(NO_TEAM))
 
 
-def _materialize(df: DataFrame, path: str) -> DataFrame:
-    """Write to the shared checkpoint folder and read back.
+def _terms(prepared: DataFrame, *more: str) -> DataFrame:
+    return prepared.select(F.col("match_id").cast("long").alias("match_id"), "_t", _team_key("team_a").alias("_a"),
+                           _team_key("team_b").alias("_b"), "s", "h", "k", "g_raw", *more)
 
-    Cuts the lineage like ``checkpoint()`` but, unlike it, the re-read
-    table carries its real size: a checkpoint keeps the statistics of the
-    plan it replaced, and a round-by-round join would multiply them.
-    """
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
 
+def _pool_fold(prepared: DataFrame, pool: str) -> DataFrame:
+    start = F.lit(E.INITIAL_RATING)
+    rows = _terms(prepared, pool).withColumn("ra0", start).withColumn("rb0", start)
+    return rows.groupBy(pool).applyInPandas(_fold, FOLD_SCHEMA).select(_RESULT)
 
-def _wavefront_fold(prepared: DataFrame) -> DataFrame:
-    import uuid
 
-    from pitchspark.session import ensure_checkpoint_dir
+def _last(rows: DataFrame) -> DataFrame:
+    """team, rating after its last match of ``rows``."""
+    def side(team: str, post: str, n: int) -> Column:
+        return F.struct(F.col(team).alias("team"), F.struct("_t", "match_id", F.lit(n)).alias("at"), F.col(post).alias("rating"))
+    both = rows.select(F.explode(F.array(side("_a", "post_a", 0), side("_b", "post_b", 1))).alias("x")).select("x.*")
+    return both.groupBy("team").agg(F.max_by("rating", "at").alias("rating"))
 
+
+def _sliced_fold(prepared: DataFrame, slice_rows: int) -> DataFrame:
+    matches = materialize(_terms(prepared), "elo-matches")
+    n = matches.count()
+    slices = max(1, math.ceil(n / slice_rows))
+    # One number per slice; equal times fall into one slice, so the order across slices is strict.
+    bounds = sorted(set(matches.approxQuantile("_t", [i / slices for i in range(1, slices)], 0.1 / slices))) if slices > 1 else []
+    number = F.size(F.filter(F.array(*[F.lit(int(b)) for b in bounds]), lambda b: b <= F.col("_t"))) if bounds else F.lit(0)
+    if bounds:
+        matches = materialize(matches.withColumn("_slice", number).repartition("_slice"), "elo-slices")
+    else:
+        matches = matches.withColumn("_slice", number)
     spark = prepared.sparkSession
-    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/elo-wavefront-{uuid.uuid4().hex}"
-    m = prepared.select(F.col("match_id").cast("long").alias("match_id"), "_t", "team_a", "team_b",
-                        "s", "h", "k", "g_raw")
-    sides = (m.select("match_id", "_t", F.col("team_a").alias("team"), F.lit(0).alias("side"))
-             .unionByName(m.select("match_id", "_t", F.col("team_b").alias("team"), F.lit(1).alias("side"))))
-    # Per-entity match numbers; a hot entity is numbered in time ranges.
-    from pitchspark.operators.features import position_within
-    seq = position_within(sides, ["team"], "_t", ["match_id", "side"], "seq")
-    pending = _materialize(
-        m.join(seq.where("side = 0").select("match_id", F.col("seq").alias("seq_a")), "match_id")
-         .join(seq.where("side = 1").select("match_id", F.col("seq").alias("seq_b")), "match_id"),
-        f"{base}/pending-0")
-    state = _materialize(seq.select("team").distinct()
-                         .select("team", F.lit(1).alias("next_seq"), F.lit(E.INITIAL_RATING).alias("rating")),
-                         f"{base}/state-0")
-    e = 1.0 / (1.0 + F.pow(F.lit(10.0), (F.col("rb") - (F.col("ra") + F.col("h"))) / F.lit(E.ELO_SCALE)))
-    capped = ((F.col("s") == 1.0) & (F.col("e") > E.FAVOURITE_EXPECTATION)) | \
-             ((F.col("s") == 0.0) & ((1.0 - F.col("e")) > E.FAVOURITE_EXPECTATION))
-    g = F.when(capped, F.least(F.col("g_raw"), F.lit(E.GD_CAP))).otherwise(F.col("g_raw"))
-    rounds = 0
-    while True:
-        rounds += 1
-        if rounds > WAVEFRONT_MAX_ROUNDS:
-            raise RuntimeError("wavefront did not converge")
-        sa = state.select(F.col("team").alias("team_a"), F.col("next_seq").alias("seq_a"), F.col("rating").alias("ra"))
-        sb = state.select(F.col("team").alias("team_b"), F.col("next_seq").alias("seq_b"), F.col("rating").alias("rb"))
-        ready = _materialize(
-            pending.join(sa, ["team_a", "seq_a"]).join(sb, ["team_b", "seq_b"])
-                   .withColumn("e", e).withColumn("x", F.col("k") * g * (F.col("s") - F.col("e")))
-                   .select("match_id", "team_a", "team_b",
-                           F.col("ra").alias("elo_a"), F.col("rb").alias("elo_b"),
-                           (F.col("ra") + F.col("x")).alias("post_a"), (F.col("rb") - F.col("x")).alias("post_b")),
-            f"{base}/done/round={rounds}")
-        if ready.isEmpty():
-            break
-        upd = (ready.select(F.col("team_a").alias("team"), F.col("post_a").alias("new_rating"))
-               .unionByName(ready.select(F.col("team_b").alias("team"), F.col("post_b").alias("new_rating"))))
-        state = _materialize(
-            state.join(upd, "team", "left")
-                 .select("team",
-                         (F.col("next_seq") + F.when(F.col("new_rating").isNotNull(), 1).otherwise(0)).alias("next_seq"),
-                         F.coalesce("new_rating", "rating").alias("rating")),
-            f"{base}/state-{rounds}")
-        pending = _materialize(pending.join(ready.select("match_id"), "match_id", "left_anti"),
-                               f"{base}/pending-{rounds}")
-    return spark.read.parquet(f"{base}/done").select("match_id", "elo_a", "elo_b", "post_a", "post_b")
-
-
-def elo_ratings(prepared: DataFrame, pool: str | None = None, method: str = "auto",
-                max_pool_rows: int = MAX_POOL_ROWS) -> DataFrame:
-    """Pre-match ratings per match: ``match_id, elo_a, elo_b, post_a, post_b``.
-
-    ``prepared`` comes from :func:`prepare_matches`. ``method`` is
-    ``pool``, ``wavefront`` or ``auto`` (pool when the largest pool is
-    within ``max_pool_rows``).
+    state = spark.createDataFrame([], "team string, rating double")
+    done = None
+    for i in range(len(bounds) + 1):
+        part = matches.where(F.col("_slice") == i).drop("_slice")
+        of = components(part.select(F.col("_a").alias("a"), F.col("_b").alias("b")))
+        start = F.lit(E.INITIAL_RATING)
+        rows = (part.join(of.select(F.col("node").alias("_a"), "component"), "_a")
+                    .join(state.select(F.col("team").alias("_a"), F.col("rating").alias("ra0")), "_a", "left")
+                    .join(state.select(F.col("team").alias("_b"), F.col("rating").alias("rb0")), "_b", "left")
+                    .withColumn("ra0", F.coalesce("ra0", start)).withColumn("rb0", F.coalesce("rb0", start)))
+        folded = materialize(rows.groupBy("component").applyInPandas(_fold, FOLD_SCHEMA), "elo-done")
+        done = folded if done is None else done.unionByName(folded)
+        if i < len(bounds):
+            last = _last(folded)
+            state = materialize(state.join(last.select("team"), "team", "left_anti").unionByName(last), "elo-state")
+    return done.select(_RESULT)
+
+
+def elo_ratings(prepared: DataFrame, pool: str | None = None, slice_rows: int = SLICE_ROWS) -> DataFrame:
+    """Ratings around each match: ``match_id, elo_a, elo_b, post_a, post_b``.
+
+    ``prepared`` comes from :func:`prepare_matches`. With ``pool`` its groups
+    are folded in parallel, without it the history in slices of about
+    ``slice_rows`` matches.
     """
-    if method == "auto":
-        if pool:
-            biggest = prepared.groupBy(pool).count().agg(F.max("count")).first()[0] or 0
-        else:
-            biggest = prepared.count()
-        method = "pool" if biggest <= max_pool_rows else "wavefront"
-    if method == "pool":
-        return _pool_fold(prepared, pool)
-    if method == "wavefront":
-        return _wavefront_fold(prepared)
-    raise ValueError(method)
+    return _pool_fold(prepared, pool) if pool else _sliced_fold(prepared, slice_rows)
 
 
 def elo_history(prepared: DataFrame, folded: DataFrame) -> DataFrame:
@@ -192,13 +165,12 @@ def elo_history(prepared: DataFrame, folded: DataFrame) -> DataFrame:
 
 def final_ratings(history: DataFrame, date_col: str = "date", entity: str = "team") -> DataFrame:
     """Rating after each entity's last match and that match's date."""
-    sides = (history.select(F.col("team_a").alias(entity), "_t", "match_id", F.col(date_col).alias("_d"),
-                            F.col("post_a").alias("_r"), F.lit(0).alias("_side"))
-             .unionByName(history.select(F.col("team_b").alias(entity), "_t", "match_id", F.col(date_col).alias("_d"),
-                                         F.col("post_b").alias("_r"), F.lit(1).alias("_side"))))
-    order = F.struct("_t", "match_id", "_side")
-    return sides.groupBy(entity).agg(F.max_by("_r", order).alias("elo_rating"),
-                                     F.max("_d").alias("last_date"))
+    def side(team: str, post: str, n: int) -> Column:
+        return F.struct(F.col(team).alias(entity), F.struct("_t", "match_id", F.lit(n)).alias("_at"), F.col(date_col).alias("_d"), F.col(post).alias("_r"))
+
+    # Both sides from one row: the fold below runs once.
+    sides = history.select(F.explode(F.array(side("team_a", "post_a", 0), side("team_b", "post_b", 1))).alias("_x")).select("_x.*")
+    return sides.groupBy(entity).agg(F.max_by("_r", "_at").alias("elo_rating"), F.max("_d").alias("last_date"))
 
 
 def active_leaderboard(final: DataFrame, cutoff: str, entity: str = "team") -> DataFrame:

@@ -1,4 +1,4 @@
-"""Points tables, positions, wild cards and stage-reach rates."""
+"""Points tables, positions, position counts, wild cards and stage-reach rates."""
 
 from __future__ import annotations
 
@@ -13,17 +13,20 @@ def points_table(results: DataFrame, keys: list[str], outcome: str = "outcome",
                  team_a: str = "team_a", team_b: str = "team_b") -> DataFrame:
     """Points per (keys..., team) from outcomes 2 (A wins) / 1 (draw) / 0 (B wins) (A10).
 
-    Both sides are stacked and summed; partial aggregation runs before the
-    shuffle, so a hot key only ships one partial row per map task.
+    One pass: each match gives both of its sides; matches without an outcome
+    (not played yet) give none. Partial aggregation runs before the shuffle,
+    so a hot key only ships one partial row per map task.
     """
     o = F.col(outcome)
-    a = results.select(*keys, F.col(team_a).alias("team"),
-                       F.when(o == 2, WIN_POINTS).when(o == 1, DRAW_POINTS).otherwise(LOSS_POINTS).alias("pts"),
-                       (o == 2).cast("int").alias("w"), (o == 1).cast("int").alias("d"), (o == 0).cast("int").alias("l"))
-    b = results.select(*keys, F.col(team_b).alias("team"),
-                       F.when(o == 0, WIN_POINTS).when(o == 1, DRAW_POINTS).otherwise(LOSS_POINTS).alias("pts"),
-                       (o == 0).cast("int").alias("w"), (o == 1).cast("int").alias("d"), (o == 2).cast("int").alias("l"))
-    return (a.unionByName(b).groupBy(*keys, "team")
+
+    def side(team: str, won: int, lost: int) -> Column:
+        return F.struct(F.col(team).alias("team"),
+                        F.when(o == won, WIN_POINTS).when(o == 1, DRAW_POINTS).otherwise(LOSS_POINTS).alias("pts"),
+                        (o == won).cast("int").alias("w"), (o == 1).cast("int").alias("d"), (o == lost).cast("int").alias("l"))
+
+    both = (results.where(o.isNotNull())
+            .select(*keys, F.explode(F.array(side(team_a, 2, 0), side(team_b, 0, 2))).alias("s")).select(*keys, "s.*"))
+    return (both.groupBy(*keys, "team")
              .agg(F.count(F.lit(1)).alias("played"), F.sum("w").alias("wins"), F.sum("d").alias("draws"),
                   F.sum("l").alias("losses"), F.sum("pts").alias("points")))
 
@@ -53,35 +56,10 @@ def stage_rates(log: DataFrame, run: str = "run_id", entity: str = "entity", sta
                .withColumn("pct", F.col("runs") / total * 100.0))
 
 
-def group_scenarios(pair_probs: DataFrame, teams: DataFrame, n_runs: int, seed: int = 42,
-                    best_thirds: int = 8) -> DataFrame:
-    """Scenario analysis over group pairs.
+def position_counts(ranked: DataFrame, keys: list[str], best: int = 3) -> DataFrame:
+    """How often each (keys..., team) finished first to ``best``-th over its tables, and in how many it stood.
 
-    ``pair_probs``: ``grp, team_a, team_b, p0, p1, p2`` oriented to
-    (team_a, team_b): p2 = team_a wins. ``teams``: ``grp, team, rating,
-    slot``. Every pair is drawn once per run from a hash of
-    ``seed|run|grp|team_a|team_b``; points give positions (points, then
-    rating, then slot); the best third-placed teams across groups also
-    advance. Returns per team the share of runs (x100) finishing first,
-    second, third and advancing.
+    ``ranked`` has one row per team and table with its ``position``.
     """
-    from pitchspark.functions.draws import categorical, uniform
-    from pitchspark.operators.sampling import replicate
-    runs = replicate(pair_probs.select("grp", "team_a", "team_b", "p0", "p1"), n_runs)
-    u = uniform(seed, F.col("run"), F.col("grp").cast("string"), F.col("team_a"), F.col("team_b"))
-    drawn = runs.withColumn("outcome", categorical(u, "p0", "p1"))
-    table = points_table(drawn, ["run", "grp"], "outcome")
-    # The team table grows with the data: no broadcast hint; AQE broadcasts
-    # it only when its measured size is under the threshold.
-    t = teams.select("grp", "team", "rating", "slot")
-    ranked = rank_in_group(table.join(t, ["grp", "team"]), ["run", "grp"],
-                           [F.col("points").desc(), F.col("rating").desc(), F.col("slot").asc()])
-    wc = (wild_cards(ranked, ["run"], [F.col("points").desc(), F.col("rating").desc(), F.col("slot").asc()],
-                     place=3, k=best_thirds)
-          .select("run", "grp", "team", F.lit(True).alias("wild")))
-    marked = ranked.join(wc, ["run", "grp", "team"], "left")
-    adv = (F.col("position") <= 2) | F.col("wild").isNotNull()
-    return (marked.groupBy("grp", "team")
-                  .agg(*[(F.count_if(F.col("position") == i) / F.lit(n_runs) * 100.0).alias(f"pct_{name}")
-                         for i, name in ((1, "first"), (2, "second"), (3, "third"))],
-                       (F.count_if(adv) / F.lit(n_runs) * 100.0).alias("pct_advance")))
+    return (ranked.groupBy(*keys, "team")
+            .agg(F.count(F.lit(1)).alias("tables"), *[F.count_if(F.col("position") == i).alias(f"times_{i}") for i in range(1, best + 1)]))

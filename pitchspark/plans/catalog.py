@@ -16,9 +16,9 @@ from pitchspark.operators import evaluate as ev
 from pitchspark.operators import features as feat
 from pitchspark.operators import pairs as pr
 from pitchspark.operators import ratings as rt
-from pitchspark.operators import sampling as sm
 from pitchspark.operators import similarity as sim
 from pitchspark.operators import standings as st
+from pitchspark.session import materialize, shared_path
 from pitchspark.sources.fixtures import fixture
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -50,7 +50,7 @@ def form_rating(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def average_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     ent = fixture(spark, sf_dir, "fx_entity")
-    out = feat.average_rank_desc(ent.select("entity_id", "f_cnt"), "f_cnt", "avg_rank", buckets=16)
+    out = feat.average_rank_desc(ent.select("entity_id", "f_cnt"), "f_cnt", "avg_rank")
     return out.select("entity_id", "f_cnt", _r("avg_rank"))
 
 
@@ -59,8 +59,8 @@ ENTITY_FEATURES = ["f_cnt", "f_value", "f_max"]
 
 def pair_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     ent = fixture(spark, sf_dir, "fx_entity")
-    out = pr.pair_matrix(ent, "entity_id", "entity_id", ENTITY_FEATURES, label="country")
-    return out.select("team_a", "team_b", *[_r(f"delta_{f}") for f in ENTITY_FEATURES])
+    out = pr.pair_matrix(ent, "entity_id", "entity_id", ENTITY_FEATURES, block="nation", label="country")
+    return out.select("nation", "team_a", "team_b", *[_r(f"delta_{f}") for f in ENTITY_FEATURES])
 
 
 def training_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,10 +71,13 @@ def training_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
                       *[_r(f"delta_{f}") for f in ENTITY_FEATURES], "is_neutral", "days_ago", _r("match_weight"))
 
 
-def _elo(spark: SparkSession, sf_dir: str, method: str = "auto"):
+def _elo(spark: SparkSession, sf_dir: str, pool: str | None = "pool"):
+    """Match history with ratings; the teams of different pools never meet."""
     prepared = rt.prepare_matches(fixture(spark, sf_dir, "fx_matches"))
-    folded = rt.elo_ratings(prepared, pool="pool", method=method)
-    return rt.elo_history(prepared, folded)
+    return rt.elo_history(prepared, rt.elo_ratings(prepared, pool=pool, slice_rows=ELO_SLICE_ROWS))
+
+
+ELO_SLICE_ROWS = 50_000
 
 
 def elo_history(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,6 +85,12 @@ def elo_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return h.select("match_id", "pool", "team_a", "team_b", _r("elo_a"), _r("elo_b"), _r("delta_elo"))
 
 
+def elo_history_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same history folded as one global pool, in slices of its order."""
+    h = _elo(spark, sf_dir, pool=None)
+    return h.select("match_id", "pool", "team_a", "team_b", _r("elo_a"), _r("elo_b"), _r("delta_elo"))
+
+
 ELO_CUTOFF = "1998-01-01"
 
 
@@ -114,13 +123,20 @@ def wild_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("pool", "team", "points", "wildcard_rank")
 
 
-N_RUNS = 1000
+def standings_by_rating(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Positions with ties broken by the final rating."""
+    ratings = rt.final_ratings(_elo(spark, sf_dir)).select("team", _r("elo_rating"))
+    table = st.points_table(_match_outcomes(spark, sf_dir), ["pool"]).join(ratings, "team")
+    ranked = st.rank_in_group(table, ["pool"], [F.col("points").desc(), F.col("elo_rating").desc(), F.col("team").asc()])
+    return ranked.select("pool", "team", "points", "elo_rating", "position")
 
 
-def outcome_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
-    probs = fixture(spark, sf_dir, "fx_probs")
-    out = sm.outcome_shares(probs, "pair_id", "p0", "p1", N_RUNS, seed=42)
-    return out.select("pair_id", _r("pct_0"), _r("pct_1"), _r("pct_2"))
+def position_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often each team came first, second and third over its pool's yearly tables."""
+    played = _match_outcomes(spark, sf_dir).where("date is not null").withColumn("year", F.year("date"))
+    table = st.points_table(played, ["year", "pool"])
+    ranked = st.rank_in_group(table, ["year", "pool"], [F.col("points").desc(), F.col("team").asc()])
+    return st.position_counts(ranked, ["pool"])
 
 
 def stage_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -155,14 +171,13 @@ def run_leaderboard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def pair_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     ent = fixture(spark, sf_dir, "fx_entity")
-    pairs = pr.pair_matrix(ent, "entity_id", "entity_id", ENTITY_FEATURES, label="country")
     # Requests: each entity against the next one, asked in reverse order
     # for odd ids, in upper case to exercise the case-insensitive match.
     nxt = ent.select(F.col("entity_id").alias("e1"), "country")
     req = (nxt.alias("x").join(nxt.alias("y"), F.col("y.e1") == F.col("x.e1") + 1)
               .select(F.when(F.col("x.e1") % 2 == 1, F.upper(F.col("y.country"))).otherwise(F.col("x.country")).alias("req_a"),
                       F.when(F.col("x.e1") % 2 == 1, F.col("x.country")).otherwise(F.col("y.country")).alias("req_b")))
-    out = pr.pair_lookup(pairs, req, ENTITY_FEATURES)
+    out = pr.pair_lookup(ent, "entity_id", "country", req, ENTITY_FEATURES)
     return out.select("req_a", "req_b", "reversed", *[_r(f"delta_{f}") for f in ENTITY_FEATURES])
 
 
@@ -177,59 +192,83 @@ def probs_label(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.round(pr.two_way(F.col("p0"), F.col("p2")), DECIMALS).alias("p_two_way"))
 
 
-def _appearances(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _minutes(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Minutes per normalised name (S3 output shape, P6, A1)."""
     from pitchspark.functions.money import numeric_or_zero
     from pitchspark.functions.text import join_key
-    app = fixture(spark, sf_dir, "fx_appearances")
-    return feat.sum_by_key(app, join_key("player"), numeric_or_zero("minutes"), "match_name", "minutes")
+    return feat.sum_by_key(fixture(spark, sf_dir, name), join_key("player"), numeric_or_zero("minutes"), "match_name", "minutes")
 
 
-def fuzzy_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _fuzzy(names: DataFrame, minutes: DataFrame) -> DataFrame:
+    """``names`` (with ``name``) and the best match of each: best_key, score, value."""
     from pitchspark.functions.text import join_key
-    q = fixture(spark, sf_dir, "fx_fuzzy_queries").withColumn("match_name", join_key("name"))
-    best = sim.fuzzy_best_match(q, _appearances(spark, sf_dir), "match_name", "match_name", "minutes", 85)
-    return (q.join(best, "match_name", "left")
-             .select("query_id", "best_key", "score", F.round("value", DECIMALS).alias("minutes")))
+    keyed = names.withColumn("match_name", join_key("name"))
+    return keyed.join(sim.fuzzy_best_match(keyed, minutes, "match_name", "match_name", "minutes", 85), "match_name", "left")
 
 
-def experience(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Mean of the 15 largest matched minutes per entity.
+def fuzzy_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = _fuzzy(fixture(spark, sf_dir, "fx_fuzzy_queries"), _minutes(spark, sf_dir, "fx_appearances"))
+    return out.select("query_id", "best_key", "score", F.round("value", DECIMALS).alias("minutes"))
 
-    The entity of a query name is the brand of its part.
-    """
-    from pitchspark.functions.text import join_key
-    q = (fixture(spark, sf_dir, "fx_fuzzy_queries").withColumn("match_name", join_key("name"))
-         .join(spark.read.parquet(f"{sf_dir}/part.parquet").select(F.col("p_partkey").alias("query_id"),
-                                                                   F.col("p_brand").alias("country")), "query_id"))
-    best = sim.fuzzy_best_match(q, _appearances(spark, sf_dir), "match_name", "match_name", "minutes", 85)
-    mins = q.join(best, "match_name", "left").select("country", F.col("value").alias("minutes"))
-    out = feat.top_n_mean(mins, "country", "minutes", 15, "experience_minutes")
+
+def _experience(names: DataFrame, minutes: DataFrame, out: str) -> DataFrame:
+    """Mean of the 15 largest matched minutes per entity."""
+    return feat.top_n_mean(_fuzzy(names, minutes).select("country", F.col("value").alias("minutes")), "country", "minutes", 15, out)
+
+
+def experience(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = _experience(fixture(spark, sf_dir, "fx_fuzzy_queries"), _minutes(spark, sf_dir, "fx_appearances"), "experience_minutes")
     return out.select("country", _r("experience_minutes"))
 
 
-def _roster_minutes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from pitchspark.functions.text import join_key
-    roster = fixture(spark, sf_dir, "fx_roster").withColumn("match_name", join_key("name"))
-    best = sim.fuzzy_best_match(roster, _appearances(spark, sf_dir), "match_name", "match_name", "minutes", 85)
-    mins = roster.join(best, "match_name", "left").select("country", F.col("value").alias("minutes"))
-    return feat.top_n_mean(mins, "country", "minutes", 15, "ucl_minutes")
+def tournament_experience(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = _experience(fixture(spark, sf_dir, "fx_roster"), _minutes(spark, sf_dir, "fx_tournaments"), "tournament_minutes")
+    return out.select("country", _r("tournament_minutes"))
 
 
 MASTER_COLUMNS = ["country", "total_market_value", "median_top11_value", "chemistry_score",
-                  "current_form_rating", "top5_league_density", "ucl_minutes", "log_squad_value",
-                  "fifa_rank", "fifa_points", "tm_value_rank"]
+                  "current_form_rating", "top5_league_density", "ucl_minutes", "tournament_minutes", "log_squad_value",
+                  "fifa_rank", "fifa_points", "elo_rating", "tm_value_rank"]
+PAIR_FEATURES = ["total_market_value", "median_top11_value", "chemistry_score", "current_form_rating", "ucl_minutes", "tournament_minutes",
+                 "tm_value_rank", "fifa_rank", "fifa_points", "top5_league_density"]
 
 
-def master(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _country_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepared = rt.prepare_matches(fixture(spark, sf_dir, "fx_country_matches"))
+    return rt.elo_history(prepared, rt.elo_ratings(prepared, slice_rows=ELO_SLICE_ROWS))
+
+
+def _master(spark: SparkSession, sf_dir: str, history: DataFrame | None = None) -> DataFrame:
     roster = feat.clean_roster(fixture(spark, sf_dir, "fx_roster"))
     uni = feat.league_universe(fixture(spark, sf_dir, "fx_league_ratings"), feat.league_weights_df(spark))
-    feats = [feat.group_cohesion(roster),
-             feat.form_rating(roster, uni),
-             _roster_minutes(spark, sf_dir),
+    feats = [feat.group_cohesion(roster), feat.form_rating(roster, uni),
+             _experience(roster, _minutes(spark, sf_dir, "fx_appearances"), "ucl_minutes"),
+             _experience(roster, _minutes(spark, sf_dir, "fx_tournaments"), "tournament_minutes"),
              feat.squad_value(roster).select("country", "log_squad_value")]
-    m = feat.build_master(feat.squad_base(roster), feats, rankings=None)
-    return m.select("country", *[_r(c) for c in MASTER_COLUMNS[1:]])
+    history = _country_history(spark, sf_dir) if history is None else history
+    elo = rt.final_ratings(history, entity="country")
+    return feat.build_master(feat.squad_base(roster), feats, fixture(spark, sf_dir, "fx_rankings"), elo, dedupe=True)
+
+
+def master(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _master(spark, sf_dir).select("country", *[_r(c) for c in MASTER_COLUMNS[1:]])
+
+
+def master_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pairs of the master's countries with the ten deltas and that of the ratings."""
+    m = materialize(_master(spark, sf_dir), "master")
+    out = pr.pair_matrix(m, "country", "country", [*PAIR_FEATURES, "elo_rating"])
+    return out.select("team_a", "team_b", *[_r(f"delta_{f}") for f in [*PAIR_FEATURES, "elo_rating"]])
+
+
+def master_training(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Played country matches with the master's ten deltas and the pre-match rating delta, joined on cleaned names."""
+    history = materialize(_country_history(spark, sf_dir), "country-history")
+    m = materialize(_master(spark, sf_dir, history), "master")
+    # prepare_matches has stripped and title-cased the teams, build_master the countries.
+    out = pr.training_matrix(history, m, "country", PAIR_FEATURES).join(history.select("match_id", "delta_elo"), "match_id")
+    return out.select("match_id", "team_a", "team_b", "target", *[_r(f"delta_{f}") for f in PAIR_FEATURES], _r("delta_elo"),
+                      "is_neutral", "days_ago", _r("match_weight"))
 
 
 def training_with_elo(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -242,10 +281,6 @@ def training_with_elo(spark: SparkSession, sf_dir: str) -> DataFrame:
                       _r("match_weight"), _r("elo_a"), _r("elo_b"), _r("delta_elo"))
 
 
-SCENARIO_RUNS = 1000
-SCENARIO_BEST_THIRDS = 8
-
-
 def group_pair_probs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs inside each group, host orientation and re-oriented probabilities.
 
@@ -269,28 +304,124 @@ def group_probabilities(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("grp", "team_a", "team_b", "reversed", "is_neutral", _r("p0"), _r("p1"), _r("p2"))
 
 
-def group_scenarios(spark: SparkSession, sf_dir: str) -> DataFrame:
-    teams = fixture(spark, sf_dir, "fx_team_groups")
-    out = st.group_scenarios(group_pair_probs(spark, sf_dir), teams, SCENARIO_RUNS, seed=42,
-                             best_thirds=SCENARIO_BEST_THIRDS)
-    return out.select("grp", "team", _r("pct_first"), _r("pct_second"), _r("pct_third"), _r("pct_advance"))
+MODEL_FEATURES = [f"delta_{f}" for f in ENTITY_FEATURES] + ["delta_elo", "is_neutral"]
 
 
-MODEL_FEATURES = [f"delta_{f}" for f in ENTITY_FEATURES] + ["delta_elo", "is_neutral"]
+def _model_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tm = pr.training_matrix(fixture(spark, sf_dir, "fx_matches"), fixture(spark, sf_dir, "fx_team"), "team", ENTITY_FEATURES)
+    return tm.join(_elo(spark, sf_dir).select("match_id", "delta_elo"), "match_id")
+
+
+def _metrics(*named) -> list:
+    return [F.struct(F.lit(n).alias("metric"), F.round(v.cast("double"), DECIMALS).alias("value")) for n, v in named]
+
+
+def _prediction_checks(preds: DataFrame, split: DataFrame) -> DataFrame:
+    """metric, value: what any correct fit must give exactly (a fit itself has no SQL)."""
+    off = F.abs(F.aggregate("p", F.lit(0.0), lambda a, x: a + x) - 1) > 1e-9
+    of_preds = preds.agg(*[F.count_if(F.col("target") == c).alias(f"n{c}") for c in range(3)],
+                         F.count_if(off | F.exists("p", lambda x: (x < 0) | (x > 1))).alias("off"),
+                         F.count_if(~F.coalesce(F.col("prediction").isin(0, 1, 2), F.lit(False))).alias("outside"))
+    of_preds = of_preds.select(F.explode(F.array(*_metrics(*[(f"support_{c}", F.col(f"n{c}")) for c in range(3)],
+                                                           ("probability_off", F.col("off")), ("outside_classes", F.col("outside"))))).alias("m"))
+    of_split = split.agg(F.count_if(~F.col("is_test")).alias("train"), F.sum(F.when(~F.col("is_test"), F.col("train_weight"))).alias("weight"))
+    of_split = of_split.select(F.explode(F.array(*_metrics(("train_rows", F.col("train")), ("train_weight", F.col("weight"))))).alias("m"))
+    return of_preds.unionByName(of_split).select("m.*")
 
 
 def train_evaluate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Weighted boosted trees on the training matrix, scored on the 20% split.
+    """Weighted boosted trees on the 80% split, scored on the rest."""
+    from pitchspark.operators import learn as ml
+    split = ml.weighted_split(_model_rows(spark, sf_dir), "match_id", "target")
+    model = ml.fit(split.where("not is_test"), MODEL_FEATURES, "target", "train_weight", "gbt")
+    return _prediction_checks(ml.score(model, split.where("is_test"), MODEL_FEATURES), split)
 
-    Rows-only check: model fitting has no SQL equivalent.
-    """
+
+def grid_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two penalties by stratified folds, the best refitted (M2, W6): folds and what the chosen model must satisfy."""
     from pitchspark.operators import learn as ml
-    matches = fixture(spark, sf_dir, "fx_matches")
-    tm = pr.training_matrix(matches, fixture(spark, sf_dir, "fx_team"), "team", ENTITY_FEATURES)
-    data = tm.join(_elo(spark, sf_dir).select("match_id", "delta_elo"), "match_id")
-    _, preds = ml.train_and_split(data, MODEL_FEATURES, key="match_id", label="target", model="gbt")
-    return ev.class_report(preds, "target", "prediction").select(
-        "class", _r("precision"), _r("recall"), _r("f1"), "support")
+    split = ml.weighted_split(_model_rows(spark, sf_dir), "match_id", "target")
+    train = split.where("not is_test")
+    model = ml.tune(train, MODEL_FEATURES, {"regParam": [0.0, 0.1]}, "target", "train_weight", model="logreg")
+    chosen = model.stages[-1].getRegParam()
+    folds = train.groupBy("fold").count().select(F.concat(F.lit("fold_"), F.col("fold").cast("string")).alias("metric"), F.col("count").cast("double").alias("value"))
+    grid = spark.range(1).select(F.lit("chosen_in_grid").alias("metric"), F.lit(float(chosen in (0.0, 0.1))).alias("value"))
+    return folds.unionByName(grid).unionByName(_prediction_checks(ml.score(model, split.where("is_test"), MODEL_FEATURES), split))
+
+
+def batch_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row scored by a saved and reloaded model (M3, M6, S8); the label is the first largest probability."""
+    from pitchspark.operators import learn as ml
+    split = ml.weighted_split(_model_rows(spark, sf_dir), "match_id", "target")
+    model = ml.fit(split.where("not is_test"), MODEL_FEATURES, "target", "train_weight", "logreg")
+    base = shared_path(spark, "runs")
+    ml.save_run(model, f"{base}/model", f"{base}/registry", "batch", None, MODEL_FEATURES, split.count())
+    loaded, features = ml.load_run(spark, f"{base}/registry", "batch")
+    scored = ml.score(loaded, split, features)
+    same = ml.score(model, split.select("match_id", *MODEL_FEATURES), features).select("match_id", F.col("p").alias("q"))
+    close = F.forall(F.zip_with("p", "q", lambda x, y: F.abs(x - y) < 1e-9), lambda x: x)
+    return scored.join(same, "match_id").select("match_id", "target", (pr.argmax_label(F.col("p")) == F.col("prediction")).alias("label_is_largest"),
+                                                close.alias("reloaded_equal"))
+
+
+def importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Features of a fitted model by importance (M5, T3): each once, none negative, in falling order."""
+    from pitchspark.operators import learn as ml
+    split = ml.weighted_split(_model_rows(spark, sf_dir), "match_id", "target")
+    model = ml.fit(split.where("not is_test"), MODEL_FEATURES, "target", "train_weight", "gbt", {"maxIter": 5})
+    imp = ml.feature_importance(model, MODEL_FEATURES)
+    return imp.select("feature", (F.col("importance") >= 0).alias("not_negative"))
+
+
+def inspect_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A registered run reloaded, split again and scored again (M6): its metrics must be those stored."""
+    from pitchspark.operators import learn as ml
+    rows = materialize(_model_rows(spark, sf_dir), "model-rows")
+    split = ml.weighted_split(rows, "match_id", "target")
+    model = ml.fit(split.where("not is_test"), MODEL_FEATURES, "target", "train_weight", "logreg")
+    acc = ev.accuracy(ml.score(model, split.where("is_test"), MODEL_FEATURES), "target").first().accuracy
+    base = shared_path(spark, "runs")
+    ml.save_run(model, f"{base}/model", f"{base}/registry", "inspected", acc, MODEL_FEATURES, split.count())
+    got = ml.inspect_run(spark, f"{base}/registry", "inspected", rows)
+    again = got["accuracy"].crossJoin(F.broadcast(got["run"].select(F.col("accuracy").alias("stored"), "training_rows")))  # one row each
+    checks = again.select(F.explode(F.array(*_metrics(("accuracy_as_stored", (F.abs(F.col("accuracy") - F.col("stored")) < 1e-12).cast("int")),
+                                                      ("test_rows", F.col("rows")), ("training_rows", F.col("training_rows"))))).alias("m")).select("m.*")
+    support = got["report"].where("class in ('0', '1', '2')").select(F.concat(F.lit("support_"), "class").alias("metric"), F.col("support").cast("double").alias("value"))
+    counted = got["confusion"].agg(F.sum(F.col("pred_0") + F.col("pred_1") + F.col("pred_2") + F.col("pred_other")).alias("n"))
+    return checks.unionByName(support).unionByName(counted.select(F.lit("confusion_rows").alias("metric"), F.col("n").cast("double").alias("value")))
+
+
+def file_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rosters written per country and league ratings in three CSV layouts, read back.
+
+    A fourth layout lacks the wanted column (skipped), some rows do not parse
+    (quarantine).
+    """
+    from pitchspark.sources import files
+    base = shared_path(spark, "files")
+    roster = fixture(spark, sf_dir, "fx_roster")
+    stem = F.concat(F.replace(F.lower("country"), F.lit(" "), F.lit("_")), F.lit("_cleaned.csv"))
+    files.write_partitioned(roster.select("player_id", "club", "market_value", stem.alias("file")), f"{base}/squads", "file", "csv")
+    squads = files.read_keyed(spark, f"{base}/squads", "player_id long, club string, market_value string", "country", "_cleaned.csv", folder=True)
+    keyed = squads.groupBy("country").agg(F.count(F.lit(1)).alias("n"), F.sum("player_id").cast("double").alias("total")).select(
+        F.concat(F.lit("squad "), "country").alias("item"), "n", "total")
+    ratings = fixture(spark, sf_dir, "fx_league_ratings").withColumn("layout", F.pmod("row_id", F.lit(4)))
+    text = F.when(F.pmod("row_id", F.lit(10)) == 0, F.lit("n/a")).otherwise(F.coalesce(F.col("rating").cast("string"), F.lit("")))
+    for k, cols in enumerate((["player", "rating"], ["id", "name", "averageRating"], ["averageRating", "id", "player"], ["id", "goals"])):
+        named = {"player": F.col("player"), "name": F.col("player"), "rating": text, "averageRating": text, "id": F.col("row_id"), "goals": F.col("row_id")}
+        files.write_table(ratings.where(F.col("layout") == k).select(*[named[c].alias(c) for c in cols]), f"{base}/ratings/layout{k}", "csv")
+    found = files.read_reconciled(spark, f"{base}/ratings", "rating")
+    good, bad = files.split_quarantine(found.data, F.col("rating").isNull() | F.col("rating").try_cast("double").isNotNull())
+    whole = files.read_table(spark, f"{base}/ratings/layout3", "id long, goals long", "csv")
+    number = F.sum(F.col("rating").try_cast("double").cast("decimal(24,6)")).cast("double")
+    rows = [good.agg(F.count(F.lit(1)).alias("n"), number.alias("total")).select(F.lit("good ratings").alias("item"), "n", "total"),
+            bad.agg(F.count(F.lit(1)).alias("n")).select(F.lit("quarantined").alias("item"), "n", F.lit(0.0).alias("total")),
+            found.skipped.agg((F.count(F.lit(1)) > 0).cast("long").alias("n")).select(F.lit("skipped layouts").alias("item"), "n", F.lit(0.0).alias("total")),
+            whole.agg(F.count(F.lit(1)).alias("n"), F.sum("goals").cast("double").alias("total")).select(F.lit("plain table").alias("item"), "n", "total")]
+    out = keyed
+    for r in rows:
+        out = out.unionByName(r)
+    return out.select("item", "n", _r("total"))
 
 
 def unmatched_teams(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -299,7 +430,7 @@ def unmatched_teams(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = fixture(spark, sf_dir, "fx_matches")
     teams = (m.select(F.col("team_a").alias("team"))
              .unionByName(m.select(F.col("team_b").alias("team"))).distinct())
-    return pr.unmatched_entities(teams, "team", fixture(spark, sf_dir, "fx_team"), "team")
+    return pr.unmatched_entities(teams, "team", fixture(spark, sf_dir, "fx_team_partial"), "team")
 
 
 QUERIES: dict[str, QueryFn] = {
@@ -308,7 +439,6 @@ QUERIES: dict[str, QueryFn] = {
     "master": master,
     "training_with_elo": training_with_elo,
     "group_probabilities": group_probabilities,
-    "group_scenarios": group_scenarios,
     "fuzzy_lookup": fuzzy_lookup,
     "experience": experience,
     "squad_value": squad_value,
@@ -322,7 +452,17 @@ QUERIES: dict[str, QueryFn] = {
     "elo_top15": elo_top15,
     "standings": standings,
     "wild_cards": wild_cards,
-    "outcome_shares": outcome_shares,
+    "standings_by_rating": standings_by_rating,
+    "position_counts": position_counts,
+    "elo_history_sliced": elo_history_sliced,
+    "tournament_experience": tournament_experience,
+    "master_pairs": master_pairs,
+    "master_training": master_training,
+    "grid_search": grid_search,
+    "batch_scores": batch_scores,
+    "importance": importance,
+    "inspect_run": inspect_run,
+    "file_round_trip": file_round_trip,
     "stage_rates": stage_rates,
     "accuracy": accuracy,
     "class_report": class_report,

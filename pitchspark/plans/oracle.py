@@ -90,15 +90,17 @@ from fx_entity
 """
 
 PAIR_MATRIX = with_clause("fx_entity") + """
-select a.country as team_a, b.country as team_b,
+select a.nation, a.country as team_a, b.country as team_b,
   round(cast(a.f_cnt - b.f_cnt as double), 6) as delta_f_cnt,
   round(a.f_value - b.f_value, 6) as delta_f_value,
   round(a.f_max - b.f_max, 6) as delta_f_max
-from fx_entity a join fx_entity b on a.entity_id < b.entity_id
+from fx_entity a join fx_entity b on a.nation = b.nation and a.entity_id < b.entity_id
 """
 
 TRAINING_MATRIX = with_clause("fx_matches", "fx_team") + """,
-mx as (select max(date) as latest from fx_matches)
+played as (select m.* from fx_matches m join fx_team a on a.team = m.team_a join fx_team b on b.team = m.team_b
+           where home_score is not null and away_score is not null and date is not null),
+mx as (select max(date) as latest from played)
 select m.match_id, m.team_a, m.team_b, m.home_score, m.away_score,
   case when m.home_score > m.away_score then 2 when m.home_score = m.away_score then 1 else 0 end as target,
   round(cast(a.f_cnt - b.f_cnt as double), 6) as delta_f_cnt,
@@ -107,7 +109,7 @@ select m.match_id, m.team_a, m.team_b, m.home_score, m.away_score,
   cast(m.neutral as integer) as is_neutral,
   cast(floor((epoch(mx.latest) - epoch(m.date)) / 86400) as bigint) as days_ago,
   round(exp(-floor((epoch(mx.latest) - epoch(m.date)) / 86400) / 1000.0), 6) as match_weight
-from fx_matches m join fx_team a on a.team = m.team_a join fx_team b on b.team = m.team_b cross join mx
+from played m join fx_team a on a.team = m.team_a join fx_team b on b.team = m.team_b cross join mx
 """
 
 # Elo as a recursive CTE: one match per step per pool, ratings carried in a
@@ -168,7 +170,8 @@ order by elo_rating desc, team limit 15
 
 _POINTS = with_clause("fx_matches") + """,
 res as (select pool, team_a, team_b,
-          case when home_score > away_score then 2 when home_score = away_score then 1 else 0 end as o from fx_matches),
+          case when home_score > away_score then 2 when home_score = away_score then 1 else 0 end as o, date from fx_matches
+          where home_score is not null and away_score is not null),
 sides as (
   select pool, team_a as team, case o when 2 then 3 when 1 then 1 else 0 end as pts,
     cast(o = 2 as integer) as w, cast(o = 1 as integer) as d, cast(o = 0 as integer) as l from res
@@ -193,16 +196,28 @@ select pool, team, points, wildcard_rank from (
 
 U_SQL = "(('0x' || substr(md5({s}), 1, 8))::bigint / 4294967296.0)"
 
-OUTCOME_SHARES = with_clause("fx_probs") + f""",
-draws as (
-  select pair_id, p0, p1, {U_SQL.format(s="concat_ws('|', '42', cast(run as varchar), cast(pair_id as varchar))")} as u
-  from fx_probs, range(0, 1000) r(run)),
-o as (select pair_id, case when u < p0 then 0 when u < p0 + p1 then 1 else 2 end as outcome from draws)
-select pair_id,
-  round(count_if(outcome = 0) / 1000.0 * 100.0, 6) as pct_0,
-  round(count_if(outcome = 1) / 1000.0 * 100.0, 6) as pct_1,
-  round(count_if(outcome = 2) / 1000.0 * 100.0, 6) as pct_2
-from o group by pair_id
+STANDINGS_BY_RATING = _ELO_CORE + _ELO_FINAL + """,
+pts as (select pool, team, cast(sum(p) as bigint) as points from (
+          select pool, team_a as team, case when home_score > away_score then 3 when home_score = away_score then 1 else 0 end as p from fx_matches
+          where home_score is not null and away_score is not null
+          union all
+          select pool, team_b, case when home_score < away_score then 3 when home_score = away_score then 1 else 0 end from fx_matches
+          where home_score is not null and away_score is not null) x group by pool, team)
+select pool, team, points, elo_rating,
+  cast(row_number() over (partition by pool order by points desc, elo_rating desc, team) as integer) as position
+from (select pts.*, round(final.elo_rating, 6) as elo_rating from pts join final using (team)) t
+"""
+
+POSITION_COUNTS = with_clause("fx_matches") + """,
+res as (select year(date) as y, pool, team_a, team_b,
+          case when home_score > away_score then 2 when home_score = away_score then 1 else 0 end as o from fx_matches
+        where home_score is not null and away_score is not null and date is not null),
+tbl as (select y, pool, team, sum(pts) as points from (
+          select y, pool, team_a as team, case o when 2 then 3 when 1 then 1 else 0 end as pts from res
+          union all select y, pool, team_b, case o when 0 then 3 when 1 then 1 else 0 end from res) s group by y, pool, team),
+ranked as (select *, row_number() over (partition by y, pool order by points desc, team) as position from tbl)
+select pool, team, count(*) as tables, count_if(position = 1)::bigint as times_1, count_if(position = 2)::bigint as times_2,
+  count_if(position = 3)::bigint as times_3 from ranked group by pool, team
 """
 
 STAGE_RATES = with_clause("fx_stage_log") + """
@@ -238,7 +253,8 @@ select 'weighted avg', round(sum(precision * support) / sum(support), 6), round(
 
 CONFUSION_MATRIX = with_clause("fx_predictions") + """
 select l.label, cast(count_if(p.prediction = 0) as bigint) as pred_0, cast(count_if(p.prediction = 1) as bigint) as pred_1,
-  cast(count_if(p.prediction = 2) as bigint) as pred_2
+  cast(count_if(p.prediction = 2) as bigint) as pred_2,
+  cast(count_if(p.label is not null and (p.prediction is null or p.prediction not in (0, 1, 2))) as bigint) as pred_other
 from (values (0), (1), (2)) l(label) left join fx_predictions p on p.label = l.label
 group by l.label
 """
@@ -294,7 +310,9 @@ ORACLE_SQL.update({
     "elo_top15": ELO_TOP15,
     "standings": STANDINGS,
     "wild_cards": WILD_CARDS,
-    "outcome_shares": OUTCOME_SHARES,
+    "standings_by_rating": STANDINGS_BY_RATING,
+    "position_counts": POSITION_COUNTS,
+    "elo_history_sliced": ELO_HISTORY,
     "stage_rates": STAGE_RATES,
     "accuracy": ACCURACY,
     "class_report": CLASS_REPORT,
@@ -315,35 +333,35 @@ LCS_SQL = ("(length(p) - bit_count(list_reduce(string_split(t, ''), lambda v, c:
 
 # Brute force over distinct normalised names with the length filter only:
 # fine at the oracle's scale, and independent of the Spark blocking.
-def fuzzy_ctes(q_sql: str) -> str:
-    """CTEs ``app, q, ln, rn, ..., res``; ``q_sql`` selects rows with ``match_name``.
+def fuzzy_ctes(q_sql: str, minutes: str = "fx_appearances", x: str = "") -> str:
+    """CTEs ``app, q, ln, rn, ..., res`` (names ending in ``x``); ``q_sql`` selects rows with ``match_name``.
 
     Brute force over distinct normalised names with the length filter only:
     fine at the oracle's scale, and independent of the Spark blocking.
     """
     return f"""
-app as (select {_key('player')} as match_name,
+app{x} as (select {_key('player')} as match_name,
           sum(coalesce(try_cast(cast(minutes as varchar) as double), 0.0)) as minutes
-        from fx_appearances group by 1),
-q as ({q_sql}),
-ln as (select distinct match_name as lkey, {TOKEN_SORT_SQL.format(x='match_name')} as lp from q),
-rn as (select match_name as rkey, minutes as rvalue, {TOKEN_SORT_SQL.format(x='match_name')} as rp from app),
-lpd as (select distinct lp from ln where length(lp) > 0),
-rpd as (select distinct rp from rn where length(rp) > 0),
-pairs as (select lp, rp, case when length(lp) <= length(rp) then lp else rp end as p,
+        from {minutes} group by 1),
+q{x} as ({q_sql}),
+ln{x} as (select distinct match_name as lkey, {TOKEN_SORT_SQL.format(x='match_name')} as lp from q{x}),
+rn{x} as (select match_name as rkey, minutes as rvalue, {TOKEN_SORT_SQL.format(x='match_name')} as rp from app{x}),
+lpd{x} as (select distinct lp from ln{x} where length(lp) > 0),
+rpd{x} as (select distinct rp from rn{x} where length(rp) > 0),
+pairs{x} as (select lp, rp, case when length(lp) <= length(rp) then lp else rp end as p,
             case when length(lp) <= length(rp) then rp else lp end as t, length(lp) + length(rp) as tot
-          from lpd, rpd
+          from lpd{x}, rpd{x}
           where least(length(lp), length(rp)) >= (169 * (length(lp) + length(rp))) // 400 + 1),
-sc as (select lp, rp, tot, {LCS_SQL} as lcs from pairs),
-sc2 as (select lp, rp, (200 * lcs) // tot as q, (200 * lcs) % tot as r, tot from sc),
-scored as (select lp, rp, cast(q + case when 2 * r > tot or (2 * r = tot and q % 2 = 1) then 1 else 0 end as integer) as score
-           from sc2),
-best as (select lp, rkey as best_key, score, rvalue as value from (
+sc{x} as (select lp, rp, tot, {LCS_SQL} as lcs from pairs{x}),
+sc2{x} as (select lp, rp, (200 * lcs) // tot as q, (200 * lcs) % tot as r, tot from sc{x}),
+scored{x} as (select lp, rp, cast(q + case when 2 * r > tot or (2 * r = tot and q % 2 = 1) then 1 else 0 end as integer) as score
+           from sc2{x}),
+best{x} as (select lp, rkey as best_key, score, rvalue as value from (
            select s.lp, r.rkey, s.score, r.rvalue,
              row_number() over (partition by s.lp order by s.score desc, r.rkey) as rn_
-           from scored s join rn r on r.rp = s.rp where s.score >= 85) x where rn_ = 1),
-res as (select ln.lkey as match_name, b.best_key, coalesce(b.score, 0) as score, coalesce(b.value, 0.0) as value
-        from ln left join best b on b.lp = ln.lp)
+           from scored{x} s join rn{x} r on r.rp = s.rp where s.score >= 85) x where rn_ = 1),
+res{x} as (select ln.lkey as match_name, b.best_key, coalesce(b.score, 0) as score, coalesce(b.value, 0.0) as value
+        from ln{x} ln left join best{x} b on b.lp = ln.lp)
 """
 
 
@@ -355,22 +373,33 @@ select q.query_id, r.best_key, r.score, round(r.value, 6) as minutes
 from q left join res r on r.match_name = q.match_name
 """
 
-EXPERIENCE = with_clause("fx_fuzzy_queries", "fx_appearances") + ", " + fuzzy_ctes(
-    f"select fq.*, part.p_brand as country, {_key('fq.name')} as match_name "
-    "from fx_fuzzy_queries fq join part on part.p_partkey = fq.query_id") + """,
+def _experience(q: str, minutes: str, out: str) -> str:
+    return with_clause(q, minutes) + ", " + fuzzy_ctes(f"select *, {_key('name')} as match_name from {q}", minutes) + f""",
 mins as (select q.country, r.value as minutes from q left join res r on r.match_name = q.match_name)
-select country, round(avg(minutes), 6) as experience_minutes from (
+select country, round(avg(minutes), 6) as {out} from (
   select country, minutes, row_number() over (partition by country order by minutes desc) as rn from mins) t
 where rn <= 15 group by country
 """
 
-ORACLE_SQL.update({"fuzzy_lookup": FUZZY_LOOKUP, "experience": EXPERIENCE})
+
+EXPERIENCE = _experience("fx_fuzzy_queries", "fx_appearances", "experience_minutes")
+TOURNAMENT_EXPERIENCE = _experience("fx_roster", "fx_tournaments", "tournament_minutes")
+
+ORACLE_SQL.update({"fuzzy_lookup": FUZZY_LOOKUP, "experience": EXPERIENCE, "tournament_experience": TOURNAMENT_EXPERIENCE})
 
 TITLE_SQL = ("array_to_string(list_transform(regexp_extract_all({x}, '(\\p{{L}}+|\\P{{L}}+)', 1), "
              "lambda t: upper(t[1]) || lower(t[2:])), '')")
 
-MASTER = with_clause("fx_roster", "fx_league_ratings", "fx_appearances") + f""", {_money_cte()},
-""" + fuzzy_ctes(f"select *, {_key('name')} as match_name from fx_roster") + f""",
+# National Elo: the same fold as above over one pool of country names.
+_COUNTRY_ELO = (_ELO_CORE.split("prep as (", 1)[1]
+                .replace("from fx_matches where", "from (select match_id, 0 as pool, date, home_score, away_score, tournament, neutral, "
+                         + ", ".join(f"{TITLE_SQL.format(x=f'trim({t})')} as {t}" for t in ("team_a", "team_b")) + " from fx_country_matches) where")
+                .replace("map([]::bigint[], []::double[]), null::bigint, null::bigint, null::bigint", "map([]::varchar[], []::double[]), null::bigint, null::varchar, null::varchar"))
+
+_MASTER = with_clause("fx_roster", "fx_league_ratings", "fx_appearances", "fx_tournaments", "fx_rankings", "fx_country_matches").replace("with ", "with recursive ", 1) + f""", {_money_cte()},
+prep as (""" + _COUNTRY_ELO + _ELO_FINAL + """,
+""" + fuzzy_ctes(f"select *, {_key('name')} as match_name from fx_roster") + """,
+""" + fuzzy_ctes(f"select *, {_key('name')} as match_name from fx_roster", "fx_tournaments", "_t") + f""",
 base as (select country, cast(sum(cast(market_value_m as decimal(24,6))) as double) as total_market_value
          from parsed group by country),
 med as (select country, median(market_value_m) as median_top11_value from (
@@ -408,24 +437,54 @@ dens as (select s.country, case when roster_rows > 0 then coalesce(t5.t5, 0) / r
 ucl as (select country, avg(minutes) as ucl_minutes from (
           select q.country, r.value as minutes, row_number() over (partition by q.country order by r.value desc) as rn
           from q left join res r on r.match_name = q.match_name) t where rn <= 15 group by country),
+trn as (select country, avg(minutes) as tournament_minutes from (
+          select q_t.country, r.value as minutes, row_number() over (partition by q_t.country order by r.value desc) as rn
+          from q_t left join res_t r on r.match_name = q_t.match_name) t where rn <= 15 group by country),
 m as (
   select {TITLE_SQL.format(x='base.country')} as country, base.total_market_value, med.median_top11_value,
     chem.chemistry_score, form.current_form_rating, coalesce(dens.top5_league_density, 0.0) as top5_league_density,
-    ucl.ucl_minutes, sq.log_squad_value, 100.0::double as fifa_rank, 1000.0::double as fifa_points
+    ucl.ucl_minutes, trn.tournament_minutes, sq.log_squad_value, coalesce(rk.fifa_rank, 100.0)::double as fifa_rank,
+    coalesce(rk.fifa_points, 1000.0)::double as fifa_points, final.elo_rating,
+    rank() over (order by total_market_value desc) + (count(*) over (partition by total_market_value) - 1) / 2.0 as tm_value_rank
   from base left join med using (country) left join chem using (country) left join form using (country)
-    left join dens using (country) left join ucl using (country) left join sq using (country))
+    left join dens using (country) left join ucl using (country) left join trn using (country) left join sq using (country)
+    left join fx_rankings rk on lower(trim(rk.country)) = lower(trim(base.country))
+    left join final on lower(final.team) = lower(trim(base.country)))
+"""
+
+MASTER = _MASTER + """
 select country, round(total_market_value, 6) as total_market_value, round(median_top11_value, 6) as median_top11_value,
   round(chemistry_score, 6) as chemistry_score, round(current_form_rating, 6) as current_form_rating,
   round(top5_league_density, 6) as top5_league_density, round(ucl_minutes, 6) as ucl_minutes,
+  round(tournament_minutes, 6) as tournament_minutes, round(elo_rating, 6) as elo_rating,
   round(log_squad_value, 6) as log_squad_value, round(fifa_rank, 6) as fifa_rank, round(fifa_points, 6) as fifa_points,
-  round(rank() over (order by total_market_value desc) + (count(*) over (partition by total_market_value) - 1) / 2.0, 6)
-    as tm_value_rank
+  round(tm_value_rank, 6) as tm_value_rank
 from m
 """
 
+_PAIR_FEATURES = ["total_market_value", "median_top11_value", "chemistry_score", "current_form_rating", "ucl_minutes", "tournament_minutes",
+                  "tm_value_rank", "fifa_rank", "fifa_points", "top5_league_density"]
+
+MASTER_PAIRS = _MASTER + "select a.country as team_a, b.country as team_b, " + ", ".join(
+    f"round(a.{f} - b.{f}, 6) as delta_{f}" for f in [*_PAIR_FEATURES, "elo_rating"]) + " from m a join m b on a.country < b.country"
+
+MASTER_TRAINING = _MASTER + """,
+played as (select h.match_id, h.team_a, h.team_b, h.elo_a - h.elo_b as delta_elo, f.home_score, f.away_score, f.date, f.neutral
+           from hist h join fx_country_matches f on f.match_id = h.match_id join m a on a.country = h.team_a join m b on b.country = h.team_b),
+mx as (select max(date) as latest from played)
+select p.match_id, p.team_a, p.team_b, case when home_score > away_score then 2 when home_score = away_score then 1 else 0 end as target,
+  """ + ", ".join(f"round(a.{f} - b.{f}, 6) as delta_{f}" for f in _PAIR_FEATURES) + """,
+  round(delta_elo, 6) as delta_elo, cast(neutral as integer) as is_neutral,
+  cast(floor((epoch(mx.latest) - epoch(p.date)) / 86400) as bigint) as days_ago,
+  round(exp(-floor((epoch(mx.latest) - epoch(p.date)) / 86400) / 1000.0), 6) as match_weight
+from played p join m a on a.country = p.team_a join m b on b.country = p.team_b cross join mx
+"""
+
 TRAINING_WITH_ELO = _ELO_CORE + """,
 fx_team as (""" + FIXTURE_TEXT["fx_team"] + """),
-mx as (select max(date) as latest from fx_matches)
+played as (select m.* from fx_matches m join fx_team a on a.team = m.team_a join fx_team b on b.team = m.team_b
+           where home_score is not null and away_score is not null and date is not null),
+mx as (select max(date) as latest from played)
 select m.match_id,
   case when m.home_score > m.away_score then 2 when m.home_score = m.away_score then 1 else 0 end as target,
   round(cast(a.f_cnt - b.f_cnt as double), 6) as delta_f_cnt,
@@ -434,7 +493,7 @@ select m.match_id,
   cast(m.neutral as integer) as is_neutral,
   round(exp(-floor((epoch(mx.latest) - epoch(m.date)) / 86400) / 1000.0), 6) as match_weight,
   round(h.elo_a, 6) as elo_a, round(h.elo_b, 6) as elo_b, round(h.elo_a - h.elo_b, 6) as delta_elo
-from fx_matches m join fx_team a on a.team = m.team_a join fx_team b on b.team = m.team_b cross join mx
+from played m join fx_team a on a.team = m.team_a join fx_team b on b.team = m.team_b cross join mx
 join hist h on h.match_id = m.match_id
 """
 
@@ -453,39 +512,55 @@ GROUP_PROBABILITIES = _GROUP_PROBS + """
 select grp, team_a, team_b, reversed, is_neutral, round(p0, 6) as p0, round(p1, 6) as p1, round(p2, 6) as p2 from pp
 """
 
-GROUP_SCENARIOS = _GROUP_PROBS + f""",
-draws as (select run, grp, team_a, team_b,
-            case when u < p0 then 0 when u < p0 + p1 then 1 else 2 end as o
-          from (select pp.*, r.run,
-                  {U_SQL.format(s="concat_ws('|', '42', cast(r.run as varchar), cast(pp.grp as varchar), pp.team_a, pp.team_b)")} as u
-                from pp, range(0, 1000) r(run)) x),
-sides as (select run, grp, team_a as team, case o when 2 then 3 when 1 then 1 else 0 end as pts from draws
-          union all select run, grp, team_b, case o when 0 then 3 when 1 then 1 else 0 end from draws),
-tbl as (select s.run, s.grp, s.team, sum(pts) as points, any_value(g.rating) as rating, any_value(g.slot) as slot
-        from sides s join fx_team_groups g on g.grp = s.grp and g.team = s.team group by s.run, s.grp, s.team),
-ranked as (select *, row_number() over (partition by run, grp order by points desc, rating desc, slot) as position from tbl),
-wild as (select run, grp, team from (
-           select run, grp, team, row_number() over (partition by run order by points desc, rating desc, slot) as w
-           from ranked where position = 3) t where w <= 8),
-marked as (select r.*, w.team is not null as wildcard from ranked r left join wild w using (run, grp, team))
-select grp, team,
-  round(count_if(position = 1) / 1000.0 * 100.0, 6) as pct_first,
-  round(count_if(position = 2) / 1000.0 * 100.0, 6) as pct_second,
-  round(count_if(position = 3) / 1000.0 * 100.0, 6) as pct_third,
-  round(count_if(position <= 2 or wildcard) / 1000.0 * 100.0, 6) as pct_advance
-from marked group by grp, team
-"""
-
 ORACLE_SQL.update({
     "master": MASTER,
+    "master_pairs": MASTER_PAIRS,
+    "master_training": MASTER_TRAINING,
     "training_with_elo": TRAINING_WITH_ELO,
     "group_probabilities": GROUP_PROBABILITIES,
-    "group_scenarios": GROUP_SCENARIOS,
 })
 
-UNMATCHED_TEAMS = with_clause("fx_matches", "fx_team") + """
+UNMATCHED_TEAMS = with_clause("fx_matches", "fx_team_partial") + """
 select distinct t.team from (select team_a as team from fx_matches union all select team_b from fx_matches) t
-where not exists (select 1 from fx_team f where f.team = t.team)
+where not exists (select 1 from fx_team_partial f where f.team = t.team)
 """
 
 ORACLE_SQL["unmatched_teams"] = UNMATCHED_TEAMS
+
+_SPLIT = with_clause("fx_matches", "fx_team") + f""",
+rows as (select m.match_id, case when home_score > away_score then 2 when home_score = away_score then 1 else 0 end as target, date
+         from fx_matches m join fx_team a on a.team = m.team_a join fx_team b on b.team = m.team_b
+         where home_score is not null and away_score is not null and date is not null),
+mx as (select max(date) as latest from rows),
+placed as (select match_id, target, exp(-floor((epoch(mx.latest) - epoch(date)) / 86400) / 1000.0) as w,
+             row_number() over (partition by target order by {U_SQL.format(s="concat_ws('|', '42', cast(match_id as varchar))")}, match_id) as pos,
+             count(*) over (partition by target) as nc from rows, mx),
+split as (select match_id, target, w, pos <= cast(round(nc * 0.2) as bigint) as is_test, (pos - cast(round(nc * 0.2) as bigint) - 1) % 5 as fold from placed)
+"""
+
+_CHECKS = """select 'support_' || c as metric, (select count(*) from split where is_test and target = c)::double as value from range(0, 3) r(c)
+union all select 'probability_off', 0.0 union all select 'outside_classes', 0.0
+union all select 'train_rows', count(*)::double from split where not is_test
+union all select 'train_weight', round(sum(case when target = 1 then w * 1.35 else w end), 6) from split where not is_test
+"""
+
+FILE_ROUND_TRIP = with_clause("fx_roster", "fx_league_ratings") + """,
+l as (select *, ((row_id % 4) + 4) % 4 as layout, ((row_id % 10) + 10) % 10 = 0 as spoilt from fx_league_ratings)
+select 'squad ' || replace(upper(country[1]) || lower(country[2:]), '_', ' ') as item, count(*) as n, round(sum(player_id)::double, 6) as total from fx_roster group by country
+union all select 'good ratings', count(*), round(sum(rating::decimal(24,6))::double, 6) from l where layout < 3 and not spoilt
+union all select 'quarantined', count(*), 0.0 from l where layout < 3 and spoilt
+union all select 'skipped layouts', 1, 0.0
+union all select 'plain table', count(*), round(sum(row_id)::double, 6) from l where layout = 3
+"""
+
+ORACLE_SQL.update({
+    "train_evaluate": _SPLIT + _CHECKS,
+    "grid_search": _SPLIT + _CHECKS + """union all select 'chosen_in_grid', 1.0
+union all select 'fold_' || fold, count(*)::double from split where not is_test group by fold""",
+    "batch_scores": _SPLIT + "select match_id, target, true as label_is_largest, true as reloaded_equal from split",
+    "importance": "select unnest(['delta_f_cnt', 'delta_f_value', 'delta_f_max', 'delta_elo', 'is_neutral']) as feature, true as not_negative",
+    "inspect_run": _SPLIT + """select 'support_' || c as metric, (select count(*) from split where is_test and target = c)::double as value from range(0, 3) r(c)
+union all select 'accuracy_as_stored', 1.0 union all select 'test_rows', count(*)::double from split where is_test
+union all select 'confusion_rows', count(*)::double from split where is_test union all select 'training_rows', count(*)::double from split""",
+    "file_round_trip": FILE_ROUND_TRIP,
+})

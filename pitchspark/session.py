@@ -40,7 +40,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint directory of the session.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
-    as is. Only when it is unset (local tests) a scratch folder is created.
+    as is. Only a local session may do without: it gets a scratch folder.
     """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     sc = spark.sparkContext
@@ -50,6 +50,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return sc.getCheckpointDir()
+    if not (sc.master == "local" or sc.master.startswith("local[")):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="pitchspark-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     try:
         spark.conf.set("spark.checkpoint.dir", local)
@@ -59,6 +61,26 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder of the session."""
+    import uuid
+
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df, name: str):
+    """Write ``df`` to the shared folder and read it back.
+
+    Cuts the lineage like ``checkpoint()``, survives executor loss, and the
+    re-read table carries its real size (a checkpoint keeps the statistics of
+    the plan it replaced).
+    """
+    spark = df.sparkSession
+    path = shared_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 _SHIPPED: set[str] = set()
 
 

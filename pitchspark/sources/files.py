@@ -38,103 +38,78 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | str | None
 
 
 def read_keyed(spark: SparkSession, path: str, schema: T.StructType | str, key_col: str = "country",
-               suffix: str = ".csv", fmt: str = "csv") -> DataFrame:
+               suffix: str = ".csv", fmt: str = "csv", folder: bool = False) -> DataFrame:
     """Directory of per-entity files -> one table with the entity from the file name.
 
     ``south_korea_cleaned.csv`` with ``suffix='_cleaned.csv'`` -> ``South korea``.
+    With ``folder`` the label is that of the file's folder, as
+    ``write_partitioned`` lays tables out (``key=south_korea_cleaned.csv``).
     """
-    df = read_table(spark, path, schema, fmt)
-    return df.withColumn(key_col, label_from_stem(F.col("_metadata.file_name"), suffix))
-
-
-def _list_files(spark: SparkSession, path: str, suffix: str) -> list[str]:
-    """File paths under ``path`` through the Hadoop file system (works for any scheme)."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(conf)
-    out = []
-    if not fs.exists(p):
-        return out
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if st.isFile() and name.endswith(suffix) and not name.startswith((".", "_")):
-            out.append(st.getPath().toString())
-    return sorted(out)
-
-
-def _first_line(spark: SparkSession, file_path: str) -> str | None:
-    """Header line of one file (metadata read of a few bytes, like schema inference)."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(file_path)
-    stream = p.getFileSystem(conf).open(p)
-    try:
-        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
-        line = reader.readLine()
-        reader.close()
-        return line
-    finally:
-        stream.close()
+    reader = spark.read.format(fmt).schema(schema).option("recursiveFileLookup", folder)
+    df = (reader.option("header", True) if fmt == "csv" else reader).load(path)
+    name = F.col("_metadata.file_name")
+    if folder:
+        name = F.regexp_extract(F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))), r"([^/=]+)/[^/]+$", 1)
+    return df.withColumn(key_col, label_from_stem(name, suffix))
 
 
 @dataclass
 class Reconciled:
+    """``data``: source_file, player, value; ``skipped``: source_file, header of files without the wanted columns;
+    ``corrupt``: source_file, line of rows that do not fit their file's header."""
+
     data: DataFrame
-    skipped: list[str]
+    skipped: DataFrame
+    corrupt: DataFrame
 
 
 def _pick(headers: list[str], exact: list[str] | None = None, markers: list[str] | None = None) -> str | None:
-    if exact:
-        for cand in exact:
-            if cand in headers:
-                return cand
-    if markers:
-        for h in headers:
-            if any(m in h.lower() for m in markers):
-                return h
-    return None
+    for cand in exact or []:
+        if cand in headers:
+            return cand
+    return next((h for h in headers if markers and any(m in h.lower() for m in markers)), None)
 
 
-def read_reconciled(spark: SparkSession, path: str, value: str = "rating", suffix: str = ".csv") -> Reconciled:
-    """Header-reconciling scan.
+def read_reconciled(spark: SparkSession, path: str, value: str = "rating") -> Reconciled:
+    """Header-reconciling scan of all CSV files below ``path``.
 
     ``value='rating'`` picks ``rating`` then ``averageRating``;
     ``value='minutes'`` picks the first header containing ``minute`` or
-    ``mins``. The name column is ``player`` then ``name``. Files are grouped
-    by their (name, value) header pair and each group is one CSV scan, so
-    the number of scans is the number of distinct header layouts, not files.
-    Output: ``source_file, player, <value>`` (value as text; parse later).
+    ``mins``. The name column is ``player`` then ``name``. The files are one
+    text scan; a Spark job finds each file's first line, and only the distinct
+    layouts (whole header lines) come to the driver. Every line is parsed by
+    the schema of its own file's layout, so columns never shift between
+    layouts. Fields may be quoted but hold no newline. Values stay text.
     """
-    files = _list_files(spark, path, suffix)
-    groups: dict[tuple[str, str], list[str]] = {}
-    skipped: list[str] = []
-    for f in files:
-        line = _first_line(spark, f)
-        headers = [h.strip().strip('"') for h in line.split(",")] if line else []
-        name_col = _pick(headers, NAME_HEADERS)
-        if value == "rating":
-            val_col = _pick(headers, RATING_HEADERS)
-        else:
-            val_col = _pick(headers, None, MINUTE_MARKERS)
-        if name_col and val_col:
-            groups.setdefault((name_col, val_col), []).append(f)
-        else:
-            skipped.append(f)
+    lines = (spark.read.option("recursiveFileLookup", True).text(path)
+             .select(F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_name").alias("source_file"),
+                     F.col("_metadata.file_block_start").alias("_start"), F.regexp_replace("value", "^\\ufeff|\r$", "").alias("line")))
+    # The first row of a file's first block: one task reads the block in order.
+    heads = lines.where("_start = 0").groupBy("_file", "source_file").agg(F.first("line").alias("header"))
+    layouts = {}
+    for row in heads.select("header").distinct().toLocalIterator():
+        names = [h.strip().strip('"') for h in row.header.split(",")]
+        name = _pick(names, NAME_HEADERS)
+        wanted = _pick(names, RATING_HEADERS) if value == "rating" else _pick(names, None, MINUTE_MARKERS)
+        if name and wanted:
+            layouts[row.header] = (len(names), names.index(name), names.index(wanted))
+    rows = lines.join(heads.select("_file", "header"), "_file").where("line <> header and line <> ''")
+    known = F.col("header").isin(list(layouts))
     parts = []
-    for (name_col, val_col), fs in groups.items():
-        df = (spark.read.option("header", True).option("mode", "PERMISSIVE").csv(fs)
-              .select(F.col("_metadata.file_name").alias("source_file"),
-                      F.col(f"`{name_col}`").cast("string").alias("player"),
-                      F.col(f"`{val_col}`").cast("string").alias(value)))
-        parts.append(df)
+    for header, (n, name, wanted) in layouts.items():
+        schema = ", ".join(f"c{i} string" for i in range(n)) + ", _bad string"
+        record = F.from_csv("line", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})
+        parts.append(rows.where(F.col("header") == header).withColumn("_r", record)
+                     .select("source_file", F.col(f"_r.c{name}").alias("player"), F.col(f"_r.c{wanted}").alias(value), F.col("_r._bad").alias("_bad"), "line"))
+    skipped = heads.where(~known).select("source_file", "header") if layouts else heads.select("source_file", "header")
     if not parts:
         empty = spark.createDataFrame([], f"source_file string, player string, {value} string")
-        return Reconciled(empty, skipped)
+        return Reconciled(empty, skipped, spark.createDataFrame([], "source_file string, line string"))
     out = parts[0]
     for p in parts[1:]:
-        out = out.unionByName(p, allowMissingColumns=True)
-    return Reconciled(out, skipped)
+        out = out.unionByName(p)
+    good = F.col("_bad").isNull()
+    return Reconciled(out.where(good).drop("_bad", "line"), skipped, out.where(~good).select("source_file", "line"))
 
 
 def split_quarantine(df: DataFrame, ok: Column) -> tuple[DataFrame, DataFrame]:
@@ -143,9 +118,12 @@ def split_quarantine(df: DataFrame, ok: Column) -> tuple[DataFrame, DataFrame]:
     return df.where(flag), df.where(~flag)
 
 
-def write_partitioned(df: DataFrame, path: str, key: str, fmt: str = "parquet") -> None:
+def write_partitioned(df: DataFrame, path: str, key: str, fmt: str = "parquet", header: bool = True) -> None:
     """One folder per entity (S6); readers prune partitions by ``key``."""
-    df.write.mode("overwrite").partitionBy(key).format(fmt).save(path)
+    w = df.write.mode("overwrite").partitionBy(key).format(fmt)
+    if fmt == "csv":
+        w = w.option("header", header)
+    w.save(path)
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", header: bool = True) -> None:

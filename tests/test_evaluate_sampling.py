@@ -1,9 +1,8 @@
-"""Splits, metrics, registry, sampling and standings."""
+"""Splits, metrics, registry, and standings."""
 
 from pyspark.sql import functions as F
 
 from pitchspark.operators import evaluate as ev
-from pitchspark.operators import sampling as sm
 from pitchspark.operators import standings as st
 
 
@@ -40,13 +39,20 @@ def test_run_leaderboard_failures_last(spark):
     assert rows[2].accuracy_pct == "N/A" and len(rows[2].status) == 60
 
 
-def test_outcome_shares_converge_and_stable(spark):
-    probs = spark.createDataFrame([(1, 0.2, 0.3, 0.5), (2, 0.6, 0.1, 0.3)], "k int, p0 double, p1 double, p2 double")
-    a = {r.k: (r.pct_0, r.pct_1, r.pct_2) for r in sm.outcome_shares(probs, "k", "p0", "p1", 20000).collect()}
-    assert abs(a[1][0] - 20) < 1.5 and abs(a[1][2] - 50) < 1.5 and abs(a[2][0] - 60) < 1.5
-    b = {r.k: (r.pct_0, r.pct_1, r.pct_2) for r in
-         sm.outcome_shares(probs.repartition(3), "k", "p0", "p1", 20000).collect()}
-    assert a == b
+def test_classes_come_from_the_data(spark):
+    df = spark.createDataFrame([(0, 0), (3, 0), (None, 1), (1, None), (1, 5)], "label int, prediction int")
+    a = ev.accuracy(df).first()
+    assert (a.accuracy, a.rows) == (0.25, 4)
+    rep = {r["class"]: r for r in ev.class_report(df).collect()}
+    assert {"0", "1", "3", "5"} <= set(rep) and rep["3"].support == 1 and rep["macro avg"].support == 4
+    cm = {r.label: (r.pred_0, r.pred_1, r.pred_2, r.pred_other) for r in ev.confusion_matrix(df).collect()}
+    assert cm[3] == (1, 0, 0, 0) and cm[None] == (0, 1, 0, 0) and cm[1] == (0, 0, 0, 2) and cm[2] == (0, 0, 0, 0)
+
+
+def test_position_counts(spark):
+    ranked = spark.createDataFrame([(2000, "g", "A", 1), (2001, "g", "A", 2), (2000, "g", "B", 4)], "year int, grp string, team string, position int")
+    got = {r.team: (r.tables, r.times_1, r.times_2, r.times_3) for r in st.position_counts(ranked, ["grp"]).collect()}
+    assert got == {"A": (2, 1, 1, 0), "B": (1, 0, 0, 0)}
 
 
 def test_points_positions_wildcards(spark):

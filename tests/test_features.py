@@ -20,7 +20,7 @@ def test_group_cohesion_edges(spark):
 def test_average_rank_ties(spark):
     vals = [5, 3, 5, 1, None, 3, 3, 9]
     df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "id int, v int")
-    got = {r.id: r.avg_rank for r in feat.average_rank_desc(df, "v", "avg_rank", buckets=3).collect()}
+    got = {r.id: r.avg_rank for r in feat.average_rank_desc(df, "v", "avg_rank").collect()}
     # pandas rank(ascending=False): 9 -> 1, 5 -> 2.5, 3 -> 5, 1 -> 7, null stays null
     assert got == {0: 2.5, 1: 5.0, 2: 2.5, 3: 7.0, 4: None, 5: 5.0, 6: 5.0, 7: 1.0}
 
@@ -52,11 +52,25 @@ def test_top_n_plan_has_group_limit(spark):
     assert "WindowGroupLimit" in plan
 
 
-def test_position_within_equals_row_number_with_hot_key(spark):
+def test_running_total_equals_a_window_with_hot_key(spark):
     from pyspark.sql import Window
+    from pitchspark.operators.numbering import running_total
     df = spark.range(3000).select(
         F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise((F.col("id") % 40).cast("string")).alias("k"),
-        ((F.col("id") * 7919) % 1000).alias("t"), F.col("id"))
-    got = feat.position_within(df, ["k"], "t", ["id"], "pos", buckets=16)
-    want = df.withColumn("pos", F.row_number().over(Window.partitionBy("k").orderBy("t", "id")))
+        (F.col("id") % 7).alias("w"), F.col("id"))
+    order = [F.col("k").desc(), F.col("id")]
+    got = running_total(df, order, "pos", F.col("w"))
+    want = df.withColumn("pos", F.sum("w").over(Window.orderBy(*order)))
     assert sorted(map(tuple, got.select("id", "pos").collect())) == sorted(map(tuple, want.select("id", "pos").collect()))
+    assert sorted(r.p for r in running_total(df, order, "p").collect()) == list(range(1, 3001))
+    assert running_total(df.limit(0), order, "p").count() == 0
+
+
+def test_master_joins_cleaned_names_and_ranks_first(spark):
+    base = spark.createDataFrame([(" spain", 5.0), ("PERU", 5.0), ("chad", 1.0)], "country string, total_market_value double")
+    rank = spark.createDataFrame([("Spain ", 3.0, 1500.0), ("Spain", 4.0, 1400.0)], "country string, fifa_rank double, fifa_points double")
+    elo = spark.createDataFrame([("Peru", 1600.0)], "country string, elo_rating double")
+    got = {r.country: r for r in feat.build_master(base, [], rank, elo, dedupe=True).collect()}
+    assert (got["Spain"].fifa_rank, got["Spain"].fifa_points, got["Spain"].tm_value_rank, got["Spain"].elo_rating) == (3.0, 1500.0, 1.5, None)
+    assert (got["Peru"].fifa_rank, got["Peru"].elo_rating, got["Chad"].tm_value_rank) == (100.0, 1600.0, 3.0)
+    assert feat.build_master(base, [], rank, elo).count() == 4  # repeated rows fan out unless asked otherwise

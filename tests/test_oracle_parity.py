@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from pitchspark.plans.oracle import ORACLE_SQL
 
 from conftest import SMALL
 
@@ -29,7 +30,7 @@ def con():
     return c
 
 
-FAST = [q for q in E.oracle_sql() if q not in ("master", "fuzzy_lookup", "experience", "group_scenarios")]
+FAST = [q for q in ORACLE_SQL if q not in ("train_evaluate", "grid_search", "importance")]
 
 
 @pytest.mark.parametrize("name", FAST)

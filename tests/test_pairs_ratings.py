@@ -22,7 +22,7 @@ def test_pair_count_and_swap(spark):
     rows = pm.collect()
     assert len(rows) == 12 * 11 // 2
     req = spark.createDataFrame([(r.team_b.lower(), r.team_a) for r in rows], "req_a string, req_b string")
-    looked = pr.pair_lookup(pm, req, ["f1", "f2"]).collect()
+    looked = pr.pair_lookup(d, "id", "team", req, ["f1", "f2"]).collect()
     orig = {(r.team_a, r.team_b): (r.delta_f1, r.delta_f2) for r in rows}
     for r in looked:
         assert r.reversed
@@ -93,7 +93,7 @@ def _serial(rows):
 def test_pool_fold_equals_serial_and_zero_sum(spark):
     rows, df = _matches(spark)
     prepared = rt.prepare_matches(df)
-    got = {r.match_id: (r.elo_a, r.elo_b) for r in rt.elo_ratings(prepared, pool="pool", method="pool").collect()}
+    got = {r.match_id: (r.elo_a, r.elo_b) for r in rt.elo_ratings(prepared, pool="pool").collect()}
     want, final = _serial(rows)
     assert got.keys() == want.keys()
     for k, v in want.items():
@@ -101,15 +101,43 @@ def test_pool_fold_equals_serial_and_zero_sum(spark):
     assert abs(sum(final.values()) - E.INITIAL_RATING * len(final)) < 1e-6
 
 
-def test_wavefront_equals_pool(spark):
-    rows, df = _matches(spark, n_matches=24, n_teams=12, pools=1, seed=5)
-    prepared = rt.prepare_matches(df)
-    pool = {r.match_id: (r.elo_a, r.elo_b) for r in rt.elo_ratings(prepared, pool="pool", method="pool").collect()}
-    wave = {r.match_id: (r.elo_a, r.elo_b) for r in rt.elo_ratings(prepared, method="wavefront").collect()}
-    assert pool.keys() == wave.keys()
-    for k in pool:
-        assert abs(pool[k][0] - wave[k][0]) < 1e-9 and abs(pool[k][1] - wave[k][1]) < 1e-9
-
+def test_sliced_fold_equals_the_serial_one(spark):
+    """Also with a missing team, a team that meets itself, equal dates and slices of a few matches."""
+    rows, _ = _matches(spark, n_matches=60, n_teams=8, pools=3, seed=5)
+    day = rows[0][2]
+    rows += [(900, 0, day, None, "p0t1", 2, 0, "Friendly", False), (901, 0, day, "p0t1", "p0t1", 3, 0, "Friendly", True),
+             (902, 0, day, "p1t1", None, 1, 1, "Friendly", False), (903, 2, day, "p2t0", "p1t3", 4, 0, "World Cup", False)]
+    schema = ("match_id long, pool int, date timestamp, team_a string, team_b string, home_score int, "
+              "away_score int, tournament string, neutral boolean")
+    prepared = rt.prepare_matches(spark.createDataFrame(rows, schema))
+    want, final = _serial([(*r[:3], r[3] or "nan", r[4] or "nan", *r[5:]) for r in rows])
+    for slice_rows in (10_000, 25, 7):
+        folded = rt.elo_ratings(prepared, slice_rows=slice_rows)
+        got = {r.match_id: (r.elo_a, r.elo_b) for r in folded.collect()}
+        assert got.keys() == want.keys()
+        assert all(abs(got[k][0] - want[k][0]) < 1e-9 and abs(got[k][1] - want[k][1]) < 1e-9 for k in want)
+        last = {r.team: r.elo_rating for r in rt.final_ratings(rt.elo_history(prepared, folded)).collect()}
+        assert last.keys() == final.keys() and all(abs(last[t] - final[t]) < 1e-9 for t in final)
+
+
+def test_components_by_hand(spark):
+    from pitchspark.operators.graph import components
+    edges = [("d", "e"), ("b", "a"), ("c", "b"), ("z", "z")] + [(f"n{i:03}", f"n{i + 1:03}") for i in range(70)]
+    got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a string, b string")).collect()}
+    assert {k: v for k, v in got.items() if k < "n"} == {"a": "a", "b": "a", "c": "a", "d": "d", "e": "d"} and got["z"] == "z"
+    assert {v for k, v in got.items() if k.startswith("n")} == {"n000"}
+
+
+def test_missing_scores_are_no_results(spark):
+    m = spark.createDataFrame([(1, "a", "b", 1, 0), (2, "a", "b", None, 0), (3, "a", "b", 2, None)],
+                              "match_id int, team_a string, team_b string, home_score int, away_score int")
+    got = [r.o for r in m.select(E.outcome_label("home_score", "away_score").alias("o")).collect()]
+    assert got == [2, None, None]
+    full = m.withColumn("date", F.to_timestamp(F.concat(F.lit("2020-01-0"), "match_id"))).withColumn("neutral", F.lit(False))
+    tm = pr.training_matrix(full, spark.createDataFrame([("a", 1.0), ("b", 2.0)], "team string, f double"), "team", ["f"]).collect()
+    assert [(r.match_id, r.days_ago) for r in tm] == [(1, 0)]  # the decay counts from the rows that remain
+    from pitchspark.operators.standings import points_table
+    assert {r.team: r.played for r in points_table(m.withColumn("outcome", E.outcome_label("home_score", "away_score")), []).collect()} == {"a": 1, "b": 1}
 
 def test_leaderboard(spark):
     rows, df = _matches(spark, n_matches=100)

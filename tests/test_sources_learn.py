@@ -28,16 +28,19 @@ def test_read_keyed_round_trip(spark):
 def test_read_reconciled_and_quarantine(spark):
     d = _scratch(spark)
     files_ = {"a.csv": "player,rating\nx,7.5\ny,bad\n", "b.csv": "name,averageRating,rating\nz,6.0,9.9\n",
-              "c.csv": "player,goals\nq,3\n", "d.csv": "name,Minutes Played\nm,90\n"}
+              "c.csv": "player,goals\nq,3\n", "d.csv": "name,Minutes Played\nm,90\n",
+              # the same two columns at other places, quoted fields, a row that is too long
+              "e.csv": "id,player,rating\n1,v,1.5\n2,\"w, jr\",2.5\n3,u,1,2,3\n", "f.csv": "rating,player\r\n4.5,t\r\n"}
     for n, body in files_.items():
-        with open(os.path.join(d, n), "w") as fh:
+        with open(os.path.join(d, n), "w", newline="") as fh:
             fh.write(body)
     rec = files.read_reconciled(spark, d, "rating")
     rows = sorted((r.player, r.rating) for r in rec.data.collect())
-    assert rows == [("x", "7.5"), ("y", "bad"), ("z", "9.9")]
-    assert sorted(os.path.basename(p) for p in rec.skipped) == ["c.csv", "d.csv"]
+    assert rows == [("t", "4.5"), ("v", "1.5"), ("w, jr", "2.5"), ("x", "7.5"), ("y", "bad"), ("z", "9.9")]
+    assert sorted(r.source_file for r in rec.skipped.collect()) == ["c.csv", "d.csv"]
+    assert [(r.source_file, r.line) for r in rec.corrupt.collect()] == [("e.csv", "3,u,1,2,3")]
     good, bad = files.split_quarantine(rec.data, F.col("rating").try_cast("double").isNotNull())
-    assert good.count() == 2 and [r.player for r in bad.collect()] == ["y"]
+    assert good.count() == 5 and [r.player for r in bad.collect()] == ["y"]
     mins = files.read_reconciled(spark, d, "minutes")
     assert [(r.player, r.minutes) for r in mins.data.collect()] == [("m", "90")]
 

@@ -30,7 +30,7 @@ def test_stream_elo_matches_batch(spark):
     q.stop()
     got = {r.match_id: (r.elo_a, r.elo_b) for r in spark.table("elo_stream_out").collect()}
     prepared = rt.prepare_matches(m)
-    want = {r.match_id: (r.elo_a, r.elo_b) for r in rt.elo_ratings(prepared, pool="pool", method="pool").collect()}
+    want = {r.match_id: (r.elo_a, r.elo_b) for r in rt.elo_ratings(prepared, pool="pool").collect()}
     assert got.keys() == want.keys()
     for k in want:
         assert abs(got[k][0] - want[k][0]) < 1e-9 and abs(got[k][1] - want[k][1]) < 1e-9
