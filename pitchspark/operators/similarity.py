@@ -13,15 +13,17 @@ Plan (lossless for the threshold, no cross join):
    therefore shares at least ``tau(L) = 3 * l_min(L) - L - 1`` tagged
    bigrams (each deletion breaks at most one adjacency of the common
    subsequence in a, each insertion at most one in b);
-4. prefix filtering (Chaudhuri et al., ICDE 2006): order the bigrams by
-   global frequency, rarest first; a name keeps its first
-   ``n - tau_min + 1`` bigrams, where ``tau_min`` is the smallest ``tau``
-   over partner lengths allowed by the length filter. Two names sharing
-   ``tau`` bigrams share a prefix bigram, so one equi join on prefix
-   bigrams yields all candidates while frequent bigrams are left out of
-   the join;
+4. prefix filtering (Chaudhuri et al., ICDE 2006) on pairs of bigrams: order
+   the bigrams by global frequency, rarest first; a name keeps its first
+   ``n - tau_min + 2`` bigrams, where ``tau_min`` (2 at least) is the smallest
+   ``tau`` over partner lengths allowed by the length filter. Two names
+   sharing ``tau >= 2`` bigrams share two of these, so one equi join on the
+   pairs of prefix bigrams yields all candidates; a pair of rare bigrams is
+   far more selective than one, of which an alphabet has only a fixed number.
+   Partners with ``tau = 1`` are short on both sides: such names join on
+   single prefix bigrams as well;
 5. candidates pass the length and count filters, then the exact LCS;
-6. the winner per left name is a ``row_number`` over that name.
+6. the winner per left name is one minimum by (-score, right key).
 
 Pairs whose total length leaves ``tau <= 0`` are covered by the exact
 equality join; the constructor checks that for such lengths only equal
@@ -32,7 +34,7 @@ length, so no statistics are collected to the driver.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pitchspark.functions import similarity as S
@@ -45,6 +47,11 @@ def _tau(threshold: int, total: int) -> int:
     return 3 * S.min_lcs_py(threshold, total) - total - 1
 
 
+def _longest_single(threshold: int) -> int:
+    """The largest total length of two names for which a single shared bigram can be all there is (tau = 1)."""
+    return max((n for n in range(2, MAX_CHECKED_LENGTH) if _tau(threshold, n) == 1), default=0)
+
+
 def _check_threshold(threshold: int) -> None:
     """Lengths with tau <= 0 must only admit equal strings."""
     for total in range(2, MAX_CHECKED_LENGTH):
@@ -110,17 +117,20 @@ def fuzzy_best_match(left: DataFrame, right: DataFrame, left_key: str, right_key
             .where(F.col("g").isNotNull()))
     freq = toks.groupBy("g").agg(F.count(F.lit(1)).alias("f"))
 
-    def prefixes(df: DataFrame, name: str) -> DataFrame:
+    def keys(df: DataFrame, name: str) -> DataFrame:
         sized = df.withColumn("tau_min", tau_lower_bound(threshold, F.length(name)))
         ex = (sized.select(name, "tau_min", F.size("grams").alias("ng"), F.explode_outer("grams").alias("g"))
               .where(F.col("g").isNotNull()))
-        ranked = ex.join(freq, "g").withColumn(
-            "_r", F.row_number().over(Window.partitionBy(name).orderBy("f", "g")))
-        keep = F.col("ng") - F.greatest(F.col("tau_min"), F.lit(1)) + 1
-        return ranked.where(F.col("_r") <= keep).select(name, "g")
-
-    pl, prr = prefixes(lg, "lp"), prefixes(rg, "rp")
-    pairs = pl.join(prr, "g").select("lp", "rp").distinct()
+        # A name's own grams only: the list is as long as the name.
+        ranked = ex.join(freq, "g").groupBy(name, "tau_min", "ng").agg(F.sort_array(F.collect_list(F.struct("f", "g"))).alias("gs"))
+        two = "slice(gs, 1, ng - greatest(tau_min, 2) + 2)"
+        pairs2 = f"flatten(transform({two}, (x, i) -> transform(slice({two}, i + 2, ng), y -> xxhash64(x.g, y.g))))"
+        single = f"transform(slice(gs, 1, ng - greatest(tau_min, 1) + 1), x -> xxhash64('1', x.g))"
+        short = f"if(length({name}) < {_longest_single(threshold)}, {single}, cast(array() as array<bigint>))"
+        return ranked.select(name, F.explode(F.expr(f"array_distinct(concat({pairs2}, {short}))")).alias("key"))
+
+    pl, prr = keys(lg, "lp"), keys(rg, "rp")
+    pairs = pl.join(prr, "key").select("lp", "rp").distinct()
     total = F.length("lp") + F.length("rp")
     checked = (pairs.join(lg.select("lp", F.col("grams").alias("ga")), "lp")
                     .join(rg.select("rp", F.col("grams").alias("gb")), "rp")
@@ -140,13 +150,12 @@ def fuzzy_best_match(left: DataFrame, right: DataFrame, left_key: str, right_key
                   .select("lp", "rp", "score"))
 
     # 6. winner per left name: highest score, then smallest right key. The
-    # threshold is applied after the window: a filter on the score would be
+    # threshold is applied after the aggregate: a filter on the score would be
     # pushed below the projection and re-evaluate the LCS per reference.
     keyed = scored.join(rnames, "rp")
-    w = Window.partitionBy("lp").orderBy(F.col("score").desc(), F.col("rkey").asc())
-    best = (keyed.withColumn("_rn", F.row_number().over(w)).where("_rn = 1")
-                 .where(F.col("score") >= threshold)
-                 .select("lp", F.col("rkey").alias("best_key"), "score", F.col("rvalue").alias("value")))
+    best = (keyed.groupBy("lp").agg(F.min(F.struct((-F.col("score")).alias("minus"), F.col("rkey"), F.col("rvalue"))).alias("w"))
+                 .select("lp", F.col("w.rkey").alias("best_key"), (-F.col("w.minus")).alias("score"), F.col("w.rvalue").alias("value"))
+                 .where(F.col("score") >= threshold))
     return (lnames.join(best, "lp", "left")
                   .select(F.col("lkey").alias(left_key), "best_key",
                           F.coalesce("score", F.lit(0)).alias("score"),

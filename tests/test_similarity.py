@@ -71,3 +71,21 @@ def test_fuzzy_equals_brute_force(spark):
     assert got == want
     plan = res._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
+
+
+def test_long_and_short_names_equal_brute_force(spark):
+    """Names around a machine word's length and far beyond, one or two letters, and edits of all of them."""
+    rnd = random.Random(4)
+    base = ["".join(rnd.choice("abcdefgh ") for _ in range(n)).strip() or "a" for n in (1, 2, 3, 4, 5, 61, 62, 63, 64, 65, 200) for _ in range(3)]
+    right = {b: float(i) for i, b in enumerate(dict.fromkeys(base))}
+    left = set()
+    for b in right:
+        for _ in range(3):
+            x = list(b)
+            for _ in range(rnd.choice([0, 1, max(1, len(x) // 12)])):
+                x[rnd.randrange(len(x))] = rnd.choice("abcdefgh")
+            left.add("".join(x).strip() or "b")
+    ldf = spark.createDataFrame([(x,) for x in left], "name string")
+    rdf = spark.createDataFrame(list(right.items()), "key string, value double")
+    got = {r.name: (r.best_key, r.score, r.value) for r in fuzzy_best_match(ldf, rdf, "name", "key", "value").collect()}
+    assert got == _brute(left, right.items())
