@@ -106,7 +106,8 @@ def plan_mix(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CA
                    .withColumn("rest", F.col("target") - F.col("whole") * F.col("source_size")), "mix-targets")
     found = thresholds(sized, goal)
     return written(goal.alias("g").join(found.alias("t"), F.col("g.source").eqNullSafe(F.col("t.source")), "left")
-                   .select("g.source", "source_size", "target", "whole", F.coalesce("below", F.lit(0)).alias("below")), "mix-plan")
+                   .select("g.source", "source_size", "target", "whole", F.when(F.col("rest") > 0, F.col("below")).otherwise(0).alias("below"))
+                   .fillna(0, ["below"]), "mix-plan")
 
 
 def times(rows: DataFrame, plan: DataFrame) -> DataFrame:

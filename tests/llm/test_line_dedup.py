@@ -34,7 +34,7 @@ def brute(rows, percent=ld.PERCENT):
     return {(d, n) for d, n, x in lines if first[find(x)] != (d, n)}
 
 
-def corpus(seed, docs=90):
+def corpus(seed, docs=150):
     rnd = random.Random(seed)
     base = [" ".join(words(rnd, rnd.choice([2, 12, 40]))) for _ in range(30)]
     rows = []
@@ -53,7 +53,7 @@ def corpus(seed, docs=90):
 
 def test_lines_dropped_equal_brute_force(spark):
     found = wanted = 0
-    for seed in (1, 2):
+    for seed in (1,):
         rows = corpus(seed)
         got = {(r.doc_id, n) for r in ld.dropped_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect() for n in r.dropped}
         want = brute(rows)
