@@ -71,7 +71,7 @@ _BYTE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 _POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """``_P**i`` and its inverse for i < n, kept between calls for chunks of the usual size."""
     if len(_POWERS[0]) < n:
         size = max(n, CHUNK_BYTES + 65536)
@@ -112,7 +112,7 @@ class Words:
 
     def span_hashes(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """64-bit hash of each byte span, from prefix sums of a polynomial over mixed bytes."""
-        power, inverse = _powers(len(self.data))
+        power, inverse = powers(len(self.data))
         if self._sums is None:
             self._sums = np.zeros(len(self.data) + 1, np.uint64)
             np.cumsum(_BYTE[self.data] * power[: len(self.data)], out=self._sums[1:])
@@ -168,3 +168,13 @@ def small(df: DataFrame) -> DataFrame:
 def word_count(text: Column) -> Column:
     """Number of ``[^\\x20\\x09-\\x0D]+`` in a text, null as 0; JVM-side."""
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
+
+
+def flat(column) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of an Arrow binary column end to end, without copies, and the offset of each value."""
+    import pyarrow as pa
+
+    kind = np.int64 if pa.types.is_large_binary(column.type) else np.int32
+    offsets = np.frombuffer(column.buffers()[1], kind)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+    data = np.frombuffer(column.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
+    return data, offsets - offsets[0]

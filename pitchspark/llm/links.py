@@ -5,11 +5,13 @@ edges to one minimum per node (partial sums before the shuffle, so a node with
 very many edges is one row on that side, and its edges can be split), writes the
 edges to the shared folder and ends when a round changes nothing.
 
-``linked`` finds all links between nodes that share a key. Comparing all members
-of a key with each other is avoided in two steps: first every member is compared
-with the key's leader only; nodes linked so far form components; then only
-members of different components are compared, for members of one component are
-connected already. Which nodes are connected is the same as with all pairs.
+``linked`` finds all links between nodes that share a key without comparing all
+members of a key with each other: in a few rounds every member meets the key's
+leader only, another one each time; nodes linked so far form components, and
+keys whose members are all in one component are done. What is left - members of
+one key in different components - is compared completely. Which nodes are
+connected is the same as with all pairs, for members of one component are
+connected already.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ from .common import written
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """node, component (its smallest reachable node) of the nodes that edges (a, b) touch."""
+    """node, component (its smallest reachable node) for every node of edges (a, b) but the smallest ones themselves."""
     now = written(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
     seen = _print(now)
     while seen[0]:
@@ -47,26 +49,43 @@ def _print(edges: DataFrame) -> tuple:
 
 
 def linked(members: DataFrame, rank: list[str], carried: list[str], possible: Callable[[str, str], Column],
-           verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
+           verify: Callable[[DataFrame], DataFrame], first: Callable[[str, str], Column] | None = None, rounds: int = 3) -> DataFrame:
     """Links (a, b), a < b, that connect what all verified pairs of ``members`` (key, node, carried columns) would.
 
-    ``rank``: a key's leader is the least by these columns. ``possible(x, y)``
-    is a cheap condition on the columns of two members, by prefix. ``verify``
-    gets distinct pairs (a, b) and returns those that are links. ``members`` is
-    read several times: pass a written table.
+    In each of ``rounds`` every key has one leader: first the least by ``rank``,
+    then one by a hash of key and node, so a node meets other leaders on each of
+    its keys. ``possible(x, y)`` is a cheap condition on the columns of two
+    members, by prefix. ``verify`` gets distinct pairs (a, b), each once in all,
+    and returns those that are links. ``first(x, y)``, for the comparison of what
+    is left, is false where both members certainly share an earlier key, so that
+    a pair is not made again on all of its keys. ``members`` is read several
+    times: pass a written table.
     """
     pair = [F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")]
-    row = F.struct(*rank, "node", *[c for c in carried if c not in rank])
-    heads = (members.groupBy("key").agg(F.min(row).alias("head"), F.count(F.lit(1)).alias("n")).where("n > 1")
-             .select("key", "head.node", *(f"head.{c}" for c in carried)))
-    star = written(members.alias("x").join(heads.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.node") != F.col("y.node")) & possible("x", "y"))
-                   .select(*pair).distinct(), "star-pairs")
-    first = written(verify(star), "star-links")
-    of = components(first)
-    placed = members.join(of, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    mixed = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("key")
-    left = written(placed.join(mixed, "key", "left_semi"), "open-members")
-    rest = (left.alias("x").join(left.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.node") < F.col("y.node"))
-                                 & (F.col("x.component") != F.col("y.component")) & possible("x", "y"))
-            .select(*pair).distinct().join(star, ["a", "b"], "left_anti"))
-    return first.unionByName(verify(written(rest, "open-pairs")))
+    apart = (F.col("x.key") == F.col("y.key")) & (F.col("x.component") != F.col("y.component")) & possible("x", "y")
+    carried = list(dict.fromkeys(["node", "component", *carried]))
+    left = members.withColumn("component", F.col("node"))
+    links = seen = None
+
+    def verified(pairs: DataFrame) -> None:
+        nonlocal links, seen
+        if seen is not None:
+            pairs = pairs.join(seen, ["a", "b"], "left_anti")
+        pairs = written(pairs, "pairs")
+        seen = pairs if seen is None else seen.unionByName(pairs)
+        found = written(verify(pairs), "links") if not pairs.isEmpty() else pairs
+        links = found if links is None else links.unionByName(found)
+
+    for r in range(rounds):
+        order = [F.col(c).alias(f"o_{c}") for c in rank] if r == 0 else [F.xxhash64(F.lit(r), "key", "node").alias("o")]
+        heads = left.groupBy("key").agg(F.min(F.struct(*order, *carried)).alias("head")).select("key", *(f"head.{c}" for c in carried))
+        verified(left.alias("x").join(heads.alias("y"), apart).select(*pair).distinct())
+        placed = members.join(components(links), "node", "left").withColumn("component", F.coalesce("component", "node"))
+        mixed = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("key")
+        left = written(placed.join(mixed, "key", "left_semi"), "open-members")
+        if left.isEmpty():
+            return links
+    once = apart & (F.col("x.node") < F.col("y.node"))
+    once = once & first("x", "y") if first else once
+    verified(left.alias("x").join(left.alias("y"), once).select(*pair).distinct())
+    return links

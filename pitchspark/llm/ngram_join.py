@@ -22,8 +22,10 @@ that links with nothing. Two documents link when
    bits in which two sets differ bound the size of their difference from below.
 5. Verification: each pair that passes is compared once on the whole sorted sets.
 
-Pairs come from ``links.linked``: a shingle's members meet its leader (the one
-with the fewest rarer shingles) first and only then members of other components.
+Pairs come from ``links.linked``: a shingle's members meet its leaders first (the
+one with the fewest rarer shingles, then others) and only then members of other
+components, each pair on the first of its common shingles if their neighbours
+in both prefixes tell.
 A frequent shingle's rows are split by the adaptive skew join, its count is
 summed before the shuffle, and no group is gathered in one place. Ties and
 repeated rows fall into classes; sets that only rows with null ids have link with
@@ -36,7 +38,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, chunks, mix, small, texts_of, written
+from .common import CHUNK_BYTES, Words, flat, mix, small, written
 from .links import components, linked
 
 SHINGLE, PERCENT = 4, 85
@@ -71,9 +73,16 @@ def _parity(sums: np.ndarray) -> np.ndarray:
 
 
 def _sets(batch, column: int, k: int):
-    texts = [t.lower() for t in texts_of(batch.column(column))]
-    for a, b in chunks(texts):
-        yield from Words(texts[a:b]).shingle_sets(k)
+    """The shingle sets of a batch's texts, one chunk of texts at a time: (first row, sets)."""
+    import pyarrow as pa
+
+    texts = batch.column(column)
+    data, ends = flat(texts.cast(pa.large_binary() if pa.types.is_large_string(texts.type) else pa.binary())) if len(texts) else (None, np.zeros(1, np.int64))
+    begin = 0
+    while begin < len(texts):
+        stop = max(begin + 1, int(np.searchsorted(ends, ends[begin] + CHUNK_BYTES, side="right")) - 1)
+        yield begin, Words([data[a:b].tobytes().lower() for a, b in zip(ends[begin:stop], ends[begin + 1 : stop + 1], strict=True)]).shingle_sets(k)
+        begin = stop
 
 
 def shingle_classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -83,12 +92,12 @@ def shingle_classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text", k
         import pyarrow as pa
 
         for batch in batches:
-            sets = list(_sets(batch, 1, k))
-            parity = np.array([_parity(s) for s in sets], dtype=np.int64).reshape(-1, CELL_WORDS)
-            yield pa.RecordBatch.from_arrays([
-                batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([_class_of(s) for s in sets], pa.int64()),
-                pa.array([int(np.searchsorted(s, _LIMIT)) for s in sets], pa.int64()), *(pa.array(parity[:, i], pa.int64()) for i in range(CELL_WORDS)),
-            ], ["doc_id", "n_shingles", "node", "n_below", *_PARITY])
+            for begin, sets in _sets(batch, 1, k):
+                parity = np.array([_parity(s) for s in sets], dtype=np.int64).reshape(-1, CELL_WORDS)
+                yield pa.RecordBatch.from_arrays([
+                    batch.column(0).slice(begin, len(sets)), pa.array([len(s) for s in sets], pa.int64()), pa.array([_class_of(s) for s in sets], pa.int64()),
+                    pa.array([int(np.searchsorted(s, _LIMIT)) for s in sets], pa.int64()), *(pa.array(parity[:, i], pa.int64()) for i in range(CELL_WORDS)),
+                ], ["doc_id", "n_shingles", "node", "n_below", *_PARITY])
 
     schema = "doc_id long, n_shingles long, node long, n_below long, " + ", ".join(f"{s} long" for s in _PARITY)
     return df.select(F.col(doc_id).cast("long"), F.col(text).cast("string")).mapInArrow(run, schema)
@@ -102,15 +111,16 @@ def _ranked_rows(df: DataFrame, doc_id: str, text: str, k: int, percent: int) ->
 
         done: set[int] = set()
         for batch in batches:
-            keys, nodes = [], []
-            for s in _sets(batch, 0, k):
-                node = _class_of(s)
-                if len(s) and node not in done:
-                    done.add(node)
-                    keys.append(_ranked(s, percent))
-                    nodes.append(np.full(len(keys[-1]), node, dtype=np.int64))
-            if keys:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(nodes))], ["key", "node"])
+            for _, sets in _sets(batch, 0, k):
+                keys, nodes = [], []
+                for s in sets:
+                    node = _class_of(s)
+                    if len(s) and node not in done:
+                        done.add(node)
+                        keys.append(_ranked(s, percent))
+                        nodes.append(np.full(len(keys[-1]), node, dtype=np.int64))
+                if keys:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(nodes))], ["key", "node"])
 
     return df.select(F.col(text).cast("string")).mapInArrow(run, "key long, node long")
 
@@ -133,11 +143,21 @@ def prefixes(df: DataFrame, classes: DataFrame, doc_id: str, text: str, k: int,
     places = F.concat(
         F.transform("ranked", lambda x, i: F.struct(x["key"].alias("key"), (F.col("n_below") - F.size("ranked") + i).alias("place"))),
         F.transform("others", lambda x, i: F.struct(x["key"].alias("key"), (F.col("n_below") + i).alias("place"))))
-    return (joined.select("node", "n_shingles", "prefix", *_PARITY, F.explode(places).alias("p"))
-            .select(F.col("p.key").alias("key"), "node", F.col("p.place").cast("long").alias("place"), "n_shingles", "prefix", *_PARITY)
+    # Each place also carries the two keys before it: equal ones tell that a pair has met already.
+    before = F.transform("places", lambda x, i: F.struct(x["key"].alias("key"), x["place"].cast("long").alias("place"),
+                                                         F.get("places", i - 1)["key"].alias("p1"), F.get("places", i - 2)["key"].alias("p2")))
+    return (joined.select("node", "n_shingles", "prefix", *_PARITY, places.alias("places"))
+            .select("node", "n_shingles", "prefix", *_PARITY, F.explode(before).alias("p"))
+            .select("p.key", "node", "p.place", "p.p1", "p.p2", "n_shingles", "prefix", *_PARITY)
             .where("place < prefix").drop("prefix"))
 
 
+def _first(x: str, y: str) -> Column:
+    """False where both have the same key one or two keys before: the pair was made there."""
+    met = [F.coalesce(F.col(f"{x}.{p}") == F.col(f"{y}.{q}"), F.lit(False)) for p in ("p1", "p2") for q in ("p1", "p2")]
+    return ~(met[0] | met[1] | met[2] | met[3])
+
+
 def _possible(percent: int):
     def condition(x: str, y: str) -> Column:
         a, b = F.col(f"{x}.n_shingles"), F.col(f"{y}.n_shingles")
@@ -159,9 +179,9 @@ def set_table(docs: DataFrame, doc_id: str, text: str, k: int) -> DataFrame:
         import pyarrow as pa
 
         for batch in batches:
-            sets = list(_sets(batch, 0, k))
-            yield pa.RecordBatch.from_arrays([pa.array([_class_of(s) for s in sets], pa.int64()), pa.array([s.astype("<u8").tobytes() for s in sets], pa.binary())],
-                                             ["node", "items"])
+            for _, sets in _sets(batch, 0, k):
+                yield pa.RecordBatch.from_arrays([pa.array([_class_of(s) for s in sets], pa.int64()), pa.array([s.astype("<u8").tobytes() for s in sets], pa.binary())],
+                                                 ["node", "items"])
 
     return docs.select(F.col(text).cast("string")).mapInArrow(run, "node long, items binary")
 
@@ -174,8 +194,9 @@ def overlap_links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         import pyarrow as pa
 
         out = []
-        for x, y in zip(left.to_pylist(), right.to_pylist(), strict=True):
-            x, y = np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")
+        (x_data, x_at), (y_data, y_at) = flat(left), flat(right)  # views of the batch, no copies
+        for i in range(len(x_at) - 1):
+            x, y = x_data[x_at[i] : x_at[i + 1]].view("<u8"), y_data[y_at[i] : y_at[i + 1]].view("<u8")
             small_set, large = (x, y) if len(x) <= len(y) else (y, x)
             at = np.minimum(np.searchsorted(large, small_set), max(len(large) - 1, 0))
             both = int((large[at] == small_set).sum()) if len(large) else 0
@@ -201,7 +222,7 @@ def similar_documents(df: DataFrame, doc_id: str = "doc_id", text: str = "text",
         sets = set_table(texts, "class_id", "t", k).dropDuplicates(["node"])
         return overlap_links(pairs, written(sets, "verify-sets"), percent)
 
-    links = written(linked(members, rank, carried, _possible(percent), verify), "links")
+    links = written(linked(members, rank, carried, _possible(percent), verify, _first), "links")
     of = components(links)
     # The component's smallest document, over classes.
     placed = firsts.join(of, "node", "left").withColumn("component", F.coalesce("component", "node"))
