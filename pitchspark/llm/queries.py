@@ -87,7 +87,7 @@ def tokens_of(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json") -> DataFram
     import public_tokenizers
 
     path = public_tokenizers.path(tokenizer)
-    ids = written(token_ids.encode_ids(docs, path).select("doc_id", "ids"), "token-ids")
+    ids = written(token_ids.encode_ids(docs, path, keep=["doc_id"]), "token-ids")
     folder = shared_path(docs.sparkSession, "token-files")
     token_ids.write_tokens(ids, folder, token_ids.id_kind(path))
     return token_ids.read_tokens(docs.sparkSession, folder)

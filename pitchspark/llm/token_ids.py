@@ -26,6 +26,7 @@ and no rows. A text's special-token strings are encoded as the tokenizer does.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterable, Iterator
 
@@ -33,8 +34,9 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import small, written
+from .common import chunks, flat, small, written
 from .huffman import CHECKPOINT, Code, code_lengths
 from .rawfiles import read_files, write_records
 
@@ -50,17 +52,23 @@ class ChunkTokenizer:
     A byte-level tokenizer splits text before it merges, and a space before a
     character that is no white space always begins a new split; so a text cut
     there encodes piece by piece to the same ids. Pieces already met are looked
-    up, new ones go through the library. Two generations of at most ``limit``
+    up; the new ones of a chunk of texts go through the library together, joined
+    into longer strings whose ids are cut again at the tokens that begin with a
+    space - only a piece's first does. Two generations of at most ``limit``
     pieces are kept, so memory is bounded. Texts with a special token's string
     are encoded whole.
     """
 
-    def __init__(self, path: str, limit: int = 500_000):
+    JOINED = 200
+
+    def __init__(self, path: str, limit: int = 200_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.begins = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
+        self.begins[[i for t, i in self.tokenizer.get_vocab().items() if t.startswith("\u0120")]] = True
         self.limit, self.young, self.old = limit, {}, {}
 
     def _ids(self, texts: list[str]) -> list[bytes]:
@@ -68,39 +76,60 @@ class ChunkTokenizer:
 
     @staticmethod
     def pieces(text: str) -> list[str]:
-        """Cut before each space that a character other than white space follows."""
+        """The text's part before the first cut, then each later piece without its space.
+
+        Cuts are the spaces that a character other than white space follows.
+        """
         parts = text.split(" ")
+        if not _SPACE_THEN_SPACE.search(text):
+            return parts
         out = [parts[0]]
         for p in parts[1:]:
             if p and not p[0].isspace():
-                out.append(" " + p)
+                out.append(p)
             else:
                 out[-1] += " " + p
         return out
 
+    def _learn(self, new: list[str]) -> None:
+        """Encode pieces that follow a space. Those with a space inside have no other sure cut and go alone."""
+        young, step = self.young, self.kind.itemsize
+        alone = [p for p in new if " " in p]
+        young.update(zip(alone, self._ids([" " + p for p in alone]), strict=True))
+        new = [p for p in new if " " not in p] if alone else new
+        groups = [new[a : a + self.JOINED] for a in range(0, len(new), self.JOINED)]
+        for group, e in zip(groups, self.tokenizer.encode_batch_fast([" " + " ".join(g) for g in groups], add_special_tokens=False), strict=True):
+            ids = np.array(e.ids, dtype=self.kind)
+            cuts = np.flatnonzero(self.begins[ids])
+            if len(cuts) != len(group):
+                raise ValueError("the tokenizer does not begin a token at each space")
+            raw, at = ids.tobytes(), [*(cuts * step).tolist(), len(ids) * step]
+            young.update(zip(group, (raw[a:b] for a, b in zip(at[:-1], at[1:], strict=True)), strict=True))
+
     def encode(self, texts: list[str]) -> list[bytes]:
-        out = []
-        for text in texts:
-            if any(s in text for s in self.special):
-                out += self._ids([text])
-                continue
-            pieces = self.pieces(text)
-            young = self.young
-            new = [p for p in dict.fromkeys(pieces) if p not in young]
-            if new:
-                fresh = []
-                for p in new:
-                    if (known := self.old.get(p)) is not None:
-                        young[p] = known
-                    else:
-                        fresh.append(p)
-                young.update(zip(fresh, self._ids(fresh), strict=True))
-            out.append(b"".join(map(young.__getitem__, pieces)))
-            if len(young) > self.limit:
-                self.old, self.young = young, {}
+        out: list[bytes] = []
+        for a, b in chunks([t.encode() for t in texts]):
+            out += self._encode(texts[a:b])
+        return out
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
+        whole = {i for i, t in enumerate(texts) if any(s in t for s in self.special)}
+        pieces = [[] if i in whole else self.pieces(t) for i, t in enumerate(texts)]
+        old, young = self.old, self.young
+        need = set().union(*(p[1:] for p in pieces)).difference(young)
+        known = need & old.keys()
+        young.update((p, old[p]) for p in known)
+        self._learn(sorted(need - known))
+        heads = iter(self._ids([texts[i] if i in whole else p[0] for i, p in enumerate(pieces)]))
+        out = [head + b"".join(map(young.__getitem__, p[1:])) for head, p in zip(heads, pieces, strict=True)]
+        if len(young) > self.limit:
+            self.old, self.young = young, {}
         return out
 
 
+_SPACE_THEN_SPACE = re.compile(r" (?:\s|\Z)")
+
+
 def id_kind(tokenizer: str) -> np.dtype:
     """The number type that holds this tokenizer's ids."""
     return ChunkTokenizer(tokenizer).kind
@@ -109,18 +138,31 @@ def id_kind(tokenizer: str) -> np.dtype:
 _TOKENIZERS: dict[str, ChunkTokenizer] = {}
 
 
-def encode_ids(df: DataFrame, tokenizer: str, text: str = "text", end_id: int = 0, out: str = "ids") -> DataFrame:
-    """Add ``out``: the ids of the whole text and the end id, as little-endian unsigned 16-bit (32-bit for large vocabularies)."""
+#: Texts whose strings and ids a task holds at once.
+SLICE_ROWS = 256
+
+
+def encode_ids(df: DataFrame, tokenizer: str, text: str = "text", end_id: int = 0, out: str = "ids", keep: list[str] | None = None) -> DataFrame:
+    """Add ``out``: the ids of the whole text and the end id, as little-endian unsigned 16-bit (32-bit for large vocabularies).
 
-    @F.arrow_udf("binary")
-    def ids(column):
+    ``keep``: the other columns of the result, by default all but one named like ``out``.
+    """
+    keep = [c for c in df.columns if c != out] if keep is None else keep
+    rows = df.select(*[F.col(f"`{c}`") for c in keep], F.col(text).cast("string").alias("llm_text"))
+    schema = T.StructType([*rows.schema.fields[:-1], T.StructField(out, T.BinaryType())])
+
+    def run(batches):
         import pyarrow as pa
 
         t = _TOKENIZERS.get(tokenizer) or _TOKENIZERS.setdefault(tokenizer, ChunkTokenizer(tokenizer))
         end = np.array([end_id], dtype=t.kind).tobytes()
-        return pa.array([x + end for x in t.encode([s or "" for s in column.to_pylist()])], pa.binary())
+        for batch in batches:
+            for a in range(0, batch.num_rows, SLICE_ROWS):
+                part = batch.slice(a, SLICE_ROWS)
+                ids = pa.array([x + end for x in t.encode([s or "" for s in part.column(len(keep)).to_pylist()])], pa.binary())
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], ids], [*keep, out])
 
-    return df.withColumn(out, ids(F.col(text)))
+    return rows.mapInArrow(run, schema)
 
 
 def count_ids(df: DataFrame, kind: np.dtype, ids: str = "ids") -> np.ndarray:
@@ -131,10 +173,14 @@ def count_ids(df: DataFrame, kind: np.dtype, ids: str = "ids") -> np.ndarray:
 
         total = np.zeros(0, np.int64)
         for batch in batches:
-            found = np.bincount(np.frombuffer(b"".join(batch.column(0).to_pylist()), dtype=kind))
-            if len(found) > len(total):
-                total, found = found, total
-            total[: len(found)] += found
+            if not batch.num_rows:
+                continue
+            ids = flat(batch.column(0))[0].view(kind)
+            for a in range(0, len(ids), 1 << 17):  # parts that stay in the processor's cache
+                found = np.bincount(ids[a : a + (1 << 17)])
+                if len(found) > len(total):
+                    total, found = found, total
+                total[: len(found)] += found
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(total[used], pa.int64())], ["id", "n"])
 
@@ -144,26 +190,30 @@ def count_ids(df: DataFrame, kind: np.dtype, ids: str = "ids") -> np.ndarray:
     return out
 
 
+def _binary(data: np.ndarray, offsets: np.ndarray):
+    import pyarrow as pa
+
+    return pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(data))])
+
+
 def _coded(code: Code, kind: np.dtype):
     def run(batches):
         import pyarrow as pa
 
         for batch in batches:
-            doc_ids, ties, raw = (batch.column(c).to_pylist() for c in range(3))
+            if not batch.num_rows:
+                continue
+            data, offsets = flat(batch.column(2))
+            ids, ends = data.view(kind), offsets // kind.itemsize
             begin = 0
-            while begin < len(raw):
-                stop, size = begin, 0
-                while stop < len(raw) and (not size or size + len(raw[stop]) < 1 << 20):
-                    size += len(raw[stop])
-                    stop += 1
-                counts = np.array([len(x) // kind.itemsize for x in raw[begin:stop]], dtype=np.int64)
-                data, sizes, points = code.encode(np.frombuffer(b"".join(raw[begin:stop]), dtype=kind).astype(np.int64), counts)
-                data, points = data.tobytes(), points.astype("<u4").tobytes()
-                at, per = np.concatenate(([0], np.cumsum(sizes))).tolist(), np.concatenate(([0], np.cumsum(-(-counts // CHECKPOINT)))).tolist()
+            while begin < batch.num_rows:  # parts that stay in the processor's cache; a longer document alone
+                stop = max(begin + 1, int(np.searchsorted(ends, ends[begin] + (1 << 16), side="right")) - 1)
+                counts = np.diff(ends[begin : stop + 1])
+                coded, sizes, points = code.encode(ids[ends[begin] : ends[stop]].astype(np.int64), counts)
+                per = 4 * np.concatenate(([0], np.cumsum(-(-counts // CHECKPOINT))))
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(doc_ids[begin:stop], pa.int64()), pa.array(ties[begin:stop], pa.int64()), pa.array(counts, pa.int64()),
-                    pa.array([data[a:b] for a, b in zip(at[:-1], at[1:], strict=True)], pa.binary()),
-                    pa.array([points[4 * a : 4 * b] for a, b in zip(per[:-1], per[1:], strict=True)], pa.binary()),
+                    batch.column(0).slice(begin, stop - begin), batch.column(1).slice(begin, stop - begin), pa.array(counts, pa.int64()),
+                    _binary(coded, np.concatenate(([0], np.cumsum(sizes)))), _binary(points.astype("<u4").view(np.uint8), per),
                 ], ["doc_id", "tie", "n", "code", "points"])
                 begin = stop
 
