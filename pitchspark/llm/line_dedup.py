@@ -12,7 +12,8 @@ the exact Jaccard similarity of the whole shingle sets (at least ``percent``),
 and union-find joins the links. Of each component the first line by document id,
 line number and row stays, all others are dropped.
 
-Keys found once - most - leave at the sum that follows the map; a hot line is
+One map makes nodes and bands of all lines and writes them; keys found once -
+most - leave at the sum that follows; a hot line is
 one node, a hot key's rows can be split. Blank lines are no lines and stay.
 Lines shorter than a shingle have only equal copies. Null and empty texts have
 no lines; repeated rows lose the lines of all but one; null ids come first;
@@ -22,12 +23,11 @@ empty tables give empty results.
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, mix, small, written
+from .common import chunks, mix, powers, small, written
 from .links import components, linked
-from .ngram_join import overlap_links
 
 SHINGLE, PERCENT = 8, 80
 BANDS, ROWS = 12, 5
@@ -47,36 +47,42 @@ def lines_of(text: str | None) -> list[tuple[int, str]]:
 
 
 class Shingles:
-    """Hashes of the character shingles of many lines: ``sums[first[i]:first[i + 1]]`` are those of line i, with repeats."""
+    """Hashes of the character shingles of many lines: ``sums[first[i]:first[i + 1]]`` are those of line i, with repeats.
+
+    Both they and the hash of a whole line (``whole``) come from one running sum
+    of a polynomial over the code points.
+    """
 
     def __init__(self, lines: list[str], k: int = SHINGLE):
-        points = np.frombuffer("".join(lines).encode("utf-32-le"), dtype=np.uint32).astype(np.uint64)
+        points = np.frombuffer("".join(lines).encode("utf-32-le"), dtype=np.uint32)
+        power, inverse = powers(len(points) + 1)
+        run = np.zeros(len(points) + 1, np.uint64)
+        np.cumsum((points + np.uint32(1)) * power[: len(points)], out=run[1:])
         length = np.fromiter(map(len, lines), dtype=np.int64, count=len(lines))
-        total = np.zeros(len(points), np.uint64)
-        for j in range(k):
-            total[: len(points) - j] += points[j:] * _FACTOR[j]
         ends = np.cumsum(length)
         begins = ends - length
-        inside = np.repeat(ends, length) - np.arange(len(points)) >= k
-        self.sums = mix(total[inside])
-        self.first = np.concatenate((np.zeros(1, np.int64), np.cumsum(np.maximum(length - k + 1, 0))))
-        # The whole line, from a running sum of mixed characters and their places.
-        place = (np.arange(len(points)) - np.repeat(begins, length)).astype(np.uint64)
-        run = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix(points + (place + np.uint64(1)) * _FACTOR[7]))))
-        self.whole = mix(run[ends] - run[begins] + length.astype(np.uint64) * _FACTOR[3])
+        counts = np.maximum(length - k + 1, 0)
+        self.first = np.concatenate((np.zeros(1, np.int64), np.cumsum(counts)))
+        at = np.arange(self.first[-1]) + np.repeat(begins - self.first[:-1], counts)
+        self.sums = mix((run[at + k] - run[at]) * inverse[at])
+        self.whole = mix((run[ends] - run[begins]) * inverse[begins] + length.astype(np.uint64) * _FACTOR[3])
 
     def sets(self) -> list[np.ndarray]:
         """Sorted distinct shingles of each line; a shorter line is its own only shingle."""
         return [np.unique(self.sums[a:b]) if b > a else self.whole[i : i + 1] for i, (a, b) in
                 enumerate(zip(self.first[:-1].tolist(), self.first[1:].tolist(), strict=True))]
 
-    def bands(self) -> np.ndarray:
-        """BANDS keys of each line; rows of lines without a shingle are meaningless."""
-        n = len(self.first) - 1
+    def bands(self, chosen: np.ndarray | None = None) -> np.ndarray:
+        """BANDS keys of each line, or of the chosen ones, which have a shingle each."""
+        counts = np.diff(self.first)
+        chosen = np.arange(len(counts)) if chosen is None else chosen
+        n, counts = len(chosen), counts[chosen]
+        starts = np.cumsum(counts) - counts
+        sums = self.sums[np.arange(int(counts.sum())) + np.repeat(self.first[chosen] - starts, counts)]
         signature = np.full(n * _BINS, _EMPTY)
-        line = np.repeat(np.arange(n), np.diff(self.first))
-        place = ((self.sums >> np.uint64(32)) * np.uint64(_BINS) >> np.uint64(32)).astype(np.int64)
-        np.minimum.at(signature, line * _BINS + place, mix(self.sums))
+        line = np.repeat(np.arange(n), counts)
+        place = ((sums >> np.uint64(32)) * np.uint64(_BINS) >> np.uint64(32)).astype(np.int64)
+        np.minimum.at(signature, line * _BINS + place, (sums << np.uint64(32)) | (sums >> np.uint64(32)))
         signature = signature.reshape(n, _BINS)
         empty = signature == _EMPTY
         following, away = signature[:, 0].copy(), np.zeros(n, np.uint64)
@@ -94,82 +100,98 @@ class Shingles:
         return out
 
 
-def _batches(texts: list[str | None]):
-    """Lines of a chunk of texts at a time: (text number, line number) and normal forms."""
-    for a, b in chunks([(t or "").encode() for t in texts], 1 << 20):
-        found = [(i, n, x) for i in range(a, b) for n, x in lines_of(texts[i])]
-        yield a, b, found
-
-
 def line_nodes(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, row (one per input row), lines: array of (line_no, node)."""
+    """One row per input row: doc_id, row, lines (array of line_no, node) and fresh (array of node, bands).
+
+    ``fresh`` has the band keys of the lines that the task had not met before.
+    """
 
     def run(batches):
         import pyarrow as pa
 
-        kind = pa.list_(pa.struct([("line_no", pa.int32()), ("node", pa.int64())]))
+        done: set[int] = set()
+        line = pa.struct([("line_no", pa.int32()), ("node", pa.int64())])
+        band = pa.struct([("node", pa.int64()), ("bands", pa.list_(pa.int64(), BANDS))])
         for batch in batches:
             texts = batch.column(2).to_pylist()
-            out: list[list[dict]] = [[] for _ in texts]
-            for _, _, found in _batches(texts):
-                nodes = Shingles([x for _, _, x in found]).whole.view(np.int64).tolist() if found else []
-                for (i, n, _), node in zip(found, nodes, strict=True):
-                    out[i].append({"line_no": n, "node": node})
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, kind)], ["doc_id", "row", "lines"])
+            for a, b in chunks([(t or "").encode() for t in texts], 1 << 18):
+                per_text = [lines_of(t) for t in texts[a:b]]
+                flat = [x for lines in per_text for _, x in lines]
+                s = Shingles(flat) if flat else None
+                nodes = s.whole.view(np.int64).tolist() if flat else []
+                new = {}
+                for i, (node, x) in enumerate(zip(nodes, flat, strict=True)):
+                    if len(x) >= SHINGLE and node not in done:
+                        done.add(node)
+                        new[i] = node
+                keys = s.bands(np.fromiter(new, dtype=np.int64, count=len(new))).view(np.int64) if new else np.zeros((0, BANDS), np.int64)
+                ends = np.cumsum([0, *map(len, per_text)])
+                fresh_ends = np.searchsorted(np.fromiter(new, dtype=np.int64, count=len(new)), ends)
+                lines = pa.StructArray.from_arrays([pa.array([n for x in per_text for n, _ in x], pa.int32()), pa.array(nodes, pa.int64())], fields=list(line))
+                bands = pa.FixedSizeListArray.from_arrays(pa.array(keys.ravel(), pa.int64()), BANDS)
+                fresh = pa.StructArray.from_arrays([pa.array(list(new.values()), pa.int64()), bands], fields=list(band))
+                yield pa.RecordBatch.from_arrays([
+                    batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), lines),
+                    pa.ListArray.from_arrays(pa.array(fresh_ends, pa.int32()), fresh).cast(
+                        pa.list_(pa.struct([("node", pa.int64()), ("bands", pa.list_(pa.int64()))])))], ["doc_id", "row", "lines", "fresh"])
 
     return (df.select(F.col(doc_id).cast("long"), F.monotonically_increasing_id(), F.col(text).cast("string"))
-            .mapInArrow(run, "doc_id long, row long, lines array<struct<line_no:int,node:long>>"))
+            .mapInArrow(run, "doc_id long, row long, lines array<struct<line_no:int,node:long>>, fresh array<struct<node:long,bands:array<long>>>"))
 
 
-def band_rows(df: DataFrame, text: str = "text") -> DataFrame:
-    """key, node: the band keys of each line, equal lines once per task."""
+def _first(x: str, y: str) -> Column:
+    """False where both have one of the two shared keys before: the pair was made there."""
+    met = [F.coalesce(F.col(f"{x}.{p}") == F.col(f"{y}.{q}"), F.lit(False)) for p in ("p1", "p2") for q in ("p1", "p2")]
+    return ~(met[0] | met[1] | met[2] | met[3])
 
-    def run(batches):
+
+def band_members(per_row: DataFrame) -> DataFrame:
+    """key, node, p1, p2 (the two keys before it in the node's order): the bands that some other line may share."""
+    rows = per_row.select(F.explode("fresh").alias("x")).select("x.node", F.explode("x.bands").alias("key"))
+    counts = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
+    shared = rows.join(counts, "key").groupBy("node").agg(F.sort_array(F.collect_set("key")).alias("keys"))
+    before = F.transform("keys", lambda x, i: F.struct(x.alias("key"), F.get("keys", i - 1).alias("p1"), F.get("keys", i - 2).alias("p2")))
+    return shared.select("node", F.explode(before).alias("r")).select("node", "r.*")
+
+
+def similar_lines(pairs: DataFrame, lines: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose lines (node, line) have an exact Jaccard similarity of ``percent`` or more."""
+
+    @F.arrow_udf("boolean")
+    def alike(left, right):
         import pyarrow as pa
 
-        done: set[int] = set()
-        for batch in batches:
-            for _, _, found in _batches(batch.column(0).to_pylist()):
-                lines = list(dict.fromkeys(x for _, _, x in found if len(x) >= SHINGLE))
-                if not lines:
-                    continue
-                s = Shingles(lines)
-                nodes = s.whole.view(np.int64)
-                new = np.array([x not in done for x in nodes.tolist()])
-                done.update(nodes.tolist())
-                keys = s.bands()[new].view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(np.repeat(nodes[new], BANDS))], ["key", "node"])
+        out: list[bool] = []
+        x, y = ([normal(v or "") for v in c.to_pylist()] for c in (left, right))
+        for a, b in chunks([v.encode() for v in x], 1 << 18):
+            for p, q in zip(Shingles(x[a:b]).sets(), Shingles(y[a:b]).sets(), strict=True):
+                both = len(p) + len(q) - len(np.union1d(p, q))
+                out.append(both > 0 and 100 * both >= percent * (len(p) + len(q) - both))
+        return pa.array(out, pa.bool_())
 
-    return df.select(F.col(text).cast("string")).mapInArrow(run, "key long, node long")
+    left = lines.select(F.col("node").alias("a"), F.col("line").alias("left"))
+    right = lines.select(F.col("node").alias("b"), F.col("line").alias("right"))
+    return pairs.join(left, "a").join(right, "b").where(alike(F.col("left"), F.col("right"))).select("a", "b")
 
 
 def duplicate_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
     """Occurrences (doc_id, row, line_no, node) and links (a, b) between nodes."""
     per_row = written(line_nodes(df, doc_id, text), "lines")
     occurrences = per_row.select("doc_id", "row", F.explode("lines").alias("x")).select("doc_id", "row", "x.line_no", "x.node")
-    rows = band_rows(df, text)
-    counts = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
-    shared = rows.join(counts, "key").groupBy("node").agg(F.collect_set("key").alias("keys"))
-    members = written(shared.select(F.explode("keys").alias("key"), "node"), "bands")
+    members = written(band_members(per_row), "bands")
     firsts = occurrences.groupBy("node").agg(F.min(F.struct("doc_id", "line_no")).alias("at"))
 
     def verify(pairs: DataFrame) -> DataFrame:
         wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
         at = written(firsts.join(wanted, "node").select("node", F.col("at.doc_id").alias("at_id"), F.col("at.line_no").alias("at_line")), "verify-lines")
-        line = F.element_at(F.split("t", "\n", -1), F.col("at_line") + 1)
-        texts = df.select(F.col(doc_id).cast("long").alias("at_id"), F.col(text).alias("t")).join(small(at), "at_id").select("node", line.alias("line"))
-
-        def run(batches):
-            import pyarrow as pa
-
-            for batch in batches:
-                sets = Shingles([normal(x or "") for x in batch.column(1).to_pylist()]).sets() if batch.num_rows else []
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([s.astype("<u8").tobytes() for s in sets], pa.binary())], ["node", "items"])
-
-        sets = texts.mapInArrow(run, "node long, items binary").dropDuplicates(["node"])
-        return overlap_links(pairs, written(sets, "verify-sets"), percent)
-
-    links = linked(members, [], [], lambda x, y: F.lit(True), verify)
+        # Only documents that hold a wanted line give their texts, and of these only the wanted lines go on.
+        texts = df.select(F.col(doc_id).cast("long").alias("at_id"), F.col(text).alias("t"))
+        texts = texts.join(small(written(at.select("at_id").distinct(), "verify-ids")), "at_id", "left_semi")
+        lines = texts.select("at_id", F.posexplode(F.split("t", "\n", -1)).alias("at_line", "line"))
+        lines = lines.join(at, ["at_id", "at_line"]).groupBy("node").agg(F.min("line").alias("line"))
+        return similar_lines(pairs, written(lines, "verify-texts"), percent)
+
+    links = linked(members, [], ["p1", "p2"], lambda x, y: F.lit(True), verify, _first)
     return per_row, written(links, "line-links")
 
 
@@ -190,8 +212,8 @@ def dropped_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text", per
 
 def dedup_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
     """``df`` with the dropped lines cut out of ``text``; needs unique, non-null ids to bring the two together."""
-    drop = dropped_lines(df, doc_id, text, percent).select(F.col("doc_id").alias("drop_id"), "dropped").where(F.size("dropped") > 0)
+    drop = dropped_lines(df, doc_id, text, percent).select(F.col("doc_id").alias("llm_drop_id"), F.col("dropped").alias("llm_dropped")).where(F.size("llm_dropped") > 0)
     lines = F.split(F.col(text), "\n", -1)
-    left = F.filter(lines, lambda x, i: ~F.array_contains(F.col("dropped"), i.cast("int")))
-    cut = F.when(F.col("dropped").isNull(), F.col(text)).otherwise(F.array_join(left, "\n"))
-    return df.join(drop, df[doc_id].cast("long") == drop["drop_id"], "left").withColumn(text, cut).drop("drop_id", "dropped")
+    left = F.filter(lines, lambda x, i: ~F.array_contains(F.col("llm_dropped"), i.cast("int")))
+    cut = F.when(F.col("llm_dropped").isNull(), F.col(text)).otherwise(F.array_join(left, "\n"))
+    return df.join(drop, df[doc_id].cast("long") == drop["llm_drop_id"], "left").withColumn(text, cut).drop("llm_drop_id", "llm_dropped")
