@@ -186,7 +186,8 @@ def assemble(records: DataFrame) -> DataFrame:
              .join(wanted, "to_id").groupBy("to_id").agg(F.min("referred").alias("referred")))
     own = [F.when(F.col("type") == "revisit", F.col(f"referred.{c}")).otherwise(F.col(c)).alias(c) for c in ("payload_bytes", "payload_sha256")]
     return (captures.join(parts, captures["record_id"] == parts["capture"], "left").join(facts, captures["refers_to"] == facts["to_id"], "left")
-            .select("record_id", "type", "uri", "refers_to", *own, "http", *(["payload"] if "payload" in records.columns else []), "request", "metadata"))
+            .select("record_id", "type", "uri", "refers_to", *own, "http", *(["payload"] if "payload" in records.columns else []), "request",
+                    F.coalesce("metadata", F.array().cast(parts.schema["metadata"].dataType)).alias("metadata")))
 
 
 def orphans(records: DataFrame) -> DataFrame:
