@@ -8,7 +8,9 @@ one passage. WAND walks the postings of the passage's terms item by item, jumps
 over items whose terms' bounds cannot reach the threshold, then over blocks
 whose maxima cannot. Retrieved items are verified on five-word shingles: 80 % of
 the item's shingles must occur in the passage, and half of those of its question
-and of its answer part.
+and of its answer part. A part of fewer than ``PART_SHINGLES`` shingles reaches into
+the other, so one changed word never undoes a part; of an item that has not
+twice as many no part can fail when the whole does not, and the whole decides.
 
 The threshold loses nothing: an item with 80 % of its shingles in the passage
 misses no more words than shingles, so its score is at least its score with
@@ -18,8 +20,9 @@ every item's threshold is 1.
 Items are taken in shards of at most ``shard_words`` words, so the index sent to
 the tasks is bounded; each shard is one more map over the documents. No shuffle.
 
-An item's answer is its last sentence, of a single sentence the second half;
-letters A-Z are lowered. Items of fewer than five words are one shingle, items
+Words end at white space; symbols, brackets and repeated marks glued to a word are
+words of their own. An item's answer is its last sentence, of a single sentence
+the second half; letters A-Z are lowered. Items of fewer than five words are one shingle, items
 without words and null items never match; null and empty documents have no
 leaks; repeated items and rows are kept. An empty benchmark leaves nothing out.
 """
@@ -38,6 +41,8 @@ from pyspark.sql import functions as F
 from .common import Words, chunks, texts_of
 
 SHINGLE, OVERLAP, PART_OVERLAP = 5, 0.8, 0.5
+#: One changed word undoes five shingles, half of so many.
+PART_SHINGLES = 2 * SHINGLE
 STRETCH = 64
 BLOCK = 16
 #: Terms of at most so many items are rare.
@@ -45,15 +50,22 @@ RARE = 4
 SHARD_WORDS = 2_000_000
 K1, B = 1.2, 0.75
 LEAKS = "array<struct<item_id:bigint,score:double,overlap:double,question_overlap:double,answer_overlap:double,first_word:int>>"
+_GLUED = re.compile(rb"[#$%&*+/<=>@\\^_`|~\"()\[\]{}]+|([.,;:!?'-])\1+")
 _SENTENCE_END = re.compile(rb"[.!?][\"')\]]*(?=[\x20\x09-\x0D])")
 
 
+def plain(text: bytes) -> bytes:
+    """The text as it is compared: A-Z lowered, glued symbols as words of their own."""
+    return _GLUED.sub(rb" \g<0> ", text.lower())
+
+
 def answer_begin(text: bytes) -> int:
-    """The number of the item's words that belong to its question."""
+    """The number of the item's words that belong to its question, 0 if it has too few for two parts."""
     words = len(text.split())
     ends = [m.end() for m in _SENTENCE_END.finditer(text.rstrip(b" \t\n\r\x0b\x0c"))]
     question = len(text[: ends[-1]].split()) if ends else 0
-    return question if 0 < question < words else words // 2
+    least, most = PART_SHINGLES + SHINGLE - 1, words - PART_SHINGLES
+    return min(max(question if 0 < question < words else words // 2, least), most) if least <= most else 0
 
 
 @dataclass
@@ -70,7 +82,7 @@ class ItemIndex:
 
     def __init__(self, items: list[tuple[int, bytes]], overlap: float = OVERLAP, part_overlap: float = PART_OVERLAP):
         self.overlap, self.part_overlap = overlap, part_overlap
-        items = [(i, t.lower()) for i, t in items if t.split()]
+        items = [(i, plain(t)) for i, t in items if t.split()]
         self.items: list[_Item] = []
         if not items:
             return
@@ -181,7 +193,7 @@ class ItemIndex:
         found: list[dict[int, dict]] = [{} for _ in texts]
         if self.items:
             for a, b in chunks(texts):
-                self._search([t.lower() for t in texts[a:b]], found[a:b])
+                self._search([plain(t) for t in texts[a:b]], found[a:b])
         return [[best[i] for i in sorted(best)] for best in found]
 
     def _search(self, texts: list[bytes], found: list[dict[int, dict]]) -> None:

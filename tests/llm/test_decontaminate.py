@@ -58,6 +58,18 @@ def test_results_equal_brute_force():
         assert sum(map(len, got)) > 60
 
 
+def test_short_parts_and_glued_symbols_hide_no_copy():
+    rnd = random.Random(4)
+    items = [(1, " ".join(words(rnd, 22)) + ". Der."), (2, "Ob? " + " ".join(words(rnd, 22)) + "."), (3, " ".join(words(rnd, 7))), (4, " ".join(words(rnd, 60)) + ". " + " ".join(words(rnd, 10)) + ".")]
+    index = d.ItemIndex([(i, t.encode()) for i, t in items])
+    copy, found = dict(items), lambda t: {x["item_id"] for x in index.leaks([t.encode()])[0]}
+    noise = lambda t: f"um### {t}### nd%%% so"
+    assert found(noise(copy[1])) == {1} and found(noise(copy[2])) == {2}
+    assert found(copy[1].replace("Der.", "Das.")) == {1} and found(copy[2].replace("Ob?", "Wer?")) == {2}
+    assert found(noise("***" + copy[3])) == {3} and found("(" + copy[3] + ")!!") == {3}
+    assert found(noise(copy[4])) == {4} and found(copy[4].split(". ")[0]) == set()  # a question without its answer is no leak
+
+
 def test_wand_retrieves_what_full_scoring_does():
     rnd = random.Random(7)
     items = [(i, " ".join(rnd.choices([f"t{int(rnd.paretovariate(0.7))}" for _ in range(60)], k=rnd.choice([4, 20])))) for i in range(400)]
