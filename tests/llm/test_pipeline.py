@@ -1,4 +1,5 @@
 import os
+import random
 
 import duckdb
 import pytest
@@ -9,7 +10,7 @@ from pitchspark.llm import decontaminate, pipeline, quality_model
 from pitchspark.llm.oracle import ORACLE_SQL
 
 from . import test_mixing, test_ngram_join, test_token_ids
-from .conftest import SMALL
+from .conftest import DOCS, SMALL, words
 
 
 def test_stages_by_brute_force(spark):
@@ -30,6 +31,26 @@ def test_stages_by_brute_force(spark):
     assert 0 < len(left) < len(rows)
 
 
+def test_near_copies_at_five_words_and_80_percent(spark):
+    rnd = random.Random(8)
+    rows = []
+    for n in (30, 44, 45, 46, 48, 49, 50, 60, 120, 400):  # one changed word in the middle: five words and 80 % link from 45 words on
+        base = words(rnd, n)
+        rows += [base, [*base[: n // 2], "edit", *base[n // 2 + 1 :]], base[: n - n // 6]]
+    rows = [(i, " ".join(w)) for i, w in enumerate(rows)]
+    sets = [frozenset(zip(*(w[j:] for j in range(5)))) for w in (t.split() for _, t in rows)]  # noqa: B905
+    up = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]):
+                low, high = sorted((up[i], up[j]))
+                up = [low if u == high else u for u in up]
+    want = {i for i, u in enumerate(up) if i == u}
+    docs = spark.createDataFrame([(i, t, "en", "a", 0) for i, t in rows], DOCS)
+    assert {r.doc_id for r in pipeline.ngram_jaccard(spark, docs, SMALL).collect()} == want
+    assert want < {d for d, _, c in test_ngram_join.brute(rows) if d == c}
+
+
 def test_stages_keep_columns_and_odd_rows(spark, odd_docs, no_docs):
     for docs in (odd_docs, no_docs):
         for name, stage in pipeline.STAGES[:-1]:
