@@ -46,6 +46,22 @@ def lines_of(text: str | None) -> list[tuple[int, str]]:
     return [(i, n) for i, x in enumerate((text or "").split("\n")) if (n := normal(x))]
 
 
+def _running(lines: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The running sum over the code points of all lines, the powers' inverses, and where each line begins and ends."""
+    points = np.frombuffer("".join(lines).encode("utf-32-le"), dtype=np.uint32)
+    power, inverse = powers(len(points) + 1)
+    run = np.zeros(len(points) + 1, np.uint64)
+    np.cumsum((points + np.uint32(1)) * power[: len(points)], out=run[1:])
+    length = np.fromiter(map(len, lines), dtype=np.int64, count=len(lines))
+    ends = np.cumsum(length)
+    return run, inverse, ends - length, ends
+
+
+def _whole(run: np.ndarray, inverse: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The hash of each whole line."""
+    return mix((run[ends] - run[begins]) * inverse[begins] + (ends - begins).astype(np.uint64) * _FACTOR[3])
+
+
 class Shingles:
     """Hashes of the character shingles of many lines: ``sums[first[i]:first[i + 1]]`` are those of line i, with repeats.
 
@@ -54,18 +70,12 @@ class Shingles:
     """
 
     def __init__(self, lines: list[str], k: int = SHINGLE):
-        points = np.frombuffer("".join(lines).encode("utf-32-le"), dtype=np.uint32)
-        power, inverse = powers(len(points) + 1)
-        run = np.zeros(len(points) + 1, np.uint64)
-        np.cumsum((points + np.uint32(1)) * power[: len(points)], out=run[1:])
-        length = np.fromiter(map(len, lines), dtype=np.int64, count=len(lines))
-        ends = np.cumsum(length)
-        begins = ends - length
-        counts = np.maximum(length - k + 1, 0)
+        run, inverse, begins, ends = _running(lines)
+        counts = np.maximum(ends - begins - k + 1, 0)
         self.first = np.concatenate((np.zeros(1, np.int64), np.cumsum(counts)))
         at = np.arange(self.first[-1]) + np.repeat(begins - self.first[:-1], counts)
         self.sums = mix((run[at + k] - run[at]) * inverse[at])
-        self.whole = mix((run[ends] - run[begins]) * inverse[begins] + length.astype(np.uint64) * _FACTOR[3])
+        self.whole = _whole(run, inverse, begins, ends)
 
     def sets(self) -> list[np.ndarray]:
         """Sorted distinct shingles of each line; a shorter line is its own only shingle."""
@@ -139,6 +149,29 @@ def line_nodes(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
             .mapInArrow(run, "doc_id long, row long, lines array<struct<line_no:int,node:long>>, fresh array<struct<node:long,bands:array<long>>>"))
 
 
+def line_texts(texts: DataFrame) -> DataFrame:
+    """node, line (normal form) of the lines of ``t`` that may have bands, each once per task."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        done: set[int] = set()
+        for batch in batches:
+            values = batch.column(0).to_pylist()
+            for a, b in chunks([(t or "").encode() for t in values], 1 << 18):
+                lines = [x for t in values[a:b] for _, x in lines_of(t) if len(x) >= SHINGLE]
+                if not lines:
+                    continue
+                new = {}
+                for node, x in zip(_whole(*_running(lines)).view(np.int64).tolist(), lines, strict=True):
+                    if node not in done:
+                        done.add(node)
+                        new[node] = x
+                yield pa.RecordBatch.from_arrays([pa.array(list(new), pa.int64()), pa.array(list(new.values()), pa.string())], ["node", "line"])
+
+    return texts.select("t").mapInArrow(run, "node long, line string")
+
+
 def _first(x: str, y: str) -> Column:
     """False where both have one of the two shared keys before: the pair was made there."""
     met = [F.coalesce(F.col(f"{x}.{p}") == F.col(f"{y}.{q}"), F.lit(False)) for p in ("p1", "p2") for q in ("p1", "p2")]
@@ -179,16 +212,20 @@ def duplicate_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text", p
     per_row = written(line_nodes(df, doc_id, text), "lines")
     occurrences = per_row.select("doc_id", "row", F.explode("lines").alias("x")).select("doc_id", "row", "x.line_no", "x.node")
     members = written(band_members(per_row), "bands")
-    firsts = occurrences.groupBy("node").agg(F.min(F.struct("doc_id", "line_no")).alias("at"))
+    # Any document that holds the line; null only if no row with an id does.
+    firsts = occurrences.groupBy("node").agg(F.min("doc_id").alias("at_id"))
 
     def verify(pairs: DataFrame) -> DataFrame:
         wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-        at = written(firsts.join(wanted, "node").select("node", F.col("at.doc_id").alias("at_id"), F.col("at.line_no").alias("at_line")), "verify-lines")
-        # Only documents that hold a wanted line give their texts, and of these only the wanted lines go on.
-        texts = df.select(F.col(doc_id).cast("long").alias("at_id"), F.col(text).alias("t"))
-        texts = texts.join(small(written(at.select("at_id").distinct(), "verify-ids")), "at_id", "left_semi")
-        lines = texts.select("at_id", F.posexplode(F.split("t", "\n", -1)).alias("at_line", "line"))
-        lines = lines.join(at, ["at_id", "at_line"]).groupBy("node").agg(F.min("line").alias("line"))
+        at = written(firsts.join(wanted, "node"), "verify-lines")
+        # Only documents that hold a wanted line give their texts, and of these only the wanted lines go on. Lines are
+        # found again by their node: an id may stand for several texts, and rows without one are all looked through.
+        texts = df.select(F.col(doc_id).cast("long").alias("at_id"), F.col(text).cast("string").alias("t"))
+        ids = written(at.select("at_id").distinct(), "verify-ids")
+        holders = texts.join(small(ids), "at_id", "left_semi")
+        if not ids.where("at_id is null").isEmpty():
+            holders = holders.unionByName(texts.where("at_id is null"))
+        lines = line_texts(holders).join(small(at.select("node")), "node", "left_semi").groupBy("node").agg(F.min("line").alias("line"))
         return similar_lines(pairs, written(lines, "verify-texts"), percent)
 
     links = linked(members, [], ["p1", "p2"], lambda x, y: F.lit(True), verify, _first)

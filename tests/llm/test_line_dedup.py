@@ -79,6 +79,18 @@ def test_recall_of_the_bands_near_the_threshold():
     assert total > 100 and hit / total > 0.97
 
 
+def test_lines_of_null_and_repeated_ids_are_verified_on_their_own_text(spark):
+    rnd = random.Random(6)
+    say = lambda: " ".join(words(rnd, 40))
+    near = lambda x: x[:80] + "é" + x[81:]
+    shared, lone, *own = (say() for _ in range(8))
+    rows = [(None, shared), (1, shared), (2, near(shared)), (None, lone), (3, "first\n" + near(lone))]
+    rows += [(7, x) for x in own] + [(20 + i, near(x)) for i, x in enumerate(own)]  # one id, six texts
+    got = ld.dropped_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    want = {1: [0], 2: [0], 3: [1], **{20 + i: [0] for i in range(6)}}
+    assert sorted((r.doc_id or 0, r.dropped) for r in got) == sorted((d or 0, want.get(d, [])) for d, _ in rows)
+
+
 def test_clean_text_and_odd_rows(spark, odd_docs, no_docs):
     df = spark.createDataFrame([(1, "Same line here today\n\nonly one"), (2, "other words\nsame  LINE here today"), (3, None), (4, "")], "doc_id long, text string")
     out = {r.doc_id: r.text for r in ld.dedup_lines(df).collect()}
