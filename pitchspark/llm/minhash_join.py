@@ -17,9 +17,11 @@ that links with nothing. Two documents link when
    48 keys (chunk, symbol left out, other three symbols) meet every pair within
    the distance, without exception. A link of exactly 0.8 lies beyond the
    distance with probability 3.4e-6, of 0.85 with 2e-9.
-4. Join: on a key, with the length filter and the distance of the whole
-   signatures, before any row is made. Pairs come from ``links.linked``: a key's
-   members meet its leaders first and then only members of other components.
+4. Join: on a key, with the length filter, the distance of the whole signatures
+   and a lossless bound on the difference of the sets (the shingles are dealt over
+   512 cells, the parity of each is one bit, and bits that differ are shingles that
+   only one set has), before any row is made. Pairs come from ``links.linked``: a
+   key's members meet its leaders first and then only members of other components.
 5. Confirmation: each pair that passes is compared once on the whole sorted sets.
 
 Keys are made from the signature's words by DataFrame expressions and summed
@@ -41,7 +43,7 @@ from pyspark.sql import functions as F
 
 from .common import mix, small, written
 from .links import components, linked
-from .ngram_join import _class_of, _sets, overlap_links, set_table
+from .ngram_join import CELL_WORDS, _class_of, _parity, _sets, overlap_links, set_table
 
 SHINGLE, PERCENT = 2, 80
 CHUNKS, CHUNK = 12, 4
@@ -49,6 +51,7 @@ SYMBOLS = CHUNKS * CHUNK
 #: The largest distance that leaves some chunk with at most one error.
 DISTANCE = 2 * CHUNKS - 1
 _WORDS = [f"g{i}" for i in range(SYMBOLS // 8)]
+_CELLS = [f"c{i}" for i in range(CELL_WORDS)]
 #: One odd factor and one mask a symbol: independent orders of the 64-bit hashes.
 _MASKS = mix(np.arange(1, SYMBOLS + 1, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F))
 _FACTORS = mix(np.arange(1, SYMBOLS + 1, dtype=np.uint64) * np.uint64(0xE7037ED1A0B428DB)) | np.uint64(1)
@@ -71,21 +74,21 @@ def signatures(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def signature_classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = SHINGLE) -> DataFrame:
-    """doc_id, n_shingles, node (the class) and the signature's words; one row per document."""
+    """doc_id, n_shingles, node (the class), the words of the signature and of the cells' parities; one row per document."""
 
     def run(batches):
         import pyarrow as pa
 
         for batch in batches:
             for begin, sets in _sets(batch, 1, k):
-                words = signatures(sets)
+                words = np.hstack([signatures(sets), np.array([_parity(x) for x in sets], np.int64).reshape(-1, CELL_WORDS)])
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(begin, len(sets)), pa.array([len(s) for s in sets], pa.int64()), pa.array([_class_of(s) for s in sets], pa.int64()),
-                    *(pa.array(words[:, i], pa.int64()) for i in range(len(_WORDS))),
-                ], ["doc_id", "n_shingles", "node", *_WORDS])
+                    *(pa.array(words[:, i], pa.int64()) for i in range(words.shape[1])),
+                ], ["doc_id", "n_shingles", "node", *_WORDS, *_CELLS])
 
     return (df.select(F.col(doc_id).cast("long"), F.col(text).cast("string"))
-            .mapInArrow(run, "doc_id long, n_shingles long, node long, " + ", ".join(f"{w} long" for w in _WORDS)))
+            .mapInArrow(run, "doc_id long, n_shingles long, node long, " + ", ".join(f"{w} long" for w in _WORDS + _CELLS)))
 
 
 def chunk_keys() -> Column:
@@ -105,8 +108,8 @@ def index_members(nodes: DataFrame) -> DataFrame:
     counts = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
     shared = rows.join(counts, "key").groupBy("node").agg(F.sort_array(F.collect_list("key")).alias("keys"))  # at most 48
     before = F.transform("keys", lambda x, i: F.struct(x.alias("key"), F.get("keys", i - 1).alias("p1"), F.get("keys", i - 2).alias("p2")))
-    return (shared.join(nodes, "node").select("node", "n_shingles", *_WORDS, F.explode(before).alias("r"))
-            .select("node", "r.*", "n_shingles", *_WORDS))
+    return (shared.join(nodes, "node").select("node", "n_shingles", *_WORDS, *_CELLS, F.explode(before).alias("r"))
+            .select("node", "r.*", "n_shingles", *_WORDS, *_CELLS))
 
 
 def distance(x: str, y: str) -> Column:
@@ -124,7 +127,9 @@ def distance(x: str, y: str) -> Column:
 def _possible(percent: int):
     def condition(x: str, y: str) -> Column:
         a, b = F.col(f"{x}.n_shingles"), F.col(f"{y}.n_shingles")
-        return (100 * F.least(a, b) >= percent * F.greatest(a, b)) & (distance(x, y) <= DISTANCE)
+        need = F.ceil((a + b) * percent / F.lit(100 + percent))  # least overlap of two linked sets
+        differ = sum((F.bit_count(F.col(f"{x}.{c}").bitwiseXOR(F.col(f"{y}.{c}"))) for c in _CELLS), F.lit(0))
+        return (100 * F.least(a, b) >= percent * F.greatest(a, b)) & (distance(x, y) <= DISTANCE) & (differ <= a + b - 2 * need)
 
     return condition
 
@@ -153,7 +158,7 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", k
         sets = set_table(texts, "class_id", "t", k).join(small(wanted), "node", "left_semi").dropDuplicates(["node"])
         return overlap_links(pairs, written(sets, "verify-sets"), percent)
 
-    links = written(linked(members, [], ["n_shingles", *_WORDS], _possible(percent), verify, _first), "near-links")
+    links = written(linked(members, [], ["n_shingles", *_WORDS, *_CELLS], _possible(percent), verify, _first), "near-links")
     placed = firsts.join(components(links), "node", "left").withColumn("component", F.coalesce("component", "node"))
     smallest = placed.groupBy("component").agg(F.min("class_id").alias("component_id"))
     named = written(placed.join(smallest, "component").select("node", "component_id"), "near-components")

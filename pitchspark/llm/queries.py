@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, line_dedup, minhash_join, mixing, ngram_join, quality_model, quality_rules, secrets, token_ids, toxicity, warc
+from . import decontaminate, line_dedup, minhash_join, mixing, ngram_join, quality_model, quality_rules, secrets, token_ids, toxicity, warc, whitening
 from .common import held_out, shared_path, table, word_count, written
 
 
@@ -105,7 +105,11 @@ def op12_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_join.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened_embeddings(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_secret_scan, op2_toxicity, op3_quality_classifier, op4_quality_rules, op5_warc, op6_decontaminate,
-    op7_ngram_jaccard, op8_line_dedup, op9_token_ids, op10_mix_sources, op12_minhash_near_dedup,
+    op7_ngram_jaccard, op8_line_dedup, op9_token_ids, op10_mix_sources, op12_minhash_near_dedup, op13_embedding_whitening,
 )}
