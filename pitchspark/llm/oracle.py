@@ -51,4 +51,20 @@ mix_o as (select d.doc_id, d.size, d.source, d.hash, t.source_size, t.target, (t
 
 _OP10 = "with " + MIX.format(docs="documents") + " select doc_id, size, source_size, target, size * times taken from mix_o"
 
-ORACLE_SQL = {"op4_quality_rules": _OP4, "op5_warc": _OP5, "op10_mix_sources": _OP10}
+_OP11 = r"""
+with r as (select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end::bigint label,
+    list_transform(embedding, lambda x: floor(256 * x::double)) q
+  from embeddings where label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (select a.vec_id anchor_id, b.vec_id other, a.label = b.label same, list_inner_product(a.q, b.q)::bigint score
+  from r a join r b on a.vec_id <> b.vec_id where a.vec_id % 100 = 0),
+p as (select anchor_id, other positive_id, score positive_score from s where same
+  qualify row_number() over (partition by anchor_id order by score desc, other) <= 5)
+select anchor_id, positive_id, row_number() over w::int as rank, other negative_id, positive_score, score negative_score
+from p join s using (anchor_id)
+where not same and 30 * positive_score <= 100 * score and 100 * score <= 90 * positive_score
+window w as (partition by anchor_id, positive_id order by score desc, other)
+qualify row_number() over w <= 10
+"""
+
+ORACLE_SQL = {"op4_quality_rules": _OP4, "op5_warc": _OP5, "op10_mix_sources": _OP10, "op11_hard_negatives": _OP11}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, line_dedup, minhash_join, mixing, ngram_join, quality_model, quality_rules, secrets, token_ids, toxicity, warc, whitening
+from . import decontaminate, hard_negatives, line_dedup, minhash_join, mixing, ngram_join, quality_model, quality_rules, secrets, token_ids, toxicity, warc, whitening
 from .common import held_out, shared_path, table, word_count, written
 
 
@@ -101,6 +101,10 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("times")).alias("taken")))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
 def op12_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_join.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -111,5 +115,5 @@ def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_secret_scan, op2_toxicity, op3_quality_classifier, op4_quality_rules, op5_warc, op6_decontaminate,
-    op7_ngram_jaccard, op8_line_dedup, op9_token_ids, op10_mix_sources, op12_minhash_near_dedup, op13_embedding_whitening,
+    op7_ngram_jaccard, op8_line_dedup, op9_token_ids, op10_mix_sources, op11_hard_negatives, op12_minhash_near_dedup, op13_embedding_whitening,
 )}
