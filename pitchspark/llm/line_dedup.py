@@ -3,17 +3,21 @@
 A line is a stretch between newlines that holds a word; A-Z are lowered and
 white space becomes single spaces. Equal lines share a node (a 64-bit hash); of
 each node's distinct shingles of ``SHINGLE`` characters a one-permutation MinHash
-signature is made (every shingle falls in one of 60 bins, the least hash of a
-bin counts, an empty bin borrows from the next). Twelve bands of five bins give
-the keys: a pair of similarity 0.8 shares a key with 99 %, one of 0.85 with
-99.9 % probability, unrelated lines practically never. Pairs on a key come from
+signature is made: every shingle falls in one of 60 bins, the least hash of a bin
+counts, and an empty bin takes the value of a filled one that a fixed random order of
+bins, its own, comes to first. So the values of a short line are nearly
+independent too, although it has few shingles. Eight bits of each value stay: 60 symbols in twelve
+bands of five, which are the keys. A pair of similarity 0.8 shares a key with
+99 %, one of 0.85 with 99.9 % probability. On a key, a pair is made only if its signatures differ in at most
+``DISTANCE`` symbols (a pair of similarity 0.8 differs in 12 of 60 on average, in more
+than 28 with probability below 1e-6). Pairs on a key come from
 ``links.linked`` (leaders first, then across components), are verified once by
 the exact Jaccard similarity of the whole shingle sets (at least ``percent``),
 and union-find joins the links. Of each component the first line by document id,
 line number and row stays, all others are dropped.
 
-One map makes nodes and bands of all lines and writes them; keys found once -
-most - leave at the sum that follows; a hot line is
+One map makes nodes and bands of all lines and writes them; keys that one node
+alone has - most - leave at the aggregate that follows; a hot line is
 one node, a hot key's rows can be split. Blank lines are no lines and stay.
 Lines shorter than a shingle have only equal copies. Null and empty texts have
 no lines; repeated rows lose the lines of all but one; null ids come first;
@@ -22,6 +26,8 @@ empty tables give empty results.
 
 from __future__ import annotations
 
+from hashlib import blake2b
+
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -33,7 +39,10 @@ SHINGLE, PERCENT = 8, 80
 BANDS, ROWS = 12, 5
 _BINS = BANDS * ROWS
 _EMPTY = np.uint64(2**64 - 1)
-_FACTOR = [np.uint64(pow(0x9E3779B97F4A7C15, 2 * j + 1, 1 << 64)) for j in range(64)]
+#: Symbols in which the signatures of a pair may differ.
+DISTANCE = 28
+#: The bins from which an empty one takes its value, in the order in which they are tried.
+_TRIED = np.array([np.random.default_rng(j).permutation(_BINS) for j in range(_BINS)])
 
 
 def normal(line: str) -> str:
@@ -57,33 +66,32 @@ def _running(lines: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
     return run, inverse, ends - length, ends
 
 
-def _whole(run: np.ndarray, inverse: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """The hash of each whole line."""
-    return mix((run[ends] - run[begins]) * inverse[begins] + (ends - begins).astype(np.uint64) * _FACTOR[3])
+def whole_hashes(lines: list[str]) -> np.ndarray:
+    """A 64-bit hash of each whole line."""
+    return np.frombuffer(b"".join(blake2b(x.encode(), digest_size=8).digest() for x in lines), dtype="<u8")
 
 
 class Shingles:
     """Hashes of the character shingles of many lines: ``sums[first[i]:first[i + 1]]`` are those of line i, with repeats.
 
-    Both they and the hash of a whole line (``whole``) come from one running sum
-    of a polynomial over the code points.
+    They come from one running sum of a polynomial over the code points.
     """
 
     def __init__(self, lines: list[str], k: int = SHINGLE):
+        self.lines = lines
         run, inverse, begins, ends = _running(lines)
         counts = np.maximum(ends - begins - k + 1, 0)
         self.first = np.concatenate((np.zeros(1, np.int64), np.cumsum(counts)))
         at = np.arange(self.first[-1]) + np.repeat(begins - self.first[:-1], counts)
         self.sums = mix((run[at + k] - run[at]) * inverse[at])
-        self.whole = _whole(run, inverse, begins, ends)
 
     def sets(self) -> list[np.ndarray]:
         """Sorted distinct shingles of each line; a shorter line is its own only shingle."""
-        return [np.unique(self.sums[a:b]) if b > a else self.whole[i : i + 1] for i, (a, b) in
+        return [np.unique(self.sums[a:b]) if b > a else whole_hashes(self.lines[i : i + 1]) for i, (a, b) in
                 enumerate(zip(self.first[:-1].tolist(), self.first[1:].tolist(), strict=True))]
 
     def bands(self, chosen: np.ndarray | None = None) -> np.ndarray:
-        """BANDS keys of each line, or of the chosen ones, which have a shingle each."""
+        """BANDS keys of each line, or of the chosen ones, which have a shingle each: the band's number above its five symbols."""
         counts = np.diff(self.first)
         chosen = np.arange(len(counts)) if chosen is None else chosen
         n, counts = len(chosen), counts[chosen]
@@ -95,23 +103,24 @@ class Shingles:
         np.minimum.at(signature, line * _BINS + place, (sums << np.uint64(32)) | (sums >> np.uint64(32)))
         signature = signature.reshape(n, _BINS)
         empty = signature == _EMPTY
-        following, away = signature[:, 0].copy(), np.zeros(n, np.uint64)
-        for j in list(range(_BINS - 1, -1, -1)) * 2:  # twice round, so the last bins see the first
-            here = ~empty[:, j]
-            away = np.where(here, np.uint64(0), away + np.uint64(1))
-            following = np.where(here, signature[:, j], following)
-            signature[:, j] = np.where(here, signature[:, j], mix(following + away * _FACTOR[5]))
-        out = np.empty((n, BANDS), np.uint64)
-        for b in range(BANDS):
-            key = np.full(n, b, np.uint64)
-            for r in range(ROWS):
-                key = mix(key * _FACTOR[2] + signature[:, b * ROWS + r])
-            out[:, b] = key
+        line, place = np.nonzero(empty)
+        filled = signature.copy()
+        for t in range(_BINS):
+            if not len(line):
+                break
+            tried = _TRIED[place, t]
+            found = ~empty[line, tried]
+            filled[line[found], place[found]] = signature[line[found], tried[found]]
+            line, place = line[~found], place[~found]
+        symbols = (mix(filled) & np.uint64(255)).reshape(n, BANDS, ROWS)
+        out = np.broadcast_to(np.arange(BANDS, dtype=np.uint64) << np.uint64(8 * ROWS), (n, BANDS)).copy()
+        for r in range(ROWS):
+            out |= symbols[:, :, r] << np.uint64(8 * r)
         return out
 
 
-def line_nodes(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per input row: doc_id, row, lines (array of line_no, node) and fresh (array of node, bands).
+def line_nodes(df: DataFrame, doc_id: str = "doc_id", text: str = "text", row: str | None = None) -> DataFrame:
+    """One row per input row: doc_id, row (a number of its own, by default made here), lines (array of line_no, node) and fresh (array of node, bands).
 
     ``fresh`` has the band keys of the lines that the task had not met before.
     """
@@ -127,14 +136,13 @@ def line_nodes(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
             for a, b in chunks([(t or "").encode() for t in texts], 1 << 18):
                 per_text = [lines_of(t) for t in texts[a:b]]
                 flat = [x for lines in per_text for _, x in lines]
-                s = Shingles(flat) if flat else None
-                nodes = s.whole.view(np.int64).tolist() if flat else []
+                nodes = whole_hashes(flat).view(np.int64).tolist()
                 new = {}
                 for i, (node, x) in enumerate(zip(nodes, flat, strict=True)):
                     if len(x) >= SHINGLE and node not in done:
                         done.add(node)
                         new[i] = node
-                keys = s.bands(np.fromiter(new, dtype=np.int64, count=len(new))).view(np.int64) if new else np.zeros((0, BANDS), np.int64)
+                keys = Shingles([flat[i] for i in new]).bands().view(np.int64) if new else np.zeros((0, BANDS), np.int64)
                 ends = np.cumsum([0, *map(len, per_text)])
                 fresh_ends = np.searchsorted(np.fromiter(new, dtype=np.int64, count=len(new)), ends)
                 lines = pa.StructArray.from_arrays([pa.array([n for x in per_text for n, _ in x], pa.int32()), pa.array(nodes, pa.int64())], fields=list(line))
@@ -145,7 +153,7 @@ def line_nodes(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
                     pa.ListArray.from_arrays(pa.array(fresh_ends, pa.int32()), fresh).cast(
                         pa.list_(pa.struct([("node", pa.int64()), ("bands", pa.list_(pa.int64()))])))], ["doc_id", "row", "lines", "fresh"])
 
-    return (df.select(F.col(doc_id).cast("long"), F.monotonically_increasing_id(), F.col(text).cast("string"))
+    return (df.select(F.col(doc_id).cast("long"), F.col(row).cast("long") if row else F.monotonically_increasing_id(), F.col(text).cast("string"))
             .mapInArrow(run, "doc_id long, row long, lines array<struct<line_no:int,node:long>>, fresh array<struct<node:long,bands:array<long>>>"))
 
 
@@ -163,7 +171,7 @@ def line_texts(texts: DataFrame) -> DataFrame:
                 if not lines:
                     continue
                 new = {}
-                for node, x in zip(_whole(*_running(lines)).view(np.int64).tolist(), lines, strict=True):
+                for node, x in zip(whole_hashes(lines).view(np.int64).tolist(), lines, strict=True):
                     if node not in done:
                         done.add(node)
                         new[node] = x
@@ -178,13 +186,28 @@ def _first(x: str, y: str) -> Column:
     return ~(met[0] | met[1] | met[2] | met[3])
 
 
+def distance(x: str, y: str) -> Column:
+    """Symbols in which the signatures of two members differ."""
+    total = F.lit(0)
+    for b in range(BANDS):
+        d = F.get(F.col(f"{x}.bands"), F.lit(b)).bitwiseXOR(F.get(F.col(f"{y}.bands"), F.lit(b)))
+        # A symbol's lowest bit becomes the disjunction of its bits; what the shifts bring over from the next one stays above.
+        for shift in (4, 2, 1):
+            d = d.bitwiseOR(F.shiftrightunsigned(d, shift))
+        total = total + F.bit_count(d.bitwiseAND(F.lit(0x0101010101)))
+    return total
+
+
 def band_members(per_row: DataFrame) -> DataFrame:
-    """key, node, p1, p2 (the two keys before it in the node's order): the bands that some other line may share."""
-    rows = per_row.select(F.explode("fresh").alias("x")).select("x.node", F.explode("x.bands").alias("key"))
-    counts = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
+    """key, node, p1, p2 (the two keys before it in the node's order), bands: the bands that some other line shares."""
+    fresh = per_row.select(F.explode("fresh").alias("x"))
+    rows = fresh.select("x.node", F.explode("x.bands").alias("key"))
+    # A line that several tasks met has a row of each; only keys of different lines matter.
+    counts = rows.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high").select("key")
     shared = rows.join(counts, "key").groupBy("node").agg(F.sort_array(F.collect_set("key")).alias("keys"))
     before = F.transform("keys", lambda x, i: F.struct(x.alias("key"), F.get("keys", i - 1).alias("p1"), F.get("keys", i - 2).alias("p2")))
-    return shared.select("node", F.explode(before).alias("r")).select("node", "r.*")
+    signatures = fresh.select("x.node", "x.bands").join(shared.select("node"), "node", "left_semi").dropDuplicates(["node"])
+    return (shared.join(signatures, "node").select("node", "bands", F.explode(before).alias("r")).select("node", "r.*", "bands"))
 
 
 def similar_lines(pairs: DataFrame, lines: DataFrame, percent: int) -> DataFrame:
@@ -207,9 +230,9 @@ def similar_lines(pairs: DataFrame, lines: DataFrame, percent: int) -> DataFrame
     return pairs.join(left, "a").join(right, "b").where(alike(F.col("left"), F.col("right"))).select("a", "b")
 
 
-def duplicate_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
+def duplicate_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT, row: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Occurrences (doc_id, row, line_no, node) and links (a, b) between nodes."""
-    per_row = written(line_nodes(df, doc_id, text), "lines")
+    per_row = written(line_nodes(df, doc_id, text, row), "lines")
     occurrences = per_row.select("doc_id", "row", F.explode("lines").alias("x")).select("doc_id", "row", "x.line_no", "x.node")
     members = written(band_members(per_row), "bands")
     # Any document that holds the line; null only if no row with an id does.
@@ -228,13 +251,13 @@ def duplicate_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text", p
         lines = line_texts(holders).join(small(at.select("node")), "node", "left_semi").groupBy("node").agg(F.min("line").alias("line"))
         return similar_lines(pairs, written(lines, "verify-texts"), percent)
 
-    links = linked(members, [], ["p1", "p2"], lambda x, y: F.lit(True), verify, _first)
+    links = linked(members, [], ["p1", "p2", "bands"], lambda x, y: distance(x, y) <= DISTANCE, verify, _first)
     return per_row, written(links, "line-links")
 
 
-def dropped_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
+def dropped_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT, row: str | None = None) -> DataFrame:
     """One row per input row: doc_id, row, n_lines, dropped (array of line numbers, from 0)."""
-    per_row, links = duplicate_lines(df, doc_id, text, percent)
+    per_row, links = duplicate_lines(df, doc_id, text, percent, row)
     of = written(components(links), "line-components")
     occurrences = (per_row.select("doc_id", "row", F.explode("lines").alias("x")).select("doc_id", "row", "x.line_no", "x.node")
                    .join(of, "node", "left").withColumn("component", F.coalesce("component", "node")))
@@ -248,9 +271,13 @@ def dropped_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text", per
 
 
 def dedup_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
-    """``df`` with the dropped lines cut out of ``text``; needs unique, non-null ids to bring the two together."""
-    drop = dropped_lines(df, doc_id, text, percent).select(F.col("doc_id").alias("llm_drop_id"), F.col("dropped").alias("llm_dropped")).where(F.size("llm_dropped") > 0)
+    """``df`` with the dropped lines cut out of ``text``, row by row: as many rows as before, whatever their ids."""
+    row = "llm_row"
+    while row in df.columns:
+        row += "_"
+    rows = written(df.withColumn(row, F.monotonically_increasing_id()), "numbered-rows")  # written, so both sides see the same numbers
+    drop = dropped_lines(rows, doc_id, text, percent, row).select(F.col("row").alias("llm_drop_row"), F.col("dropped").alias("llm_dropped")).where(F.size("llm_dropped") > 0)
     lines = F.split(F.col(text), "\n", -1)
     left = F.filter(lines, lambda x, i: ~F.array_contains(F.col("llm_dropped"), i.cast("int")))
     cut = F.when(F.col("llm_dropped").isNull(), F.col(text)).otherwise(F.array_join(left, "\n"))
-    return df.join(drop, df[doc_id].cast("long") == drop["llm_drop_id"], "left").withColumn(text, cut).drop("llm_drop_id", "llm_dropped")
+    return rows.join(drop, rows[row] == drop["llm_drop_row"], "left").withColumn(text, cut).select(df.columns)

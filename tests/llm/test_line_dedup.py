@@ -79,6 +79,36 @@ def test_recall_of_the_bands_near_the_threshold():
     assert total > 100 and hit / total > 0.97
 
 
+def test_recall_and_candidates_at_all_line_lengths():
+    """Links share a key at every length; short lines with little in common do not."""
+    rnd = random.Random(8)
+    for n in (12, 16, 24, 50, 120, 300):
+        lines, pairs = [], []
+        while len(pairs) < 400:
+            a = "".join(rnd.choice("abcdefghij ") for _ in range(n))
+            b = a[: n - 1 - rnd.randrange(max(1, n // 12))] + ("" if n < 30 else "é")
+            x, y = sets(a), sets(b)
+            if 0.8 <= len(x & y) / len(x | y) < 1:
+                pairs.append((len(lines), len(lines) + 1))
+                lines += [a, b]
+        keys = ld.Shingles(lines).bands()
+        symbols = keys[:, :, None] >> (8 * ld.np.arange(5, dtype=ld.np.uint64)) & ld.np.uint64(255)
+        hit = [bool((keys[i] == keys[j]).any()) and (symbols[i] != symbols[j]).sum() <= ld.DISTANCE for i, j in pairs]
+        assert sum(hit) >= 0.975 * len(hit), (n, sum(hit))
+    for n in (12, 16, 24, 40):  # lines that share one shingle of several
+        lines = ["template" + "".join(rnd.choice("abcdefghij") for _ in range(n - 8)) for _ in range(400)]
+        keys = ld.Shingles(lines).bands()
+        met = sum(int((keys[i] == keys[:i]).any(axis=1).sum()) for i in range(400))
+        assert met < 0.02 * 400 * 399 / 2, (n, met)
+
+
+def test_rows_stay_as_many_with_repeated_ids(spark):
+    rows = [(1, "same line here today\nfirst of all"), (1, "same line here today\nother things"), (1, None), (None, "same line here today"), (None, "own line")]
+    out = [r.text for r in ld.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string").withColumn("llm_row", F.lit(0))).collect()]
+    # Null ids come first: theirs stays.
+    assert sorted(map(str, out)) == sorted(["first of all", "other things", "None", "same line here today", "own line"])
+
+
 def test_lines_of_null_and_repeated_ids_are_verified_on_their_own_text(spark):
     rnd = random.Random(6)
     say = lambda: " ".join(words(rnd, 40))
