@@ -8,17 +8,19 @@ counts, and an empty bin takes the value of a filled one that a fixed random ord
 bins, its own, comes to first. So the values of a short line are nearly
 independent too, although it has few shingles. Eight bits of each value stay: 60 symbols in twelve
 bands of five, which are the keys. A pair of similarity 0.8 shares a key with
-99 %, one of 0.85 with 99.9 % probability. On a key, a pair is made only if its signatures differ in at most
-``DISTANCE`` symbols (a pair of similarity 0.8 differs in 12 of 60 on average, in more
-than 28 with probability below 1e-6). Pairs on a key come from
+99 %, one of 0.85 with 99.9 % probability. On a key, a pair is made only if two
+lossless bounds allow it: the numbers of distinct shingles, and the parities of 1,024
+cells over which the shingles are dealt - cells that differ are shingles that only one
+line has. Pairs on a key come from
 ``links.linked`` (leaders first, then across components), are verified once by
 the exact Jaccard similarity of the whole shingle sets (at least ``percent``),
 and union-find joins the links. Of each component the first line by document id,
 line number and row stays, all others are dropped.
 
 One map makes nodes and bands of all lines and writes them; keys that one node
-alone has - most - leave at the aggregate that follows; a hot line is
-one node, a hot key's rows can be split. Blank lines are no lines and stay.
+alone has - most - leave at the aggregate that follows. A second map finds the texts of the
+lines that share a key and writes them with what the bounds need; verification reads this
+table alone. A hot line is one node, a hot key's rows can be split. Blank lines are no lines and stay.
 Lines shorter than a shingle have only equal copies. Null and empty texts have
 no lines; repeated rows lose the lines of all but one; null ids come first;
 empty tables give empty results.
@@ -39,8 +41,9 @@ SHINGLE, PERCENT = 8, 80
 BANDS, ROWS = 12, 5
 _BINS = BANDS * ROWS
 _EMPTY = np.uint64(2**64 - 1)
-#: Symbols in which the signatures of a pair may differ.
-DISTANCE = 28
+#: Words of 64 cells whose parities bound a difference.
+CELL_WORDS = 16
+_CELLS = [f"c{i}" for i in range(CELL_WORDS)]
 #: The bins from which an empty one takes its value, in the order in which they are tried.
 _TRIED = np.array([np.random.default_rng(j).permutation(_BINS) for j in range(_BINS)])
 
@@ -90,13 +93,10 @@ class Shingles:
         return [np.unique(self.sums[a:b]) if b > a else whole_hashes(self.lines[i : i + 1]) for i, (a, b) in
                 enumerate(zip(self.first[:-1].tolist(), self.first[1:].tolist(), strict=True))]
 
-    def bands(self, chosen: np.ndarray | None = None) -> np.ndarray:
-        """BANDS keys of each line, or of the chosen ones, which have a shingle each: the band's number above its five symbols."""
+    def symbols(self) -> np.ndarray:
+        """The signature of each line, which must have a shingle: 60 symbols of eight bits."""
         counts = np.diff(self.first)
-        chosen = np.arange(len(counts)) if chosen is None else chosen
-        n, counts = len(chosen), counts[chosen]
-        starts = np.cumsum(counts) - counts
-        sums = self.sums[np.arange(int(counts.sum())) + np.repeat(self.first[chosen] - starts, counts)]
+        n, sums = len(counts), self.sums
         signature = np.full(n * _BINS, _EMPTY)
         line = np.repeat(np.arange(n), counts)
         place = ((sums >> np.uint64(32)) * np.uint64(_BINS) >> np.uint64(32)).astype(np.int64)
@@ -112,8 +112,12 @@ class Shingles:
             found = ~empty[line, tried]
             filled[line[found], place[found]] = signature[line[found], tried[found]]
             line, place = line[~found], place[~found]
-        symbols = (mix(filled) & np.uint64(255)).reshape(n, BANDS, ROWS)
-        out = np.broadcast_to(np.arange(BANDS, dtype=np.uint64) << np.uint64(8 * ROWS), (n, BANDS)).copy()
+        return mix(filled).astype(np.uint8)
+
+    def bands(self) -> np.ndarray:
+        """BANDS keys of each line: the band's number above its five symbols."""
+        symbols = self.symbols().reshape(-1, BANDS, ROWS).astype(np.uint64)
+        out = np.broadcast_to(np.arange(BANDS, dtype=np.uint64) << np.uint64(8 * ROWS), symbols.shape[:2]).copy()
         for r in range(ROWS):
             out |= symbols[:, :, r] << np.uint64(8 * r)
         return out
@@ -180,34 +184,55 @@ def line_texts(texts: DataFrame) -> DataFrame:
     return texts.select("t").mapInArrow(run, "node long, line string")
 
 
+def cells(sums: np.ndarray) -> np.ndarray:
+    """The parity of each cell, of a set of shingles."""
+    bits = np.bincount((sums & np.uint64(64 * CELL_WORDS - 1)).astype(np.int64), minlength=64 * CELL_WORDS) & 1
+    return np.packbits(bits.astype(np.uint8)).view(np.int64)
+
+
+def line_facts(lines: DataFrame) -> DataFrame:
+    """node, line, n_shingles (distinct) and the words of the cells' parities, of lines (node, line)."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            texts = batch.column(1).to_pylist()
+            for a, b in chunks([t.encode() for t in texts], 1 << 18):
+                sets = Shingles(texts[a:b]).sets()
+                parity = np.array([cells(x) for x in sets], np.int64)
+                yield pa.RecordBatch.from_arrays([
+                    batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), pa.array([len(x) for x in sets], pa.int64()),
+                    *(pa.array(parity[:, i], pa.int64()) for i in range(CELL_WORDS))], ["node", "line", "n_shingles", *_CELLS])
+
+    schema = "node long, line string, n_shingles long, " + ", ".join(f"{c} long" for c in _CELLS)
+    return lines.select("node", "line").mapInArrow(run, schema)
+
+
 def _first(x: str, y: str) -> Column:
     """False where both have one of the two shared keys before: the pair was made there."""
     met = [F.coalesce(F.col(f"{x}.{p}") == F.col(f"{y}.{q}"), F.lit(False)) for p in ("p1", "p2") for q in ("p1", "p2")]
     return ~(met[0] | met[1] | met[2] | met[3])
 
 
-def distance(x: str, y: str) -> Column:
-    """Symbols in which the signatures of two members differ."""
-    total = F.lit(0)
-    for b in range(BANDS):
-        d = F.get(F.col(f"{x}.bands"), F.lit(b)).bitwiseXOR(F.get(F.col(f"{y}.bands"), F.lit(b)))
-        # A symbol's lowest bit becomes the disjunction of its bits; what the shifts bring over from the next one stays above.
-        for shift in (4, 2, 1):
-            d = d.bitwiseOR(F.shiftrightunsigned(d, shift))
-        total = total + F.bit_count(d.bitwiseAND(F.lit(0x0101010101)))
-    return total
+def _possible(percent: int):
+    def condition(x: str, y: str) -> Column:
+        a, b = F.col(f"{x}.n_shingles"), F.col(f"{y}.n_shingles")
+        need = F.ceil((a + b) * percent / F.lit(100 + percent))  # least overlap of two linked sets
+        differ = sum((F.bit_count(F.col(f"{x}.{c}").bitwiseXOR(F.col(f"{y}.{c}"))) for c in _CELLS), F.lit(0))
+        return (100 * F.least(a, b) >= percent * F.greatest(a, b)) & (differ <= a + b - 2 * need)
+
+    return condition
 
 
 def band_members(per_row: DataFrame) -> DataFrame:
-    """key, node, p1, p2 (the two keys before it in the node's order), bands: the bands that some other line shares."""
-    fresh = per_row.select(F.explode("fresh").alias("x"))
-    rows = fresh.select("x.node", F.explode("x.bands").alias("key"))
+    """key, node, p1, p2 (the two keys before it in the node's order): the bands that some other line shares."""
+    rows = per_row.select(F.explode("fresh").alias("x")).select("x.node", F.explode("x.bands").alias("key"))
     # A line that several tasks met has a row of each; only keys of different lines matter.
     counts = rows.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high").select("key")
     shared = rows.join(counts, "key").groupBy("node").agg(F.sort_array(F.collect_set("key")).alias("keys"))
     before = F.transform("keys", lambda x, i: F.struct(x.alias("key"), F.get("keys", i - 1).alias("p1"), F.get("keys", i - 2).alias("p2")))
-    signatures = fresh.select("x.node", "x.bands").join(shared.select("node"), "node", "left_semi").dropDuplicates(["node"])
-    return (shared.join(signatures, "node").select("node", "bands", F.explode(before).alias("r")).select("node", "r.*", "bands"))
+    return shared.select("node", F.explode(before).alias("r")).select("node", "r.*")
 
 
 def similar_lines(pairs: DataFrame, lines: DataFrame, percent: int) -> DataFrame:
@@ -231,27 +256,16 @@ def similar_lines(pairs: DataFrame, lines: DataFrame, percent: int) -> DataFrame
 
 
 def duplicate_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT, row: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """Occurrences (doc_id, row, line_no, node) and links (a, b) between nodes."""
+    """The rows of ``line_nodes``, written, and links (a, b) between nodes."""
     per_row = written(line_nodes(df, doc_id, text, row), "lines")
-    occurrences = per_row.select("doc_id", "row", F.explode("lines").alias("x")).select("doc_id", "row", "x.line_no", "x.node")
-    members = written(band_members(per_row), "bands")
-    # Any document that holds the line; null only if no row with an id does.
-    firsts = occurrences.groupBy("node").agg(F.min("doc_id").alias("at_id"))
-
-    def verify(pairs: DataFrame) -> DataFrame:
-        wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-        at = written(firsts.join(wanted, "node"), "verify-lines")
-        # Only documents that hold a wanted line give their texts, and of these only the wanted lines go on. Lines are
-        # found again by their node: an id may stand for several texts, and rows without one are all looked through.
-        texts = df.select(F.col(doc_id).cast("long").alias("at_id"), F.col(text).cast("string").alias("t"))
-        ids = written(at.select("at_id").distinct(), "verify-ids")
-        holders = texts.join(small(ids), "at_id", "left_semi")
-        if not ids.where("at_id is null").isEmpty():
-            holders = holders.unionByName(texts.where("at_id is null"))
-        lines = line_texts(holders).join(small(at.select("node")), "node", "left_semi").groupBy("node").agg(F.min("line").alias("line"))
-        return similar_lines(pairs, written(lines, "verify-texts"), percent)
-
-    links = linked(members, [], ["p1", "p2", "bands"], lambda x, y: distance(x, y) <= DISTANCE, verify, _first)
+    keyed = written(band_members(per_row), "bands")
+    nodes = written(keyed.select("node").distinct(), "band-nodes")
+    # Lines are found again by their node: an id may stand for several texts, or for none.
+    texts = line_texts(df.select(F.col(text).cast("string").alias("t"))).join(small(nodes), "node", "left_semi")
+    lines = written(line_facts(texts.groupBy("node").agg(F.min("line").alias("line"))), "band-lines")
+    carried = ["n_shingles", *_CELLS]
+    members = written(keyed.join(lines.select("node", *carried), "node"), "band-members")
+    links = linked(members, [], ["p1", "p2", *carried], _possible(percent), lambda pairs: similar_lines(pairs, lines, percent), _first)
     return per_row, written(links, "line-links")
 
 
