@@ -26,7 +26,6 @@ and no rows. A text's special-token strings are encoded as the tokenizer does.
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterable, Iterator
 
@@ -36,7 +35,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import chunks, flat, small, written
+from .common import chunks, flat, mix, small, texts_of, written
 from .huffman import CHECKPOINT, Code, code_lengths
 from .rawfiles import read_files, write_records
 
@@ -46,88 +45,181 @@ _MAGIC = b"TKB1"
 _DOC = np.dtype([("doc_id", "<i8"), ("null", "u1"), ("ids", "<u4"), ("size", "<u4")])
 
 
+#: Pieces longer than this many bytes are encoded each time; shorter ones are remembered.
+PIECE_BYTES = 48
+#: Bytes after a space that begin a new piece for sure: printable ASCII, and lead bytes of no white space.
+_CUT = np.zeros(256, dtype=bool)
+_CUT[0x21:0x7F] = True
+_CUT[0xC3:0xE1] = _CUT[0xE4:0xF5] = True
+
+
+def _span_hashes(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two independent 64-bit hashes of byte spans, eight bytes a step; ``data`` ends with eight spare bytes."""
+    one = mix(lengths.astype(np.uint64) + np.uint64(1))
+    two = mix(lengths.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15))
+    rest, at, live = lengths.copy(), starts.copy(), np.arange(len(starts))
+    while len(live):
+        word = data[at[:, None] + np.arange(8)].view("<u8").ravel()
+        short = rest < 8
+        word[short] &= (np.uint64(1) << (np.uint64(8) * rest[short].astype(np.uint64))) - np.uint64(1)
+        one[live] = mix((one[live] ^ word) * np.uint64(0xD6E8FEB86659FD93) + np.uint64(7))
+        two[live] = mix((two[live] + word) * np.uint64(0xA0761D6478BD642F) ^ np.uint64(0xE7037ED1A0B428DB))
+        more = rest > 8
+        live, rest, at = live[more], rest[more] - 8, at[more] + 8
+    return one, two
+
+
+class Pieces:
+    """Ids of pieces by the pieces' hashes, in arrays: sorted by the first hash, checked by the second.
+
+    Holds at most about ``limit`` bytes; beyond that the half used least often leaves and all counts are halved.
+    """
+
+    def __init__(self, kind: np.dtype, limit: int):
+        self.limit, self.kind = limit, kind
+        self.one, self.two = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        self.start, self.size, self.used = (np.zeros(0, np.int64) for _ in range(3))
+        self.ids = np.zeros(0, kind)
+
+    def find(self, one: np.ndarray, two: np.ndarray) -> np.ndarray:
+        """The place of each piece, -1 where it is not known."""
+        if not len(self.one):
+            return np.full(len(one), -1)
+        at = np.minimum(np.searchsorted(self.one, one), len(self.one) - 1)
+        return np.where((self.one[at] == one) & (self.two[at] == two), at, -1)
+
+    def add(self, one: np.ndarray, two: np.ndarray, ids: list[np.ndarray]) -> None:
+        """New pieces, sorted by their first hash; one whose first hash is there already is not kept."""
+        fresh = np.flatnonzero(~np.isin(one, self.one))
+        size = np.fromiter((len(ids[i]) for i in fresh), np.int64, len(fresh))
+        begin = len(self.ids) + np.cumsum(size) - size
+        self.ids = np.concatenate([self.ids, *(ids[i] for i in fresh)]).astype(self.kind, copy=False)
+        at = np.searchsorted(self.one, one[fresh])
+        for name, values in (("one", one[fresh]), ("two", two[fresh]), ("start", begin), ("size", size), ("used", np.zeros(len(fresh), np.int64))):
+            setattr(self, name, np.insert(getattr(self, name), at, values))
+
+    def shrink(self) -> None:
+        if 40 * len(self.one) + self.ids.nbytes <= self.limit:
+            return
+        keep = np.sort(np.argsort(-self.used, kind="stable")[: len(self.one) // 2])
+        self.ids = self.ids[_gather(self.start[keep], self.size[keep])]
+        self.one, self.two, self.size, self.used = self.one[keep], self.two[keep], self.size[keep], self.used[keep] // 2
+        self.start = np.cumsum(self.size) - self.size
+
+
+def _gather(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places ``starts[i] ... starts[i] + sizes[i] - 1`` of all i, one behind the other."""
+    return np.arange(int(sizes.sum())) + np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
+
+
 class ChunkTokenizer:
     """Ids of whole texts, remembering the ids of the pieces between spaces.
 
     A byte-level tokenizer splits text before it merges, and a space before a
     character that is no white space always begins a new split; so a text cut
-    there encodes piece by piece to the same ids. Pieces already met are looked
-    up; the new ones of a chunk of texts go through the library together, joined
+    there encodes piece by piece to the same ids. A chunk's pieces are found and hashed as arrays, its
+    distinct ones looked up; new ones go through the library together, joined
     into longer strings whose ids are cut again at the tokens that begin with a
-    space - only a piece's first does. Two generations of at most ``limit``
-    pieces are kept, so memory is bounded. Texts with a special token's string
-    are encoded whole.
+    space - only a piece's first does. ``limit`` bounds the bytes of the pieces that are kept.
+    Texts with a special token's string are encoded whole. No Python object stands for a
+    known piece.
     """
 
     JOINED = 200
 
-    def __init__(self, path: str, limit: int = 200_000):
+    def __init__(self, path: str, limit: int = 16 << 20):
+        import os
+
         from tokenizers import Tokenizer
 
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         self.tokenizer = Tokenizer.from_file(path)
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.begins = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
         self.begins[[i for t, i in self.tokenizer.get_vocab().items() if t.startswith("\u0120")]] = True
-        self.limit, self.young, self.old = limit, {}, {}
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype=self.kind).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    @staticmethod
-    def pieces(text: str) -> list[str]:
-        """The text's part before the first cut, then each later piece without its space.
-
-        Cuts are the spaces that a character other than white space follows.
-        """
-        parts = text.split(" ")
-        if not _SPACE_THEN_SPACE.search(text):
-            return parts
-        out = [parts[0]]
-        for p in parts[1:]:
-            if p and not p[0].isspace():
-                out.append(p)
-            else:
-                out[-1] += " " + p
-        return out
-
-    def _learn(self, new: list[str]) -> None:
-        """Encode pieces that follow a space. Those with a space inside have no other sure cut and go alone."""
-        young, step = self.young, self.kind.itemsize
-        alone = [p for p in new if " " in p]
-        young.update(zip(alone, self._ids([" " + p for p in alone]), strict=True))
-        new = [p for p in new if " " not in p] if alone else new
-        groups = [new[a : a + self.JOINED] for a in range(0, len(new), self.JOINED)]
-        for group, e in zip(groups, self.tokenizer.encode_batch_fast([" " + " ".join(g) for g in groups], add_special_tokens=False), strict=True):
-            ids = np.array(e.ids, dtype=self.kind)
+        self.limit = limit
+        self.forget()
+
+    def forget(self) -> None:
+        self.known = Pieces(self.kind, self.limit)
+
+    def _alone(self, texts: list[bytes]) -> list[np.ndarray]:
+        found = self.tokenizer.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)
+        return [np.array(e.ids, dtype=self.kind) for e in found]
+
+    def _learn(self, new: list[bytes]) -> list[np.ndarray]:
+        """The ids of new pieces. Those that do not begin with a cut, or hold another space, have no sure cut and go alone."""
+        out: list = [None] * len(new)
+        joint = [i for i, p in enumerate(new) if len(p) > 1 and p[0] == 0x20 and _CUT[p[1]] and p.find(b" ", 1) < 0]
+        alone = sorted(set(range(len(new))) - set(joint))
+        for i, ids in zip(alone, self._alone([new[i] for i in alone]), strict=True):
+            out[i] = ids
+        for a in range(0, len(joint), self.JOINED):
+            group = joint[a : a + self.JOINED]
+            ids = self._alone([b"".join(new[i] for i in group)])[0]
             cuts = np.flatnonzero(self.begins[ids])
             if len(cuts) != len(group):
                 raise ValueError("the tokenizer does not begin a token at each space")
-            raw, at = ids.tobytes(), [*(cuts * step).tolist(), len(ids) * step]
-            young.update(zip(group, (raw[a:b] for a, b in zip(at[:-1], at[1:], strict=True)), strict=True))
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        out: list[bytes] = []
-        for a, b in chunks([t.encode() for t in texts]):
-            out += self._encode(texts[a:b])
-        return out
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        whole = {i for i, t in enumerate(texts) if any(s in t for s in self.special)}
-        pieces = [[] if i in whole else self.pieces(t) for i, t in enumerate(texts)]
-        old, young = self.old, self.young
-        need = set().union(*(p[1:] for p in pieces)).difference(young)
-        known = need & old.keys()
-        young.update((p, old[p]) for p in known)
-        self._learn(sorted(need - known))
-        heads = iter(self._ids([texts[i] if i in whole else p[0] for i, p in enumerate(pieces)]))
-        out = [head + b"".join(map(young.__getitem__, p[1:])) for head, p in zip(heads, pieces, strict=True)]
-        if len(young) > self.limit:
-            self.old, self.young = young, {}
+            for i, part in zip(group, np.split(ids, cuts[1:]), strict=True):
+                out[i] = part
         return out
 
-
-_SPACE_THEN_SPACE = re.compile(r" (?:\s|\Z)")
+    def encode(self, texts: list[bytes], end: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For each chunk of ``texts``: the ids of its texts, each with ``end`` behind, and where each text's ids end."""
+        for a, b in chunks(texts):
+            yield self._encode(texts[a:b], end)
+
+    def _encode(self, texts: list[bytes], end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        whole = np.array([any(s in t for s in self.special) for t in texts], dtype=bool)
+        lengths = np.fromiter(map(len, texts), np.int64, len(texts))
+        text_starts = np.cumsum(lengths) - lengths
+        raw = b"".join(texts)
+        data = np.frombuffer(raw + bytes(8), np.uint8)
+        # A piece begins at a text's first byte and at each sure cut inside a text.
+        is_cut = np.zeros(len(raw) + 1, dtype=bool)
+        if len(raw) > 1:
+            is_cut[: len(raw) - 1] = (data[: len(raw) - 1] == 0x20) & _CUT[data[1 : len(raw)]]
+            last = (text_starts + lengths - 1)[lengths > 0]
+            is_cut[last] = False  # what follows it is the next text
+        is_cut[text_starts[lengths > 0]] = True
+        starts = np.flatnonzero(is_cut[: len(raw)])
+        of = np.searchsorted(text_starts + lengths, starts, side="right")  # the text of each piece
+        drop = whole[of] & (starts != text_starts[of])
+        starts, of = starts[~drop], of[~drop]
+        sizes = np.diff(np.append(starts, len(raw)))
+        short = (sizes <= PIECE_BYTES) & ~whole[of]
+        one, two = _span_hashes(data, starts[short], sizes[short])
+        distinct, first, inverse = np.unique(one, return_index=True, return_inverse=True)
+        second = two[first]
+        odd = second[inverse] != two  # equal first hashes of different pieces: encoded alone below
+        at = self.known.find(distinct, second)
+        new = np.flatnonzero(at < 0)
+        begin, size = starts[short][first][new], sizes[short][first][new]
+        if len(new):
+            learnt = self._learn([raw[x : x + n] for x, n in zip(begin.tolist(), size.tolist(), strict=True)])
+            self.known.add(distinct[new], second[new], learnt)
+            at = self.known.find(distinct, second)
+        missing = np.flatnonzero(at < 0)  # first hash taken by another piece
+        places = np.flatnonzero(short)
+        lone = np.concatenate([np.flatnonzero(~short), places[odd | np.isin(inverse, missing)]])
+        extra = self._alone([raw[starts[i] : starts[i] + sizes[i]] for i in lone.tolist()])
+        blob = np.concatenate([self.known.ids, *extra]) if extra else self.known.ids
+        begins, counts = np.zeros(len(starts), np.int64), np.zeros(len(starts), np.int64)
+        begins[places], counts[places] = self.known.start[at][inverse], self.known.size[at][inverse]
+        counts[lone] = [len(x) for x in extra]
+        begins[lone] = len(self.known.ids) + np.cumsum(counts[lone]) - counts[lone]
+        self.known.used[at[at >= 0]] += np.bincount(inverse, minlength=len(distinct))[at >= 0]
+        # The end ids go behind each text's pieces.
+        ends = np.cumsum(np.bincount(of, weights=counts, minlength=len(texts)).astype(np.int64) + len(end))
+        out = np.empty(int(ends[-1]), self.kind)
+        is_end = np.zeros(len(out), dtype=bool)
+        for j in range(len(end)):
+            is_end[ends - len(end) + j] = True
+            out[ends - len(end) + j] = end[j]
+        out[~is_end] = blob[_gather(begins, counts)]
+        self.known.shrink()
+        return out, ends
 
 
 def id_kind(tokenizer: str) -> np.dtype:
@@ -155,12 +247,19 @@ def encode_ids(df: DataFrame, tokenizer: str, text: str = "text", end_id: int =
         import pyarrow as pa
 
         t = _TOKENIZERS.get(tokenizer) or _TOKENIZERS.setdefault(tokenizer, ChunkTokenizer(tokenizer))
-        end = np.array([end_id], dtype=t.kind).tobytes()
-        for batch in batches:
-            for a in range(0, batch.num_rows, SLICE_ROWS):
-                part = batch.slice(a, SLICE_ROWS)
-                ids = pa.array([x + end for x in t.encode([s or "" for s in part.column(len(keep)).to_pylist()])], pa.binary())
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], ids], [*keep, out])
+        end = np.array([end_id], dtype=t.kind)
+        try:
+            for batch in batches:
+                for a in range(0, batch.num_rows, SLICE_ROWS):
+                    part = batch.slice(a, SLICE_ROWS)
+                    done = 0
+                    for ids, ends in t.encode(texts_of(part.column(len(keep))), end):
+                        n = len(ends)
+                        column = _binary(ids.view(np.uint8), t.kind.itemsize * np.concatenate(([0], ends)))
+                        yield pa.RecordBatch.from_arrays([*(c.slice(done, n) for c in part.columns[:-1]), column], [*keep, out])
+                        done += n
+        finally:
+            t.forget()  # the worker lives on, the pieces need not
 
     return rows.mapInArrow(run, schema)
 
@@ -278,7 +377,7 @@ def parse_blocks(content: bytes) -> Iterator[tuple[np.ndarray, np.ndarray, np.nd
         at += size + 1
 
 
-def _joined(blocks: Iterable, limit: int = 1 << 22) -> Iterator[tuple]:
+def _joined(blocks: Iterable, limit: int = 1 << 20) -> Iterator[tuple]:
     """Blocks put together up to ``limit`` ids, so that decoding has many lanes."""
     group, size = [], 0
     for block in blocks:
@@ -301,8 +400,7 @@ def load_code(spark: SparkSession, path: str) -> Code:
 def read_tokens(spark: SparkSession, path: str, with_ids: bool = False) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 (and ids, array<int>) of every document, decoded from the files.
 
-    ``start`` is the place in the file plus the ids of the files before it: a
-    running sum over one row per file.
+    ``start`` is the place in the file plus the ids of the files before it.
     """
     code = load_code(spark, path)
 
@@ -328,8 +426,26 @@ def read_tokens(spark: SparkSession, path: str, with_ids: bool = False) -> DataF
 
     schema = "path string, doc_id long, place long, n_tokens long, ids_crc32 long" + (", ids array<int>" if with_ids else "")
     documents = written(read_files(spark, f"{path}/blocks").mapInArrow(decode, schema), "tokens-read")
-    order = W.orderBy("path")
-    files = (documents.groupBy("path").agg(F.sum("n_tokens").alias("of_file"))
-             .select("path", (F.sum("of_file").over(order) - F.col("of_file")).alias("base")))
-    return (documents.join(small(written(files, "tokens-files")), "path")
+    files = documents.groupBy("path").agg(F.sum("n_tokens").alias("of_file"))
+    return (documents.join(small(written(file_bases(files), "tokens-files")), "path")
             .select("doc_id", (F.col("base") + F.col("place")).alias("start"), "n_tokens", "ids_crc32", *(["ids"] if with_ids else [])))
+
+
+#: Consecutive parts whose files are summed together.
+PART_GROUP = 1000
+
+
+def file_bases(files: DataFrame) -> DataFrame:
+    """path, base: the ids in all files before each one, of files (path, of_file) named by part and number within it.
+
+    Numbers, not names, give the order, for both have more digits when they must. Sums of
+    groups of parts come first, so that no task sees all files.
+    """
+    name = F.element_at(F.split("path", "/"), -1)
+    number = lambda pattern: F.regexp_extract(name, pattern, 1).cast("long")
+    placed = files.select("path", "of_file", number(r"^part-(\d+)").alias("part"), number(r"-c(\d+)\.").alias("seq"))
+    placed = placed.withColumn("group", F.floor(F.col("part") / PART_GROUP))
+    sums = placed.groupBy("group").agg(F.sum("of_file").alias("of_group"))
+    before = sums.select("group", (F.sum("of_group").over(W.orderBy("group")) - F.col("of_group")).alias("before"))
+    inside = F.sum("of_file").over(W.partitionBy("group").orderBy("part", "seq")) - F.col("of_file")
+    return placed.withColumn("inside", inside).join(before, "group").select("path", (F.col("before") + F.col("inside")).alias("base"))

@@ -51,10 +51,36 @@ def test_round_trip_with_checkpoints():
 def test_pieces_give_the_tokenizers_ids():
     rnd = random.Random(2)
     bits = ["a", "b", " ", "  ", "\n", "\t", "é", "日本", "1", "!", " ", "'s", "The", "\r\n", "\x1c", "<|endoftext|>", "_", "​", "\x85"]
-    t = token_ids.ChunkTokenizer(PATH, limit=50)
-    for _ in range(1500):
-        x = "".join(rnd.choice(bits) for _ in range(rnd.randint(0, 25)))
-        assert np.frombuffer(t.encode([x])[0], t.kind).tolist() == t.tokenizer.encode(x, add_special_tokens=False).ids
+    t = token_ids.ChunkTokenizer(PATH, limit=20_000)
+    end = np.array([0], t.kind)
+    for round_ in range(30):
+        texts = ["".join(rnd.choice(bits) for _ in range(rnd.randint(0, 25))) for _ in range(50)]
+        texts += ["", "x" * 200 + " y", " ", " a", "  a", "日本語 の テスト", " ".join(f"w{rnd.randint(0, 3000)}" for _ in range(300))]
+        got = [ids[a:b].tolist() for ids, ends in t.encode([x.encode() for x in texts], end) for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+        assert got == [[*t.tokenizer.encode(x, add_special_tokens=False).ids, 0] for x in texts]
+        assert 40 * len(t.known.one) + t.known.ids.nbytes <= 20_000
+    assert len(t.known.one) > 0
+
+
+def test_pieces_with_one_first_hash_are_told_apart(monkeypatch):
+    """Colliding hashes cost time, never ids."""
+    real = token_ids._span_hashes
+    monkeypatch.setattr(token_ids, "_span_hashes", lambda *a: (lambda one, two: (one & np.uint64(7), two))(*real(*a)))
+    t = token_ids.ChunkTokenizer(PATH)
+    for x in ("a few words of one text and another few", "some other words"):
+        ids, _ = next(t.encode([x.encode()], np.array([0], t.kind)))
+        assert ids.tolist() == [*t.tokenizer.encode(x, add_special_tokens=False).ids, 0]
+
+
+def test_files_are_ordered_by_number(spark):
+    names = [f"file:/x/part-{n:05d}-6b2e-c{c:03d}.txt" for n, c in ((0, 0), (9, 1), (9, 0), (99_999, 0), (100_000, 999), (100_000, 1000), (100_001, 0), (1_000_000, 0))]
+    order = [0, 2, 1, 3, 4, 5, 6, 7]
+    files = spark.createDataFrame([(p, 10 ** i) for i, p in enumerate(names)], "path string, of_file long")
+    got = {r.path: r.base for r in token_ids.file_bases(files).collect()}
+    total = 0
+    for i in order:
+        assert got[names[i]] == total
+        total += 10 ** i
 
 
 def files_of(spark, df, **kw):
