@@ -88,14 +88,15 @@ class Pieces:
         at = np.minimum(np.searchsorted(self.one, one), len(self.one) - 1)
         return np.where((self.one[at] == one) & (self.two[at] == two), at, -1)
 
-    def add(self, one: np.ndarray, two: np.ndarray, ids: list[np.ndarray]) -> None:
-        """New pieces, sorted by their first hash; one whose first hash is there already is not kept."""
-        fresh = np.flatnonzero(~np.isin(one, self.one))
-        size = np.fromiter((len(ids[i]) for i in fresh), np.int64, len(fresh))
-        begin = len(self.ids) + np.cumsum(size) - size
-        self.ids = np.concatenate([self.ids, *(ids[i] for i in fresh)]).astype(self.kind, copy=False)
-        at = np.searchsorted(self.one, one[fresh])
-        for name, values in (("one", one[fresh]), ("two", two[fresh]), ("start", begin), ("size", size), ("used", np.zeros(len(fresh), np.int64))):
+    def add(self, one: np.ndarray, two: np.ndarray, ids: np.ndarray, begin: np.ndarray, size: np.ndarray) -> None:
+        """New pieces, sorted by their first hash, with their places in ``ids``; one whose first hash is there already is not found."""
+        at = np.searchsorted(self.one, one)
+        if len(self.one):
+            fresh = self.one[np.minimum(at, len(self.one) - 1)] != one
+            at, one, two, begin, size = at[fresh], one[fresh], two[fresh], begin[fresh], size[fresh]
+        new = {"one": one, "two": two, "start": begin + len(self.ids), "size": size, "used": np.zeros(len(one), np.int64)}
+        self.ids = np.concatenate([self.ids, ids])
+        for name, values in new.items():
             setattr(self, name, np.insert(getattr(self, name), at, values))
 
     def shrink(self) -> None:
@@ -127,7 +128,7 @@ class ChunkTokenizer:
 
     JOINED = 200
 
-    def __init__(self, path: str, limit: int = 16 << 20):
+    def __init__(self, path: str, limit: int = 24 << 20):
         import os
 
         from tokenizers import Tokenizer
@@ -148,22 +149,26 @@ class ChunkTokenizer:
         found = self.tokenizer.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)
         return [np.array(e.ids, dtype=self.kind) for e in found]
 
-    def _learn(self, new: list[bytes]) -> list[np.ndarray]:
-        """The ids of new pieces. Those that do not begin with a cut, or hold another space, have no sure cut and go alone."""
-        out: list = [None] * len(new)
-        joint = [i for i, p in enumerate(new) if len(p) > 1 and p[0] == 0x20 and _CUT[p[1]] and p.find(b" ", 1) < 0]
-        alone = sorted(set(range(len(new))) - set(joint))
-        for i, ids in zip(alone, self._alone([new[i] for i in alone]), strict=True):
-            out[i] = ids
-        for a in range(0, len(joint), self.JOINED):
-            group = joint[a : a + self.JOINED]
-            ids = self._alone([b"".join(new[i] for i in group)])[0]
+    def _learn(self, new: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of new pieces, and where each one's begin and how many they are.
+
+        Pieces that do not begin with a cut, or hold another space, have no sure cut and go alone.
+        """
+        sure = [len(p) > 1 and p[0] == 0x20 and bool(_CUT[p[1]]) and p.find(b" ", 1) < 0 for p in new]
+        joint, alone = np.flatnonzero(sure), np.flatnonzero(np.logical_not(sure))
+        size = np.zeros(len(new), np.int64)
+        groups = [joint[a : a + self.JOINED] for a in range(0, len(joint), self.JOINED)]
+        parts = self._alone([b"".join([new[i] for i in g.tolist()]) for g in groups])
+        for group, ids in zip(groups, parts, strict=True):
             cuts = np.flatnonzero(self.begins[ids])
             if len(cuts) != len(group):
                 raise ValueError("the tokenizer does not begin a token at each space")
-            for i, part in zip(group, np.split(ids, cuts[1:]), strict=True):
-                out[i] = part
-        return out
+            size[group] = np.diff(cuts, append=len(ids))
+        parts += self._alone([new[i] for i in alone.tolist()])
+        size[alone] = [len(x) for x in parts[len(groups) :]]
+        begin, order = np.zeros(len(new), np.int64), np.concatenate([joint, alone])
+        begin[order] = np.cumsum(size[order]) - size[order]
+        return np.concatenate(parts), begin, size
 
     def encode(self, texts: list[bytes], end: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """For each chunk of ``texts``: the ids of its texts, each with ``end`` behind, and where each text's ids end."""
@@ -198,11 +203,11 @@ class ChunkTokenizer:
         begin, size = starts[short][first][new], sizes[short][first][new]
         if len(new):
             learnt = self._learn([raw[x : x + n] for x, n in zip(begin.tolist(), size.tolist(), strict=True)])
-            self.known.add(distinct[new], second[new], learnt)
+            self.known.add(distinct[new], second[new], *learnt)
             at = self.known.find(distinct, second)
-        missing = np.flatnonzero(at < 0)  # first hash taken by another piece
         places = np.flatnonzero(short)
-        lone = np.concatenate([np.flatnonzero(~short), places[odd | np.isin(inverse, missing)]])
+        # Long pieces, and those whose first hash another one has.
+        lone = np.concatenate([np.flatnonzero(~short), places[odd | (at < 0)[inverse]]])
         extra = self._alone([raw[starts[i] : starts[i] + sizes[i]] for i in lone.tolist()])
         blob = np.concatenate([self.known.ids, *extra]) if extra else self.known.ids
         begins, counts = np.zeros(len(starts), np.int64), np.zeros(len(starts), np.int64)
