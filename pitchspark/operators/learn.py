@@ -1,11 +1,10 @@
 """Weighted three-class training, scoring and run registry.
 
-Boosted trees are ``OneVsRest(GBTClassifier)`` with a weight column; it
-returns ``rawPrediction`` only, so class probabilities are derived as
-``sigmoid(2 * margin_k)`` normalised over the classes. Missing feature
-values are imputed with the median (spark.ml trees do not take nulls).
-L1/L2 penalties of the boosted-tree library have no GBT counterpart and are
-not used. ``LogisticRegression(family="multinomial")`` is the second model.
+The default model is the joint boosting of ``operators.boosting``: a softmax over the three classes, L1 and L2
+penalties, row and column sampling, missing values as they are. Two spark.ml
+models are kept beside it: ``gbt``, ``OneVsRest(GBTClassifier)`` with a weight column, whose class
+probabilities are ``sigmoid(2 * margin_k)`` normalised over the classes, and ``logreg``,
+``LogisticRegression(family="multinomial")``; both impute missing values with the median.
 
 Nothing here collects data to the driver: fitting, scoring and metrics are
 Spark jobs; only the fitted model and one registry row are written.
@@ -14,8 +13,11 @@ Spark jobs; only the fitted model and one registry row are written.
 from __future__ import annotations
 
 import datetime as _dt
+import hashlib
 import json
+import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, OneVsRest
 from pyspark.ml.feature import Imputer, VectorAssembler
@@ -26,6 +28,8 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pitchspark.operators import boosting
+from pitchspark.operators.boosting import BoostedModel
 from pitchspark.operators.evaluate import stratified_split
 from pitchspark.session import materialize
 
@@ -80,13 +84,15 @@ def _stages(features: list[str], model: str, params: dict, label: str, weight: s
 
 
 def fit(train: DataFrame, features: list[str], label: str = "target", weight: str | None = "train_weight",
-        model: str = "gbt", params: dict | None = None) -> PipelineModel:
-    """Fit the weighted classifier (M1).
+        model: str = "gbt", params: dict | None = None, key: str = "match_id") -> PipelineModel | BoostedModel:
+    """Fit the weighted classifier (M1): ``boosted`` (rows sampled by ``key``), ``gbt`` or ``logreg``.
 
-    The training rows are persisted (memory, spilling to disk) for the
+    For the spark.ml models the training rows are persisted (memory, spilling to disk) for the
     duration of the fit: the imputer and every boosting round read them,
     and without it each read would recompute the whole upstream plan.
     """
+    if model == "boosted":
+        return boosting.fit_boosted(train, features, label, weight, key, boosting.Params(**(params or {})))
     data = _model_input(train, features, label).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return Pipeline(stages=_stages(features, model, params or {}, label, weight)).fit(data)
@@ -116,8 +122,19 @@ def tune(train: DataFrame, features: list[str], grid: dict[str, list], label: st
         data.unpersist()
 
 
-def score(model: PipelineModel, df: DataFrame, features: list[str]) -> DataFrame:
+def tune_boosted(train: DataFrame, features: list[str], grid: dict[str, list], label: str = "target", weight: str | None = "train_weight",
+                 key: str = "match_id", folds: int = 5) -> tuple[BoostedModel, list[tuple]]:
+    """Grid search of the boosted model (M2): the point of the best mean accuracy over the stratified folds (W6), the
+    first of equals, refitted on all rows; and (parameters, mean accuracy, accuracies by fold) of every point."""
+    found = boosting.grid_accuracies(train, features, grid, label, weight, key, folds=folds)
+    best = max(found, key=lambda x: x[1])[0]
+    return boosting.fit_boosted(train, features, label, weight, key, best), found
+
+
+def score(model: PipelineModel | BoostedModel, df: DataFrame, features: list[str]) -> DataFrame:
     """Predictions and class probabilities ``p ARRAY<DOUBLE>`` (M3, M4)."""
+    if isinstance(model, BoostedModel):
+        return boosting.score(model, df)
     data = df
     for f in features:
         data = data.withColumn(f, F.col(f).cast("double"))
@@ -133,9 +150,11 @@ def score(model: PipelineModel, df: DataFrame, features: list[str]) -> DataFrame
     return out.select(*keep, F.col("prediction").cast("int").alias("prediction"), probs.alias("p"))
 
 
-def feature_importance(model: PipelineModel, features: list[str]) -> DataFrame:
-    """Mean importance over the one-vs-rest models, sorted descending."""
+def feature_importance(model: PipelineModel | BoostedModel, features: list[str]) -> DataFrame:
+    """Importance of each feature, sorted descending (M5, T3): shares of the mean gain, or means over the one-vs-rest models."""
     spark = SparkSession.getActiveSession()
+    if isinstance(model, BoostedModel):
+        return spark.createDataFrame(model.importance(), "feature string, importance double").orderBy(F.desc("importance"), "feature")
     last = model.stages[-1]
     if hasattr(last, "models"):
         vecs = [m.featureImportances.toArray() for m in last.models]
@@ -157,28 +176,58 @@ def train_and_split(df: DataFrame, features: list[str], key: str = "match_id", l
     return m, score(m, split.where(F.col("is_test")), features)
 
 
-def save_run(model: PipelineModel, path: str, registry: str, run_name: str, accuracy: float | None,
-             features: list[str], rows: int, params: dict | None = None) -> None:
-    """Model directory plus one appended registry row."""
-    model.write().overwrite().save(path)
+_RUN = "run_name string, version long, created string, accuracy double, training_rows long, params map<string,string>, error string"
+
+
+def save_run(model: PipelineModel | BoostedModel, path: str, registry: str, run_name: str, accuracy: float | None,
+             features: list[str], rows: int, params: dict | None = None) -> int:
+    """A model folder of its own below ``path`` plus one registry row (S8); returns the run's version.
+
+    Versions of a run count up from 1. The row is committed as a folder named by run and version
+    whose creation fails if it exists, so of two writers of one version one fails and
+    takes the next; the model is written before, under a name that no other writer uses, and never
+    overwritten.
+    """
     spark = SparkSession.getActiveSession()
-    meta = {"draw_multiplier": str(DRAW_MULTIPLIER), "time_decay_days": str(DECAY_DAYS),
-            "features": json.dumps(features), "model_path": path}
+    made = f"{path.rstrip('/')}/{uuid.uuid4().hex}"
+    if isinstance(model, BoostedModel):
+        model.save(spark, made)
+    else:
+        model.write().save(made)
+    meta = {"draw_multiplier": str(DRAW_MULTIPLIER), "time_decay_days": str(DECAY_DAYS), "features": json.dumps(features), "model_path": made,
+            "kind": "boosted" if isinstance(model, BoostedModel) else "pipeline"}
     meta.update({k: str(v) for k, v in (params or {}).items()})
-    row = [(run_name, _dt.datetime.now().strftime("%Y-%m-%d %H:%M:%S"), accuracy, rows, meta, None)]
-    schema = ("run_name string, created string, accuracy double, training_rows long, "
-              "params map<string,string>, error string")
-    spark.createDataFrame(row, schema).write.mode("append").parquet(registry)
+    for _ in range(100):
+        version = 1 + (_runs(spark, registry).where(F.col("run_name") == run_name).agg(F.max("version")).first()[0] or 0)
+        row = [(run_name, version, _dt.datetime.now().strftime("%Y-%m-%d %H:%M:%S"), accuracy, rows, meta, None)]
+        try:
+            name = hashlib.md5(run_name.encode()).hexdigest()
+            spark.createDataFrame(row, _RUN).coalesce(1).write.mode("error").parquet(f"{registry}/run-{name}-{version}")
+            return version
+        except AnalysisException as e:
+            if "PATH_ALREADY_EXISTS" not in str(e):
+                raise
+    raise RuntimeError(f"no free version of run {run_name}")
+
+
+def _runs(spark: SparkSession, registry: str) -> DataFrame:
+    """All rows of a registry; none if it has not been written yet."""
+    try:
+        return spark.read.option("recursiveFileLookup", True).schema(_RUN).parquet(registry)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        return spark.createDataFrame([], _RUN)
 
 
-def load_run(spark: SparkSession, registry: str, run_name: str) -> tuple[PipelineModel, list[str]]:
-    """Model and its stored feature list (S8; the stored list is used, D8)."""
-    meta = (spark.read.parquet(registry).where(F.col("run_name") == run_name)
-            .orderBy(F.desc("created")).limit(1).first())
+def load_run(spark: SparkSession, registry: str, run_name: str) -> tuple[PipelineModel | BoostedModel, list[str]]:
+    """Model and its stored feature list of the run's highest version (S8; the stored list is used, D8)."""
+    meta = _runs(spark, registry).where(F.col("run_name") == run_name).orderBy(F.desc("version")).limit(1).first()
     if meta is None:
         raise KeyError(run_name)
     params = meta["params"]
-    return PipelineModel.load(params["model_path"]), json.loads(params["features"])
+    kind = BoostedModel.load(spark, params["model_path"]) if params["kind"] == "boosted" else PipelineModel.load(params["model_path"])
+    return kind, json.loads(params["features"])
 
 
 def inspect_run(spark: SparkSession, registry: str, run_name: str, df: DataFrame,
@@ -194,7 +243,7 @@ def inspect_run(spark: SparkSession, registry: str, run_name: str, df: DataFrame
     test = stratified_split(df, label, key).where(F.col("is_test"))
     preds = score(model, test, features)
     return {
-        "run": spark.read.parquet(registry).where(F.col("run_name") == run_name),
+        "run": _runs(spark, registry).where(F.col("run_name") == run_name).orderBy(F.desc("version")).limit(1),
         "accuracy": ev.accuracy(preds, label, "prediction"),
         "report": ev.class_report(preds, label, "prediction"),
         "confusion": ev.confusion_matrix(preds, label, "prediction"),

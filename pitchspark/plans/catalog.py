@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pitchspark.operators import evaluate as ev
@@ -329,24 +329,44 @@ def _prediction_checks(preds: DataFrame, split: DataFrame) -> DataFrame:
     return of_preds.unionByName(of_split).select("m.*")
 
 
+def _accuracy_checks(preds: DataFrame, split: DataFrame) -> DataFrame:
+    """Whether the model is right on test rows at least as often as the commonest class would be (less one row in a
+    hundred), and whether its weighted log loss on training rows is below that of the classes' shares."""
+    rows = split.where("is_test").groupBy("target").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("most"), F.sum("n").alias("n"))
+    hits = preds.where("is_test").agg(F.count_if(F.col("prediction") == F.col("target")).alias("hits"))
+    loss = preds.where("not is_test").agg((F.sum(-F.col("train_weight") * F.log(F.get("p", F.col("target").cast("int")))) / F.sum("train_weight")).alias("loss"))
+    share = split.where("not is_test").groupBy("target").agg(F.sum("train_weight").alias("w"))
+    prior = share.agg((F.log(F.sum("w")) - F.sum(F.col("w") * F.log("w")) / F.sum("w")).alias("prior"))
+    one = rows.crossJoin(F.broadcast(hits)).crossJoin(F.broadcast(loss)).crossJoin(F.broadcast(prior))  # one row each
+    return one.select(F.explode(F.array(*_metrics(("as_good_as_majority", (F.col("hits") + F.col("n") / 100 >= F.col("most")).cast("int")),
+                                                  ("loss_below_prior", (F.col("loss") < F.col("prior")).cast("int"))))).alias("m")).select("m.*")
+
+
 def train_evaluate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Weighted boosted trees on the 80% split, scored on the rest."""
+    """Joint weighted boosting, 100 rounds, on the 80% split, scored on the rest."""
     from pitchspark.operators import learn as ml
     split = ml.weighted_split(_model_rows(spark, sf_dir), "match_id", "target")
-    model = ml.fit(split.where("not is_test"), MODEL_FEATURES, "target", "train_weight", "gbt")
-    return _prediction_checks(ml.score(model, split.where("is_test"), MODEL_FEATURES), split)
+    model = ml.fit(split.where("not is_test"), MODEL_FEATURES, "target", "train_weight", "boosted")
+    preds = materialize(ml.score(model, split, MODEL_FEATURES), "scored")
+    return _prediction_checks(preds.where("is_test"), split).unionByName(_accuracy_checks(preds, split))
+
+
+GRID = {"depth": [2, 3], "rate": [0.05, 0.3], "rounds": [5, 10]}
 
 
 def grid_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two penalties by stratified folds, the best refitted (M2, W6): folds and what the chosen model must satisfy."""
+    """A grid of three tree parameters by stratified folds, the best point refitted (M2, W6): folds, points and what the chosen model must satisfy."""
     from pitchspark.operators import learn as ml
     split = ml.weighted_split(_model_rows(spark, sf_dir), "match_id", "target")
     train = split.where("not is_test")
-    model = ml.tune(train, MODEL_FEATURES, {"regParam": [0.0, 0.1]}, "target", "train_weight", model="logreg")
-    chosen = model.stages[-1].getRegParam()
+    model, found = ml.tune_boosted(train, MODEL_FEATURES, GRID, "target", "train_weight")
+    best = max(a for _, a, _ in found)
+    chosen = next(p for p, a, _ in found if a == best)
     folds = train.groupBy("fold").count().select(F.concat(F.lit("fold_"), F.col("fold").cast("string")).alias("metric"), F.col("count").cast("double").alias("value"))
-    grid = spark.range(1).select(F.lit("chosen_in_grid").alias("metric"), F.lit(float(chosen in (0.0, 0.1))).alias("value"))
-    return folds.unionByName(grid).unionByName(_prediction_checks(ml.score(model, split.where("is_test"), MODEL_FEATURES), split))
+    rows = [("points", float(len(found))), ("chosen_is_best", float(model.params == chosen)), ("accuracies_in_range", float(all(0 < x < 1 for _, _, f in found for x in f)))]
+    preds = materialize(ml.score(model, split, MODEL_FEATURES), "scored")
+    return (folds.unionByName(spark.createDataFrame(rows, "metric string, value double")).unionByName(_prediction_checks(preds.where("is_test"), split))
+            .unionByName(_accuracy_checks(preds, split)))
 
 
 def batch_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -365,12 +385,17 @@ def batch_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def importance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Features of a fitted model by importance (M5, T3): each once, none negative, in falling order."""
+    """Features of the 100-round model by importance (M5, T3): positions in falling order, shares that sum to 1."""
     from pitchspark.operators import learn as ml
     split = ml.weighted_split(_model_rows(spark, sf_dir), "match_id", "target")
-    model = ml.fit(split.where("not is_test"), MODEL_FEATURES, "target", "train_weight", "gbt", {"maxIter": 5})
+    model = ml.fit(split.where("not is_test"), MODEL_FEATURES, "target", "train_weight", "boosted")
     imp = ml.feature_importance(model, MODEL_FEATURES)
-    return imp.select("feature", (F.col("importance") >= 0).alias("not_negative"))
+    place = Window.orderBy(F.monotonically_increasing_id())  # one row a feature
+    at = imp.withColumn("position", F.row_number().over(place))
+    falling = F.coalesce(F.lag("importance").over(Window.orderBy("position")) >= F.col("importance"), F.lit(True))
+    whole = F.abs(F.sum("importance").over(Window.partitionBy()) - 1) < 1e-9
+    names = F.array_sort(F.collect_list("feature").over(Window.partitionBy()))
+    return at.select("position", (falling & (F.col("importance") >= 0)).alias("falling"), whole.alias("sums_to_one"), names[F.col("position") - 1].alias("one_of_the_features"))
 
 
 def inspect_run(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -538,6 +538,8 @@ placed as (select match_id, target, exp(-floor((epoch(mx.latest) - epoch(date))
 split as (select match_id, target, w, pos <= cast(round(nc * 0.2) as bigint) as is_test, (pos - cast(round(nc * 0.2) as bigint) - 1) % 5 as fold from placed)
 """
 
+_AS_GOOD = """
+union all select 'as_good_as_majority', 1.0 union all select 'loss_below_prior', 1.0"""
 _CHECKS = """select 'support_' || c as metric, (select count(*) from split where is_test and target = c)::double as value from range(0, 3) r(c)
 union all select 'probability_off', 0.0 union all select 'outside_classes', 0.0
 union all select 'train_rows', count(*)::double from split where not is_test
@@ -554,11 +556,12 @@ union all select 'plain table', count(*), round(sum(row_id)::double, 6) from l w
 """
 
 ORACLE_SQL.update({
-    "train_evaluate": _SPLIT + _CHECKS,
-    "grid_search": _SPLIT + _CHECKS + """union all select 'chosen_in_grid', 1.0
+    "train_evaluate": _SPLIT + _CHECKS + _AS_GOOD,
+    "grid_search": _SPLIT + _CHECKS + _AS_GOOD + """ union all select 'points', 8.0 union all select 'chosen_is_best', 1.0 union all select 'accuracies_in_range', 1.0
 union all select 'fold_' || fold, count(*)::double from split where not is_test group by fold""",
     "batch_scores": _SPLIT + "select match_id, target, true as label_is_largest, true as reloaded_equal from split",
-    "importance": "select unnest(['delta_f_cnt', 'delta_f_value', 'delta_f_max', 'delta_elo', 'is_neutral']) as feature, true as not_negative",
+    "importance": """select row_number() over (order by f)::int as position, true as falling, true as sums_to_one, f as one_of_the_features
+from (select unnest(['delta_f_cnt', 'delta_f_value', 'delta_f_max', 'delta_elo', 'is_neutral']) as f)""",
     "inspect_run": _SPLIT + """select 'support_' || c as metric, (select count(*) from split where is_test and target = c)::double as value from range(0, 3) r(c)
 union all select 'accuracy_as_stored', 1.0 union all select 'test_rows', count(*)::double from split where is_test
 union all select 'confusion_rows', count(*)::double from split where is_test union all select 'training_rows', count(*)::double from split""",
