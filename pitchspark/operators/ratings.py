@@ -2,18 +2,15 @@
 
 Everything that does not depend on running state (result score, home
 advantage, competition weight, raw goal index) is computed as columns
-before the fold. The fold itself has two forms with equal results:
-
-* ``pool``: the caller names a column of groups whose entities never meet;
-  ``applyInPandas`` folds the groups in parallel. Only for groups that are
-  known to fit one task.
-* ``sliced`` (without a pool): the history is cut into slices of its
-  order, written once and partitioned by slice. Inside a slice the connected
-  components of the entities that meet are folded in parallel, each starting
-  from the state table; the slice's last ratings make the new state. Rounds
-  follow the calendar, a task holds one component of one slice, all state is
-  a table in the shared folder, and every match is in exactly one slice, so
-  none is lost and nothing switches by size.
+before the fold. The history is cut into slices of its order, written once and
+partitioned by slice. Inside a slice groups of entities that do not meet
+others are folded in parallel by ``applyInPandas``, each starting from the state table; the slice's
+last ratings make the new state. The groups are those of a column the caller
+names (``pool``: its entities never meet those of another, and equal names in two pools are two
+entities), or else the connected components of the entities that meet in the slice.
+Rounds follow the calendar, a task holds at most the matches of one slice - also of a
+pool with a third of the history -, all state is a table in the shared
+folder, and every match is in exactly one slice, so none is lost.
 """
 
 from __future__ import annotations
@@ -31,7 +28,7 @@ from pitchspark.functions.text import title_case
 from pitchspark.operators.graph import components
 from pitchspark.session import materialize
 
-# Matches of one slice; a component of a slice must fit one task.
+# Matches of one slice, which one group may hold: they must fit one task.
 SLICE_ROWS = 2_000_000
 # What the reference's text conversion makes of a missing team.
 NO_TEAM = "nan"
@@ -97,17 +94,11 @@ def _team_key(c: str) -> Column:
     return F.coalesce(F.col(c).cast("string"), F.lit(NO_TEAM))
 
 
-def _terms(prepared: DataFrame, *more: str) -> DataFrame:
+def _terms(prepared: DataFrame, *more: Column) -> DataFrame:
     return prepared.select(F.col("match_id").cast("long").alias("match_id"), "_t", _team_key("team_a").alias("_a"),
                            _team_key("team_b").alias("_b"), "s", "h", "k", "g_raw", *more)
 
 
-def _pool_fold(prepared: DataFrame, pool: str) -> DataFrame:
-    start = F.lit(E.INITIAL_RATING)
-    rows = _terms(prepared, pool).withColumn("ra0", start).withColumn("rb0", start)
-    return rows.groupBy(pool).applyInPandas(_fold, FOLD_SCHEMA).select(_RESULT)
-
-
 def _last(rows: DataFrame) -> DataFrame:
     """team, rating after its last match of ``rows``."""
     def side(team: str, post: str, n: int) -> Column:
@@ -116,8 +107,16 @@ def _last(rows: DataFrame) -> DataFrame:
     return both.groupBy("team").agg(F.max_by("rating", "at").alias("rating"))
 
 
-def _sliced_fold(prepared: DataFrame, slice_rows: int) -> DataFrame:
-    matches = materialize(_terms(prepared), "elo-matches")
+def _pooled(team: str) -> Column:
+    """A team's key inside its pool; the pool's length keeps different pairs apart."""
+    return F.concat(F.length("_pool").cast("string"), F.lit("|"), F.col("_pool"), F.lit("|"), F.col(team))
+
+
+def _sliced_fold(prepared: DataFrame, slice_rows: int, pool: str | None) -> DataFrame:
+    terms = _terms(prepared, F.coalesce(F.col(pool).cast("string"), F.lit("")).alias("_pool")) if pool else _terms(prepared)
+    if pool:
+        terms = terms.withColumn("_a", _pooled("_a")).withColumn("_b", _pooled("_b"))
+    matches = materialize(terms, "elo-matches")
     n = matches.count()
     slices = max(1, math.ceil(n / slice_rows))
     # One number per slice; equal times fall into one slice, so the order across slices is strict.
@@ -132,13 +131,22 @@ def _sliced_fold(prepared: DataFrame, slice_rows: int) -> DataFrame:
     done = None
     for i in range(len(bounds) + 1):
         part = matches.where(F.col("_slice") == i).drop("_slice")
-        of = components(part.select(F.col("_a").alias("a"), F.col("_b").alias("b")))
+        if pool:
+            part = part.withColumnRenamed("_pool", "component")
+        else:
+            of = components(part.select(F.col("_a").alias("a"), F.col("_b").alias("b")))
+            part = part.join(of.select(F.col("node").alias("_a"), "component"), "_a")
         start = F.lit(E.INITIAL_RATING)
-        rows = (part.join(of.select(F.col("node").alias("_a"), "component"), "_a")
-                    .join(state.select(F.col("team").alias("_a"), F.col("rating").alias("ra0")), "_a", "left")
-                    .join(state.select(F.col("team").alias("_b"), F.col("rating").alias("rb0")), "_b", "left")
-                    .withColumn("ra0", F.coalesce("ra0", start)).withColumn("rb0", F.coalesce("rb0", start)))
-        folded = materialize(rows.groupBy("component").applyInPandas(_fold, FOLD_SCHEMA), "elo-done")
+        if i:
+            part = (part.join(state.select(F.col("team").alias("_a"), F.col("rating").alias("ra0")), "_a", "left")
+                        .join(state.select(F.col("team").alias("_b"), F.col("rating").alias("rb0")), "_b", "left")
+                        .withColumn("ra0", F.coalesce("ra0", start)).withColumn("rb0", F.coalesce("rb0", start)))
+        else:
+            part = part.withColumn("ra0", start).withColumn("rb0", start)
+        folded = part.groupBy("component").applyInPandas(_fold, FOLD_SCHEMA)
+        if not bounds:
+            return folded.select(_RESULT)
+        folded = materialize(folded, "elo-done")
         done = folded if done is None else done.unionByName(folded)
         if i < len(bounds):
             last = _last(folded)
@@ -149,11 +157,11 @@ def _sliced_fold(prepared: DataFrame, slice_rows: int) -> DataFrame:
 def elo_ratings(prepared: DataFrame, pool: str | None = None, slice_rows: int = SLICE_ROWS) -> DataFrame:
     """Ratings around each match: ``match_id, elo_a, elo_b, post_a, post_b``.
 
-    ``prepared`` comes from :func:`prepare_matches`. With ``pool`` its groups
-    are folded in parallel, without it the history in slices of about
-    ``slice_rows`` matches.
+    ``prepared`` comes from :func:`prepare_matches`. The history is folded in slices
+    of about ``slice_rows`` matches; inside a slice the groups of ``pool``, or else
+    the connected components, in parallel.
     """
-    return _pool_fold(prepared, pool) if pool else _sliced_fold(prepared, slice_rows)
+    return _sliced_fold(prepared, slice_rows, pool)
 
 
 def elo_history(prepared: DataFrame, folded: DataFrame) -> DataFrame:

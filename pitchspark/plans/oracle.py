@@ -557,7 +557,7 @@ union all select 'plain table', count(*), round(sum(row_id)::double, 6) from l w
 
 ORACLE_SQL.update({
     "train_evaluate": _SPLIT + _CHECKS + _AS_GOOD,
-    "grid_search": _SPLIT + _CHECKS + _AS_GOOD + """ union all select 'points', 8.0 union all select 'chosen_is_best', 1.0 union all select 'accuracies_in_range', 1.0
+    "grid_search": _SPLIT + _CHECKS + """ union all select 'as_good_as_majority', 1.0 union all select 'points', 8.0 union all select 'chosen_is_best', 1.0 union all select 'accuracies_in_range', 1.0
 union all select 'fold_' || fold, count(*)::double from split where not is_test group by fold""",
     "batch_scores": _SPLIT + "select match_id, target, true as label_is_largest, true as reloaded_equal from split",
     "importance": """select row_number() over (order by f)::int as position, true as falling, true as sums_to_one, f as one_of_the_features

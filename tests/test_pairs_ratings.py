@@ -101,6 +101,19 @@ def test_pool_fold_equals_serial_and_zero_sum(spark):
     assert abs(sum(final.values()) - E.INITIAL_RATING * len(final)) < 1e-6
 
 
+def test_pools_cut_by_time_equal_the_serial_fold(spark):
+    """A pool with most of the matches is folded slice by slice; equal names in two pools are two teams."""
+    rows, df = _matches(spark, n_matches=80, n_teams=6, pools=3, seed=9)
+    rows = [(*r[:1], 0 if r[0] % 4 else r[1], *r[2:]) for r in rows]
+    plain = [(*r[:3], r[3][2:], r[4][2:], *r[5:]) for r in rows]
+    prepared = rt.prepare_matches(spark.createDataFrame(plain, df.schema))
+    want, _ = _serial([(*r[:3], f"{r[1]}{r[3]}", f"{r[1]}{r[4]}", *r[5:]) for r in plain])
+    for slice_rows in (1000, 15):
+        got = {r.match_id: (r.elo_a, r.elo_b) for r in rt.elo_ratings(prepared, pool="pool", slice_rows=slice_rows).collect()}
+        assert got.keys() == want.keys()
+        assert all(abs(got[k][0] - want[k][0]) < 1e-9 and abs(got[k][1] - want[k][1]) < 1e-9 for k in want)
+
+
 def test_sliced_fold_equals_the_serial_one(spark):
     """Also with a missing team, a team that meets itself, equal dates and slices of a few matches."""
     rows, _ = _matches(spark, n_matches=60, n_teams=8, pools=3, seed=5)
