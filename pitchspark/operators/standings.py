@@ -40,8 +40,28 @@ def wild_cards(ranked: DataFrame, run_keys: list[str], order: list[Column], plac
                k: int = 8, out: str = "wildcard_rank") -> DataFrame:
     """Best ``k`` of the teams finishing ``place`` across groups, per run."""
     third = ranked.where(F.col("position") == place)
-    w = Window.partitionBy(*run_keys).orderBy(*order) if run_keys else Window.orderBy(*order)
-    return third.withColumn(out, F.row_number().over(w)).where(F.col(out) <= k)
+    if run_keys:
+        w = Window.partitionBy(*run_keys).orderBy(*order)
+        return third.withColumn(out, F.row_number().over(w)).where(F.col(out) <= k)
+    # One run: each task keeps its k best, then those are merged; only k rows are numbered.
+    best = third.orderBy(*order).limit(k).agg(F.collect_list(F.struct(*[F.col(f"`{c}`") for c in third.columns])).alias("rows"))
+    return best.select(F.posexplode("rows").alias("place", "row")).select("row.*", (F.col("place") + 1).alias(out))
+
+
+def advancement(ranked: DataFrame, run_keys: list[str], keys: list[str], order: list[Column], direct: int = 2, wild: int = 8, best: int = 4) -> DataFrame:
+    """How often each (keys..., team) finished first to ``best``-th over its runs, and advanced.
+
+    A team advances as one of the ``direct`` first of its group, or as one of the ``wild`` best
+    of the next place across a run's groups (W3 with W4). ``ranked`` has one row per run,
+    group and team with its ``position``; positions are numbered per run by one window that
+    ranks the next place's teams only, and all counts come from one conditional aggregate.
+    """
+    across = Window.partitionBy(*run_keys, F.col("position") == direct + 1).orderBy(*order)
+    ranked = ranked.withColumn("_wild", F.when(F.col("position") == direct + 1, F.row_number().over(across)))
+    through = (F.col("position") <= direct) | F.coalesce(F.col("_wild") <= wild, F.lit(False))
+    return (ranked.groupBy(*keys, "team")
+            .agg(F.count(F.lit(1)).alias("tables"), *[F.count_if(F.col("position") == i).alias(f"times_{i}") for i in range(1, best + 1)],
+                 F.count_if(through).alias("advances")))
 
 
 def stage_rates(log: DataFrame, run: str = "run_id", entity: str = "entity", stage: str = "stage",

@@ -140,6 +140,14 @@ def position_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return st.position_counts(ranked, ["pool"])
 
 
+def advancement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First to fourth places and qualifications over the yearly tables: two of each pool and the eight best thirds of the year."""
+    played = _match_outcomes(spark, sf_dir).where("date is not null").withColumn("year", F.year("date"))
+    by_points = [F.col("points").desc(), F.col("team").asc()]
+    ranked = st.rank_in_group(st.points_table(played, ["year", "pool"]), ["year", "pool"], by_points)
+    return st.advancement(ranked, ["year"], ["pool"], by_points)
+
+
 def stage_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = fixture(spark, sf_dir, "fx_stage_log")
     out = st.stage_rates(log, "run_id", "entity", "stage")
@@ -480,6 +488,7 @@ QUERIES: dict[str, QueryFn] = {
     "wild_cards": wild_cards,
     "standings_by_rating": standings_by_rating,
     "position_counts": position_counts,
+    "advancement": advancement,
     "elo_history_sliced": elo_history_sliced,
     "tournament_experience": tournament_experience,
     "master_pairs": master_pairs,

@@ -220,6 +220,13 @@ select pool, team, count(*) as tables, count_if(position = 1)::bigint as times_1
   count_if(position = 3)::bigint as times_3 from ranked group by pool, team
 """
 
+ADVANCEMENT = POSITION_COUNTS[:POSITION_COUNTS.index("select pool, team, count(*)")].rstrip() + """,
+wild as (select y, pool, team, row_number() over (partition by y order by points desc, team) as w from ranked where position = 3)
+select r.pool, r.team, count(*) as tables, count_if(position = 1)::bigint as times_1, count_if(position = 2)::bigint as times_2,
+  count_if(position = 3)::bigint as times_3, count_if(position = 4)::bigint as times_4, count_if(position <= 2 or coalesce(w <= 8, false))::bigint as advances
+from ranked r left join wild on wild.y = r.y and wild.pool = r.pool and wild.team = r.team group by r.pool, r.team
+"""
+
 STAGE_RATES = with_clause("fx_stage_log") + """
 select entity, stage, count(distinct run_id) as runs,
   round(count(distinct run_id) / (select count(distinct run_id) from fx_stage_log) * 100.0, 6) as pct
@@ -312,6 +319,7 @@ ORACLE_SQL.update({
     "wild_cards": WILD_CARDS,
     "standings_by_rating": STANDINGS_BY_RATING,
     "position_counts": POSITION_COUNTS,
+    "advancement": ADVANCEMENT,
     "elo_history_sliced": ELO_HISTORY,
     "stage_rates": STAGE_RATES,
     "accuracy": ACCURACY,

@@ -56,18 +56,13 @@ def read_keyed(spark: SparkSession, path: str, schema: T.StructType | str, key_c
 @dataclass
 class Reconciled:
     """``data``: source_file, player, value; ``skipped``: source_file, header of files without the wanted columns;
-    ``corrupt``: source_file, line of rows that do not fit their file's header."""
+    ``corrupt``: source_file, line of rows that do not fit their file's header; ``unreadable``: source_file, reason of files
+    that hold bytes but gave no line."""
 
     data: DataFrame
     skipped: DataFrame
     corrupt: DataFrame
-
-
-def _pick(headers: list[str], exact: list[str] | None = None, markers: list[str] | None = None) -> str | None:
-    for cand in exact or []:
-        if cand in headers:
-            return cand
-    return next((h for h in headers if markers and any(m in h.lower() for m in markers)), None)
+    unreadable: DataFrame
 
 
 def read_reconciled(spark: SparkSession, path: str, value: str = "rating") -> Reconciled:
@@ -76,40 +71,49 @@ def read_reconciled(spark: SparkSession, path: str, value: str = "rating") -> Re
     ``value='rating'`` picks ``rating`` then ``averageRating``;
     ``value='minutes'`` picks the first header containing ``minute`` or
     ``mins``. The name column is ``player`` then ``name``. The files are one
-    text scan; a Spark job finds each file's first line, and only the distinct
-    layouts (whole header lines) come to the driver. Every line is parsed by
-    the schema of its own file's layout, so columns never shift between
-    layouts. Fields may be quoted but hold no newline. Values stay text.
+    text scan. Each file's first line is its header; a table of files (header, number of fields,
+    positions of name and value, made by DataFrame expressions) is joined to the lines by file, and
+    every line is parsed once into an array of fields of which these positions are taken, so
+    the plan does not grow with the number of layouts and columns never shift between
+    them. A line with more or fewer fields than its header is corrupt. Fields may be quoted
+    (a doubled quote stands for one) but hold no newline. Values stay text, empty
+    ones are null.
+
+    A file that cannot be read (a broken archive) does not stop the job: the listed files,
+    whose contents are not read for this, are anti-joined with those that gave a line.
     """
-    lines = (spark.read.option("recursiveFileLookup", True).text(path)
+    lines = (spark.read.option("recursiveFileLookup", True).option("ignoreCorruptFiles", True).text(path)
              .select(F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_name").alias("source_file"),
                      F.col("_metadata.file_block_start").alias("_start"), F.regexp_replace("value", "^\\ufeff|\r$", "").alias("line")))
     # The first row of a file's first block: one task reads the block in order.
     heads = lines.where("_start = 0").groupBy("_file", "source_file").agg(F.first("line").alias("header"))
-    layouts = {}
-    for row in heads.select("header").distinct().toLocalIterator():
-        names = [h.strip().strip('"') for h in row.header.split(",")]
-        name = _pick(names, NAME_HEADERS)
-        wanted = _pick(names, RATING_HEADERS) if value == "rating" else _pick(names, None, MINUTE_MARKERS)
-        if name and wanted:
-            layouts[row.header] = (len(names), names.index(name), names.index(wanted))
-    rows = lines.join(heads.select("_file", "header"), "_file").where("line <> header and line <> ''")
-    known = F.col("header").isin(list(layouts))
-    parts = []
-    for header, (n, name, wanted) in layouts.items():
-        schema = ", ".join(f"c{i} string" for i in range(n)) + ", _bad string"
-        record = F.from_csv("line", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})
-        parts.append(rows.where(F.col("header") == header).withColumn("_r", record)
-                     .select("source_file", F.col(f"_r.c{name}").alias("player"), F.col(f"_r.c{wanted}").alias(value), F.col("_r._bad").alias("_bad"), "line"))
-    skipped = heads.where(~known).select("source_file", "header") if layouts else heads.select("source_file", "header")
-    if not parts:
-        empty = spark.createDataFrame([], f"source_file string, player string, {value} string")
-        return Reconciled(empty, skipped, spark.createDataFrame([], "source_file string, line string"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    good = F.col("_bad").isNull()
-    return Reconciled(out.where(good).drop("_bad", "line"), skipped, out.where(~good).select("source_file", "line"))
+    heads = heads.withColumn("_names", F.transform(F.split("header", ","), lambda h: F.trim(F.trim(h), F.lit('"'))))
+
+    def place(exact: list[str], markers: list[str]) -> Column:
+        found = [F.nullif(F.array_position("_names", name), F.lit(0)) for name in exact]
+        if markers:
+            marked = F.transform("_names", lambda h: F.exists(F.array(*[F.lit(m) for m in markers]), lambda m: F.contains(F.lower(h), m)))
+            found.append(F.nullif(F.array_position(marked, True), F.lit(0)))
+        return F.coalesce(*found)
+
+    wanted = place(RATING_HEADERS, []) if value == "rating" else place([], MINUTE_MARKERS)
+    heads = heads.withColumns({"_name": place(NAME_HEADERS, []), "_value": wanted, "_n": F.size("_names")})
+    known = F.col("_name").isNotNull() & F.col("_value").isNotNull()
+    rows = lines.join(heads.where(known).drop("source_file"), "_file").where("line <> header and line <> ''").withColumn("_fields", csv_fields("line"))
+    good = F.size("_fields") == F.col("_n")
+    listed = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).where("length > 0")
+              .select(F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_name").alias("source_file")))
+    unreadable = listed.join(heads.select("_file"), "_file", "left_anti").select("source_file", F.lit("no line could be read").alias("reason"))
+    return Reconciled(rows.where(good).select("source_file", F.get("_fields", F.col("_name").cast("int") - 1).alias("player"), F.get("_fields", F.col("_value").cast("int") - 1).alias(value)),
+                      heads.where(~known).select("source_file", "header"), rows.where(~good).select("source_file", "line"), unreadable)
+
+
+def csv_fields(line: str) -> Column:
+    """The fields of a CSV line as an array: quoted ones without their quotes, empty ones null."""
+    found = F.regexp_extract_all(F.concat(F.lit(","), F.col(line)), F.lit(r',\s*("[^"\\]*(?:(?:\\.|"")[^"\\]*)*"|[^,]*)'), F.lit(1))
+    inside = lambda x: F.regexp_replace(F.substring(F.rtrim(x), F.lit(2), F.length(F.rtrim(x)) - 2), r'\\(.)|"(")', "$1$2")
+    is_quoted = lambda x: F.startswith(x, F.lit('"')) & F.endswith(F.rtrim(x), F.lit('"')) & (F.length(F.rtrim(x)) > 1)
+    return F.transform(found, lambda x: F.nullif(F.when(is_quoted(x), inside(x)).otherwise(x), F.lit("")))
 
 
 def split_quarantine(df: DataFrame, ok: Column) -> tuple[DataFrame, DataFrame]:

@@ -45,6 +45,37 @@ def test_read_reconciled_and_quarantine(spark):
     assert [(r.player, r.minutes) for r in mins.data.collect()] == [("m", "90")]
 
 
+def test_a_thousand_layouts_are_one_scan(spark):
+    d = _scratch(spark)
+    for i in range(1000):  # each file has columns of its own, name and value at different places
+        columns = [f"c{i}_{j}" for j in range(i % 7)]
+        columns.insert(i % (len(columns) + 1), "name")
+        columns.insert(i % (len(columns) + 1), "averageRating")
+        values = {"name": f'"p, ""{i}"""', "averageRating": str(i)}
+        with open(os.path.join(d, f"f{i}.csv"), "w") as fh:
+            fh.write(",".join(columns) + "\n" + ",".join(values.get(c, "x") for c in columns) + "\n")
+    rec = files.read_reconciled(spark, d, "rating")
+    plan = rec.data._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") <= 2 and "Union" not in plan  # lines and heads, whatever the layouts
+    assert sorted((r.player, int(r.rating)) for r in rec.data.collect()) == sorted((f'p, "{i}"', i) for i in range(1000))
+    assert rec.skipped.isEmpty() and rec.corrupt.isEmpty() and rec.unreadable.isEmpty()
+
+
+def test_broken_archive_does_not_stop_the_job(spark):
+    import gzip
+    d = _scratch(spark)
+    for n in ("a", "b"):
+        with gzip.open(os.path.join(d, f"{n}.csv.gz"), "wt") as fh:
+            fh.write(f"player,rating\n{n},1.5\n")
+    with open(os.path.join(d, "broken.csv.gz"), "wb") as fh:
+        fh.write(b"\x1f\x8b\x08\x00 this is no archive")
+    with open(os.path.join(d, "empty.csv"), "w"):
+        pass
+    rec = files.read_reconciled(spark, d, "rating")
+    assert sorted((r.player, r.rating) for r in rec.data.collect()) == [("a", "1.5"), ("b", "1.5")]
+    assert [(r.source_file, r.reason) for r in rec.unreadable.collect()] == [("broken.csv.gz", "no line could be read")]
+
+
 def test_partitioned_sink_round_trip(spark):
     d = _scratch(spark)
     df = spark.createDataFrame([("A", 1), ("B", 2), ("A", 3)], "country string, v int")
