@@ -128,7 +128,7 @@ class ChunkTokenizer:
 
     JOINED = 200
 
-    def __init__(self, path: str, limit: int = 24 << 20):
+    def __init__(self, path: str, limit: int = 32 << 20):
         import os
 
         from tokenizers import Tokenizer
@@ -139,11 +139,7 @@ class ChunkTokenizer:
         self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.begins = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
         self.begins[[i for t, i in self.tokenizer.get_vocab().items() if t.startswith("\u0120")]] = True
-        self.limit = limit
-        self.forget()
-
-    def forget(self) -> None:
-        self.known = Pieces(self.kind, self.limit)
+        self.known = Pieces(self.kind, limit)  # kept between a worker's tasks
 
     def _alone(self, texts: list[bytes]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)
@@ -253,18 +249,15 @@ def encode_ids(df: DataFrame, tokenizer: str, text: str = "text", end_id: int =
 
         t = _TOKENIZERS.get(tokenizer) or _TOKENIZERS.setdefault(tokenizer, ChunkTokenizer(tokenizer))
         end = np.array([end_id], dtype=t.kind)
-        try:
-            for batch in batches:
-                for a in range(0, batch.num_rows, SLICE_ROWS):
-                    part = batch.slice(a, SLICE_ROWS)
-                    done = 0
-                    for ids, ends in t.encode(texts_of(part.column(len(keep))), end):
-                        n = len(ends)
-                        column = _binary(ids.view(np.uint8), t.kind.itemsize * np.concatenate(([0], ends)))
-                        yield pa.RecordBatch.from_arrays([*(c.slice(done, n) for c in part.columns[:-1]), column], [*keep, out])
-                        done += n
-        finally:
-            t.forget()  # the worker lives on, the pieces need not
+        for batch in batches:
+            for a in range(0, batch.num_rows, SLICE_ROWS):
+                part = batch.slice(a, SLICE_ROWS)
+                done = 0
+                for ids, ends in t.encode(texts_of(part.column(len(keep))), end):
+                    n = len(ends)
+                    column = _binary(ids.view(np.uint8), t.kind.itemsize * np.concatenate(([0], ends)))
+                    yield pa.RecordBatch.from_arrays([*(c.slice(done, n) for c in part.columns[:-1]), column], [*keep, out])
+                    done += n
 
     return rows.mapInArrow(run, schema)
 
