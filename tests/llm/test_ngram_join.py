@@ -8,13 +8,13 @@ from pitchspark.llm import links, ngram_join
 from .conftest import words
 
 
-def shingle_set(t):
+def shingle_set(t, k=4):
     w = (t or "").encode().lower().split()
-    return frozenset(zip(w, w[1:], w[2:], w[3:])) if len(w) >= 4 else frozenset([tuple(w)] if w else [])  # noqa: B905
+    return frozenset(zip(*(w[i:] for i in range(k)))) if len(w) >= k else frozenset([tuple(w)] if w else [])  # noqa: B905
 
 
-def brute(rows, percent=85):
-    sets = [shingle_set(t) for _, t in rows]
+def brute(rows, percent=85, k=4):
+    sets = [shingle_set(t, k) for _, t in rows]
     up = list(range(len(rows)))
 
     def find(x):

@@ -19,7 +19,7 @@ def test_stages_by_brute_force(spark):
     model = quality_model.fit_quality(docs, spark.read.parquet(f"{SMALL}/labels.parquet"))
     score = dict(zip(rows, model.score(quality_model.statistics([r.text.encode() for r in rows.values()])), strict=True))
     left = {i for i in rows if score[i] >= 0.3}
-    left = {d for d, _, c in test_ngram_join.brute([(i, rows[i].text) for i in sorted(left)]) if d == c}
+    left = {d for d, _, c in test_ngram_join.brute([(i, rows[i].text) for i in sorted(left)], percent=80, k=5) if d == c}
     items = [(r.item_id, r.text.encode()) for r in spark.read.parquet(f"{SMALL}/benchmark.parquet").collect()]
     leaks = dict(zip(sorted(left), decontaminate.ItemIndex(items).leaks([rows[i].text.encode() for i in sorted(left)]), strict=True))
     left = {i for i in left if not leaks[i]}
@@ -65,7 +65,7 @@ def test_stages_keep_columns_and_odd_rows(spark, odd_docs, no_docs):
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_queries_equal_their_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "labels", "benchmark"):
+    for t in ("documents", "pages", "labels", "benchmark", "embeddings"):
         con.execute(f"create view {t} as select * from read_parquet('{os.path.join(SMALL, t)}.parquet')")
     rel = con.execute(entry.oracle_sql()[name])
     columns = [c[0] for c in rel.description]
