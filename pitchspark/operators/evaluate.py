@@ -13,6 +13,8 @@ TEST_SHARE = 0.2
 SPLIT_SEED = 42
 N_FOLDS = 5
 ERROR_CHARS = 60
+#: A board of at most so many narrow rows is ordered by one task, a longer one by parts.
+BOARD_ROWS = 100_000
 
 
 def stratified_split(df: DataFrame, label: str, key: str, test_share: float = TEST_SHARE,
@@ -117,15 +119,18 @@ def run_leaderboard(registry: DataFrame, name: str = "run_name", acc: str = "acc
     """Runs by accuracy descending, failed runs last (T4).
 
     A run without accuracy scores -1, is shown as ``N/A`` and carries its
-    error cut to 60 characters.
+    error cut to 60 characters. Up to ``BOARD_ROWS`` runs are counted by one
+    window; a longer registry gets its positions from ``numbering.running_total``.
     """
     failed = F.col(acc).isNull()
     score = F.when(failed, F.lit(-1.0)).otherwise(F.col(acc))
     shown = F.when(failed, F.lit("N/A")).otherwise(F.format_number(F.col(acc) * 100, 2))
     status = F.when(failed, F.substring(F.coalesce(F.col(error), F.lit("")), 1, ERROR_CHARS)).otherwise(F.lit("ok"))
     rows = registry.select(name, score.alias("score"), shown.alias("accuracy_pct"), status.alias("status"))
-    return (running_total(rows, [F.col("score").desc(), F.col(name).asc()], "position")
-            .withColumn("position", F.col("position").cast("int")))
+    order = [F.col("score").desc(), F.col(name).asc()]
+    if registry.select(name).limit(BOARD_ROWS + 1).count() <= BOARD_ROWS:
+        return rows.withColumn("position", F.row_number().over(Window.orderBy(*order)))
+    return running_total(rows, order, "position").withColumn("position", F.col("position").cast("int"))
 
 
 def observed_rows(df: DataFrame, name: str):
@@ -139,3 +144,28 @@ def observed_rows(df: DataFrame, name: str):
 
     obs = Observation(name)
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
+
+
+def drop_counted(df: DataFrame, name: str, reasons: dict[str, Column]):
+    """Drop rows for the first of ``reasons`` that holds and count them in the job that does so.
+
+    Returns ``(kept rows, observation)``. A row counts once, for its first
+    reason; a condition that is null does not hold. Several stages of one plan
+    can each have an observation; ``flow_report`` reads them after the action.
+    A task that runs again after a lost executor may count its rows again, so the
+    counts are a report and nothing is decided by them.
+    """
+    from pyspark.sql import Observation
+
+    holds = [F.coalesce(c, F.lit(False)) for c in reasons.values()]
+    reason = F.coalesce(*[F.when(c, F.lit(r)) for r, c in zip(reasons, holds, strict=True)], F.lit("kept"))
+    obs = Observation(name)
+    seen = df.withColumn("_reason", reason)
+    counts = [F.count(F.when(F.col("_reason") == r, 1)).alias(r) for r in [*reasons, "kept"]]
+    return seen.observe(obs, F.count(F.lit(1)).alias("read"), *counts).where("_reason = 'kept'").drop("_reason"), obs
+
+
+def flow_report(spark, observations: dict) -> DataFrame:
+    """stage, outcome, rows: one row per count of ``{stage: observation}``, in that order; call it after the action."""
+    rows = [(stage, outcome, int(n)) for stage, obs in observations.items() for outcome, n in obs.get.items()]
+    return spark.createDataFrame(rows, "stage string, outcome string, rows long")

@@ -100,6 +100,11 @@ def group_cohesion(roster: DataFrame, entity: str = "country", group: str = "clu
                     .select(entity, F.coalesce("chemistry_score", F.lit(0.0)).alias("chemistry_score")))
 
 
+def listed_league(source: Column) -> Column:
+    """Whether a file belongs to a league of the weight table (S4, P5, P9): for ``read_reconciled(only=...)``."""
+    return ~F.contains(source, F.lit(EXCLUDED_SOURCE_MARKER)) & league_key(source).isin([k for k, _ in LEAGUE_WEIGHTS])
+
+
 def league_universe(ratings: DataFrame, weights: DataFrame, file_col: str = "source_file",
                     name_col: str = "player", rating_col: str = "rating") -> DataFrame:
     """League ratings restricted to listed leagues, weighted.

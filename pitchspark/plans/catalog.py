@@ -458,6 +458,35 @@ def file_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("item", "n", _r("total"))
 
 
+def league_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """League ratings written a folder per source and read back from the listed leagues' files only."""
+    from pitchspark.sources import files
+    base = shared_path(spark, "leagues")
+    ratings = fixture(spark, sf_dir, "fx_league_ratings")
+    files.write_partitioned(ratings.select("player", F.coalesce(F.col("rating").cast("string"), F.lit("")).alias("rating"), F.col("source_file").alias("file")),
+                            base, "file", "csv")
+    found = files.read_reconciled(spark, base, "rating", only=feat.listed_league, folder=True)
+    uni = feat.league_universe(found.data.withColumn("rating", F.col("rating").try_cast("double")), feat.league_weights_df(spark))
+    # Names first: a league's distinct names are then a count, without rows expanded for a distinct aggregate.
+    names = uni.groupBy("league_key", "top5", "match_name").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("weighted_rating").cast("decimal(24,6)")).alias("total"))
+    out = names.groupBy("league_key", "top5").agg(F.sum("n").alias("n"), F.count("match_name").alias("players"), F.sum("total").cast("double").alias("total"))
+    return out.select("league_key", "top5", "n", "players", F.round("total", 3).alias("total"))
+
+
+def match_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows read, kept and dropped by reason at each stage from matches to training rows, counted by the one job that writes them."""
+    team = fixture(spark, sf_dir, "fx_team_partial").select("team").distinct()
+    unscored = F.col("home_score").isNull() | F.col("away_score").isNull()
+    played, results = ev.drop_counted(fixture(spark, sf_dir, "fx_matches"), "results", {"no score": unscored, "no date": F.col("date").isNull()})
+    sided = played
+    for side in ("team_a", "team_b"):
+        known = team.select(F.col("team").alias(f"known_{side}"))
+        sided = sided.join(known, F.col(side) == F.col(f"known_{side}"), "left")
+    training, sides = ev.drop_counted(sided, "sides", {f"{side} without features": F.col(f"known_{side}").isNull() for side in ("team_a", "team_b")})
+    training.select("match_id", "team_a", "team_b").write.parquet(shared_path(spark, "training-rows"))
+    return ev.flow_report(spark, {"results": results, "sides": sides})
+
+
 def unmatched_teams(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Teams of the match history without a feature row (J8): the rows the
     inner joins of the training matrix drop, reported instead of lost."""
@@ -498,6 +527,8 @@ QUERIES: dict[str, QueryFn] = {
     "importance": importance,
     "inspect_run": inspect_run,
     "file_round_trip": file_round_trip,
+    "league_files": league_files,
+    "match_flow": match_flow,
     "stage_rates": stage_rates,
     "accuracy": accuracy,
     "class_report": class_report,

@@ -575,3 +575,25 @@ union all select 'accuracy_as_stored', 1.0 union all select 'test_rows', count(*
 union all select 'confusion_rows', count(*)::double from split where is_test union all select 'training_rows', count(*)::double from split""",
     "file_round_trip": FILE_ROUND_TRIP,
 })
+
+ORACLE_SQL.update({
+    "league_files": with_clause("fx_league_ratings") + f""",
+uni as (
+  select {_key('player')} as match_name, k.league_key, w.top5, rating * cast(w.league_weight as double) as weighted_rating
+  from (select *, replace(replace(replace(replace(source_file, '.csv', ''), '_25_26', ''), '_2026', ''), '_2025', '') as league_key
+        from fx_league_ratings where not contains(source_file, 'tm_')) k
+  join {LEAGUE_VALUES} on w.league_key = k.league_key
+  where rating is not null)
+select league_key, top5, count(*) as n, count(distinct match_name) as players, round(sum(weighted_rating::decimal(24,6))::double, 3) as total
+from uni group by league_key, top5""",
+    "match_flow": with_clause("fx_matches", "fx_team_partial") + """,
+t as (select distinct team from fx_team_partial),
+r as (select *, case when home_score is null or away_score is null then 'no score' when date is null then 'no date' else 'kept' end as outcome from fx_matches),
+s as (select case when team_a is null or team_a not in (select team from t where team is not null) then 'team_a without features'
+                  when team_b is null or team_b not in (select team from t where team is not null) then 'team_b without features' else 'kept' end as outcome
+      from r where outcome = 'kept')
+select 'results' as stage, o.outcome, (select count(*) from r where o.outcome in ('read', r.outcome)) as rows
+from (select unnest(['read', 'no score', 'no date', 'kept']) as outcome) o
+union all select 'sides', o.outcome, (select count(*) from s where o.outcome in ('read', s.outcome))
+from (select unnest(['read', 'team_a without features', 'team_b without features', 'kept']) as outcome) o""",
+})

@@ -4,7 +4,7 @@
   entity label comes from the file name (``_metadata.file_name``).
 * ``read_reconciled``: files whose headers differ; per file the first
   matching name column and value column are chosen, files lacking either
-  are skipped and reported.
+  are skipped and reported; unwanted files are dropped at listing (S4).
 * ``split_quarantine``: rows that fail a parse check go to a quarantine
   DataFrame instead of vanishing or failing the job.
 * ``write_partitioned`` / ``write_table``: per-entity and whole-table sinks.
@@ -12,6 +12,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -47,10 +48,17 @@ def read_keyed(spark: SparkSession, path: str, schema: T.StructType | str, key_c
     """
     reader = spark.read.format(fmt).schema(schema).option("recursiveFileLookup", folder)
     df = (reader.option("header", True) if fmt == "csv" else reader).load(path)
-    name = F.col("_metadata.file_name")
-    if folder:
-        name = F.regexp_extract(F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))), r"([^/=]+)/[^/]+$", 1)
-    return df.withColumn(key_col, label_from_stem(name, suffix))
+    return df.withColumn(key_col, label_from_stem(file_label(folder), suffix))
+
+
+def file_label(folder: bool = False) -> Column:
+    """The name of a row's file or, as ``write_partitioned`` lays tables out, the key in the name of its folder.
+
+    It depends on the file alone, so a filter on it drops files when they are listed.
+    """
+    if not folder:
+        return F.col("_metadata.file_name")
+    return F.regexp_extract(F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))), r"([^/=]+)/[^/]+$", 1)
 
 
 @dataclass
@@ -65,8 +73,13 @@ class Reconciled:
     unreadable: DataFrame
 
 
-def read_reconciled(spark: SparkSession, path: str, value: str = "rating") -> Reconciled:
-    """Header-reconciling scan of all CSV files below ``path``.
+def read_reconciled(spark: SparkSession, path: str, value: str = "rating",
+                    only: Callable[[Column], Column] | None = None, folder: bool = False) -> Reconciled:
+    """Header-reconciling scan of all CSV files below ``path``.
+
+    ``source_file`` is ``file_label(folder)``. ``only``, a condition on that label,
+    chooses the files: it is a partition filter of every scan, so other files are
+    neither opened nor reported as skipped or unreadable.
 
     ``value='rating'`` picks ``rating`` then ``averageRating``;
     ``value='minutes'`` picks the first header containing ``minute`` or
@@ -82,8 +95,10 @@ def read_reconciled(spark: SparkSession, path: str, value: str = "rating") -> Re
     A file that cannot be read (a broken archive) does not stop the job: the listed files,
     whose contents are not read for this, are anti-joined with those that gave a line.
     """
-    lines = (spark.read.option("recursiveFileLookup", True).option("ignoreCorruptFiles", True).text(path)
-             .select(F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_name").alias("source_file"),
+    label = file_label(folder)
+    wanted_file = only(label) if only else F.lit(True)
+    lines = (spark.read.option("recursiveFileLookup", True).option("ignoreCorruptFiles", True).text(path).where(wanted_file)
+             .select(F.col("_metadata.file_path").alias("_file"), label.alias("source_file"),
                      F.col("_metadata.file_block_start").alias("_start"), F.regexp_replace("value", "^\\ufeff|\r$", "").alias("line")))
     # The first row of a file's first block: one task reads the block in order.
     heads = lines.where("_start = 0").groupBy("_file", "source_file").agg(F.first("line").alias("header"))
@@ -99,21 +114,29 @@ def read_reconciled(spark: SparkSession, path: str, value: str = "rating") -> Re
     wanted = place(RATING_HEADERS, []) if value == "rating" else place([], MINUTE_MARKERS)
     heads = heads.withColumns({"_name": place(NAME_HEADERS, []), "_value": wanted, "_n": F.size("_names")})
     known = F.col("_name").isNotNull() & F.col("_value").isNotNull()
-    rows = lines.join(heads.where(known).drop("source_file"), "_file").where("line <> header and line <> ''").withColumn("_fields", csv_fields("line"))
+    rows = lines.join(heads.where(known).drop("source_file"), "_file").where("line <> header and line <> ''")
+    # Through a generator, so a line is parsed once whatever later steps filter or compute on its fields.
+    rows = rows.select("source_file", "line", "_name", "_value", "_n", F.explode_outer(F.array(csv_fields("line"))).alias("_fields"))
     good = F.size("_fields") == F.col("_n")
-    listed = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).where("length > 0")
-              .select(F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_name").alias("source_file")))
+    listed = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).where("length > 0").where(wanted_file)
+              .select(F.col("_metadata.file_path").alias("_file"), label.alias("source_file")))
     unreadable = listed.join(heads.select("_file"), "_file", "left_anti").select("source_file", F.lit("no line could be read").alias("reason"))
     return Reconciled(rows.where(good).select("source_file", F.get("_fields", F.col("_name").cast("int") - 1).alias("player"), F.get("_fields", F.col("_value").cast("int") - 1).alias(value)),
                       heads.where(~known).select("source_file", "header"), rows.where(~good).select("source_file", "line"), unreadable)
 
 
 def csv_fields(line: str) -> Column:
-    """The fields of a CSV line as an array: quoted ones without their quotes, empty ones null."""
+    """The fields of a CSV line as an array: quoted ones without their quotes, empty ones null.
+
+    White space before a field is no part of it. Lines without a quotation mark are split,
+    only the others go through the pattern for quoted fields.
+    """
+    plain = F.split(F.regexp_replace(line, r"^\s+", ""), r",\s*", -1)
     found = F.regexp_extract_all(F.concat(F.lit(","), F.col(line)), F.lit(r',\s*("[^"\\]*(?:(?:\\.|"")[^"\\]*)*"|[^,]*)'), F.lit(1))
     inside = lambda x: F.regexp_replace(F.substring(F.rtrim(x), F.lit(2), F.length(F.rtrim(x)) - 2), r'\\(.)|"(")', "$1$2")
     is_quoted = lambda x: F.startswith(x, F.lit('"')) & F.endswith(F.rtrim(x), F.lit('"')) & (F.length(F.rtrim(x)) > 1)
-    return F.transform(found, lambda x: F.nullif(F.when(is_quoted(x), inside(x)).otherwise(x), F.lit("")))
+    quoted = F.transform(found, lambda x: F.nullif(F.when(is_quoted(x), inside(x)).otherwise(x), F.lit("")))
+    return F.when(F.contains(F.col(line), F.lit('"')), quoted).otherwise(F.transform(plain, lambda x: F.nullif(x, F.lit(""))))
 
 
 def split_quarantine(df: DataFrame, ok: Column) -> tuple[DataFrame, DataFrame]:

@@ -39,6 +39,25 @@ def test_run_leaderboard_failures_last(spark):
     assert rows[2].accuracy_pct == "N/A" and len(rows[2].status) == 60
 
 
+def test_a_long_board_is_placed_by_parts(spark, monkeypatch):
+    reg = spark.createDataFrame([(f"r{i:03}", None if i % 9 == 0 else (i % 40) / 40, "e") for i in range(300)], "run_name string, accuracy double, error string")
+    board = lambda: [tuple(r) for r in ev.run_leaderboard(reg).orderBy("position").collect()]
+    short = board()
+    monkeypatch.setattr(ev, "BOARD_ROWS", 10)
+    assert board() == short and [r[-1] for r in short] == list(range(1, 301))
+    assert ev.run_leaderboard(reg.limit(0)).isEmpty()
+
+
+def test_dropped_rows_are_counted_by_the_job(spark):
+    df = spark.createDataFrame([(1, "x"), (None, "x"), (None, None), (3, None), (5, "y")], "a int, b string")
+    kept, first = ev.drop_counted(df, "first", {"no a": F.col("a").isNull(), "no b": F.col("b").isNull(), "odd": F.col("a") > 100})
+    kept, second = ev.drop_counted(kept, "second", {"y": F.col("b") == "y"})
+    assert [tuple(r) for r in kept.collect()] == [(1, "x")]
+    got = [tuple(r) for r in ev.flow_report(spark, {"first": first, "second": second}).collect()]
+    assert sorted(got) == sorted([("first", "read", 5), ("first", "no a", 2), ("first", "no b", 1), ("first", "odd", 0), ("first", "kept", 2),
+                                  ("second", "read", 2), ("second", "y", 1), ("second", "kept", 1)])
+
+
 def test_classes_come_from_the_data(spark):
     df = spark.createDataFrame([(0, 0), (3, 0), (None, 1), (1, None), (1, 5)], "label int, prediction int")
     a = ev.accuracy(df).first()

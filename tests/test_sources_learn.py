@@ -61,6 +61,27 @@ def test_a_thousand_layouts_are_one_scan(spark):
     assert rec.skipped.isEmpty() and rec.corrupt.isEmpty() and rec.unreadable.isEmpty()
 
 
+def test_unlisted_files_are_dropped_at_listing(spark):
+    from pitchspark.operators import features as feat
+    d = _scratch(spark)
+    for n in ("england_premier_league_25_26", "usa_mls_2025", "tm_usa_mls_2025", "unlisted_league"):
+        with open(os.path.join(d, f"{n}.csv"), "w") as fh:
+            fh.write("player,goals\nx,1\n" if n == "usa_mls_2025" else f"player,rating\n{n[:3]},7.5\n")
+    rec = files.read_reconciled(spark, d, "rating", only=feat.listed_league)
+    assert [(r.source_file, r.player) for r in rec.data.collect()] == [("england_premier_league_25_26.csv", "eng")]
+    assert [r.source_file for r in rec.skipped.collect()] == ["usa_mls_2025.csv"] and rec.unreadable.isEmpty()
+    lines = spark.read.text(d).where(feat.listed_league(files.file_label())).select("value")
+    lines.collect()
+    scan = next(x for x in _leaves(lines) if "Scan text" in x.nodeName())
+    assert scan.metrics().apply("numFiles").value() == 2
+
+
+def _leaves(df):
+    plan = df._jdf.queryExecution().executedPlan()
+    leaves = plan.collectLeaves()
+    return [leaves.apply(i) for i in range(leaves.size())]
+
+
 def test_broken_archive_does_not_stop_the_job(spark):
     import gzip
     d = _scratch(spark)
