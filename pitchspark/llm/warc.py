@@ -20,7 +20,8 @@ archive are not part of any row; ``orphans`` returns them.
 
 Null payloads are empty, null addresses leave out ``WARC-Target-URI``; a
 repeated id is one capture per row (equal rows with the smallest id are all
-responses); empty tables give empty archives and results.
+responses), and equal records of one id are one entry in each of its captures'
+metadata, so repeated rows never multiply; empty tables give empty archives and results.
 """
 
 from __future__ import annotations
@@ -178,7 +179,7 @@ def assemble(records: DataFrame) -> DataFrame:
     is_request, is_metadata = F.col("type") == "request", F.col("type") == "metadata"
     parts = joined.groupBy("capture").agg(
         F.min(F.when(is_request, F.struct("record_id", "http"))).alias("request"),
-        F.sort_array(F.collect_list(F.when(is_metadata, F.struct("record_id", F.map_entries("fields").alias("fields"))))).alias("metadata"))
+        F.sort_array(F.collect_set(F.when(is_metadata, F.struct("record_id", F.map_entries("fields").alias("fields"))))).alias("metadata"))
     captures = records.where(F.col("type").isin(*_CAPTURES))
     # The facts of responses that revisits refer to; only ids and numbers travel.
     wanted = captures.where(F.col("refers_to").isNotNull()).select(F.col("refers_to").alias("to_id")).distinct()

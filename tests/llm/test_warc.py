@@ -57,3 +57,10 @@ def test_one_payload_on_many_pages_and_no_pages(spark, tmp_path):
     assert len(rows) == 500 and {(r.record_type, r.refers_to) for r in rows} == {("response", None), ("revisit", 10)}
     pages.limit(0).write.parquet(str(tmp_path / "none" / "pages.parquet"))
     assert op5_warc(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_repeated_rows_do_not_multiply_metadata(spark):
+    pages = spark.range(400).select(F.lit(7).cast("long").alias("page_id"), F.lit("u").alias("url"), F.lit("<p>one page</p>").alias("html"))
+    records = written(warc.with_facts(warc.read_records(spark, archive(spark, pages))), "t-repeated")
+    got = warc.assemble(records).select("type", F.size("metadata").alias("n"), F.col("request.http").alias("http")).collect()
+    assert len(got) == 400 and {(r.type, r.n) for r in got} == {("response", 1)} and all(r.http for r in got)
