@@ -43,10 +43,10 @@ EXCLUDED_SOURCE_MARKER = "tm_"
 
 
 def league_weights_df(spark) -> DataFrame:
-    """The 17-row league weight dimension (P9), safe to broadcast."""
-    return spark.createDataFrame(
+    """The league weight dimension (P9): always these 17 rows, so it is broadcast and ratings are not shuffled by their few leagues."""
+    return F.broadcast(spark.createDataFrame(
         [(k, w, k in TOP5_LEAGUES) for k, w in LEAGUE_WEIGHTS],
-        "league_key string, league_weight double, top5 boolean")
+        "league_key string, league_weight double, top5 boolean"))
 
 
 def clean_roster(roster: DataFrame, value_col: str = "market_value",
