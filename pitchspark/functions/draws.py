@@ -1,4 +1,4 @@
-"""Retry-stable pseudo-random draws (R1, R2) and the split order.
+"""Retry-stable numbers for the split order.
 
 ``rand()`` changes when a lost task is recomputed; a hash of
 ``seed|run|key`` does not, and DuckDB computes the same number:
@@ -22,9 +22,3 @@ def uniform(*parts) -> Column:
     s = F.concat_ws("|", *[_col(p).cast("string") if not isinstance(p, (int, float)) else F.lit(str(p))
                            for p in parts])
     return F.conv(F.substring(F.md5(s), 1, 8), 16, 10).cast("bigint") / F.lit(TWO_POW_32)
-
-
-def categorical(u: Column, p0: str | Column, p1: str | Column) -> Column:
-    """Outcome in {0,1,2} with probabilities (p0, p1, 1-p0-p1)."""
-    p0c, p1c = _col(p0), _col(p1)
-    return F.when(u < p0c, F.lit(0)).when(u < p0c + p1c, F.lit(1)).otherwise(F.lit(2))

@@ -10,18 +10,21 @@ not in its checkout):
   (computed exactly in integers), 0 when either string is empty.
 
 The longest common subsequence uses the bit-parallel recurrence
-``V' = (V + (V & M[c])) | (V & ~M[c])`` over a 64-bit word (Hyyro 2004;
-Allison and Dix 1986): the shorter string (at most 62 characters) gives the
-bit positions, the other one is scanned once. Longer pairs fall back to
-the row-by-row dynamic program, also as a higher-order function.
+``V' = (V + (V & M[c])) | (V & ~M[c])`` (Hyyro 2004; Allison and Dix 1986) on
+many pairs at once: each pair is a lane of one 64-bit word, or of several where
+its shorter string is longer, and a step takes the next character of every
+lane's other string. The pairs of an Arrow batch are ordered by length and cut
+into slabs, so a lane is hardly wider than its pair needs.
 """
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MAX_WORD_BITS = 62
+#: Characters of patterns compared at once; a single longer pattern is a slab of its own.
+SLAB_CHARS = 1 << 18
 
 
 def _col(c: str | Column) -> Column:
@@ -36,40 +39,64 @@ def token_sort(col: str | Column) -> Column:
     return F.array_join(F.array_sort(toks), " ")
 
 
-def _sql(c: str | Column) -> str:
-    if isinstance(c, str):
-        return f"`{c}`"
-    raise TypeError("pass column names to the SQL-built expressions")
-
-
-def lcs_bitparallel(pattern: str, text: str) -> Column:
-    """LCS length of two string columns; ``pattern`` must have at most 62 chars.
-
-    The char -> bit-mask map of the pattern is built once per row, inside
-    the initial state of the fold, so no optimizer rewrite can move it into
-    the per-character lambda.
-    """
-    p, t = _sql(pattern), _sql(text)
-    masks = f"""map_from_entries(transform(array_distinct(regexp_extract_all({p}, '(?s)(.)', 1)),
-        ch -> struct(ch, aggregate(sequence(1, length({p})), 0L,
-              (acc, j) -> acc | if(substr({p}, j, 1) = ch, shiftleft(1L, j - 1), 0L)))))"""
-    full = f"(shiftleft(1L, length({p})) - 1)"
-    step = (f"((st.v + (st.v & coalesce(try_element_at(st.m, c), 0L))) | "
-            f"(st.v & ~coalesce(try_element_at(st.m, c), 0L))) & {full}")
-    return F.expr(f"""if(length({p}) = 0, 0, aggregate(regexp_extract_all({t}, '(?s)(.)', 1),
-        named_struct('m', {masks}, 'v', {full}),
-        (st, c) -> named_struct('m', st.m, 'v', {step}),
-        st -> length({p}) - bit_count(st.v)))""")
-
-
-def lcs_dp(a: str, b: str) -> Column:
-    """LCS length by the classic dynamic program, one row per char of ``a``."""
-    x, y = _sql(a), _sql(b)
-    return F.expr(f"""if(length({x}) = 0 or length({y}) = 0, 0, element_at(aggregate(regexp_extract_all({x}, '(?s)(.)', 1),
-        array_repeat(0, length({y}) + 1),
-        (prev, ca) -> aggregate(sequence(1, length({y})), array(0),
-            (cur, j) -> concat(cur, array(if(ca = substr({y}, j, 1), prev[j - 1] + 1,
-                                             greatest(prev[j], cur[j - 1])))))), length({y}) + 1))""")
+def _padded(strings: list[str], lengths: np.ndarray, width: int, pad: int) -> np.ndarray:
+    """The code points of the strings, one row each, filled up with ``pad``."""
+    out = np.full((len(strings), width), pad, np.uint32)
+    out[np.arange(width) < lengths[:, None]] = np.frombuffer("".join(strings).encode("utf-32-le"), np.uint32)
+    return out
+
+
+def _lanes(patterns: list[str], texts: list[str], m: np.ndarray, n: np.ndarray) -> np.ndarray:
+    words = max(1, -(-int(m.max()) // 64))
+    # Neither filler is a code point, so they match nothing; a pattern's filled-up bits stay set.
+    pattern = _padded(patterns, m, 64 * words, 0xFFFFFFFE)
+    text = np.ascontiguousarray(_padded(texts, n, int(n.max()), 0xFFFFFFFF).T)
+    v = np.full((len(m), words), np.uint64(0xFFFFFFFFFFFFFFFF))
+    for c in text:
+        match = np.packbits(pattern == c[:, None], axis=1, bitorder="little").view("<u8")
+        u = v & match
+        rest = v & ~match
+        carry = np.zeros(len(m), np.uint64)
+        for w in range(words):
+            total = v[:, w] + u[:, w]
+            over = total < u[:, w]
+            total += carry
+            carry = (over | (total < carry)).astype(np.uint64)
+            v[:, w] = total | rest[:, w]
+    return 64 * words - np.bitwise_count(v).sum(axis=1, dtype=np.int64)
+
+
+def lcs_lengths(a: list[str], b: list[str]) -> np.ndarray:
+    """LCS lengths of many pairs of strings, any lengths."""
+    pairs = [(x, y) if len(x) <= len(y) else (y, x) for x, y in zip(a, b, strict=True)]
+    m = np.fromiter((len(x) for x, _ in pairs), np.int64, len(pairs))
+    n = np.fromiter((len(y) for _, y in pairs), np.int64, len(pairs))
+    out = np.zeros(len(pairs), np.int64)
+    order = np.lexsort((n, m))
+    order = order[m[order] > 0]
+    width = 64 * -(-m[order] // 64)
+    begin = 0
+    while begin < len(order):
+        # Widths rise along the order, so the widest lane of a slab is its last one.
+        end = begin + 1
+        while end < len(order) and (end - begin + 1) * width[end] <= SLAB_CHARS:
+            end += 1
+        of = order[begin:end]
+        out[of] = _lanes([pairs[i][0] for i in of], [pairs[i][1] for i in of], m[of], n[of])
+        begin = end
+    return out
+
+
+def lcs(a: str | Column, b: str | Column) -> Column:
+    """LCS length of two string columns, by Arrow batches; 0 where one is null or empty."""
+
+    @F.arrow_udf("int")
+    def run(x, y):
+        import pyarrow as pa
+
+        return pa.array(lcs_lengths([s or "" for s in x.to_pylist()], [s or "" for s in y.to_pylist()]), pa.int32())
+
+    return run(_col(a), _col(b))
 
 
 def half_even_score(lcs: Column, total_len: Column) -> Column:

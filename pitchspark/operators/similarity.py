@@ -22,7 +22,8 @@ Plan (lossless for the threshold, no cross join):
    far more selective than one, of which an alphabet has only a fixed number.
    Partners with ``tau = 1`` are short on both sides: such names join on
    single prefix bigrams as well;
-5. candidates pass the length and count filters, then the exact LCS;
+5. the length filter is part of that join, before any pair is made; distinct pairs
+   pass the count filter, then the exact LCS in lanes (``functions.similarity``);
 6. the winner per left name is one minimum by (-score, right key).
 
 Pairs whose total length leaves ``tau <= 0`` are covered by the exact
@@ -130,28 +131,22 @@ def fuzzy_best_match(left: DataFrame, right: DataFrame, left_key: str, right_key
         return ranked.select(name, F.explode(F.expr(f"array_distinct(concat({pairs2}, {short}))")).alias("key"))
 
     pl, prr = keys(lg, "lp"), keys(rg, "rp")
-    pairs = pl.join(prr, "key").select("lp", "rp").distinct()
     total = F.length("lp") + F.length("rp")
+    near = F.least(F.length("lp"), F.length("rp")) >= S.min_lcs_for(threshold, total)
+    pairs = pl.join(prr, (pl["key"] == prr["key"]) & near & (F.col("lp") != F.col("rp"))).select("lp", "rp").distinct()
     checked = (pairs.join(lg.select("lp", F.col("grams").alias("ga")), "lp")
                     .join(rg.select("rp", F.col("grams").alias("gb")), "rp")
-                    .where(F.least(F.length("lp"), F.length("rp")) >= S.min_lcs_for(threshold, total))
                     .where(F.size(F.array_intersect("ga", "gb"))
                            >= F.lit(3) * S.min_lcs_for(threshold, total) - total - 1)
                     .select("lp", "rp"))
-    cand = checked.unionByName(exact).distinct()
 
-    # 5. exact LCS: bit-parallel over the shorter side when it fits a word.
-    short_l = F.length("lp") <= F.length("rp")
-    scored = (cand.withColumn("pat", F.when(short_l, F.col("lp")).otherwise(F.col("rp")))
-                  .withColumn("txt", F.when(short_l, F.col("rp")).otherwise(F.col("lp")))
-                  .withColumn("lcs", F.when(F.length("pat") <= S.MAX_WORD_BITS, S.lcs_bitparallel("pat", "txt"))
-                              .otherwise(S.lcs_dp("pat", "txt")))
-                  .withColumn("score", S.half_even_score(F.col("lcs"), F.length("lp") + F.length("rp")))
-                  .select("lp", "rp", "score"))
+    # 5. exact LCS of unequal names; equal ones score 100.
+    scored = (checked.select("lp", "rp", S.half_even_score(S.lcs("lp", "rp"), total).alias("score"))
+              .unionByName(exact.select("lp", "rp", F.lit(100).alias("score"))))
 
     # 6. winner per left name: highest score, then smallest right key. The
-    # threshold is applied after the aggregate: a filter on the score would be
-    # pushed below the projection and re-evaluate the LCS per reference.
+    # threshold is applied after the aggregate, so no filter on the score is
+    # pushed below the LCS.
     keyed = scored.join(rnames, "rp")
     best = (keyed.groupBy("lp").agg(F.min(F.struct((-F.col("score")).alias("minus"), F.col("rkey"), F.col("rvalue"))).alias("w"))
                  .select("lp", F.col("w.rkey").alias("best_key"), (-F.col("w.minus")).alias("score"), F.col("w.rvalue").alias("value"))

@@ -3,6 +3,7 @@
 import random
 import re
 
+from pitchspark.functions import similarity as S
 from pitchspark.operators.similarity import fuzzy_best_match
 
 
@@ -89,3 +90,27 @@ def test_long_and_short_names_equal_brute_force(spark):
     rdf = spark.createDataFrame(list(right.items()), "key string, value double")
     got = {r.name: (r.best_key, r.score, r.value) for r in fuzzy_best_match(ldf, rdf, "name", "key", "value").collect()}
     assert got == _brute(left, right.items())
+
+
+def test_lanes_equal_the_dynamic_program():
+    """Carries over word borders, empty strings, characters beyond 16 bits, many slabs."""
+    rnd = random.Random(8)
+    say = lambda n, letters: "".join(rnd.choice(letters) for _ in range(n))
+    a, b = [], []
+    for _ in range(600):
+        letters = rnd.choice(["a", "ab", "abcdefgh ", "aé日😀"])
+        x = say(rnd.choice([0, 1, 2, 9, 30, 63, 64, 65, 127, 128, 129, 200]), letters)
+        y = list(x)
+        for _ in range(rnd.choice([0, 1, 5, 20])):
+            if y:
+                y[rnd.randrange(len(y))] = rnd.choice(["", "a", "b", "ba"])
+        a.append(x)
+        b.append(rnd.choice(["".join(y), say(rnd.choice([0, 5, 70]), letters)]))
+    want = [_lcs(x, y) for x, y in zip(a, b)]
+    before = S.SLAB_CHARS
+    try:
+        for S.SLAB_CHARS in (64, 1000, before):
+            assert S.lcs_lengths(a, b).tolist() == want
+    finally:
+        S.SLAB_CHARS = before
+    assert S.lcs_lengths([], []).tolist() == []
