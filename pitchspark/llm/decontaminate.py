@@ -22,7 +22,7 @@ the tasks is bounded; each shard is one more map over the documents. No shuffle.
 
 Words end at white space; symbols, brackets and repeated marks glued to a word are
 words of their own. An item's answer is its last sentence, of a single sentence
-the second half; letters A-Z are lowered. Items of fewer than five words are one shingle, items
+the second half; letters of any script are lowered. Items of fewer than five words are one shingle, items
 without words and null items never match; null and empty documents have no
 leaks; repeated items and rows are kept. An empty benchmark leaves nothing out.
 """
@@ -55,8 +55,9 @@ _SENTENCE_END = re.compile(rb"[.!?][\"')\]]*(?=[\x20\x09-\x0D])")
 
 
 def plain(text: bytes) -> bytes:
-    """The text as it is compared: A-Z lowered, glued symbols as words of their own."""
-    return _GLUED.sub(rb" \g<0> ", text.lower())
+    """The text as it is compared: lower case of any script, glued symbols as words of their own."""
+    lower = text.lower() if text.isascii() else text.decode("utf-8", "surrogateescape").lower().encode("utf-8", "surrogateescape")
+    return _GLUED.sub(rb" \g<0> ", lower)
 
 
 def answer_begin(text: bytes) -> int:

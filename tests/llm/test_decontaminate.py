@@ -70,6 +70,13 @@ def test_short_parts_and_glued_symbols_hide_no_copy():
     assert found(noise(copy[4])) == {4} and found(copy[4].split(". ")[0]) == set()  # a question without its answer is no leak
 
 
+def test_capitals_of_any_script_hide_no_copy():
+    item = "über die straße läuft élan ñandú ωμέγα жизнь " + " ".join(words(random.Random(6), 20)) + " çok öl"
+    index = d.ItemIndex([(1, item.encode())])
+    for t in (item, item.upper().replace("STRASSE", "STRAßE"), item.title()):
+        assert [x["item_id"] for x in index.leaks([t.encode()])[0]] == [1]
+
+
 def test_wand_retrieves_what_full_scoring_does():
     rnd = random.Random(7)
     items = [(i, " ".join(rnd.choices([f"t{int(rnd.paretovariate(0.7))}" for _ in range(60)], k=rnd.choice([4, 20])))) for i in range(400)]
