@@ -10,7 +10,8 @@ without a clean example. When a batch drives it below zero, which only
 overfitting can, the step goes the other way (the non-negative correction).
 Features are the distinct words of the lower-cased text and the first bytes of
 each word, hashed; those most unlike between P and U are kept, and several
-classifiers from different seeds are averaged.
+classifiers from different seeds are averaged. Features are counted and chosen in
+Spark; only the columns of the chosen ones reach the driver.
 
 The fit uses at most ``max_positive`` and ``max_unlabelled`` documents (bounds
 that do not grow with the data), chosen by a hash of the id among those not
@@ -29,11 +30,13 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, chunks, held_out, texts_of
+from .common import Words, chunks, held_out, texts_of, written
 
 MAX_POSITIVE, MAX_UNLABELLED = 4_000, 12_000
 HASH_BITS = 20
 HEAD_BYTES = 4
+#: A feature must occur in ``LEAST`` positive documents, its shares in P and U must differ by ``UNLIKE`` standard errors; the ``KEEP`` most unlike stay.
+KEEP, LEAST, UNLIKE = 1024, 5, 4.0
 #: Everything in ASCII but letters and digits ends a word; bytes of other scripts belong to it.
 _SEPARATORS = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 
@@ -82,25 +85,24 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def fit_pu(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, keep: int = 1024, seeds: tuple[int, ...] = (1, 2, 3),
-           epochs: int = 60, rate: float = 0.1, l2: float = 1e-5, least: int = 5, unlike: float = 4.0) -> PuModel:
-    """Fit on feature sets.
-
-    A feature must occur in ``least`` positive documents, and its shares in P
-    and U must differ by ``unlike`` standard errors; the ``keep`` most unlike stay.
-    """
-    if not positive or not unlabelled:
-        return PuModel(np.zeros(0, np.int32), np.zeros((1, 1)))
-    size = 2 << HASH_BITS
-    in_p = np.bincount(np.concatenate(positive), minlength=size)
-    in_u = np.bincount(np.concatenate(unlabelled), minlength=size)
-    p, u = in_p / len(positive), in_u / len(unlabelled)
-    pooled = (in_p + in_u) / (len(positive) + len(unlabelled))
-    z = (p - u) / np.sqrt(np.maximum(pooled * (1 / len(positive) + 1 / len(unlabelled)), 1e-12))
-    z[(in_p < least) | (np.abs(z) < unlike)] = 0
-    known = np.sort(np.argsort(-np.abs(z), kind="stable")[:keep])
-    known = known[z[known] != 0].astype(np.int32)
-    if not len(known):
+def choose_features(sets: DataFrame, keep: int = KEEP, least: int = LEAST, unlike: float = UNLIKE) -> np.ndarray:
+    """The sorted features of the rows' sets ``x`` that tell P (``is_p`` = 1) and U apart; counts are partial sums, at most ``keep`` rows return."""
+    n_p, n = sets.agg(F.coalesce(F.sum("is_p"), F.lit(0)), F.count(F.lit(1))).first()
+    n_u = n - n_p
+    if not n_p or not n_u:
+        return np.zeros(0, np.int32)
+    counts = sets.select("is_p", F.explode("x").alias("f")).groupBy("f").agg(F.sum("is_p").alias("in_p"), F.sum(1 - F.col("is_p")).alias("in_u"))
+    pooled = (F.col("in_p") + F.col("in_u")) / F.lit(float(n))
+    z = (F.col("in_p") / F.lit(float(n_p)) - F.col("in_u") / F.lit(float(n_u))) / F.sqrt(F.greatest(pooled * F.lit(1 / n_p + 1 / n_u), F.lit(1e-12)))
+    rows = (counts.where(F.col("in_p") >= least).select("f", F.abs(z).alias("z")).where((F.col("z") >= unlike) & (F.col("z") > 0))
+            .orderBy(F.desc("z"), "f").limit(keep).collect())
+    return np.sort(np.array([r.f for r in rows], np.int32))
+
+
+def fit_pu(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, known: np.ndarray, seeds: tuple[int, ...] = (1, 2, 3),
+           epochs: int = 60, rate: float = 0.1, l2: float = 1e-5) -> PuModel:
+    """Fit on feature sets, with one column for each of the sorted features ``known``."""
+    if not positive or not unlabelled or not len(known):
         return PuModel(np.zeros(0, np.int32), np.zeros((1, 1)))
 
     def dense(sets):
@@ -176,12 +178,15 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
 
         return pa.array(feature_sets(texts_of(column)), pa.list_(pa.int32()))
 
-    rows = (docs.select(F.col(id_col).alias("fit_id"), F.col(text).alias("t")).join(F.broadcast(confirmed.unionByName(some)), "fit_id")  # bounded
-            .select("fit_id", "is_p", features(F.col("t")).alias("x")).toArrow().sort_by([("is_p", "ascending"), ("fit_id", "ascending")]))
-    is_p = rows["is_p"].to_numpy()
-    sets = [np.asarray(x.values, dtype=np.int32) for x in rows["x"]]
+    rows = written(docs.select(F.col(id_col).alias("fit_id"), F.col(text).alias("t")).join(F.broadcast(confirmed.unionByName(some)), "fit_id")  # bounded
+                   .select("fit_id", "is_p", features(F.col("t")).alias("x")), "toxicity-features")
+    known = choose_features(rows)
+    chosen = F.array_intersect("x", F.lit(known.tolist()).cast("array<int>"))
+    of = rows.select("fit_id", "is_p", chosen.alias("x")).toArrow().sort_by([("is_p", "ascending"), ("fit_id", "ascending")])
+    is_p = of["is_p"].to_numpy()
+    sets = [np.asarray(x.values, dtype=np.int32) for x in of["x"]]
     return fit_pu([s for s, k in zip(sets, is_p, strict=True) if k], [s for s, k in zip(sets, is_p, strict=True) if not k],
-                  class_prior(labels, id_col, label) if prior is None else prior)
+                  class_prior(labels, id_col, label) if prior is None else prior, known)
 
 
 def score_toxicity(df: DataFrame, model: PuModel, text: str = "text", out: str = "score") -> DataFrame:

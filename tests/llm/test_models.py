@@ -60,13 +60,27 @@ def test_toxicity_on_held_out_rows(tables):
     assert np.mean([r.score >= 0.5 for r in out if not r.toxic]) < 0.01
 
 
-def test_non_negative_risk_beats_a_wrong_negative_class():
+def known_features(positive, unlabelled, keep, least, unlike):
+    """The choice of features on one machine."""
+    size = 1 + max(max(x.max() for x in positive), max(x.max() for x in unlabelled))
+    p, u = (np.bincount(np.concatenate(x), minlength=size) for x in (positive, unlabelled))
+    n, m = len(positive), len(unlabelled)
+    z = np.abs(p / n - u / m) / np.sqrt(np.maximum((p + u) / (n + m) * (1 / n + 1 / m), 1e-12))
+    z[(p < least) | (z < unlike)] = 0
+    best = np.argsort(-z, kind="stable")[:keep]
+    return np.sort(best[z[best] > 0])
+
+
+def test_non_negative_risk_beats_a_wrong_negative_class(spark):
     """Half of the unlabelled rows are positive: calling them all negative would reject positives."""
     rng = np.random.default_rng(2)
     def sample(toxic, n):
         return [np.unique(np.concatenate((rng.integers(100, 400, 20), rng.integers(0, 10, 3) if toxic else rng.integers(10, 20, 3)))).astype(np.int32) for _ in range(n)]
     positive, mixed = sample(True, 400), sample(True, 600) + sample(False, 600)
-    m = toxicity.fit_pu(positive, mixed, 0.5, unlike=3.0)
+    sets = spark.createDataFrame([(k, x.tolist()) for k, of in ((1, positive), (0, mixed)) for x in of], "is_p int, x array<int>")
+    for keep, unlike in ((1024, 3.0), (4, 1.0)):
+        assert toxicity.choose_features(sets, keep, 5, unlike).tolist() == known_features(positive, mixed, keep, 5, unlike).tolist()
+    m = toxicity.fit_pu(positive, mixed, 0.5, toxicity.choose_features(sets, 1024, 5, 3.0))
     table = m.weight.mean(axis=0)
     score = lambda sets: np.array([table[toxicity._select(s, m.known)].sum() + table[-1] for s in sets])
     assert (score(sample(True, 300)) > 0).mean() > 0.95 and (score(sample(False, 300)) > 0).mean() < 0.05
