@@ -5,54 +5,54 @@ smallest right key), its value if the score reaches the threshold, else 0.
 
 Plan (lossless for the threshold, no cross join):
 
-1. distinct normalised names per side; exact equality is one equi join;
-2. each name becomes a bag of bigrams tagged with their occurrence number
+1. distinct normalised names per side, written once; exact equality is one equi join;
+2. a pair reaching the threshold has LCS >= l_min(L), L = |a| + |b|. The lengths that
+   occur on each side (a few numbers) say how each pair of lengths meets:
+   by deletions (Bocek et al., FastSS, 2007) where both names have at most ``MAX_KEYS``
+   subsequences of l_min(L) characters: a pair that matches has one of them in common, a
+   pair that does not hardly ever has; else by rare bigrams (steps 3, 4);
+3. each name becomes a bag of bigrams tagged with their occurrence number
    (``"ab#2"`` = second ``ab``), so set intersection equals the bag
-   intersection;
-3. a pair reaching the threshold has LCS >= l_min(L), L = |a| + |b|, and
-   therefore shares at least ``tau(L) = 3 * l_min(L) - L - 1`` tagged
-   bigrams (each deletion breaks at most one adjacency of the common
+   intersection; a matching pair shares at least ``tau(L) = 3 * l_min(L) - L - 1`` of them
+   (each deletion breaks at most one adjacency of the common
    subsequence in a, each insertion at most one in b);
-4. prefix filtering (Chaudhuri et al., ICDE 2006) on pairs of bigrams: order
+4. prefix filtering (Chaudhuri et al., ICDE 2006) on sets of k bigrams: order
    the bigrams by global frequency, rarest first; a name keeps its first
-   ``n - tau_min + 2`` bigrams, where ``tau_min`` (2 at least) is the smallest
-   ``tau`` over partner lengths allowed by the length filter. Two names
-   sharing ``tau >= 2`` bigrams share two of these, so one equi join on the
-   pairs of prefix bigrams yields all candidates; a pair of rare bigrams is
-   far more selective than one, of which an alphabet has only a fixed number.
-   Partners with ``tau = 1`` are short on both sides: such names join on
-   single prefix bigrams as well;
-5. the length filter is part of that join, before any pair is made; distinct pairs
-   pass the count filter, then the exact LCS in lanes (``functions.similarity``);
+   ``n - tau + k`` bigrams. Two names sharing ``tau >= k`` bigrams share k of these, so an
+   equi join on all sets of k prefix bigrams yields all candidates. k is as large
+   as ``MAX_KEYS`` sets a name allow, so a key is shared by few names however many there are;
+5. the length filter and the characters' parities (every deletion changes one) are part of the
+   join, before any pair is made; distinct pairs get the exact LCS in lanes (``functions.similarity``);
 6. the winner per left name is one minimum by (-score, right key).
 
-Pairs whose total length leaves ``tau <= 0`` are covered by the exact
+Pairs whose total length leaves ``tau <= 0`` and that have too many subsequences are covered by the exact
 equality join; the constructor checks that for such lengths only equal
 strings can reach the threshold, and refuses thresholds where that fails.
-The prefix length uses a closed-form lower bound of ``tau`` per name
-length, so no statistics are collected to the driver.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterable
+from itertools import combinations
+from math import comb
+
+import numpy as np
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pitchspark.functions import similarity as S
+from pitchspark.session import materialize
 
 DEFAULT_THRESHOLD = 85
 MAX_CHECKED_LENGTH = 4096
+#: Keys that one way of meeting may give a name.
+MAX_KEYS = 600
 
 
 def _tau(threshold: int, total: int) -> int:
     return 3 * S.min_lcs_py(threshold, total) - total - 1
 
 
-def _longest_single(threshold: int) -> int:
-    """The largest total length of two names for which a single shared bigram can be all there is (tau = 1)."""
-    return max((n for n in range(2, MAX_CHECKED_LENGTH) if _tau(threshold, n) == 1), default=0)
-
-
 def _check_threshold(threshold: int) -> None:
     """Lengths with tau <= 0 must only admit equal strings."""
     for total in range(2, MAX_CHECKED_LENGTH):
@@ -66,18 +66,74 @@ def _check_threshold(threshold: int) -> None:
                                  "can match without a shared bigram; blocking would lose them")
 
 
-def tau_lower_bound(threshold: int, length):
-    """Smallest shared-bigram count any qualifying partner can need (a lower bound).
+def _meetings(threshold: int, own: Iterable[int], other: Iterable[int]) -> tuple[dict[int, list[int]], dict[int, dict[int, int]]]:
+    """How names of each own length meet the other side's lengths.
 
-    A qualifying pair has LCS > s * L with s = (2t - 1) / 400 and the
-    shorter side at least s / (1 - s) times the other, hence
-    L >= l / (1 - s) and tau(L) > (3s - 1) * L - 1 >= (3s - 1) / (1 - s) * l - 1.
-    In integers: floor((6t - 403) * l / (401 - 2t)) - 1 (one lower than
-    needed, which also covers even thresholds). Valid for every partner
-    length, so the prefix length needs no per-dataset table.
+    Lengths of common subsequences, and {k: number of rarest bigrams}, by own length.
     """
-    num, den = 6 * threshold - 403, 401 - 2 * threshold
-    return F.floor(F.lit(num) * length / F.lit(den)).cast("int") - 1
+    deletions: dict[int, set[int]] = {}
+    bigrams: dict[int, dict[int, int]] = {}
+    partners = sorted(other)
+    for a in own:
+        for b in partners:
+            need, tau = S.min_lcs_py(threshold, a + b), _tau(threshold, a + b)
+            if need > min(a, b):
+                continue
+            if comb(max(a, b), need) <= MAX_KEYS:
+                deletions.setdefault(a, set()).add(need)
+            elif tau > 0:
+                k = min(tau, 2)
+                while k < tau and comb(max(a, b) - 1 - tau + k + 1, k + 1) <= MAX_KEYS:
+                    k += 1
+                sizes = bigrams.setdefault(a, {})
+                sizes[k] = max(sizes.get(k, 0), a - 1 - tau + k)
+    return {a: sorted(x) for a, x in deletions.items()}, bigrams
+
+
+def _choices(items: np.ndarray, size: int, seed: int) -> np.ndarray:
+    """A key for each choice of ``size`` items of each row, in their order."""
+    chosen = np.array(list(combinations(range(items.shape[1]), size)), np.intp).reshape(-1, size)
+    key = np.full((len(items), len(chosen)), np.uint64(seed * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF))
+    for j in range(size):
+        key = (key ^ items[:, chosen[:, j]]) * np.uint64(0xD6E8FEB86659FD93)
+        key ^= key >> np.uint64(32)
+    return key
+
+
+def _keys(names: list[str], grams: list, deletions: dict[int, list[int]], bigrams: dict[int, dict[int, int]]) -> list[np.ndarray]:
+    """The keys of each name; ``grams`` has each one's bigrams as hashes, rarest first, or none."""
+    lengths = np.fromiter(map(len, names), np.int64, len(names))
+    out = [np.empty(0, np.uint64)] * len(names)
+    for n in map(int, np.unique(lengths)):
+        rows, parts = np.flatnonzero(lengths == n), []
+        if n in deletions:
+            text = np.frombuffer("".join(names[i] for i in rows).encode("utf-32-le"), np.uint32).reshape(-1, n).astype(np.uint64)
+            parts += [_choices(text, size, size) for size in deletions[n]]
+        if n in bigrams:
+            rare = np.array([grams[i] for i in rows], np.int64).astype(np.uint64)
+            parts += [_choices(rare[:, :first], k, -k) for k, first in bigrams[n].items()]
+        if parts:
+            for i, keys in zip(rows, np.concatenate(parts, axis=1), strict=True):
+                out[i] = np.unique(keys)
+    return out
+
+
+def _key_column(name: str, grams: Column, plan: tuple) -> Column:
+    @F.arrow_udf("array<bigint>")
+    def run(x, g):
+        import pyarrow as pa
+
+        keys = _keys(x.to_pylist(), g.to_pylist(), *plan)
+        offsets = np.concatenate([[0], np.cumsum([len(k) for k in keys])]).astype(np.int32)
+        values = np.concatenate([*keys, np.empty(0, np.uint64)]).astype(np.int64)
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
+
+    return run(F.col(name), grams)
+
+
+def _parities(col: str):
+    """64 cells: whether the number of characters that fall into a cell is odd."""
+    return F.expr(f"aggregate(split(`{col}`, ''), 0L, (s, x) -> s ^ shiftleft(1L, cast(xxhash64(x) & 63 as int)))")
 
 
 def _tagged_bigrams(col: str):
@@ -97,48 +153,47 @@ def fuzzy_best_match(left: DataFrame, right: DataFrame, left_key: str, right_key
     key (value 0 and null best_key when nothing reaches the threshold).
     """
     _check_threshold(threshold)
-    lnames = (left.select(F.col(left_key).alias("lkey")).distinct()
-                  .withColumn("lp", S.token_sort("lkey")))
-    rnames = right.select(F.col(right_key).alias("rkey"), F.col(right_value).alias("rvalue")) \
-                  .withColumn("rp", S.token_sort("rkey"))
+    lnames = materialize(left.select(F.col(left_key).alias("lkey")).distinct()
+                         .withColumn("lp", S.token_sort("lkey")), "fuzzy-left")
+    rnames = materialize(right.select(F.col(right_key).alias("rkey"), F.col(right_value).alias("rvalue"))
+                         .withColumn("rp", S.token_sort("rkey")), "fuzzy-right")
     lp = lnames.select("lp").where(F.length("lp") > 0).distinct()
     rp = rnames.select("rp").where(F.length("rp") > 0).distinct()
 
     # 1. exact equality of normalised names
     exact = lp.join(rp, lp["lp"] == rp["rp"]).select("lp", "rp")
 
-    # 2-4. tagged bigrams, global frequency, prefixes
-    lg = lp.withColumn("grams", _tagged_bigrams("lp"))
-    rg = rp.withColumn("grams", _tagged_bigrams("rp"))
-    # explode_outer: an inner explode makes the optimizer infer
-    # ``size(grams) > 0`` and push it below the distinct, which would
-    # re-evaluate the name normalisation inside the bigram lambdas.
-    toks = (lg.select(F.explode_outer("grams").alias("g"))
-            .unionByName(rg.select(F.explode_outer("grams").alias("g")))
-            .where(F.col("g").isNotNull()))
-    freq = toks.groupBy("g").agg(F.count(F.lit(1)).alias("f"))
-
-    def keys(df: DataFrame, name: str) -> DataFrame:
-        sized = df.withColumn("tau_min", tau_lower_bound(threshold, F.length(name)))
-        ex = (sized.select(name, "tau_min", F.size("grams").alias("ng"), F.explode_outer("grams").alias("g"))
-              .where(F.col("g").isNotNull()))
-        # A name's own grams only: the list is as long as the name.
-        ranked = ex.join(freq, "g").groupBy(name, "tau_min", "ng").agg(F.sort_array(F.collect_list(F.struct("f", "g"))).alias("gs"))
-        two = "slice(gs, 1, ng - greatest(tau_min, 2) + 2)"
-        pairs2 = f"flatten(transform({two}, (x, i) -> transform(slice({two}, i + 2, ng), y -> xxhash64(x.g, y.g))))"
-        single = f"transform(slice(gs, 1, ng - greatest(tau_min, 1) + 1), x -> xxhash64('1', x.g))"
-        short = f"if(length({name}) < {_longest_single(threshold)}, {single}, cast(array() as array<bigint>))"
-        return ranked.select(name, F.explode(F.expr(f"array_distinct(concat({pairs2}, {short}))")).alias("key"))
-
-    pl, prr = keys(lg, "lp"), keys(rg, "rp")
+    # 2. the lengths of both sides
+    llens, rlens = ([r[0] for r in df.select(F.length(c)).distinct().collect()] for df, c in ((lp, "lp"), (rp, "rp")))
+    lplan, rplan = _meetings(threshold, llens, rlens), _meetings(threshold, rlens, llens)
+
+    # 3-4. tagged bigrams of the names that need them, global frequency, prefixes
+    def grams(df: DataFrame, name: str, plan: tuple) -> DataFrame:
+        return df.where(F.length(name).isin(list(plan[1]))).select(name, F.explode(_tagged_bigrams(name)).alias("g"))
+
+    both = [grams(lp, "lp", lplan), grams(rp, "rp", rplan)]
+    freq = both[0].select("g").unionByName(both[1].select("g")).groupBy("g").agg(F.count(F.lit(1)).alias("f"))
+
+    # Few bytes of names make many keys: their own number of parts keeps them from being dealt by those bytes,
+    # and the join below from broadcasting keys for the names' size.
+    parts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def keys(df: DataFrame, name: str, ex: DataFrame, plan: tuple, bits: str) -> DataFrame:
+        some = df.where(F.length(name).isin(list({*plan[0], *plan[1]}))).repartition(parts, name)
+        rare = F.lit(None).cast("array<bigint>")
+        if plan[1]:
+            # A name's own grams only: the list is as long as the name.
+            ranked = ex.join(freq, "g").groupBy(name).agg(F.sort_array(F.collect_list(F.struct("f", "g"))).alias("gs"))
+            some = some.join(ranked.select(name, F.expr("transform(gs, x -> xxhash64(x.g))").alias("gs")), name, "left")
+            rare = F.col("gs")
+        return some.select(name, _parities(name).alias(bits), F.explode(_key_column(name, rare, plan)).alias("key"))
+
+    pl, prr = keys(lp, "lp", both[0], lplan, "lbits"), keys(rp, "rp", both[1], rplan, "rbits")
     total = F.length("lp") + F.length("rp")
-    near = F.least(F.length("lp"), F.length("rp")) >= S.min_lcs_for(threshold, total)
-    pairs = pl.join(prr, (pl["key"] == prr["key"]) & near & (F.col("lp") != F.col("rp"))).select("lp", "rp").distinct()
-    checked = (pairs.join(lg.select("lp", F.col("grams").alias("ga")), "lp")
-                    .join(rg.select("rp", F.col("grams").alias("gb")), "rp")
-                    .where(F.size(F.array_intersect("ga", "gb"))
-                           >= F.lit(3) * S.min_lcs_for(threshold, total) - total - 1)
-                    .select("lp", "rp"))
+    need = S.min_lcs_for(threshold, total)
+    near = (F.least(F.length("lp"), F.length("rp")) >= need) & \
+           (F.bit_count(F.col("lbits").bitwiseXOR(F.col("rbits"))) <= total - F.lit(2) * need)
+    checked = pl.join(prr.hint("merge"), (pl["key"] == prr["key"]) & near & (F.col("lp") != F.col("rp"))).select("lp", "rp").distinct()
 
     # 5. exact LCS of unequal names; equal ones score 100.
     scored = (checked.select("lp", "rp", S.half_even_score(S.lcs("lp", "rp"), total).alias("score"))

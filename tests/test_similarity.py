@@ -114,3 +114,37 @@ def test_lanes_equal_the_dynamic_program():
     finally:
         S.SLAB_CHARS = before
     assert S.lcs_lengths([], []).tolist() == []
+
+
+def test_keys_meet_every_match_and_hardly_anything_else():
+    """Names over a small alphabet: matches share a key, and shared keys do not grow with names x names."""
+    import numpy as np
+
+    from pitchspark.operators.similarity import MAX_KEYS, _keys, _meetings
+    rnd = random.Random(3)
+    name = lambda n: "".join(rnd.choice("0123456789abcdef") for _ in range(n))
+    left = [name(n) for n in (13, 14, 19, 24) for _ in range(500)]
+    right = [x[:2] + x[3:] for x in left[::5]] + [x[:5] + "z" + x[5:] for x in left[::7]] + [name(14) for _ in range(300)]
+    tagged = lambda s: {s[i:i + 2] + str(sum(s[j:j + 2] == s[i:i + 2] for j in range(i))) for i in range(len(s) - 1)}
+    grams = [tagged(s) for s in left + right]
+    often = {}
+    for g in (g for x in grams for g in x):
+        often[g] = often.get(g, 0) + 1
+    code = {g: i for i, g in enumerate(sorted(often))}
+    rare = [[code[g] for g in sorted(x, key=lambda g: (often[g], g))] for x in grams]
+    lens = {len(x) for x in left}, {len(x) for x in right}
+    lkeys = _keys(left, rare[:len(left)], *_meetings(85, *lens))
+    rkeys = _keys(right, rare[len(left):], *_meetings(85, *lens[::-1]))
+    assert max(map(len, lkeys)) <= 4 * MAX_KEYS
+    holders = {}
+    for i, keys in enumerate(lkeys):
+        for k in keys.tolist():
+            holders.setdefault(k, []).append(i)
+    met = [(i, j) for j, keys in enumerate(rkeys) for k in keys.tolist() for i in holders.get(k, ())]
+    a, b = zip(*[(x, y) for x in range(len(left)) for y in range(len(right))])
+    scores = np.rint(200 * np.array(S.lcs_lengths([left[i] for i in a], [right[j] for j in b])) / np.array([len(left[i]) + len(right[j]) for i, j in zip(a, b)]))
+    matches = {(i, j) for i, j, s in zip(a, b, scores) if s >= 85}
+    assert len(matches) > 600 and matches <= set(met)
+    others = set(met) - matches
+    assert len(others) < 0.02 * len(left) * len(right)  # before the character parities, the longer names' bigrams
+    assert not [1 for i, j in others if max(len(left[i]), len(right[j])) <= 14]
