@@ -2,13 +2,14 @@
 
 Everything that does not depend on running state (result score, home
 advantage, competition weight, raw goal index) is computed as columns
-before the fold. The history is cut into slices of its order, written once and
-partitioned by slice. Inside a slice groups of entities that do not meet
-others are folded in parallel by ``applyInPandas``, each starting from the state table; the slice's
-last ratings make the new state. The groups are those of a column the caller
+before the fold. Entities that never meet those of another group are folded in parallel by
+``applyInPandas``. The groups are those of a column the caller
 names (``pool``: its entities never meet those of another, and equal names in two pools are two
-entities), or else the connected components of the entities that meet in the slice.
-Rounds follow the calendar, a task holds at most the matches of one slice - also of a
+entities), or else the connected components of the entities that meet at all, found once.
+A group with more matches than a task may hold is cut into slices of its own order; round i folds
+the i-th slice of every group, each starting from the state table, and its
+last ratings make the new state. So the number of rounds follows the largest group, not
+the history, a task holds at most the matches of one slice - also of a
 pool with a third of the history -, all state is a table in the shared
 folder, and every match is in exactly one slice, so none is lost.
 """
@@ -26,9 +27,9 @@ from pitchspark.functions import elo as E
 from pitchspark.functions.money import strip_ws
 from pitchspark.functions.text import title_case
 from pitchspark.operators.graph import components
-from pitchspark.session import materialize
+from pitchspark.session import materialize, shared_path
 
-# Matches of one slice, which one group may hold: they must fit one task.
+# Matches of one slice of a group: they must fit one task.
 SLICE_ROWS = 2_000_000
 # What the reference's text conversion makes of a missing team.
 NO_TEAM = "nan"
@@ -112,43 +113,52 @@ def _pooled(team: str) -> Column:
     return F.concat(F.length("_pool").cast("string"), F.lit("|"), F.col("_pool"), F.lit("|"), F.col(team))
 
 
+def _sliced(matches: DataFrame, slice_rows: int) -> tuple[DataFrame, int]:
+    """``matches`` with ``_slice``, a number inside its component, and how many there are.
+
+    Equal times fall into one slice, so the order across slices is strict.
+    """
+    sizes = matches.groupBy("component").agg(F.count(F.lit(1)).alias("n"))
+    most = sizes.agg(F.max("n")).first()[0] or 0
+    slices = max(1, math.ceil(most / slice_rows))
+    if slices == 1:
+        return matches, 1
+    # Only components too large for a task are cut: no more of them than the history has slices.
+    large = sizes.where(F.col("n") > slice_rows).select("component")
+    at = F.percentile_approx("_t", [i / slices for i in range(1, slices)], 10 * slices)
+    bounds = matches.join(large, "component", "left_semi").groupBy("component").agg(F.array_distinct(at).alias("_bounds"))
+    number = F.when(F.col("_bounds").isNull(), 0).otherwise(F.size(F.filter("_bounds", lambda b: b <= F.col("_t"))))
+    cut = matches.join(bounds, "component", "left").withColumn("_slice", number).drop("_bounds")
+    path = shared_path(matches.sparkSession, "elo-slices")
+    cut.write.partitionBy("_slice").parquet(path)
+    return matches.sparkSession.read.schema(cut.schema).parquet(path), slices
+
+
 def _sliced_fold(prepared: DataFrame, slice_rows: int, pool: str | None) -> DataFrame:
-    terms = _terms(prepared, F.coalesce(F.col(pool).cast("string"), F.lit("")).alias("_pool")) if pool else _terms(prepared)
     if pool:
-        terms = terms.withColumn("_a", _pooled("_a")).withColumn("_b", _pooled("_b"))
-    matches = materialize(terms, "elo-matches")
-    n = matches.count()
-    slices = max(1, math.ceil(n / slice_rows))
-    # One number per slice; equal times fall into one slice, so the order across slices is strict.
-    bounds = sorted(set(matches.approxQuantile("_t", [i / slices for i in range(1, slices)], 0.1 / slices))) if slices > 1 else []
-    number = F.size(F.filter(F.array(*[F.lit(int(b)) for b in bounds]), lambda b: b <= F.col("_t"))) if bounds else F.lit(0)
-    if bounds:
-        matches = materialize(matches.withColumn("_slice", number).repartition("_slice"), "elo-slices")
+        terms = _terms(prepared, F.coalesce(F.col(pool).cast("string"), F.lit("")).alias("_pool"))
+        matches = materialize(terms.withColumn("_a", _pooled("_a")).withColumn("_b", _pooled("_b")).withColumnRenamed("_pool", "component"), "elo-matches")
     else:
-        matches = matches.withColumn("_slice", number)
-    spark = prepared.sparkSession
-    state = spark.createDataFrame([], "team string, rating double")
+        matches = materialize(_terms(prepared), "elo-matches")
+        of = components(matches.select(F.col("_a").alias("a"), F.col("_b").alias("b")))
+        matches = matches.join(of.select(F.col("node").alias("_a"), "component"), "_a")
+    matches, slices = _sliced(matches, slice_rows)
+    start = F.lit(E.INITIAL_RATING)
+    if slices == 1:
+        return matches.withColumn("ra0", start).withColumn("rb0", start).groupBy("component").applyInPandas(_fold, FOLD_SCHEMA).select(_RESULT)
+    state = prepared.sparkSession.createDataFrame([], "team string, rating double")
     done = None
-    for i in range(len(bounds) + 1):
+    for i in range(slices):
         part = matches.where(F.col("_slice") == i).drop("_slice")
-        if pool:
-            part = part.withColumnRenamed("_pool", "component")
-        else:
-            of = components(part.select(F.col("_a").alias("a"), F.col("_b").alias("b")))
-            part = part.join(of.select(F.col("node").alias("_a"), "component"), "_a")
-        start = F.lit(E.INITIAL_RATING)
         if i:
             part = (part.join(state.select(F.col("team").alias("_a"), F.col("rating").alias("ra0")), "_a", "left")
                         .join(state.select(F.col("team").alias("_b"), F.col("rating").alias("rb0")), "_b", "left")
                         .withColumn("ra0", F.coalesce("ra0", start)).withColumn("rb0", F.coalesce("rb0", start)))
         else:
             part = part.withColumn("ra0", start).withColumn("rb0", start)
-        folded = part.groupBy("component").applyInPandas(_fold, FOLD_SCHEMA)
-        if not bounds:
-            return folded.select(_RESULT)
-        folded = materialize(folded, "elo-done")
+        folded = materialize(part.groupBy("component").applyInPandas(_fold, FOLD_SCHEMA), "elo-done")
         done = folded if done is None else done.unionByName(folded)
-        if i < len(bounds):
+        if i < slices - 1:
             last = _last(folded)
             state = materialize(state.join(last.select("team"), "team", "left_anti").unionByName(last), "elo-state")
     return done.select(_RESULT)
@@ -157,9 +167,9 @@ def _sliced_fold(prepared: DataFrame, slice_rows: int, pool: str | None) -> Data
 def elo_ratings(prepared: DataFrame, pool: str | None = None, slice_rows: int = SLICE_ROWS) -> DataFrame:
     """Ratings around each match: ``match_id, elo_a, elo_b, post_a, post_b``.
 
-    ``prepared`` comes from :func:`prepare_matches`. The history is folded in slices
-    of about ``slice_rows`` matches; inside a slice the groups of ``pool``, or else
-    the connected components, in parallel.
+    ``prepared`` comes from :func:`prepare_matches`. The groups of ``pool``, or else
+    the connected components, are folded in parallel, each in slices of about
+    ``slice_rows`` matches.
     """
     return _sliced_fold(prepared, slice_rows, pool)
 

@@ -133,6 +133,22 @@ def test_sliced_fold_equals_the_serial_one(spark):
         assert last.keys() == final.keys() and all(abs(last[t] - final[t]) < 1e-9 for t in final)
 
 
+def test_rounds_follow_the_largest_group(spark, monkeypatch):
+    """Ten groups of equal size: as many slices as one group needs, not as the history would; components are found once."""
+    rows, df = _matches(spark, n_matches=400, n_teams=4, pools=10, seed=2)
+    prepared = rt.prepare_matches(df)
+    want, _ = _serial(rows)
+    found, states = [], []
+    components, materialize = rt.components, rt.materialize
+    monkeypatch.setattr(rt, "components", lambda e: found.append(1) or components(e))
+    monkeypatch.setattr(rt, "materialize", lambda d, name: states.append(name) or materialize(d, name))
+    for pool in ("pool", None):
+        found.clear(), states.clear()
+        got = {r.match_id: (r.elo_a, r.elo_b) for r in rt.elo_ratings(prepared, pool=pool, slice_rows=30).collect()}
+        assert got.keys() == want.keys() and all(abs(got[k][0] - want[k][0]) < 1e-9 for k in want)
+        assert len(found) == (0 if pool else 1) and 2 <= states.count("elo-done") <= 4
+
+
 def test_components_by_hand(spark):
     from pitchspark.operators.graph import components
     edges = [("d", "e"), ("b", "a"), ("c", "b"), ("z", "z")] + [(f"n{i:03}", f"n{i + 1:03}") for i in range(70)]
