@@ -71,13 +71,15 @@ class Tree:
 
     def nodes(self, bins: np.ndarray, levels: int) -> np.ndarray:
         """The node of each row after ``levels`` steps; rows stay in leaves."""
-        at = np.zeros(len(bins), np.int64)
-        rows = np.arange(len(bins))
+        feature = np.maximum(self.feature, 0)
+        # The node that follows each node and bin; leaves follow themselves.
+        node, bin_ = np.arange(len(feature))[:, None], np.arange(BINS)
+        left = np.where(bin_ == 0, self.missing_left[:, None], bin_ <= self.bin[:, None])
+        follows = np.where(self.feature[:, None] < 0, node, 2 * node + 2 - left).ravel()
+        at = np.zeros(len(bins), np.intp)
+        cells, row = np.ascontiguousarray(bins).ravel(), np.arange(len(bins)) * bins.shape[1]
         for _ in range(levels):
-            f = self.feature[at]
-            b = bins[rows, f]
-            left = np.where(b == 0, self.missing_left[at], b <= self.bin[at])
-            at = np.where(f < 0, at, 2 * at + 2 - left)
+            at = follows.take(at * BINS + cells.take(row + feature.take(at)))
         return at
 
 
@@ -288,17 +290,24 @@ def _level_sums(state: DataFrame, fits: list[Fit], growing: dict[int, list[Tree]
         for batch in batches:
             for r in batch.to_pylist():
                 bins, label, weight, key, fold, start = _unpacked(r, dims, n_fits, classes)
+                drawn: dict = {}
                 for i, p, left_out, trees, grown in work:
-                    use = sampled_rows(key, p, round_)
+                    if (p.seed, p.subsample) not in drawn:
+                        drawn[p.seed, p.subsample] = sampled_rows(key, p, round_)
+                    use = drawn[p.seed, p.subsample]
                     use = use if left_out is None else use & (fold != left_out)
                     b, y, w = bins[use], label[use], weight[use]
                     g, h = derivatives(softmax(margins(start[i][use], b, trees, p)), y, w)
                     for c in range(classes):
-                        at = grown[c].nodes(b, level)
-                        inside = at >= first
-                        cell = ((at[inside] - first)[:, None] * dims + np.arange(dims)) * BINS + b[inside]
-                        size = 2**level * dims * BINS
-                        sums = np.stack([np.bincount(cell.ravel(), np.repeat(v[inside, c], dims), size) for v in (g, h)])
+                        at = grown[c].nodes(b, level) - first
+                        inside = slice(None) if not level else at >= 0
+                        base, in_bins = at[inside] * BINS, b[inside]
+                        sums = np.empty((2, 2**level, dims, BINS))
+                        for j in range(dims):
+                            cell = base + in_bins[:, j]
+                            for k, v in enumerate((g, h)):
+                                sums[k, :, j] = np.bincount(cell, v[inside, c], 2**level * BINS).reshape(-1, BINS)
+                        sums = sums.reshape(2, -1)
                         total[i, c] = total[i, c] + sums if (i, c) in total else sums
         for (i, c), sums in total.items():
             yield from emit(i * classes + c, sums)
