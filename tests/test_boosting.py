@@ -122,3 +122,28 @@ def test_constant_and_missing_features(spark):
     model = ml.fit(df, ["a", "b"], model="boosted", params={"rounds": 2})
     p = ml.score(model, df, ["a", "b"]).first().p
     assert abs(sum(p) - 1) < 1e-12 and all((t.feature == -1).all() for r in model.trees for t in r)
+
+
+def test_nodes_equal_a_walk_by_hand():
+    """Leaves above the last level, both sides of missing values, columns of any layout."""
+    import numpy as np
+
+    from pitchspark.operators.boosting import BINS, Tree
+    r = np.random.default_rng(5)
+    for _ in range(20):
+        t = Tree.empty(3)
+        t.feature[:7] = r.integers(-1, 4, 7)
+        t.bin[:7], t.missing_left[:7] = r.integers(1, BINS, 7), r.integers(0, 2, 7).astype(bool)
+        bins = np.asfortranarray(r.integers(0, BINS, (200, 4)).astype(np.uint8))
+        for levels in range(4):
+            want = []
+            for row in bins:
+                at = 0
+                for _ in range(levels):
+                    f = t.feature[at]
+                    if f >= 0:
+                        left = t.missing_left[at] if row[f] == 0 else row[f] <= t.bin[at]
+                        at = 2 * at + (1 if left else 2)
+                want.append(at)
+            assert t.nodes(bins, levels).tolist() == want
+    assert t.nodes(bins[:0], 3).tolist() == []
