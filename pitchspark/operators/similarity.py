@@ -21,7 +21,9 @@ Plan (lossless for the threshold, no cross join):
    ``n - tau + k`` bigrams. Two names sharing ``tau >= k`` bigrams share k of these, so an
    equi join on all sets of k prefix bigrams yields all candidates. k is as large
    as ``MAX_KEYS`` sets a name allow, so a key is shared by few names however many there are;
-5. the length filter and the characters' parities (every deletion changes one) are part of the
+5. the side of fewer names writes its keys and makes a map of bits of them, of a fixed size; keys of the
+   other side whose bit is not set meet nothing and are never made into rows;
+   the length filter and the characters' parities (every deletion changes one) are part of the
    join, before any pair is made; distinct pairs get the exact LCS in lanes (``functions.similarity``);
 6. the winner per left name is one minimum by (-score, right key).
 
@@ -37,6 +39,7 @@ from itertools import combinations
 from math import comb
 
 import numpy as np
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -47,6 +50,8 @@ DEFAULT_THRESHOLD = 85
 MAX_CHECKED_LENGTH = 4096
 #: Keys that one way of meeting may give a name.
 MAX_KEYS = 600
+#: The map of one side's keys has 2 to the power of this many bits (32 MB), whatever the number of keys.
+MAP_LOG = 28
 
 
 def _tau(threshold: int, total: int) -> int:
@@ -118,15 +123,34 @@ def _keys(names: list[str], grams: list, deletions: dict[int, list[int]], bigram
     return out
 
 
-def _key_column(name: str, grams: Column, plan: tuple) -> Column:
+def _key_map(keys: DataFrame) -> np.ndarray:
+    """A bit for each value of the first ``MAP_LOG`` bits of a key: set where ``keys`` has one."""
+    word = F.shiftrightunsigned("key", 64 - MAP_LOG + 6).cast("int")
+    bit = F.expr(f"shiftleft(1L, cast(shiftrightunsigned(key, {64 - MAP_LOG}) & 63 as int))")
+    found = keys.groupBy(word.alias("word")).agg(F.bit_or(bit).alias("bits")).toArrow()
+    words = np.zeros(1 << (MAP_LOG - 6), np.uint64)
+    words[found["word"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
+    return words
+
+
+def _on_map(words: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    at = keys >> np.uint64(64 - MAP_LOG)
+    return (words[(at >> np.uint64(6)).astype(np.intp)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)
+
+
+def _key_column(name: str, grams: Column, plan: tuple, known: Broadcast | None) -> Column:
+    """The keys of each name; only those on the map ``known``, if there is one."""
     @F.arrow_udf("array<bigint>")
     def run(x, g):
         import pyarrow as pa
 
         keys = _keys(x.to_pylist(), g.to_pylist(), *plan)
-        offsets = np.concatenate([[0], np.cumsum([len(k) for k in keys])]).astype(np.int32)
-        values = np.concatenate([*keys, np.empty(0, np.uint64)]).astype(np.int64)
-        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
+        offsets = np.concatenate([[0], np.cumsum([len(k) for k in keys])]).astype(np.int64)
+        values = np.concatenate([*keys, np.empty(0, np.uint64)])
+        if known is not None:
+            met = _on_map(known.value, values)
+            values, offsets = values[met], np.concatenate([[0], np.cumsum(met)])[offsets]
+        return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(values.astype(np.int64)))
 
     return run(F.col(name), grams)
 
@@ -176,19 +200,25 @@ def fuzzy_best_match(left: DataFrame, right: DataFrame, left_key: str, right_key
 
     # Few bytes of names make many keys: their own number of parts keeps them from being dealt by those bytes,
     # and the join below from broadcasting keys for the names' size.
-    parts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spark = left.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
-    def keys(df: DataFrame, name: str, ex: DataFrame, plan: tuple, bits: str) -> DataFrame:
-        some = df.where(F.length(name).isin(list({*plan[0], *plan[1]}))).repartition(parts, name)
+    def keys(df: DataFrame, name: str, ex: DataFrame, plan: tuple, bits: str, known: Broadcast | None = None) -> DataFrame:
+        some = df.where(F.length(name).isin(list({*plan[0], *plan[1]})))
         rare = F.lit(None).cast("array<bigint>")
         if plan[1]:
             # A name's own grams only: the list is as long as the name.
             ranked = ex.join(freq, "g").groupBy(name).agg(F.sort_array(F.collect_list(F.struct("f", "g"))).alias("gs"))
             some = some.join(ranked.select(name, F.expr("transform(gs, x -> xxhash64(x.g))").alias("gs")), name, "left")
             rare = F.col("gs")
-        return some.select(name, _parities(name).alias(bits), F.explode(_key_column(name, rare, plan)).alias("key"))
-
-    pl, prr = keys(lp, "lp", both[0], lplan, "lbits"), keys(rp, "rp", both[1], rplan, "rbits")
+        some = some.select(name, rare.alias("rare")).repartition(parts, F.hash(name))
+        return some.select(name, _parities(name).alias(bits), F.explode(_key_column(name, F.col("rare"), plan, known)).alias("key"))
+
+    sides = [(lp, "lp", both[0], lplan, "lbits"), (rp, "rp", both[1], rplan, "rbits")]
+    fewer = 0 if lnames.count() < rnames.count() else 1
+    made = materialize(keys(*sides[fewer]), "fuzzy-keys")
+    met = keys(*sides[1 - fewer], spark.sparkContext.broadcast(_key_map(made)))
+    pl, prr = (met, made) if fewer else (made, met)
     total = F.length("lp") + F.length("rp")
     need = S.min_lcs_for(threshold, total)
     near = (F.least(F.length("lp"), F.length("rp")) >= need) & \

@@ -148,3 +148,24 @@ def test_keys_meet_every_match_and_hardly_anything_else():
     others = set(met) - matches
     assert len(others) < 0.02 * len(left) * len(right)  # before the character parities, the longer names' bigrams
     assert not [1 for i, j in others if max(len(left[i]), len(right[j])) <= 14]
+
+
+def test_keys_the_other_side_lacks_make_no_rows(spark):
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    from pitchspark.operators import similarity as sim
+    names = [(f"{i:06x} {i * 7919 % 99991:07d}",) for i in range(400)]
+    plan = sim._meetings(85, [14], [14])
+    none = F.lit(None).cast("array<bigint>")
+    df = spark.createDataFrame(names, "name string")
+    few = df.where("name < '00000a'").select(F.explode(sim._key_column("name", none, plan, None)).alias("key"))
+    words = sim._key_map(few)
+    known = np.array([r.key for r in few.collect()], np.int64).view(np.uint64)
+    assert len(known) and sim._on_map(words, known).all()
+    assert sim._on_map(words, np.random.default_rng(1).integers(0, 2**64 - 1, 10_000, np.uint64)).mean() < 0.01
+    every = {r.name: set(r.k) for r in df.select("name", sim._key_column("name", none, plan, None).alias("k")).collect()}
+    met = {r.name: set(r.k) for r in df.select("name", sim._key_column("name", none, plan, spark.sparkContext.broadcast(words)).alias("k")).collect()}
+    wanted = set(known.view(np.int64).tolist())
+    assert all(every[n] & wanted <= met[n] <= every[n] for n in every)
+    assert sum(map(len, met.values())) < sum(map(len, every.values())) / 2
