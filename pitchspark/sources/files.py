@@ -54,11 +54,13 @@ def read_keyed(spark: SparkSession, path: str, schema: T.StructType | str, key_c
 def file_label(folder: bool = False) -> Column:
     """The name of a row's file or, as ``write_partitioned`` lays tables out, the key in the name of its folder.
 
-    It depends on the file alone, so a filter on it drops files when they are listed.
+    It depends on the file alone, so a filter on it drops files when they are listed. Spark also applies the filter to
+    every row, so it takes a cut of the path and no search by pattern.
     """
     if not folder:
         return F.col("_metadata.file_name")
-    return F.regexp_extract(F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))), r"([^/=]+)/[^/]+$", 1)
+    key = F.substring_index(F.substring_index(F.substring_index("_metadata.file_path", "/", -2), "/", 1), "=", -1)
+    return F.when(F.contains(key, F.lit("%")), F.url_decode(F.replace(key, F.lit("+"), F.lit("%2B")))).otherwise(key)
 
 
 @dataclass
@@ -97,11 +99,13 @@ def read_reconciled(spark: SparkSession, path: str, value: str = "rating",
     """
     label = file_label(folder)
     wanted_file = only(label) if only else F.lit(True)
+    marked_line = F.startswith("value", F.lit("\ufeff")) | F.contains("value", F.lit("\r"))
     lines = (spark.read.option("recursiveFileLookup", True).option("ignoreCorruptFiles", True).text(path).where(wanted_file)
-             .select(F.col("_metadata.file_path").alias("_file"), label.alias("source_file"),
-                     F.col("_metadata.file_block_start").alias("_start"), F.regexp_replace("value", "^\\ufeff|\r$", "").alias("line")))
-    # The first row of a file's first block: one task reads the block in order.
-    heads = lines.where("_start = 0").groupBy("_file", "source_file").agg(F.first("line").alias("header"))
+             .select(F.col("_metadata.file_path").alias("_file"), F.col("_metadata").alias("_metadata"), F.col("_metadata.file_block_start").alias("_start"),
+                     F.when(marked_line, F.regexp_replace("value", "^\\ufeff|\r$", "")).otherwise(F.col("value")).alias("line")))
+    # The first row of a file's first block: one task reads the block in order. The label is made once a file, not for every line.
+    heads = lines.where("_start = 0").groupBy("_file").agg(F.first("line").alias("header"), F.first(F.struct("_metadata.file_path", "_metadata.file_name")).alias("_metadata"))
+    heads = heads.withColumn("source_file", label).drop("_metadata")
     heads = heads.withColumn("_names", F.transform(F.split("header", ","), lambda h: F.trim(F.trim(h), F.lit('"'))))
 
     def place(exact: list[str], markers: list[str]) -> Column:
@@ -114,7 +118,8 @@ def read_reconciled(spark: SparkSession, path: str, value: str = "rating",
     wanted = place(RATING_HEADERS, []) if value == "rating" else place([], MINUTE_MARKERS)
     heads = heads.withColumns({"_name": place(NAME_HEADERS, []), "_value": wanted, "_n": F.size("_names")})
     known = F.col("_name").isNotNull() & F.col("_value").isNotNull()
-    rows = lines.join(heads.where(known).drop("source_file"), "_file").where("line <> header and line <> ''")
+    # One row a file, fewer than the listing that the driver holds already: lines are not shuffled by their few files.
+    rows = lines.select("_file", "line").join(F.broadcast(heads.where(known)), "_file").where("line <> header and line <> ''")
     # Through a generator, so a line is parsed once whatever later steps filter or compute on its fields.
     rows = rows.select("source_file", "line", "_name", "_value", "_n", F.explode_outer(F.array(csv_fields("line"))).alias("_fields"))
     good = F.size("_fields") == F.col("_n")

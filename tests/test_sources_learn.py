@@ -163,3 +163,21 @@ def test_grid_search_on_stratified_folds(spark):
     best = ml.tune(split.where(~F.col("is_test")), ["x1"], {"maxIter": [2, 3]}, folds=5, parallelism=2)
     preds = ml.score(best, split.where(F.col("is_test")), ["x1"])
     assert preds.count() == 60
+
+
+def test_file_label_is_made_once_a_file(spark):
+    d = _scratch(spark)
+    keys = ["usa mls+2025.csv", "a=b 50%.csv", "\u00e9t\u00e9.csv", "plain.csv"]
+    rows = spark.createDataFrame([(k, f"{k[0]}{i}", str(i)) for k in keys for i in range(3)], "file string, player string, rating string")
+    files.write_partitioned(rows, f"{d}/t", "file", "csv")
+    rec = files.read_reconciled(spark, f"{d}/t", "rating", folder=True)
+    pattern = F.regexp_extract(F.url_decode(F.replace("_metadata.file_path", F.lit("+"), F.lit("%2B"))), r"([^/=]+)/[^/]+$", 1)  # as a pattern would find it
+    expected = {r[0] for r in spark.read.option("recursiveFileLookup", True).text(f"{d}/t").select(pattern).distinct().collect()}
+    got = rec.data.collect()
+    assert {r.source_file for r in got} == expected and len(got) == 12 and "usa mls+2025.csv" in expected
+    plan = rec.data._jdf.queryExecution().optimizedPlan().toString()
+    # The label is cut from the path above the aggregate of one row a file, never for the lines; nothing searches by pattern.
+    assert "regexp_extract(" not in plan
+    lines, heads = plan[: plan.index("Aggregate")], plan[plan.index("Aggregate") :]
+    assert lines.count("substring_index") > 0 and "substring_index" not in heads
+    assert "file_path" in heads and "Generate" in lines
