@@ -33,8 +33,8 @@ def stratified_split(df: DataFrame, label: str, key: str, test_share: float = TE
     the rows of the classes before.
     """
     placed = running_total(df.withColumn("_u", uniform(seed, F.col(key))), [F.col(label), F.col("_u"), F.col(key)], "_place")
-    # One row per class; nulls are a class of their own and sort first, as in the order above.
-    classes = df.groupBy(F.col(label).alias("_class")).agg(F.count(F.lit(1)).alias("_nc"))
+    # One row per class, counted from the written rows; nulls are a class of their own and sort first, as in the order above.
+    classes = placed.groupBy(F.col(label).alias("_class")).agg(F.count(F.lit(1)).alias("_nc"))
     before = Window.orderBy("_class").rowsBetween(Window.unboundedPreceding, -1)
     classes = classes.withColumn("_off", F.coalesce(F.sum("_nc").over(before), F.lit(0)))
     out = (placed.join(classes, F.col(label).eqNullSafe(F.col("_class")))

@@ -15,16 +15,26 @@ def running_total(df: DataFrame, order: list[Column], out: str, weight: Column |
     ``spark.sql.shuffle.partitions`` says, the setting that follows the data,
     and written once, so both uses below see the same parts. The parts' totals
     (one row per part, so the broadcast is bounded by that setting) give each
-    part's offset, a window inside the part the rest. ``order`` should end in a
-    key: equal rows cannot be split.
+    part's offset. Inside a part, positions are numbered when it is written, in its order, so rows are shuffled
+    once; sums of weights come from a window. ``order`` should end in a key: equal rows cannot be split.
+    ``df`` is read twice, for the ranges and for the rows.
     """
     spark = df.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    placed = (df.withColumn("_w", F.lit(1).cast("long") if weight is None else weight)
-              .repartitionByRange(parts, *order).withColumn("_part", F.spark_partition_id()))
-    placed = materialize(placed, "running-total")
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = placed.groupBy("_part").agg(F.sum("_w").alias("_sum")).select("_part", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_off"))
+
+    def offsets(placed: DataFrame, total: Column) -> DataFrame:
+        sums = placed.groupBy("_part").agg(total.alias("_sum"))
+        return F.broadcast(sums.select("_part", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_off")))
+
+    if weight is None:
+        # The id's upper bits are the part, its lower ones count the part's rows from 0.
+        placed = df.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("_id", F.monotonically_increasing_id())
+        placed = materialize(placed.withColumn("_part", F.shiftright("_id", 33)), "running-total")
+        inside = F.col("_id").bitwiseAND(F.lit((1 << 33) - 1)) + 1
+        return placed.join(offsets(placed, F.count(F.lit(1))), "_part").withColumn(out, F.col("_off") + inside).drop("_part", "_id", "_off")
+    placed = (df.withColumn("_w", weight).repartitionByRange(parts, *order).withColumn("_part", F.spark_partition_id()))
+    placed = materialize(placed, "running-total")
     inside = Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return (placed.join(F.broadcast(offsets), "_part").withColumn(out, F.col("_off") + F.sum("_w").over(inside))
+    return (placed.join(offsets(placed, F.sum("_w")), "_part").withColumn(out, F.col("_off") + F.sum("_w").over(inside))
             .drop("_part", "_w", "_off"))

@@ -110,7 +110,7 @@ def _last(rows: DataFrame) -> DataFrame:
 
 def _pooled(team: str) -> Column:
     """A team's key inside its pool; the pool's length keeps different pairs apart."""
-    return F.concat(F.length("_pool").cast("string"), F.lit("|"), F.col("_pool"), F.lit("|"), F.col(team))
+    return F.concat(F.length("component").cast("string"), F.lit("|"), F.col("component"), F.lit("|"), F.col(team))
 
 
 def _sliced(matches: DataFrame, slice_rows: int) -> tuple[DataFrame, int]:
@@ -137,7 +137,7 @@ def _sliced(matches: DataFrame, slice_rows: int) -> tuple[DataFrame, int]:
 def _sliced_fold(prepared: DataFrame, slice_rows: int, pool: str | None) -> DataFrame:
     if pool:
         terms = _terms(prepared, F.coalesce(F.col(pool).cast("string"), F.lit("")).alias("_pool"))
-        matches = materialize(terms.withColumn("_a", _pooled("_a")).withColumn("_b", _pooled("_b")).withColumnRenamed("_pool", "component"), "elo-matches")
+        matches = terms.withColumnRenamed("_pool", "component")
     else:
         matches = materialize(_terms(prepared), "elo-matches")
         of = components(matches.select(F.col("_a").alias("a"), F.col("_b").alias("b")))
@@ -146,6 +146,8 @@ def _sliced_fold(prepared: DataFrame, slice_rows: int, pool: str | None) -> Data
     start = F.lit(E.INITIAL_RATING)
     if slices == 1:
         return matches.withColumn("ra0", start).withColumn("rb0", start).groupBy("component").applyInPandas(_fold, FOLD_SCHEMA).select(_RESULT)
+    if pool:  # the state has the teams of all pools
+        matches = matches.withColumn("_a", _pooled("_a")).withColumn("_b", _pooled("_b"))
     state = prepared.sparkSession.createDataFrame([], "team string, rating double")
     done = None
     for i in range(slices):
@@ -169,7 +171,8 @@ def elo_ratings(prepared: DataFrame, pool: str | None = None, slice_rows: int =
 
     ``prepared`` comes from :func:`prepare_matches`. The groups of ``pool``, or else
     the connected components, are folded in parallel, each in slices of about
-    ``slice_rows`` matches.
+    ``slice_rows`` matches. With ``pool``, ``prepared`` is read twice, for the groups' sizes and their
+    matches: it should come from a written table.
     """
     return _sliced_fold(prepared, slice_rows, pool)
 

@@ -71,9 +71,14 @@ def training_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
                       *[_r(f"delta_{f}") for f in ENTITY_FEATURES], "is_neutral", "days_ago", _r("match_weight"))
 
 
-def _elo(spark: SparkSession, sf_dir: str, pool: str | None = "pool"):
+def _matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The matches, written once for queries that read them several times."""
+    return materialize(fixture(spark, sf_dir, "fx_matches"), "matches")
+
+
+def _elo(spark: SparkSession, sf_dir: str, pool: str | None = "pool", matches: DataFrame | None = None):
     """Match history with ratings; the teams of different pools never meet."""
-    prepared = rt.prepare_matches(fixture(spark, sf_dir, "fx_matches"))
+    prepared = rt.prepare_matches(_matches(spark, sf_dir) if matches is None else matches)
     return rt.elo_history(prepared, rt.elo_ratings(prepared, pool=pool, slice_rows=POOL_SLICE_ROWS if pool else ELO_SLICE_ROWS))
 
 
@@ -105,8 +110,8 @@ def elo_top15(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rt.leaderboard_head(board, 15).select("team", _r("elo_rating"))
 
 
-def _match_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = fixture(spark, sf_dir, "fx_matches")
+def _match_outcomes(spark: SparkSession, sf_dir: str, matches: DataFrame | None = None) -> DataFrame:
+    m = fixture(spark, sf_dir, "fx_matches") if matches is None else matches
     from pitchspark.functions.elo import outcome_label
     return m.withColumn("outcome", outcome_label("home_score", "away_score"))
 
@@ -126,8 +131,9 @@ def wild_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def standings_by_rating(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Positions with ties broken by the final rating."""
-    ratings = rt.final_ratings(_elo(spark, sf_dir)).select("team", _r("elo_rating"))
-    table = st.points_table(_match_outcomes(spark, sf_dir), ["pool"]).join(ratings, "team")
+    matches = _matches(spark, sf_dir)
+    ratings = rt.final_ratings(_elo(spark, sf_dir, matches=matches)).select("team", _r("elo_rating"))
+    table = st.points_table(_match_outcomes(spark, sf_dir, matches), ["pool"]).join(ratings, "team")
     ranked = st.rank_in_group(table, ["pool"], [F.col("points").desc(), F.col("elo_rating").desc(), F.col("team").asc()])
     return ranked.select("pool", "team", "points", "elo_rating", "position")
 
@@ -282,9 +288,9 @@ def master_training(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def training_with_elo(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Training matrix with the pre-match ratings attached."""
-    matches = fixture(spark, sf_dir, "fx_matches")
+    matches = _matches(spark, sf_dir)
     tm = pr.training_matrix(matches, fixture(spark, sf_dir, "fx_team"), "team", ENTITY_FEATURES)
-    hist = _elo(spark, sf_dir).select("match_id", "elo_a", "elo_b", "delta_elo")
+    hist = _elo(spark, sf_dir, matches=matches).select("match_id", "elo_a", "elo_b", "delta_elo")
     out = tm.join(hist, "match_id")
     return out.select("match_id", "target", *[_r(f"delta_{f}") for f in ENTITY_FEATURES], "is_neutral",
                       _r("match_weight"), _r("elo_a"), _r("elo_b"), _r("delta_elo"))
@@ -317,8 +323,11 @@ MODEL_FEATURES = [f"delta_{f}" for f in ENTITY_FEATURES] + ["delta_elo", "is_neu
 
 
 def _model_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tm = pr.training_matrix(fixture(spark, sf_dir, "fx_matches"), fixture(spark, sf_dir, "fx_team"), "team", ENTITY_FEATURES)
-    return tm.join(_elo(spark, sf_dir).select("match_id", "delta_elo"), "match_id")
+    """Training rows with what the models read, written once: a split reads them twice, and each reading would fold the ratings again."""
+    matches = _matches(spark, sf_dir)
+    tm = pr.training_matrix(matches, fixture(spark, sf_dir, "fx_team"), "team", ENTITY_FEATURES)
+    rows = tm.join(_elo(spark, sf_dir, matches=matches).select("match_id", "delta_elo"), "match_id")
+    return materialize(rows.select("match_id", "target", *MODEL_FEATURES, "match_weight"), "model-rows")
 
 
 def _metrics(*named) -> list:
@@ -410,7 +419,7 @@ def importance(spark: SparkSession, sf_dir: str) -> DataFrame:
 def inspect_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A registered run reloaded, split again and scored again (M6): its metrics must be those stored."""
     from pitchspark.operators import learn as ml
-    rows = materialize(_model_rows(spark, sf_dir), "model-rows")
+    rows = _model_rows(spark, sf_dir)
     split = ml.weighted_split(rows, "match_id", "target")
     model = ml.fit(split.where("not is_test"), MODEL_FEATURES, "target", "train_weight", "logreg")
     acc = ev.accuracy(ml.score(model, split.where("is_test"), MODEL_FEATURES), "target").first().accuracy

@@ -181,3 +181,23 @@ def test_file_label_is_made_once_a_file(spark):
     lines, heads = plan[: plan.index("Aggregate")], plan[plan.index("Aggregate") :]
     assert lines.count("substring_index") > 0 and "substring_index" not in heads
     assert "file_path" in heads and "Generate" in lines
+
+
+def test_model_rows_and_matches_are_written_once(spark):
+    from pitchspark.plans import catalog
+    small = "/root/testdata/sf0.001"
+    rows = catalog._model_rows(spark, small)
+    assert "FlatMapGroupsInPandas" not in rows._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(rows.columns) == sorted(["match_id", "target", *catalog.MODEL_FEATURES, "match_weight"])
+    for query in (catalog.standings_by_rating, catalog.elo_history):
+        assert not [f for f in query(spark, small).inputFiles() if f.endswith("orders.parquet")]
+
+
+def test_positions_are_numbered_without_a_second_shuffle(spark):
+    from pitchspark.operators.numbering import running_total
+    df = spark.range(1000).select((F.col("id") % 7).alias("k"), "id")
+    out = running_total(df, [F.col("k"), F.col("id")], "p")
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window") == 1  # over the parts' totals only
+    expected = {r: i for i, r in enumerate(sorted((i % 7, i) for i in range(1000)), 1)}
+    assert {(r.k, r.id): r.p for r in out.collect()} == expected
