@@ -83,11 +83,11 @@ def _fold(pdf: pd.DataFrame) -> pd.DataFrame:
         ratings[tb[i]] = rb - x
         pre_a[i], pre_b[i], post_a[i], post_b[i] = ra, rb, ra + x, rb - x
     return pd.DataFrame({"match_id": pdf["match_id"].to_numpy(), "_t": pdf["_t"].to_numpy(), "_a": ta, "_b": tb,
-                         "elo_a": pre_a, "elo_b": pre_b, "post_a": post_a, "post_b": post_b})
+                         "elo_a": pre_a, "elo_b": pre_b, "post_a": post_a, "post_b": post_b, "_nth": range(n)})
 
 
-FOLD_SCHEMA = "match_id long, _t long, _a string, _b string, elo_a double, elo_b double, post_a double, post_b double"
-_RESULT = ["match_id", "elo_a", "elo_b", "post_a", "post_b"]
+FOLD_SCHEMA = "match_id long, _t long, _a string, _b string, elo_a double, elo_b double, post_a double, post_b double, _nth long"
+_RESULT = ["match_id", "elo_a", "elo_b", "post_a", "post_b", "_nth"]
 
 
 def _team_key(c: str) -> Column:
@@ -167,7 +167,7 @@ def _sliced_fold(prepared: DataFrame, slice_rows: int, pool: str | None) -> Data
 
 
 def elo_ratings(prepared: DataFrame, pool: str | None = None, slice_rows: int = SLICE_ROWS) -> DataFrame:
-    """Ratings around each match: ``match_id, elo_a, elo_b, post_a, post_b``.
+    """Ratings around each match: ``match_id, elo_a, elo_b, post_a, post_b, _nth`` (its place in its fold).
 
     ``prepared`` comes from :func:`prepare_matches`. The groups of ``pool``, or else
     the connected components, are folded in parallel, each in slices of about
@@ -180,14 +180,14 @@ def elo_ratings(prepared: DataFrame, pool: str | None = None, slice_rows: int =
 def elo_history(prepared: DataFrame, folded: DataFrame) -> DataFrame:
     """Match rows with the rating of each side before the match."""
     return (prepared.drop("s", "h", "k", "g_raw")
-                    .join(folded.select("match_id", "elo_a", "elo_b", "post_a", "post_b"), "match_id")
+                    .join(folded.select(_RESULT), "match_id")
                     .withColumn("delta_elo", F.col("elo_a") - F.col("elo_b")))
 
 
 def final_ratings(history: DataFrame, date_col: str = "date", entity: str = "team") -> DataFrame:
-    """Rating after each entity's last match and that match's date."""
+    """Rating after each entity's last match and that match's date (A8); of matches of one id, the one folded first counts."""
     def side(team: str, post: str, n: int) -> Column:
-        return F.struct(F.col(team).alias(entity), F.struct("_t", "match_id", F.lit(n)).alias("_at"), F.col(date_col).alias("_d"), F.col(post).alias("_r"))
+        return F.struct(F.col(team).alias(entity), F.struct("_t", "match_id", F.lit(n), (-F.col("_nth")).alias("_nth")).alias("_at"), F.col(date_col).alias("_d"), F.col(post).alias("_r"))
 
     # Both sides from one row: the fold below runs once.
     sides = history.select(F.explode(F.array(side("team_a", "post_a", 0), side("team_b", "post_b", 1))).alias("_x")).select("_x.*")

@@ -178,3 +178,17 @@ def test_leaderboard(spark):
         assert abs(final[t] - v) < 1e-9
     head = rt.leaderboard_head(rt.active_leaderboard(rt.final_ratings(hist), "2000-01-01"), 5).collect()
     assert len(head) == 5 and head[0].elo_rating == max(want.values())
+
+
+def test_the_first_of_matches_of_one_id_gives_the_final_rating(spark):
+    import datetime as dt
+    day = dt.datetime(2020, 1, 1)
+    rows = [(1, "p", day, "A", "B", 2, 0, "Friendly", True)] * 2 + [(2, "p", day + dt.timedelta(1), "C", "B", 1, 1, "Friendly", True)]
+    df = spark.createDataFrame(rows, "match_id long, pool string, date timestamp, team_a string, team_b string, home_score int, away_score int, tournament string, neutral boolean")
+    prepared = rt.prepare_matches(df)
+    for side in (prepared, prepared.hint("merge"), prepared.hint("broadcast")):  # however the join runs
+        folded = rt.elo_ratings(prepared, pool="pool")
+        first = folded.where("match_id = 1").orderBy("_nth").first()
+        assert folded.where("match_id = 1").orderBy(F.desc("_nth")).first().post_a > first.post_a
+        final = {r.team: r.elo_rating for r in rt.final_ratings(rt.elo_history(side, folded)).collect()}
+        assert final["A"] == first.post_a
