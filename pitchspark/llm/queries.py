@@ -87,9 +87,9 @@ def tokens_of(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json") -> DataFram
     import public_tokenizers
 
     path = public_tokenizers.path(tokenizer)
-    ids = written(token_ids.encode_ids(docs, path, keep=["doc_id"]), "token-ids")
+    ids = written(token_ids.encode_ids(docs, path, keep=["doc_id"], counts="counts"), "token-ids")
     folder = shared_path(docs.sparkSession, "token-files")
-    token_ids.write_tokens(ids, folder, token_ids.id_kind(path))
+    token_ids.write_tokens(ids, folder, token_ids.id_kind(path), counts="counts")
     return token_ids.read_tokens(docs.sparkSession, folder)
 
 

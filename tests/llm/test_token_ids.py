@@ -127,3 +127,36 @@ def test_one_repeated_id_is_split_over_files(spark):
     n = got[0].n_tokens
     assert sorted(r.start for r in got) == [i * n for i in range(400)]
     assert spark.read.format("binaryFile").load(f"{path}/blocks").count() > 8
+
+
+def test_words_and_signs_are_pieces_of_their_own():
+    """Cuts inside a piece between spaces change no ids, whatever stands around them, and a word is learnt once."""
+    rnd = random.Random(4)
+    bits = [*"abzA09 \n\t\r'._-!\"\x7f\x0b\x1c×÷éÿſрѿҀ҂ 　…²日", "'s", "'ll", "'re", "\n\n", "  ", " the", "don't"]
+    t = token_ids.ChunkTokenizer(PATH)
+    texts = ["".join(rnd.choice(bits) for _ in range(rnd.randint(0, 12))) for _ in range(20_000)]
+    got = [ids[a:b].tolist() for ids, ends in t.encode([x.encode() for x in texts], np.array([0], t.kind)) for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+    assert got == [[*e.ids, 0] for e in t.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    t = token_ids.ChunkTokenizer(PATH)
+    for x in (" a word", " word.", " word,\nword", " (word) word!", " word?"):
+        next(t.encode([x.encode()], np.array([0], t.kind)))
+    assert len(t.known.one) == 10  # " a", " word", ".", ",", "\n", "word", " (", ")", "!", "?"
+
+
+def test_counts_come_with_the_ids(spark):
+    docs = spark.createDataFrame([(i, f"some words {i % 7} of text {i}" * (i % 3)) for i in range(60)], "doc_id long, text string").repartition(4)
+    ids = written(token_ids.encode_ids(docs, PATH, keep=["doc_id"], counts="counts"), "t-ids")
+    kind = token_ids.id_kind(PATH)
+    assert ids.where(F.col("counts").isNotNull()).count() <= 4
+    assert (token_ids.count_ids(ids, kind) == token_ids.count_ids(ids, kind, counts="counts")).all()
+
+
+def test_documents_are_coded_once(spark):
+    """Bounds come from the keys, so that no second pass codes the documents to sample them."""
+    keys = spark.range(1000).select(F.when(F.col("id") >= 100, F.col("id") % 300).alias("doc_id"), F.col("id").alias("tie"))
+    bounds = token_ids.key_bounds(keys, 4)
+    rows = sorted((r.doc_id is not None, r.doc_id or 0, r.tie) for r in keys.collect())
+    assert bounds == [rows[250], rows[500], rows[750]]
+    assert token_ids.key_bounds(keys.limit(0), 4) == [] and token_ids.key_bounds(keys, 1) == []
+    big = token_ids.key_bounds(spark.range(100_000).select(F.col("id").alias("doc_id"), F.col("id").alias("tie")), 5)
+    assert all(abs(b[1] - 20_000 * (i + 1)) < 5_000 for i, b in enumerate(big))
