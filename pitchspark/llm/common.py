@@ -178,3 +178,35 @@ def flat(column) -> tuple[np.ndarray, np.ndarray]:
     offsets = np.frombuffer(column.buffers()[1], kind)[column.offset : column.offset + len(column) + 1].astype(np.int64)
     data = np.frombuffer(column.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
     return data, offsets - offsets[0]
+
+
+#: A map of numbers has at most 2 to the power of this many bits (32 MB), however many numbers there are.
+MAP_LOG = 28
+
+
+def number_map(numbers: DataFrame) -> np.ndarray:
+    """Words of bits, one set for each number of the only column of a written table: some 16 bits a number, up to ``MAP_LOG``."""
+    log = min(MAP_LOG, max(12, (16 * numbers.count()).bit_length()))
+
+    def run(batches):
+        import pyarrow as pa
+
+        found = np.zeros(1 << (log - 6), np.uint64)
+        for batch in batches:
+            at = mix(batch.column(0).to_numpy().view(np.uint64)) >> np.uint64(64 - log)
+            np.bitwise_or.at(found, (at >> np.uint64(6)).astype(np.intp), np.uint64(1) << (at & np.uint64(63)))
+        used = np.flatnonzero(found)
+        for a in range(0, len(used), 1 << 16):
+            part = used[a : a + (1 << 16)]
+            yield pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), pa.array(found[part].view(np.int64), pa.int64())], ["word", "bits"])
+
+    rows = numbers.mapInArrow(run, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
+    words = np.zeros(1 << (log - 6), np.uint64)
+    words[rows["word"].to_numpy()] = rows["bits"].to_numpy().view(np.uint64)
+    return words
+
+
+def on_map(words: np.ndarray, numbers: np.ndarray) -> np.ndarray:
+    """Whether each 64-bit number may be on the map: true for all that are, and by chance for few others."""
+    at = mix(numbers.view(np.uint64)) >> np.uint64(64 - (64 * len(words)).bit_length() + 1)
+    return (words[(at >> np.uint64(6)).astype(np.intp)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)

@@ -18,9 +18,10 @@ and union-find joins the links. Of each component the first line by document id,
 line number and row stays, all others are dropped.
 
 One map makes nodes and bands of all lines and writes them; keys that one node
-alone has - most - leave at the aggregate that follows. A second map finds the texts of the
+alone has - most - leave at the aggregate that follows, and a map of bits of the others, of bounded size, keeps
+them from being made into rows again. A second map finds, by such a map of their nodes, the texts of the
 lines that share a key and writes them with what the bounds need; verification reads this
-table alone. A hot line is one node, a hot key's rows can be split. Blank lines are no lines and stay.
+table alone. Once the open keys have few pairs, these are compared without further rounds. A hot line is one node, a hot key's rows can be split. Blank lines are no lines and stay.
 Lines shorter than a shingle have only equal copies. Null and empty texts have
 no lines; repeated rows lose the lines of all but one; null ids come first;
 empty tables give empty results.
@@ -34,11 +35,13 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, mix, powers, small, written
+from .common import chunks, flat, mix, number_map, on_map, powers, small, texts_of, written
 from .links import components, linked
 
 SHINGLE, PERCENT = 8, 80
 BANDS, ROWS = 12, 5
+#: So many pairs a line are compared in less time than another round of leaders takes (about 0.5 us a pair, 30 us a member).
+FEW = 50
 _BINS = BANDS * ROWS
 _EMPTY = np.uint64(2**64 - 1)
 #: Words of 64 cells whose parities bound a difference.
@@ -71,7 +74,20 @@ def _running(lines: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
 
 def whole_hashes(lines: list[str]) -> np.ndarray:
     """A 64-bit hash of each whole line."""
-    return np.frombuffer(b"".join(blake2b(x.encode(), digest_size=8).digest() for x in lines), dtype="<u8")
+    return _byte_hashes([x.encode() for x in lines])
+
+
+def _byte_hashes(lines: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join([blake2b(x, digest_size=8).digest() for x in lines]), dtype="<u8")
+
+
+def _byte_lines(text: bytes) -> list[tuple[int, bytes]]:
+    """``lines_of`` a text in UTF-8, in UTF-8."""
+    return [(i, b" ".join(words)) for i, x in enumerate(text.lower().split(b"\n")) if (words := x.split())]
+
+
+def _has_shingle(line: bytes) -> bool:
+    return len(line) >= SHINGLE and (line.isascii() or len(line.decode()) >= SHINGLE)
 
 
 class Shingles:
@@ -124,9 +140,9 @@ class Shingles:
 
 
 def line_nodes(df: DataFrame, doc_id: str = "doc_id", text: str = "text", row: str | None = None) -> DataFrame:
-    """One row per input row: doc_id, row (a number of its own, by default made here), lines (array of line_no, node) and fresh (array of node, bands).
+    """One row per input row: doc_id, row (a number of its own, by default made here), lines (array of line_no, node) and fresh.
 
-    ``fresh`` has the band keys of the lines that the task had not met before.
+    ``fresh`` has the node and the ``BANDS`` keys of each line that the task had not met before, as 64-bit numbers in one binary value.
     """
 
     def run(batches):
@@ -134,52 +150,54 @@ def line_nodes(df: DataFrame, doc_id: str = "doc_id", text: str = "text", row: s
 
         done: set[int] = set()
         line = pa.struct([("line_no", pa.int32()), ("node", pa.int64())])
-        band = pa.struct([("node", pa.int64()), ("bands", pa.list_(pa.int64(), BANDS))])
         for batch in batches:
-            texts = batch.column(2).to_pylist()
-            for a, b in chunks([(t or "").encode() for t in texts], 1 << 18):
-                per_text = [lines_of(t) for t in texts[a:b]]
+            texts = texts_of(batch.column(2))
+            for a, b in chunks(texts, 1 << 18):
+                per_text = [_byte_lines(t) for t in texts[a:b]]
                 flat = [x for lines in per_text for _, x in lines]
-                nodes = whole_hashes(flat).view(np.int64).tolist()
+                nodes = _byte_hashes(flat).view(np.int64).tolist()
                 new = {}
                 for i, (node, x) in enumerate(zip(nodes, flat, strict=True)):
-                    if len(x) >= SHINGLE and node not in done:
+                    if node not in done and _has_shingle(x):
                         done.add(node)
                         new[i] = node
-                keys = Shingles([flat[i] for i in new]).bands().view(np.int64) if new else np.zeros((0, BANDS), np.int64)
+                keys = Shingles([flat[i].decode() for i in new]).bands().view(np.int64) if new else np.zeros((0, BANDS), np.int64)
                 ends = np.cumsum([0, *map(len, per_text)])
                 fresh_ends = np.searchsorted(np.fromiter(new, dtype=np.int64, count=len(new)), ends)
                 lines = pa.StructArray.from_arrays([pa.array([n for x in per_text for n, _ in x], pa.int32()), pa.array(nodes, pa.int64())], fields=list(line))
-                bands = pa.FixedSizeListArray.from_arrays(pa.array(keys.ravel(), pa.int64()), BANDS)
-                fresh = pa.StructArray.from_arrays([pa.array(list(new.values()), pa.int64()), bands], fields=list(band))
+                fresh = np.column_stack((np.fromiter(new.values(), np.int64, len(new)), keys))
+                offsets = (fresh.itemsize * (1 + BANDS) * fresh_ends).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), lines),
-                    pa.ListArray.from_arrays(pa.array(fresh_ends, pa.int32()), fresh).cast(
-                        pa.list_(pa.struct([("node", pa.int64()), ("bands", pa.list_(pa.int64()))])))], ["doc_id", "row", "lines", "fresh"])
+                    pa.Array.from_buffers(pa.binary(), b - a, [None, pa.py_buffer(offsets), pa.py_buffer(fresh)])], ["doc_id", "row", "lines", "fresh"])
 
     return (df.select(F.col(doc_id).cast("long"), F.col(row).cast("long") if row else F.monotonically_increasing_id(), F.col(text).cast("string"))
-            .mapInArrow(run, "doc_id long, row long, lines array<struct<line_no:int,node:long>>, fresh array<struct<node:long,bands:array<long>>>"))
+            .mapInArrow(run, "doc_id long, row long, lines array<struct<line_no:int,node:long>>, fresh binary"))
 
 
-def line_texts(texts: DataFrame) -> DataFrame:
-    """node, line (normal form) of the lines of ``t`` that may have bands, each once per task."""
+def line_texts(texts: DataFrame, nodes: DataFrame) -> DataFrame:
+    """node, line (normal form) of the lines of ``t`` whose node may be among ``nodes`` (written), each once per task."""
+    wanted = texts.sparkSession.sparkContext.broadcast(number_map(nodes))
 
     def run(batches):
         import pyarrow as pa
 
         done: set[int] = set()
         for batch in batches:
-            values = batch.column(0).to_pylist()
-            for a, b in chunks([(t or "").encode() for t in values], 1 << 18):
-                lines = [x for t in values[a:b] for _, x in lines_of(t) if len(x) >= SHINGLE]
+            values = texts_of(batch.column(0))
+            for a, b in chunks(values, 1 << 18):
+                lines = [x for t in values[a:b] for _, x in _byte_lines(t)]
                 if not lines:
                     continue
+                hashes = _byte_hashes(lines).view(np.int64)
                 new = {}
-                for node, x in zip(whole_hashes(lines).view(np.int64).tolist(), lines, strict=True):
-                    if node not in done:
+                for i in np.flatnonzero(on_map(wanted.value, hashes)).tolist():
+                    node = int(hashes[i])
+                    if node not in done and _has_shingle(lines[i]):
                         done.add(node)
-                        new[node] = x
-                yield pa.RecordBatch.from_arrays([pa.array(list(new), pa.int64()), pa.array(list(new.values()), pa.string())], ["node", "line"])
+                        new[node] = lines[i].decode()
+                if new:
+                    yield pa.RecordBatch.from_arrays([pa.array(list(new), pa.int64()), pa.array(list(new.values()), pa.string())], ["node", "line"])
 
     return texts.select("t").mapInArrow(run, "node long, line string")
 
@@ -225,12 +243,80 @@ def _possible(percent: int):
     return condition
 
 
+def _bands_of(column) -> tuple[np.ndarray, np.ndarray]:
+    """Keys and nodes of ``fresh``, one behind the other."""
+    fresh = flat(column)[0].view(np.int64).reshape(-1, 1 + BANDS)
+    return fresh[:, 1:].ravel(), np.repeat(fresh[:, 0], BANDS)
+
+
+def shared_keys(per_row: DataFrame) -> DataFrame:
+    """key: those that more than one node has in ``fresh``.
+
+    Keys and nodes are shuffled in blocks, a row for each partition and batch; a task holds the distinct keys of its partition.
+    """
+    parts = int(per_row.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def blocks(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            key, node = _bands_of(batch.column(0))
+            part = ((mix(key.view(np.uint64)) >> np.uint64(32)) % np.uint64(parts)).astype(np.int64)
+            order = np.argsort(part.astype(np.min_scalar_type(parts)), kind="stable")
+            counts = np.bincount(part, minlength=parts)
+            used = np.flatnonzero(counts)
+            offsets = np.concatenate(([0], 16 * np.cumsum(counts[used]))).astype(np.int64)
+            data = pa.py_buffer(np.column_stack((key[order], node[order])))
+            block = pa.Array.from_buffers(pa.large_binary(), len(used), [None, pa.py_buffer(offsets), data])
+            yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), block.cast(pa.binary())], ["part", "block"])
+
+    def merged(held: list[tuple]) -> tuple:
+        key, low, high = (np.concatenate(x) for x in zip(*held, strict=True))
+        if not len(key):
+            return key, low, high
+        order = np.argsort(key)
+        key = key[order]
+        first = np.concatenate(([0], np.flatnonzero(key[1:] != key[:-1]) + 1))
+        return key[first], np.minimum.reduceat(low[order], first), np.maximum.reduceat(high[order], first)
+
+    def run(batches):
+        import pyarrow as pa
+
+        held, size, distinct = [(np.zeros(0, np.int64),) * 3], 0, 0
+        for batch in batches:
+            pairs = flat(batch.column(1))[0].view(np.int64).reshape(-1, 2)
+            held.append((pairs[:, 0], pairs[:, 1], pairs[:, 1]))
+            size += len(pairs)
+            if size > max(1 << 20, distinct):
+                held, size = [merged(held)], 0
+                distinct = len(held[0][0])
+        key, low, high = merged(held)
+        yield pa.RecordBatch.from_arrays([pa.array(key[low < high], pa.int64())], ["key"])
+
+    rows = per_row.select("fresh").where(F.length("fresh") > 0).mapInArrow(blocks, "part int, block binary")
+    return rows.repartitionById(parts, F.col("part")).mapInArrow(run, "key long")
+
+
+def bands_on_map(per_row: DataFrame, keys: DataFrame) -> DataFrame:
+    """node, key of the bands of ``per_row`` whose key may be among ``keys`` (written)."""
+    wanted = per_row.sparkSession.sparkContext.broadcast(number_map(keys))
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            key, node = _bands_of(batch.column(0))
+            met = on_map(wanted.value, key)
+            yield pa.RecordBatch.from_arrays([pa.array(node[met], pa.int64()), pa.array(key[met], pa.int64())], ["node", "key"])
+
+    return per_row.select("fresh").where(F.length("fresh") > 0).mapInArrow(run, "node long, key long")
+
+
 def band_members(per_row: DataFrame) -> DataFrame:
     """key, node, p1, p2 (the two keys before it in the node's order): the bands that some other line shares."""
-    rows = per_row.select(F.explode("fresh").alias("x")).select("x.node", F.explode("x.bands").alias("key"))
-    # A line that several tasks met has a row of each; only keys of different lines matter.
-    counts = rows.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high").select("key")
-    shared = rows.join(counts, "key").groupBy("node").agg(F.sort_array(F.collect_set("key")).alias("keys"))
+    # A line that several tasks met is there once for each; only keys of different lines matter.
+    keys = written(shared_keys(per_row), "shared-bands")
+    shared = bands_on_map(per_row, keys).join(keys, "key").groupBy("node").agg(F.sort_array(F.collect_set("key")).alias("keys"))
     before = F.transform("keys", lambda x, i: F.struct(x.alias("key"), F.get("keys", i - 1).alias("p1"), F.get("keys", i - 2).alias("p2")))
     return shared.select("node", F.explode(before).alias("r")).select("node", "r.*")
 
@@ -261,24 +347,46 @@ def duplicate_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text", p
     keyed = written(band_members(per_row), "bands")
     nodes = written(keyed.select("node").distinct(), "band-nodes")
     # Lines are found again by their node: an id may stand for several texts, or for none.
-    texts = line_texts(df.select(F.col(text).cast("string").alias("t"))).join(small(nodes), "node", "left_semi")
+    texts = line_texts(df.select(F.col(text).cast("string").alias("t")), nodes).join(small(nodes), "node", "left_semi")
     lines = written(line_facts(texts.groupBy("node").agg(F.min("line").alias("line"))), "band-lines")
     carried = ["n_shingles", *_CELLS]
     members = written(keyed.join(lines.select("node", *carried), "node"), "band-members")
-    links = linked(members, [], ["p1", "p2", *carried], _possible(percent), lambda pairs: similar_lines(pairs, lines, percent), _first)
+    links = linked(members, [], ["p1", "p2", *carried], _possible(percent), lambda pairs: similar_lines(pairs, lines, percent), _first, few=FEW)
     return per_row, written(links, "line-links")
 
 
+def occurrences_on_map(per_row: DataFrame, nodes: DataFrame) -> DataFrame:
+    """doc_id, row, line_no, node of the lines of ``per_row`` whose node may be among ``nodes`` (written)."""
+    wanted = per_row.sparkSession.sparkContext.broadcast(number_map(nodes))
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            number, node = batch.column(2).flatten().flatten()
+            of = np.repeat(np.arange(batch.num_rows), batch.column(2).value_lengths().to_numpy())
+            met = np.flatnonzero(on_map(wanted.value, node.to_numpy()))
+            at = pa.array(of[met])
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), number.take(pa.array(met)), node.take(pa.array(met))],
+                                             ["doc_id", "row", "line_no", "node"])
+
+    return per_row.select("doc_id", "row", "lines").where(F.size("lines") > 0).mapInArrow(run, "doc_id long, row long, line_no int, node long")
+
+
 def dropped_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT, row: str | None = None) -> DataFrame:
     """One row per input row: doc_id, row, n_lines, dropped (array of line numbers, from 0)."""
     per_row, links = duplicate_lines(df, doc_id, text, percent, row)
-    of = written(components(links), "line-components")
-    occurrences = (per_row.select("doc_id", "row", F.explode("lines").alias("x")).select("doc_id", "row", "x.line_no", "x.node")
-                   .join(of, "node", "left").withColumn("component", F.coalesce("component", "node")))
+    linked_nodes = written(components(links), "line-components")
+    roots = linked_nodes.select(F.col("component").alias("node"), "component").distinct()
     place = F.struct("doc_id", "line_no", "row")
-    # Components of one occurrence have nothing to drop and leave here.
-    kept = occurrences.groupBy("component").agg(F.min(place).alias("kept"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    drop = (occurrences.join(kept, "component").where(~place.eqNullSafe(F.col("kept")))
+    first = (per_row.select("doc_id", "row", F.explode("lines").alias("x")).select("doc_id", "row", "x.line_no", "x.node")
+             .groupBy("node").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")))
+    # Nodes of one occurrence without links have nothing to drop and leave here.
+    several = written(first.join(linked_nodes.unionByName(roots), "node", "left").where("n > 1 or component is not null")
+                      .select("node", F.coalesce("component", "node").alias("component"), "first"), "line-groups")
+    kept = several.join(several.groupBy("component").agg(F.min("first").alias("kept")), "component").select("node", "kept")
+    kept = written(kept, "line-kept")
+    drop = (occurrences_on_map(per_row, kept.select("node")).join(kept, "node").where(~place.eqNullSafe(F.col("kept")))
             .groupBy("row").agg(F.sort_array(F.collect_list("line_no")).alias("dropped")))
     return (per_row.select("doc_id", "row", F.size("lines").cast("long").alias("n_lines")).join(drop, "row", "left")
             .withColumn("dropped", F.coalesce("dropped", F.array().cast("array<int>"))))

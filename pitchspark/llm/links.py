@@ -49,7 +49,7 @@ def _print(edges: DataFrame) -> tuple:
 
 
 def linked(members: DataFrame, rank: list[str], carried: list[str], possible: Callable[[str, str], Column],
-           verify: Callable[[DataFrame], DataFrame], first: Callable[[str, str], Column] | None = None, rounds: int = 3) -> DataFrame:
+           verify: Callable[[DataFrame], DataFrame], first: Callable[[str, str], Column] | None = None, rounds: int = 3, few: int = 0) -> DataFrame:
     """Links (a, b), a < b, that connect what all verified pairs of ``members`` (key, node, carried columns) would.
 
     In each of ``rounds`` every key has one leader: first the least by ``rank``,
@@ -58,13 +58,14 @@ def linked(members: DataFrame, rank: list[str], carried: list[str], possible: Ca
     members, by prefix. ``verify`` gets distinct pairs (a, b), each once in all,
     and returns those that are links. ``first(x, y)``, for the comparison of what
     is left, is false where both members certainly share an earlier key, so that
-    a pair is not made again on all of its keys. ``members`` is read several
-    times: pass a written table.
+    a pair is not made again on all of its keys. ``few``: what is left is compared at
+    once, without further rounds, if it has at most so many pairs for each member.
+    ``members`` is read several times: pass a written table.
     """
     pair = [F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")]
     apart = (F.col("x.key") == F.col("y.key")) & (F.col("x.component") != F.col("y.component")) & possible("x", "y")
     carried = list(dict.fromkeys(["node", "component", *carried]))
-    left = members.withColumn("component", F.col("node"))
+    left, placed_once = members.withColumn("component", F.col("node")), members
     links = seen = None
 
     def verified(pairs: DataFrame) -> None:
@@ -80,11 +81,18 @@ def linked(members: DataFrame, rank: list[str], carried: list[str], possible: Ca
         order = [F.col(c).alias(f"o_{c}") for c in rank] if r == 0 else [F.xxhash64(F.lit(r), "key", "node").alias("o")]
         heads = left.groupBy("key").agg(F.min(F.struct(*order, *carried)).alias("head")).select("key", *(f"head.{c}" for c in carried))
         verified(left.alias("x").join(heads.alias("y"), apart).select(*pair).distinct())
-        placed = members.join(components(links), "node", "left").withColumn("component", F.coalesce("component", "node"))
+        # Keys that are done stay so, as components only grow: later rounds look at the open ones alone.
+        placed = placed_once.join(components(links), "node", "left").withColumn("component", F.coalesce("component", "node"))
         mixed = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("key")
         left = written(placed.join(mixed, "key", "left_semi"), "open-members")
+        placed_once = left.drop("component")
         if left.isEmpty():
             return links
+        if few:
+            n = F.count(F.lit(1)).cast("double")
+            size = left.groupBy("key").agg(n.alias("n")).agg(F.sum(F.col("n") * (F.col("n") - 1) / 2), F.sum("n")).first()
+            if size[0] <= few * size[1]:
+                break
     once = apart & (F.col("x.node") < F.col("y.node"))
     once = once & first("x", "y") if first else once
     verified(left.alias("x").join(left.alias("y"), once).select(*pair).distinct())

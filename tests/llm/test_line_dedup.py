@@ -1,8 +1,12 @@
 import random
 
+import numpy as np
 from pyspark.sql import functions as F
 
+from pitchspark.llm import common
 from pitchspark.llm import line_dedup as ld
+from pitchspark.llm.common import written
+from pitchspark.llm.links import components, linked
 
 from .conftest import words
 
@@ -130,3 +134,43 @@ def test_clean_text_and_odd_rows(spark, odd_docs, no_docs):
     assert all(r.n_lines == 0 for r in rows if r.doc_id in (1, 2, 3))
     assert all(len(r.dropped) == (r.doc_id >= 16) for r in rows if (r.doc_id or 0) >= 10)
     assert ld.dropped_lines(no_docs).count() == 0 and ld.dedup_lines(odd_docs.where(F.col("doc_id") > 9)).columns == odd_docs.columns
+
+
+def test_maps_of_numbers_miss_none(spark):
+    numbers = [random.Random(9).getrandbits(63) - (1 << 62) for _ in range(3000)]
+    words_ = common.number_map(spark.createDataFrame([(x,) for x in numbers], "n long").repartition(5))
+    assert common.on_map(words_, np.array(numbers)).all()
+    assert common.on_map(words_, np.arange(100_000)).mean() < 0.1
+    assert not common.on_map(common.number_map(spark.range(0)), np.arange(100)).any()
+
+
+def test_keys_that_several_lines_share(spark):
+    """A key that one line has in several tasks is not shared; keys and nodes travel in blocks, not row by row."""
+    rnd = random.Random(10)
+    rows = [(i, "\n".join("".join(rnd.choice("ab") for _ in range(12)) for _ in range(3))) for i in range(90)] + [(900 + i, "one line of many tasks") for i in range(9)] + [(990, None), (991, "short")]
+    per_row = ld.line_nodes(spark.createDataFrame(rows, "doc_id long, text string").repartition(6)).persist()
+    of = {}
+    for x in {x for _, t in rows for _, x in ld.lines_of(t) if len(x) >= ld.SHINGLE}:
+        for k in ld.Shingles([x]).bands().view(np.int64)[0].tolist():
+            of.setdefault(k, set()).add(x)
+    want = {k for k, x in of.items() if len(x) > 1}
+    got = [r.key for r in ld.shared_keys(per_row).collect()]
+    assert len(got) == len(set(got)) and set(got) == want and want
+    members = {(r.key, r.node) for r in ld.band_members(per_row).collect()}
+    node = lambda x: int(ld.whole_hashes([x]).view(np.int64)[0])
+    assert members == {(k, node(x)) for k in want for x in of[k]}
+    per_row.unpersist()
+
+
+def test_few_open_pairs_are_compared_at_once(spark):
+    """The same components with fewer rounds, each of which is a job over all open members."""
+    rnd = random.Random(12)
+    rows = [(k, n) for k in range(30) for n in rnd.sample(range(100), 6)]
+    members = written(spark.createDataFrame(rows, "key long, node long"), "t-members")
+    out, asked = [], []
+    for few in (0, 50):
+        calls = []
+        links = linked(members, [], [], lambda x, y: F.lit(True), lambda p: (calls.append(1), p.where("(a + b) % 7 = 0"))[1], few=few)
+        out.append(sorted(map(tuple, components(links).collect())))
+        asked.append(len(calls))
+    assert out[0] == out[1] and out[0] and asked[1] == 2 < asked[0]
