@@ -90,6 +90,11 @@ def _has_shingle(line: bytes) -> bool:
     return len(line) >= SHINGLE and (line.isascii() or len(line.decode()) >= SHINGLE)
 
 
+def _salted(line: np.ndarray, sums: np.ndarray) -> np.ndarray:
+    """Shingles made different from line to line, so that one sort brings each line's equal ones together."""
+    return sums ^ mix(line.astype(np.uint64) + np.uint64(1))
+
+
 class Shingles:
     """Hashes of the character shingles of many lines: ``sums[first[i]:first[i + 1]]`` are those of line i, with repeats.
 
@@ -109,6 +114,19 @@ class Shingles:
         return [np.unique(self.sums[a:b]) if b > a else whole_hashes(self.lines[i : i + 1]) for i, (a, b) in
                 enumerate(zip(self.first[:-1].tolist(), self.first[1:].tolist(), strict=True))]
 
+    def distinct(self) -> tuple[np.ndarray, np.ndarray]:
+        """Line and shingle of the distinct shingles of all lines, as ``sets`` has them, in no order."""
+        counts = np.diff(self.first)
+        short = np.flatnonzero(counts == 0)
+        line = np.concatenate((np.repeat(np.arange(len(counts)), counts), short))
+        sums = np.concatenate((self.sums, whole_hashes([self.lines[i] for i in short.tolist()])))
+        salted = _salted(line, sums)
+        order = np.argsort(salted)
+        salted, line = salted[order], line[order]
+        keep = np.ones(len(order), dtype=bool)
+        keep[1:] = (salted[1:] != salted[:-1]) | (line[1:] != line[:-1])
+        return line[keep], sums[order[keep]]
+
     def symbols(self) -> np.ndarray:
         """The signature of each line, which must have a shingle: 60 symbols of eight bits."""
         counts = np.diff(self.first)
@@ -202,10 +220,11 @@ def line_texts(texts: DataFrame, nodes: DataFrame) -> DataFrame:
     return texts.select("t").mapInArrow(run, "node long, line string")
 
 
-def cells(sums: np.ndarray) -> np.ndarray:
-    """The parity of each cell, of a set of shingles."""
-    bits = np.bincount((sums & np.uint64(64 * CELL_WORDS - 1)).astype(np.int64), minlength=64 * CELL_WORDS) & 1
-    return np.packbits(bits.astype(np.uint8)).view(np.int64)
+def cells(line: np.ndarray, sums: np.ndarray, n: int) -> np.ndarray:
+    """The parity of each cell, of the shingle sets of ``n`` lines: a row of words for each."""
+    size = 64 * CELL_WORDS
+    bits = np.bincount(line * size + (sums & np.uint64(size - 1)).astype(np.int64), minlength=n * size) & 1
+    return np.packbits(bits.astype(np.uint8)).view(np.int64).reshape(n, CELL_WORDS)
 
 
 def line_facts(lines: DataFrame) -> DataFrame:
@@ -217,10 +236,10 @@ def line_facts(lines: DataFrame) -> DataFrame:
         for batch in batches:
             texts = batch.column(1).to_pylist()
             for a, b in chunks([t.encode() for t in texts], 1 << 18):
-                sets = Shingles(texts[a:b]).sets()
-                parity = np.array([cells(x) for x in sets], np.int64)
+                line, sums = Shingles(texts[a:b]).distinct()
+                parity = cells(line, sums, b - a)
                 yield pa.RecordBatch.from_arrays([
-                    batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), pa.array([len(x) for x in sets], pa.int64()),
+                    batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), pa.array(np.bincount(line, minlength=b - a), pa.int64()),
                     *(pa.array(parity[:, i], pa.int64()) for i in range(CELL_WORDS))], ["node", "line", "n_shingles", *_CELLS])
 
     schema = "node long, line string, n_shingles long, " + ", ".join(f"{c} long" for c in _CELLS)
@@ -329,11 +348,17 @@ def similar_lines(pairs: DataFrame, lines: DataFrame, percent: int) -> DataFrame
         import pyarrow as pa
 
         out: list[bool] = []
-        x, y = ([normal(v or "") for v in c.to_pylist()] for c in (left, right))
+        x, y = (c.to_pylist() for c in (left, right))
         for a, b in chunks([v.encode() for v in x], 1 << 18):
-            for p, q in zip(Shingles(x[a:b]).sets(), Shingles(y[a:b]).sets(), strict=True):
-                both = len(p) + len(q) - len(np.union1d(p, q))
-                out.append(both > 0 and 100 * both >= percent * (len(p) + len(q) - both))
+            (line, sums), (other, others) = Shingles(x[a:b]).distinct(), Shingles(y[a:b]).distinct()
+            pair = np.concatenate((line, other))
+            salted = _salted(pair, np.concatenate((sums, others)))
+            order = np.argsort(salted)
+            salted, pair = salted[order], pair[order]
+            met = (salted[1:] == salted[:-1]) & (pair[1:] == pair[:-1])
+            both = np.bincount(pair[1:][met], minlength=b - a)
+            union = np.bincount(pair, minlength=b - a) - both
+            out += ((both > 0) & (100 * both >= percent * union)).tolist()
         return pa.array(out, pa.bool_())
 
     left = lines.select(F.col("node").alias("a"), F.col("line").alias("left"))
