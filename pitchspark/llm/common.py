@@ -186,7 +186,8 @@ MAP_LOG = 28
 
 def number_map(numbers: DataFrame) -> np.ndarray:
     """Words of bits, one set for each number of the only column of a written table: some 16 bits a number, up to ``MAP_LOG``."""
-    log = min(MAP_LOG, max(12, (16 * numbers.count()).bit_length()))
+    n = numbers.count()
+    log = min(MAP_LOG, max(12, (16 * n).bit_length()))
 
     def run(batches):
         import pyarrow as pa
@@ -200,7 +201,7 @@ def number_map(numbers: DataFrame) -> np.ndarray:
             part = used[a : a + (1 << 16)]
             yield pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), pa.array(found[part].view(np.int64), pa.int64())], ["word", "bits"])
 
-    rows = numbers.mapInArrow(run, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
+    rows = numbers.coalesce(1 + (n >> 20)).mapInArrow(run, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
     words = np.zeros(1 << (log - 6), np.uint64)
     words[rows["word"].to_numpy()] = rows["bits"].to_numpy().view(np.uint64)
     return words

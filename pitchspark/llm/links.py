@@ -59,14 +59,15 @@ def linked(members: DataFrame, rank: list[str], carried: list[str], possible: Ca
     and returns those that are links. ``first(x, y)``, for the comparison of what
     is left, is false where both members certainly share an earlier key, so that
     a pair is not made again on all of its keys. ``few``: what is left is compared at
-    once, without further rounds, if it has at most so many pairs for each member.
+    once, without further rounds, if it has at most so many pairs for each member, or if
+    the last round left more than four fifths of them.
     ``members`` is read several times: pass a written table.
     """
     pair = [F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")]
     apart = (F.col("x.key") == F.col("y.key")) & (F.col("x.component") != F.col("y.component")) & possible("x", "y")
     carried = list(dict.fromkeys(["node", "component", *carried]))
     left, placed_once = members.withColumn("component", F.col("node")), members
-    links = seen = None
+    links = seen = pairs_left = None
 
     def verified(pairs: DataFrame) -> None:
         nonlocal links, seen
@@ -91,8 +92,9 @@ def linked(members: DataFrame, rank: list[str], carried: list[str], possible: Ca
         if few:
             n = F.count(F.lit(1)).cast("double")
             size = left.groupBy("key").agg(n.alias("n")).agg(F.sum(F.col("n") * (F.col("n") - 1) / 2), F.sum("n")).first()
-            if size[0] <= few * size[1]:
+            if size[0] <= few * size[1] or (pairs_left is not None and size[0] > 0.8 * pairs_left):
                 break
+            pairs_left = size[0]
     once = apart & (F.col("x.node") < F.col("y.node"))
     once = once & first("x", "y") if first else once
     verified(left.alias("x").join(left.alias("y"), once).select(*pair).distinct())
