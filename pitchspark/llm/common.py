@@ -16,6 +16,8 @@ SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 #: Bytes of text handled at once inside a task; a longer single text forms a chunk of its own.
 CHUNK_BYTES = 1 << 20
+#: The same where a chunk becomes many arrays of 64-bit numbers, whose memory a reused worker keeps.
+WORDS_BYTES = 1 << 18
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,9 +26,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Bytes of rows that a Python worker gets at once. By rows alone, Spark's 10,000 of long texts are one batch, held in the executor and in each worker.
+BATCH_BYTES = 8 << 20
+
+
 def ready(spark: SparkSession) -> None:
     ensure_checkpoint_dir(spark)
     ship_package(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
@@ -74,7 +81,7 @@ _POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """``_P**i`` and its inverse for i < n, kept between calls for chunks of the usual size."""
     if len(_POWERS[0]) < n:
-        size = max(n, CHUNK_BYTES + 65536)
+        size = max(n, (WORDS_BYTES if n <= WORDS_BYTES + 65536 else CHUNK_BYTES) + 65536)
         for k, base in enumerate((_P, pow(_P, -1, 1 << 64))):
             full = np.full(size, base, dtype=np.uint64)
             full[0] = 1

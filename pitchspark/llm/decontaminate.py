@@ -38,7 +38,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, chunks, texts_of
+from .common import WORDS_BYTES, Words, chunks, texts_of
 
 SHINGLE, OVERLAP, PART_OVERLAP = 5, 0.8, 0.5
 #: One changed word undoes five shingles, half of so many.
@@ -193,7 +193,7 @@ class ItemIndex:
         """Per text the verified items, each with its best passage."""
         found: list[dict[int, dict]] = [{} for _ in texts]
         if self.items:
-            for a, b in chunks(texts):
+            for a, b in chunks(texts, WORDS_BYTES):
                 self._search([plain(t) for t in texts[a:b]], found[a:b])
         return [[best[i] for i in sorted(best)] for best in found]
 

@@ -38,7 +38,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import CHUNK_BYTES, Words, flat, mix, small, written
+from .common import WORDS_BYTES, Words, flat, mix, small, written
 from .links import components, linked
 
 SHINGLE, PERCENT = 4, 85
@@ -80,7 +80,7 @@ def _sets(batch, column: int, k: int):
     data, ends = flat(texts.cast(pa.large_binary() if pa.types.is_large_string(texts.type) else pa.binary())) if len(texts) else (None, np.zeros(1, np.int64))
     begin = 0
     while begin < len(texts):
-        stop = max(begin + 1, int(np.searchsorted(ends, ends[begin] + CHUNK_BYTES, side="right")) - 1)
+        stop = max(begin + 1, int(np.searchsorted(ends, ends[begin] + WORDS_BYTES, side="right")) - 1)
         yield begin, Words([data[a:b].tobytes().lower() for a, b in zip(ends[begin:stop], ends[begin + 1 : stop + 1], strict=True)]).shingle_sets(k)
         begin = stop
 

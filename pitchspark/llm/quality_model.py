@@ -22,7 +22,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, Words, chunks, held_out, texts_of
+from .common import SPACE, WORDS_BYTES, Words, chunks, held_out, texts_of
 
 MAX_FIT_ROWS = 20_000
 
@@ -41,7 +41,7 @@ FEATURES = [
 def statistics(texts: list[bytes]) -> np.ndarray:
     """One row of ``FEATURES`` per text."""
     out = np.zeros((len(texts), len(FEATURES)), dtype=np.float32)
-    for a, b in chunks(texts):
+    for a, b in chunks(texts, WORDS_BYTES):
         out[a:b] = _statistics(texts[a:b])
     return out
 
