@@ -147,3 +147,44 @@ def test_nodes_equal_a_walk_by_hand():
                 want.append(at)
             assert t.nodes(bins, levels).tolist() == want
     assert t.nodes(bins[:0], 3).tolist() == []
+
+
+def test_lookups_equal_walks():
+    """Depths within and beyond a lookup's, leaves above the last level, more trees than a word holds; margins add up in the order of the rounds."""
+    r = np.random.default_rng(9)
+    for depth in (1, 2, 3, 4):
+        rounds = []
+        for _ in range(4):
+            rounds.append([])
+            for _ in range(3):
+                t = bo.Tree.empty(depth)
+                inner = 2**depth - 1
+                t.feature[:inner], t.bin[:inner] = r.integers(-1, 5, inner), r.integers(1, bo.BINS, inner)
+                t.missing_left[:inner], t.value[:] = r.integers(0, 2, inner).astype(bool), r.normal(size=len(t.value))
+                rounds[-1].append(t)
+        bins = r.integers(0, bo.BINS, (300, 5)).astype(np.uint8)
+        trees = [t for x in rounds for t in x]
+        for levels in range(depth + 1):
+            got = list(bo.Lookup(trees, levels, lambda t: np.arange(len(t.feature)), 5)(bo._columns(bins.T)))
+            assert all((a == t.nodes(bins, levels)).all() for a, t in zip(got, trees, strict=True))
+        start = r.normal(size=(300, 3))
+        want = start.copy()
+        for x in rounds:
+            for c, t in enumerate(x):
+                want[:, c] += t.value[t.nodes(bins, depth)]
+        assert (bo.margins(start, bins, rounds, bo.Params(depth=depth)) == want).all()
+
+
+def test_margins_are_carried_only_for_rounds_that_follow(spark, rows, monkeypatch):
+    """No pass that writes margins after the last round; small blocks, chunks and joint sets and carrying every other round give the same trees."""
+    p, passes, carried = bo.Params(rounds=4, depth=3, rate=0.3), [], bo._carried
+    monkeypatch.setattr(bo, "_carried", lambda *a: passes.append(1) or carried(*a))
+    found = bo.binned(rows.coalesce(1), FEATURES, "target", "train_weight", "match_id", "fold")
+    want = bo.fit_boosted(found, FEATURES, "target", "train_weight", "match_id", p)
+    for name, value in {"CARRY": 2, "CHUNK_ROWS": 100, "JOINT_CELLS": 1, "BLOCK_ROWS": 256}.items():
+        monkeypatch.setattr(bo, name, value)
+    monkeypatch.setattr(bo, "bin_edges", lambda *a: found.edges)
+    got = bo.fit_boosted(rows, FEATURES, "target", "train_weight", "match_id", p)
+    assert len(passes) == 1
+    assert [t.feature.tolist() for r in got.trees for t in r] == [t.feature.tolist() for r in want.trees for t in r]
+    assert np.allclose([t.value for r in got.trees for t in r], [t.value for r in want.trees for t in r])
