@@ -126,9 +126,10 @@ def tune_boosted(train: DataFrame, features: list[str], grid: dict[str, list], l
                  key: str = "match_id", folds: int = 5) -> tuple[BoostedModel, list[tuple]]:
     """Grid search of the boosted model (M2): the point of the best mean accuracy over the stratified folds (W6), the
     first of equals, refitted on all rows; and (parameters, mean accuracy, accuracies by fold) of every point."""
-    found = boosting.grid_accuracies(train, features, grid, label, weight, key, folds=folds)
+    rows = boosting.binned(train, features, label, weight, key, "fold")
+    found = boosting.grid_accuracies(rows, features, grid, label, weight, key, folds=folds)
     best = max(found, key=lambda x: x[1])[0]
-    return boosting.fit_boosted(train, features, label, weight, key, best), found
+    return boosting.fit_boosted(rows, features, label, weight, key, best), found
 
 
 def score(model: PipelineModel | BoostedModel, df: DataFrame, features: list[str]) -> DataFrame:
