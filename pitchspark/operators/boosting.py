@@ -395,9 +395,9 @@ def _unpacked(batches, dims: int, fits: int, classes: int):
                                   None if x["margins"] is None else x["margins"].reshape(fits, classes, n))
 
 
-def _carried(state: DataFrame, fits: list[Fit], since: int, dims: int, classes: int) -> DataFrame:
-    """The blocks with all fits' margins after their trees so far."""
-    new = [(f.params, f.trees[since:]) for f in fits]
+def _carried(blocks: DataFrame, fits: list[Fit], dims: int, classes: int) -> DataFrame:
+    """The blocks, which have no margins, with all fits' margins after their trees so far."""
+    new = [(f.params, f.trees) for f in fits]
 
     def run(batches):
         import pyarrow as pa
@@ -413,7 +413,7 @@ def _carried(state: DataFrame, fits: list[Fit], since: int, dims: int, classes:
                 begin = end
             yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(i, 1) for c in _STATE[:-1]), pa.array([out.tobytes()], pa.binary())], _STATE)
 
-    return state.mapInArrow(run, ", ".join(f"{c} binary" for c in _STATE))
+    return blocks.mapInArrow(run, ", ".join(f"{c} binary" for c in _STATE))
 
 
 _STATE = ["bins", "label", "weight", "key", "fold", "margins"]
@@ -591,7 +591,7 @@ def _fit_rounds(rows: Binned, fits: list[Fit], dims: int, classes: int, report:
         return df.persist(StorageLevel.MEMORY_AND_DISK)
 
     sizes, since, reports = [len(e) + 2 for e in rows.edges], 0, {}
-    state = kept(rows.blocks.withColumn("margins", F.lit(None).cast("binary")).repartition(tasks))
+    state = base = kept(rows.blocks.withColumn("margins", F.lit(None).cast("binary")).repartition(tasks))
     last = max(f.params.rounds for f in fits) - 1
     try:
         parts = min(state.count(), tasks)  # no more tasks than blocks have sums
@@ -610,13 +610,15 @@ def _fit_rounds(rows: Binned, fits: list[Fit], dims: int, classes: int, report:
             if round_ + 1 in report:
                 reports[round_ + 1] = _held_out_hits(state, fits, since, dims, classes)
             if (round_ + 1) % CARRY == 0 and round_ < last:
-                # Persisted only: what a lost executor held is made again from the blocks, one pass a carry.
-                before, state = state, kept(_carried(state, fits, since, dims, classes))
+                # Always from the blocks, over all rounds so far: plans stay short, and what a lost executor held is one pass.
+                before, state = state, kept(_carried(base, fits, dims, classes))
                 state.count()
                 since = round_ + 1
-                before.unpersist()
+                if before is not base:
+                    before.unpersist()
     finally:
         state.unpersist()
+        base.unpersist()
     return reports
 
 
